@@ -356,3 +356,114 @@ def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = RU.agg_rules(configs.AGGREGATOR)
     window = f"{RU.agg_window_seconds(configs.AGGREGATOR)} seconds"
     return A.aggregate(_fields(spark, sf_dir), rules, window=window)
+
+
+# ----------------------------------------------------------------------------- P12-P17 P20
+from ..functions import typed as TY  # noqa: E402
+
+_SORTED_HEAD = "event_type || ',shard=s' || CAST(shard AS VARCHAR) || ',user=u' || CAST(user_id AS VARCHAR)"
+_BAD_TXT = "CASE WHEN event_type = 'error' THEN 'true' ELSE 'false' END"
+
+
+def _points(spark, sf_dir) -> DataFrame:
+    return fx.lines(spark, sf_dir).select("src_offset", TY.parse_line("value").alias("p"))
+
+
+@register(
+    "typed_parse",
+    "WITH "
+    + FIELDS
+    + """ SELECT src_offset, measurement, 'u' || CAST(user_id AS VARCHAR) AS tag_user, 's' || CAST(shard AS VARCHAR) AS tag_shard,
+  field, CASE field WHEN 'value' THEN 'double' WHEN 'k' THEN 'long' ELSE 'boolean' END AS kind,
+  CASE WHEN field = 'k' THEN CAST(dvalue AS BIGINT) END AS l,
+  CASE WHEN field = 'value' THEN dvalue END AS d,
+  CASE WHEN field = 'bad' THEN value = 'true' END AS b,
+  CAST(NULL AS VARCHAR) AS s, ts_ns FROM f""",
+)
+def q_typed_parse(spark, sf_dir):
+    p = _points(spark, sf_dir)
+    e = p.select("src_offset", "p", F.explode(F.map_entries("p.fields")).alias("e"))
+    return e.select(
+        "src_offset",
+        F.col("p.measurement").alias("measurement"),
+        F.col("p.tags")["user"].alias("tag_user"),
+        F.col("p.tags")["shard"].alias("tag_shard"),
+        F.col("e.key").alias("field"),
+        "e.value.kind",
+        "e.value.l",
+        "e.value.d",
+        "e.value.b",
+        "e.value.s",
+        F.col("p.ts_ns").alias("ts_ns"),
+    )
+
+
+@register(
+    "typed_render",
+    "WITH " + EV + " SELECT event_id AS src_offset, " + _SORTED_HEAD + " || ' bad=' || " + _BAD_TXT
+    + " || ',k=' || CAST(k AS VARCHAR) || 'i,value=' || CAST(value AS VARCHAR) || ' ' || CAST(ts_ns AS VARCHAR) AS line FROM ev",
+)
+def q_typed_render(spark, sf_dir):
+    return _points(spark, sf_dir).select("src_offset", TY.format_line("p").alias("line"))
+
+
+@register(
+    "drop_non_numeric",
+    "WITH " + EV + " SELECT event_id AS src_offset, " + _SORTED_HEAD
+    + " || ' k=' || CAST(k AS VARCHAR) || 'i,value=' || CAST(value AS VARCHAR) || ' ' || CAST(ts_ns AS VARCHAR) AS line FROM ev",
+)
+def q_drop_non_numeric(spark, sf_dir):
+    return _points(spark, sf_dir).select("src_offset", TY.format_line(TY.drop_non_numeric("p")).alias("line"))
+
+
+@register(
+    "split_fields",
+    "WITH " + EV + """, s AS (
+  SELECT event_id, 'value' AS field, 'value=' || CAST(value AS VARCHAR) AS fv, """ + _SORTED_HEAD + """ AS head, ts_ns FROM ev
+  UNION ALL SELECT event_id, 'k', 'k=' || CAST(k AS VARCHAR) || 'i', """ + _SORTED_HEAD + """, ts_ns FROM ev
+  UNION ALL SELECT event_id, 'bad', 'bad=' || """ + _BAD_TXT + """, """ + _SORTED_HEAD + """, ts_ns FROM ev)
+SELECT event_id AS src_offset, field, head || ' ' || fv || ' ' || CAST(ts_ns AS VARCHAR) AS line FROM s""",
+)
+def q_split_fields(spark, sf_dir):
+    p = _points(spark, sf_dir).select("src_offset", F.explode(TY.split_fields("p")).alias("q"))
+    return p.select(
+        "src_offset", F.map_keys("q.fields")[0].alias("field"), TY.format_line("q").alias("line")
+    )
+
+
+@register(
+    "triples",
+    "WITH " + EV + """ SELECT event_id AS src_offset, """ + _SORTED_HEAD + """ || '|value' AS key, value, 'avg' AS fn FROM ev
+UNION ALL SELECT event_id, """ + _SORTED_HEAD + """ || '|k', CAST(k AS DOUBLE), 'avg' FROM ev""",
+)
+def q_triples(spark, sf_dir):
+    t = _points(spark, sf_dir).select("src_offset", F.explode(TY.triples("p", "avg")).alias("t"))
+    return t.select("src_offset", "t.key", "t.value", "t.fn")
+
+
+@register(
+    "edit_point",
+    "WITH " + EV + " SELECT event_id AS src_offset, event_type || ',dc=eu,shard=s' || CAST(shard AS VARCHAR) || ',user=u' || CAST(user_id AS VARCHAR)"
+    + " || ' bad=' || " + _BAD_TXT + " || ',k=' || CAST(k AS VARCHAR) || 'i,n=1i,value=' || CAST(value AS VARCHAR)"
+    + " || ' ' || CAST(ts_ns // 1000000 AS VARCHAR) AS line FROM ev",
+)
+def q_edit_point(spark, sf_dir):
+    p = _points(spark, sf_dir)
+    q = TY.with_tag("p", "dc", "eu")
+    q = TY.with_field(q, "n", 1)
+    q = TY.with_time(q, TY.int_div(F.col("p.ts_ns"), 1_000_000), "ms")
+    return p.select("src_offset", TY.format_line(q, precision="ms").alias("line"))
+
+
+NOW_NS = 1_704_067_200_000_000_000  # fixed "now" for ingest-time and unit-inference queries
+
+
+@register(
+    "ingest_tag",
+    "WITH " + EV + " SELECT event_id AS src_offset, event_type || ',' || " + TAGS + f" || ',timestamp={NOW_NS}"
+    + " value=' || CAST(value AS VARCHAR) || ',k=' || CAST(k AS VARCHAR) || 'i,bad=' || " + _BAD_TXT
+    + " || ' ' || CAST(ts_ns AS VARCHAR) AS value FROM ev",
+)
+def q_ingest_tag(spark, sf_dir):
+    d = fx.lines(spark, sf_dir)
+    return d.select("src_offset", L.tag_ingest_time("value", F.lit(NOW_NS)).alias("value"))
