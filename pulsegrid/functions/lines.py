@@ -28,6 +28,12 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def kv(key, value) -> Column:
+    """A ``STRUCT<key, value>`` map entry; ``key`` may be a str literal."""
+    k = F.lit(key) if isinstance(key, str) else key
+    return F.struct(k.alias("key"), _c(value).alias("value"))
+
+
 def java_split(s, sep: str) -> Column:
     """``split`` on one literal character, dropping trailing empty strings."""
     esc = "\\" + sep if sep in "\\^$.|?*+()[]{}" else sep

@@ -467,3 +467,196 @@ NOW_NS = 1_704_067_200_000_000_000  # fixed "now" for ingest-time and unit-infer
 def q_ingest_tag(spark, sf_dir):
     d = fx.lines(spark, sf_dir)
     return d.select("src_offset", L.tag_ingest_time("value", F.lit(NOW_NS)).alias("value"))
+
+
+# ----------------------------------------------------------------------------- S5 S6 P18 P19 P21-P23 P31-P34 J3 A6
+from ..operators import collectd as CD  # noqa: E402
+from ..operators import events as EVT  # noqa: E402
+
+HE = (
+    EV
+    + """,
+he AS (SELECT event_id AS src_offset, event_type, user_id, shard, value, k, ts_ns, ts,
+         CASE WHEN event_type = 'error' THEN NULL ELSE event_type END AS name,
+         'u' || CAST(user_id AS VARCHAR) AS tag_user, 's' || CAST(shard AS VARCHAR) AS tag_shard,
+         CAST(value AS VARCHAR) AS value_value, CAST(k AS VARCHAR) AS value_k,
+         CAST(ts_ns AS VARCHAR) AS "timestamp", 'double' AS type_value
+       FROM ev)"""
+)
+
+
+def _header_events(spark, sf_dir) -> DataFrame:
+    return fx.header_events(spark, sf_dir)
+
+
+@register(
+    "json_headers",
+    "WITH " + HE + """ SELECT src_offset, name, tag_user, tag_shard, value_value, value_k, "timestamp", type_value,
+  CAST(NULL AS VARCHAR) AS error FROM he""",
+)
+def q_json_headers(spark, sf_dir):
+    e = EVT.parse_json_events(fx.json_event_payloads(spark, sf_dir))
+    h = F.col("headers")
+    return e.select(
+        "src_offset",
+        *[h[k].alias(k) for k in ("name", "tag_user", "tag_shard", "value_value", "value_k", "timestamp", "type_value")],
+        "error",
+    )
+
+
+@register(
+    "events_to_lines",
+    "WITH " + HE + """ SELECT src_offset,
+  CASE WHEN name IS NULL THEN NULL ELSE name || ',shard=' || tag_shard || ',user=' || tag_user || ' k=' || value_k
+       || 'i,value=' || value_value || ' ' || "timestamp" END AS line,
+  CASE WHEN name IS NULL THEN 'no name header' END AS error FROM he""",
+)
+def q_events_to_lines(spark, sf_dir):
+    return EVT.events_to_lines(_header_events(spark, sf_dir)).select("src_offset", "line", "error")
+
+
+@register(
+    "value_encoding",
+    "WITH " + HE + """, kv AS (
+  SELECT src_offset, 'name' AS key, '"' || name || '"' AS encoded FROM he WHERE name IS NOT NULL
+  UNION ALL SELECT src_offset, 'tag_user', '"' || tag_user || '"' FROM he
+  UNION ALL SELECT src_offset, 'tag_shard', '"' || tag_shard || '"' FROM he
+  UNION ALL SELECT src_offset, 'value_value', value_value FROM he
+  UNION ALL SELECT src_offset, 'value_k', value_k || 'i' FROM he
+  UNION ALL SELECT src_offset, 'timestamp', "timestamp" || 'i' FROM he
+  UNION ALL SELECT src_offset, 'type_value', '"double"' FROM he)
+SELECT * FROM kv""",
+)
+def q_value_encoding(spark, sf_dir):
+    h = _header_events(spark, sf_dir).select("src_offset", F.explode("headers").alias("key", "v"))
+    return h.select("src_offset", "key", EVT.encode_value("v").alias("encoded"))
+
+
+@register(
+    "pass_body",
+    "WITH " + HE + """ SELECT src_offset,
+  CASE WHEN name IS NULL THEN NULL ELSE """ + LINE + """ END AS payload,
+  CASE WHEN name IS NULL THEN 'empty body' END AS error FROM he""",
+)
+def q_pass_body(spark, sf_dir):
+    return EVT.pass_body(_header_events(spark, sf_dir)).select("src_offset", "payload", "error")
+
+
+_CD_TS = "CAST(CAST(trunc((epoch_us(ts) / 1e6) * 1e9) AS BIGINT) AS VARCHAR)"
+
+
+@register(
+    "collectd",
+    "WITH " + EV + """, c AS (
+  SELECT event_id AS src_offset, 0 AS value_pos, event_type || '_value' AS name, 'u' || CAST(user_id AS VARCHAR) AS tag_host,
+    's' || CAST(shard AS VARCHAR) AS tag_instance, 'evt' AS tag_type, """ + _CD_TS + """ AS "timestamp",
+    CAST(value AS VARCHAR) AS value_value, 'double' AS type_value, CAST(NULL AS VARCHAR) AS error FROM ev
+  UNION ALL
+  SELECT event_id, 1,
+    CASE WHEN event_type = 'error' THEN NULL ELSE event_type || '_k' END,
+    CASE WHEN event_type = 'error' THEN NULL ELSE 'u' || CAST(user_id AS VARCHAR) END,
+    CASE WHEN event_type = 'error' THEN NULL ELSE 's' || CAST(shard AS VARCHAR) END,
+    CASE WHEN event_type = 'error' THEN NULL ELSE 'evt' END,
+    CASE WHEN event_type = 'error' THEN NULL ELSE """ + _CD_TS + """ END,
+    CASE WHEN event_type = 'error' THEN NULL ELSE CAST(k AS VARCHAR) END,
+    CASE WHEN event_type = 'error' THEN NULL ELSE 'long' END,
+    CASE WHEN event_type = 'error' THEN 'type not match: histogram' END FROM ev)
+SELECT * FROM c""",
+)
+def q_collectd(spark, sf_dir):
+    e = CD.explode_collectd(fx.collectd_docs(spark, sf_dir))
+    h = F.col("headers")
+    return e.select(
+        "src_offset",
+        "value_pos",
+        *[h[k].alias(k) for k in ("name", "tag_host", "tag_instance", "tag_type", "timestamp", "value_value", "type_value")],
+        "error",
+    )
+
+
+@register(
+    "metric_key",
+    "WITH " + HE + " SELECT src_offset, name || '|tag_shard:' || tag_shard || ',tag_user:' || tag_user AS metric_key FROM he",
+)
+def q_metric_key(spark, sf_dir):
+    return _header_events(spark, sf_dir).select("src_offset", EVT.metric_key("headers").alias("metric_key"))
+
+
+def _metric_rules_sql(cfg) -> str:
+    rules, default = RU.metric_rules(cfg)
+    rows = [
+        f"('{m}', '{fn}', {str('tag_user' not in rm).upper()}, {str('tag_shard' not in rm).upper()})"
+        for m, fn, rm in rules.rows
+    ]
+    return "r(metric, fn, keep_user, keep_shard) AS (VALUES " + ", ".join(rows) + ")"
+
+
+def _points_sql(cfg) -> str:
+    _, default = RU.metric_rules(cfg)
+    if len(default):
+        _, dfn, drm = default.rows[0]
+        d_fn, d_ku, d_ks = f"'{dfn}'", str("tag_user" not in drm).upper(), str("tag_shard" not in drm).upper()
+        join = "LEFT JOIN"
+    else:
+        d_fn, d_ku, d_ks, join = "NULL", "TRUE", "TRUE", "JOIN"
+    return (
+        "WITH " + HE + ", " + _metric_rules_sql(cfg) + f""",
+p AS (
+  SELECT he.*, COALESCE(r.fn, {d_fn}) AS fn,
+    CASE WHEN r.fn IS NULL THEN {d_ku} ELSE r.keep_user END AS ku,
+    CASE WHEN r.fn IS NULL THEN {d_ks} ELSE r.keep_shard END AS ks
+  FROM he {join} r ON he.name = r.metric),
+q AS (
+  SELECT src_offset, ts, ts_ns,
+    CASE WHEN name IS NULL THEN NULL ELSE fn END AS fn,
+    CASE WHEN name IS NULL THEN NULL ELSE name || CASE
+      WHEN ku AND ks THEN '|tag_shard:' || tag_shard || ',tag_user:' || tag_user
+      WHEN ks THEN '|tag_shard:' || tag_shard
+      WHEN ku THEN '|tag_user:' || tag_user ELSE '' END END AS metric_key,
+    CASE WHEN name IS NULL THEN NULL ELSE value END AS value,
+    CASE WHEN name IS NULL THEN 'no name field' END AS error
+  FROM p WHERE fn IS NOT NULL OR name IS NULL)"""
+    )
+
+
+def _event_points(spark, sf_dir, cfg) -> DataFrame:
+    rules, default = RU.metric_rules(cfg)
+    return EVT.event_points(_header_events(spark, sf_dir), rules, default)
+
+
+@register("event_points", _points_sql(configs.HEADER_AGGREGATOR) + " SELECT src_offset, fn, metric_key, value, error FROM q")
+def q_event_points(spark, sf_dir):
+    return _event_points(spark, sf_dir, configs.HEADER_AGGREGATOR).select("src_offset", "fn", "metric_key", "value", "error")
+
+
+_HOUR = 3_600_000_000_000
+_AGG_EVENTS_TAIL = f""",
+g AS (SELECT fn, metric_key, (ts_ns // {_HOUR} + 1) * {_HOUR} AS window_end_ns,
+        CASE fn WHEN 'avg' THEN avg(value) WHEN 'sum' THEN sum(value) WHEN 'min' THEN min(value) ELSE max(value) END AS value
+      FROM q WHERE error IS NULL GROUP BY fn, metric_key, window_end_ns)"""
+
+
+@register(
+    "agg_events",
+    _points_sql(configs.HEADER_AGGREGATOR) + _AGG_EVENTS_TAIL + " SELECT fn, metric_key, window_end_ns, round(value, 4) AS value FROM g",
+)
+def q_agg_events(spark, sf_dir):
+    window = f"{RU.header_window_seconds(configs.HEADER_AGGREGATOR)} seconds"
+    a = EVT.aggregate_events(_event_points(spark, sf_dir, configs.HEADER_AGGREGATOR), window=window)
+    return a.select("fn", "metric_key", "window_end_ns", F.round("value", 4).alias("value"))
+
+
+@register(
+    "points_json",
+    _points_sql(configs.HEADER_MINMAX)
+    + _AGG_EVENTS_TAIL
+    + """ SELECT fn, metric_key, window_end_ns,
+  '{"headers":{"name":"' || split_part(metric_key, '|', 1) || '_aggr","value_' || fn || '":"' || CAST(value AS VARCHAR)
+  || '","type_value":"double","timestamp":"' || CAST(window_end_ns AS VARCHAR) || '"'
+  || CASE WHEN metric_key LIKE '%|%' THEN ',"' || replace(split_part(metric_key, '|', 2), ':', '":"') || '"' ELSE '' END
+  || '},"body":""}' AS json FROM g""",
+)
+def q_points_json(spark, sf_dir):
+    window = f"{RU.header_window_seconds(configs.HEADER_MINMAX)} seconds"
+    a = EVT.aggregate_events(_event_points(spark, sf_dir, configs.HEADER_MINMAX), window=window)
+    return EVT.points_to_json(a).select("fn", "metric_key", "window_end_ns", "json")

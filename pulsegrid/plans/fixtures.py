@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.lines import kv
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -43,11 +45,10 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """LP records: ``value STRING, event_ts TIMESTAMP, src_partition INT, src_offset BIGINT``."""
-    ev = events(spark, sf_dir)
+def lp_text() -> Column:
+    """The canonical LP record of one ``events`` row (columns of ``events()``)."""
     shard = F.pmod("user_id", F.lit(4))
-    value = F.concat(
+    return F.concat(
         F.col("event_type"),
         F.lit(",user=u"),
         F.col("user_id").cast("string"),
@@ -62,33 +63,72 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(" "),
         F.col("ts_ns").cast("string"),
     )
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LP records: ``value STRING, event_ts TIMESTAMP, src_partition INT, src_offset BIGINT``."""
+    ev = events(spark, sf_dir)
     return ev.select(
-        value.alias("value"),
+        lp_text().alias("value"),
         "event_ts",
-        shard.cast("int").alias("src_partition"),
+        F.pmod("user_id", F.lit(4)).cast("int").alias("src_partition"),
         F.col("event_id").alias("src_offset"),
     )
 
 
 def header_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Header events (M4) from ``events``: ``headers MAP<STRING,STRING>, body BINARY``.
+    """Header events (M4) from ``events``: ``src_offset, headers MAP<STRING,STRING>, body BINARY, event_ts``.
+
+    Keys: name, tag_user, tag_shard, value_value, value_k, timestamp (ns) and
+    type_value; the body carries the LP record. ``error`` events are the broken
+    ones: they have no ``name`` header and an empty body.
+    """
+    ev = events(spark, sf_dir)
+    is_err = F.col("event_type") == "error"
+    entries = F.array(
+        kv("name", F.when(~is_err, F.col("event_type"))),
+        kv("tag_user", F.concat(F.lit("u"), F.col("user_id").cast("string"))),
+        kv("tag_shard", F.concat(F.lit("s"), F.pmod("user_id", F.lit(4)).cast("string"))),
+        kv("value_value", F.col("value").cast("string")),
+        kv("value_k", F.col("k").cast("string")),
+        kv("timestamp", F.col("ts_ns").cast("string")),
+        kv("type_value", F.lit("double")),
+    )
+    headers = F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
+    body = F.when(is_err, F.lit("")).otherwise(lp_text())
+    return ev.select(
+        F.col("event_id").alias("src_offset"),
+        headers.alias("headers"),
+        F.encode(body, "UTF-8").alias("body"),
+        "event_ts",
+    )
+
+
+def json_event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Datagram payloads of the JSON event source: ``{"headers":{..},"body":""}`` plus the delimiter."""
+    h = header_events(spark, sf_dir)
+    js = F.to_json(F.struct(F.col("headers").alias("headers"), F.lit("").alias("body")))
+    return h.select("src_offset", F.concat(js, F.lit("\n")).alias("value"), "event_ts")
+
+
+def collectd_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """collectd JSON documents (one array with one object per event).
 
-    Keys: name, tag_user, tag_shard, value_value, value_k, timestamp (ns),
-    type_value; the body carries the LP record.
+    values = [value (gauge), k (derive)]; ``error`` events report an unknown
+    second data-source type, so that value is bad and the first one still good.
     """
     ev = events(spark, sf_dir)
-    lp = lines(spark, sf_dir).select("src_offset", F.col("value").alias("lp"))
-    headers = F.create_map(
-        F.lit("name"), F.col("event_type"),
-        F.lit("tag_user"), F.concat(F.lit("u"), F.col("user_id").cast("string")),
-        F.lit("tag_shard"), F.concat(F.lit("s"), F.pmod("user_id", F.lit(4)).cast("string")),
-        F.lit("value_value"), F.col("value").cast("string"),
-        F.lit("value_k"), F.col("k").cast("string"),
-        F.lit("timestamp"), F.col("ts_ns").cast("string"),
-        F.lit("type_value"), F.lit("double"),
+    second_type = F.when(F.col("event_type") == "error", F.lit("histogram")).otherwise(F.lit("derive"))
+    doc = F.struct(
+        F.array(F.col("value"), F.col("k").cast("double")).alias("values"),
+        F.array(F.lit("gauge"), second_type).alias("dstypes"),
+        F.array(F.lit("value"), F.lit("k")).alias("dsnames"),
+        (F.col("ts_us") / F.lit(1e6)).alias("time"),
+        F.lit(10.0).alias("interval"),
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("host"),
+        F.col("event_type").alias("plugin"),
+        F.concat(F.lit("s"), F.pmod("user_id", F.lit(4)).cast("string")).alias("plugin_instance"),
+        F.lit("evt").alias("type"),
+        F.lit("").alias("type_instance"),
     )
-    # same rows, same key: the join is on the scan key and plans as a
-    # co-partitioned sort-merge (or broadcast at small scale) by the optimizer
-    return ev.select(F.col("event_id").alias("src_offset"), headers.alias("headers"), "event_ts").join(
-        lp, "src_offset"
-    ).select("src_offset", "headers", F.encode("lp", "UTF-8").alias("body"), "event_ts")
+    return ev.select(F.col("event_id").alias("src_offset"), F.to_json(F.array(doc)).alias("value"), "event_ts")
