@@ -660,3 +660,183 @@ def q_points_json(spark, sf_dir):
     window = f"{RU.header_window_seconds(configs.HEADER_MINMAX)} seconds"
     a = EVT.aggregate_events(_event_points(spark, sf_dir, configs.HEADER_MINMAX), window=window)
     return EVT.points_to_json(a).select("fn", "metric_key", "window_end_ns", "json")
+
+
+# ----------------------------------------------------------------------------- P24-P26
+from ..operators import notify as NT  # noqa: E402
+from ..operators import snapshots as SN  # noqa: E402
+from ..operators import stats as ST  # noqa: E402
+
+
+@register("notify_valid", "WITH " + EV + " SELECT event_id AS src_offset, event_type = 'error' AS valid FROM ev")
+def q_notify_valid(spark, sf_dir):
+    return NT.valid_notification(fx.notifications(spark, sf_dir)).select("src_offset", "valid")
+
+
+@register(
+    "notify_text",
+    "WITH " + EV + """ SELECT event_id AS src_offset,
+  CASE WHEN event_type = 'error' THEN CAST(json_object('text', concat_ws(chr(10), 'error from u' || CAST(user_id AS VARCHAR),
+      CASE WHEN k >= 50 THEN 'https://mon.example/e/' || CAST(event_id AS VARCHAR) END,
+      CASE WHEN value > 100 THEN 'value=' || CAST(value AS VARCHAR) END)) AS VARCHAR) END AS text,
+  CASE WHEN event_type <> 'error' THEN 'not a JSON object with description' END AS error FROM ev""",
+)
+def q_notify_text(spark, sf_dir):
+    return NT.notification_text(fx.notifications(spark, sf_dir)).select("src_offset", "text", "error")
+
+
+@register(
+    "email_rows",
+    "WITH " + EV + """, m AS (SELECT * FROM ev WHERE event_type IN ('purchase', 'signup'))
+SELECT event_id AS src_offset, event_type || ' u' || CAST(user_id AS VARCHAR) AS subject, 'value=' || CAST(value AS VARCHAR) AS body,
+  'u' || CAST(user_id AS VARCHAR) || '@example.org' AS address, CAST(NULL AS VARCHAR) AS error FROM m WHERE event_type = 'purchase'
+UNION ALL SELECT event_id, event_type || ' u' || CAST(user_id AS VARCHAR), 'value=' || CAST(value AS VARCHAR),
+  's' || CAST(shard AS VARCHAR) || '@example.org', NULL FROM m WHERE event_type = 'purchase'
+UNION ALL SELECT event_id, event_type || ' u' || CAST(user_id AS VARCHAR), NULL, NULL,
+  '''body'', ''subject'' or ''to_addresses'' missing' FROM m WHERE event_type = 'signup'""",
+)
+def q_email_rows(spark, sf_dir):
+    return NT.email_messages(fx.emails(spark, sf_dir)).select("src_offset", "subject", "body", "address", "error")
+
+
+# ----------------------------------------------------------------------------- P27-P30 S7 S8
+NOW_S = 1_705_276_800  # fixed "now" (2024-01-15) for time-unit inference
+_W = 7 * 24 * 60 * 60
+
+
+def _unit_sql(t: str, now: str) -> str:
+    lo, hi = f"CAST({now} - {_W} AS BIGINT)", f"CAST({now} + {_W} AS BIGINT)"
+    return f"""CASE
+    WHEN {t} >= {lo} AND {t} < {hi} THEN {t} * 1000000000
+    WHEN {t} >= {lo} * 1000 AND {t} < {hi} * 1000 THEN {t} * 1000000
+    WHEN {t} >= {lo} * 1000000 AND {t} < {hi} * 1000000 THEN {t} * 1000
+    WHEN {t} >= {lo} * 1000000000 AND {t} < {hi} * 1000000000 THEN {t} END"""
+
+
+_RAW_TS = """CASE event_type WHEN 'view' THEN epoch_us(ts) // 1000000 WHEN 'click' THEN epoch_us(ts) // 1000
+  WHEN 'signup' THEN epoch_us(ts) WHEN 'purchase' THEN ts_ns ELSE (epoch_us(ts) // 1000) * 10 END"""
+
+
+@register(
+    "ts_units",
+    "WITH " + EV + ", r AS (SELECT event_id AS src_offset, event_type, " + _RAW_TS + " AS raw_ts FROM ev) "
+    "SELECT src_offset, event_type, raw_ts, " + _unit_sql("raw_ts", str(NOW_S)) + " AS ts_ns FROM r",
+)
+def q_ts_units(spark, sf_dir):
+    r = fx.raw_timestamps(spark, sf_dir)
+    return r.select("src_offset", "event_type", "raw_ts", SN.to_nanos("raw_ts", NOW_S).alias("ts_ns"))
+
+
+@register(
+    "dict_lines",
+    "WITH " + EV + ", d AS (SELECT *, epoch_us(ts) // 1000 AS t, " + _unit_sql("(epoch_us(ts) // 1000)", str(NOW_S)) + """ AS ns FROM ev)
+SELECT event_id AS src_offset,
+  CASE WHEN ns IS NOT NULL THEN event_type || ',shard=s' || CAST(shard AS VARCHAR) || ',user=u' || CAST(user_id AS VARCHAR)
+    || ' bad=' || CASE WHEN event_type = 'error' THEN 'true' ELSE 'false' END || ',k=' || CAST(k AS VARCHAR)
+    || 'i,note="' || event_type || '",value=' || CAST(value AS VARCHAR) || ' ' || CAST(ns AS VARCHAR) END AS line,
+  CASE WHEN ns IS NULL THEN 'cannot infer the time unit' END AS error FROM d""",
+)
+def q_dict_lines(spark, sf_dir):
+    d = SN.parse_measurement_dict(fx.measurement_dicts(spark, sf_dir))
+    return SN.measurements_to_lines(d, NOW_S).select("src_offset", "line", "error")
+
+
+@register(
+    "agent_points",
+    "WITH " + EV + """ SELECT event_id AS src_offset, 'SOURCE.src_' || event_type AS component,
+  'flume_SOURCE,component=SOURCE.src_' || event_type || ',endpoint=host' || CAST(shard AS VARCHAR) || ':5653,hostname=agent'
+  || CAST(shard AS VARCHAR) || ' EventReceivedCount=' || CAST(k AS VARCHAR) || 'i,OpenConnectionCount=' || CAST(user_id AS VARCHAR)
+  || 'i ' || CAST(ts_ns AS VARCHAR) AS line FROM ev
+UNION ALL SELECT event_id, 'CHANNEL.ch_s' || CAST(shard AS VARCHAR),
+  'flume_CHANNEL,component=CHANNEL.ch_s' || CAST(shard AS VARCHAR) || ',endpoint=host' || CAST(shard AS VARCHAR) || ':5653,hostname=agent'
+  || CAST(shard AS VARCHAR) || ' ChannelFillPercentage=' || CAST(value AS VARCHAR) || ' ' || CAST(ts_ns AS VARCHAR) FROM ev""",
+)
+def q_agent_points(spark, sf_dir):
+    a = SN.agent_points(fx.agent_snapshots(spark, sf_dir))
+    return SN.measurements_to_lines(a, F.col("sampled_ns") / F.lit(1e9)).select("src_offset", "component", "line")
+
+
+@register(
+    "spark_points",
+    "WITH " + EV + """, x AS (
+  SELECT event_id AS src_offset, 'spark_streaming_stats' AS measurement,
+    'spark_streaming_stats,id=app-' || CAST(shard AS VARCHAR) || ' avgInputRate=' || CAST(CAST(trunc(value) AS BIGINT) AS VARCHAR)
+    || 'i,batchDuration=30000i,numReceivers=' || CAST(shard AS VARCHAR) || 'i,numTotalCompletedBatches=' || CAST(k AS VARCHAR)
+    || 'i ' || CAST(ts_ns AS VARCHAR) AS line, CAST(NULL AS VARCHAR) AS error FROM ev WHERE event_type = 'signup'
+  UNION ALL
+  SELECT event_id, 'spark_streaming_batch', 'spark_streaming_batch,id=app-' || CAST(shard AS VARCHAR) || ',status=COMPLETED inputSize='
+    || CAST(k AS VARCHAR) || 'i,processingTime=' || CAST(user_id AS VARCHAR) || 'i ' || CAST((epoch_us(ts) // 1000) * 1000000 AS VARCHAR), NULL
+    FROM ev WHERE event_type = 'purchase'
+  UNION ALL
+  SELECT event_id, CASE WHEN event_type = 'click' THEN 'spark_all_executors' ELSE 'spark_active_executors' END,
+    CASE WHEN event_type = 'error' THEN NULL ELSE
+    CASE WHEN event_type = 'click' THEN 'spark_all_executors' ELSE 'spark_active_executors' END
+    || ',hostPort=host' || CAST(shard AS VARCHAR) || ':4040,id=app-' || CAST(shard AS VARCHAR) || ',isActive='
+    || CASE WHEN event_type = 'click' THEN 'False' ELSE 'True' END || ' memoryUsed=' || CAST(user_id * 1000 AS VARCHAR)
+    || 'i,rddBlocks=' || CAST(k AS VARCHAR) || 'i,totalCores=' || CAST(shard + 1 AS VARCHAR) || 'i,totalOnHeapStorageMemory=1000i,usedOnHeapStorageMemory='
+    || CAST(k * 10 AS VARCHAR) || 'i ' || CAST(ts_ns AS VARCHAR) END,
+    CASE WHEN event_type = 'error' THEN 'value is not an integer' END
+    FROM ev WHERE event_type IN ('view', 'error', 'click'))
+SELECT * FROM x""",
+)
+def q_spark_points(spark, sf_dir):
+    parts = []
+    for kind in ("stats", "batches", "executors", "allexecutors"):
+        p = SN.spark_points(fx.spark_snapshots(spark, sf_dir, kind), kind)
+        lines = SN.measurements_to_lines(p.withColumnRenamed("error", "_perr"), F.col("sampled_ns") / F.lit(1e9))
+        parts.append(
+            lines.select(
+                "src_offset", "measurement", "line", F.coalesce(F.col("_perr"), F.col("error")).alias("error")
+            )
+        )
+    return A.union_all(*parts)
+
+
+# ----------------------------------------------------------------------------- A7 A8
+@register(
+    "latency_summary",
+    "WITH " + EV + """, l AS (SELECT k AS latency, octet_length(encode(""" + LINE + """)) AS bytes, ts FROM ev),
+s AS (SELECT list_sort(list(latency)) AS arr, count(*) AS n, sum(latency) AS lat_sum, max(latency) AS max_latency,
+        sum(bytes) AS bytes, epoch_ms(max(ts)) - epoch_ms(min(ts)) AS el FROM l)
+SELECT n AS count, round(1000.0 * n / el, 4) AS records_per_s, round(1000.0 * bytes / el / (1024.0 * 1024.0), 4) AS mb_per_s,
+  round(lat_sum / n, 4) AS avg_latency, max_latency,
+  arr[CAST(floor(0.5 * n) AS BIGINT) + 1] AS p50, arr[CAST(floor(0.95 * n) AS BIGINT) + 1] AS p95,
+  arr[CAST(floor(0.99 * n) AS BIGINT) + 1] AS p99, arr[CAST(floor(0.999 * n) AS BIGINT) + 1] AS p999 FROM s""",
+)
+def q_latency_summary(spark, sf_dir):
+    s = ST.latency_summary(fx.delivery_log(spark, sf_dir))
+    return s.select(
+        "count", F.round("records_per_s", 4).alias("records_per_s"), F.round("mb_per_s", 4).alias("mb_per_s"),
+        F.round("avg_latency", 4).alias("avg_latency"), "max_latency", "p50", "p95", "p99", "p999",
+    )
+
+
+@register(
+    "latency_windows",
+    "WITH " + EV + """, l AS (SELECT k AS latency, octet_length(encode(""" + LINE + f""")) AS bytes, ts_ns FROM ev)
+SELECT (ts_ns // {_HOUR} + 1) * {_HOUR} AS window_end_ns, count(*) AS count, round(count(*) / 3600.0, 4) AS records_per_s,
+  round(sum(bytes) / 3600.0 / (1024.0 * 1024.0), 6) AS mb_per_s, round(avg(latency), 4) AS avg_latency, max(latency) AS max_latency
+FROM l GROUP BY 1""",
+)
+def q_latency_windows(spark, sf_dir):
+    w = ST.latency_windows(fx.delivery_log(spark, sf_dir), "1 hour")
+    return w.select(
+        "window_end_ns", "count", F.round("records_per_s", 4).alias("records_per_s"), F.round("mb_per_s", 6).alias("mb_per_s"),
+        F.round("avg_latency", 4).alias("avg_latency"), "max_latency",
+    )
+
+
+@register(
+    "stage_counts",
+    _points_sql(configs.HEADER_AGGREGATOR)
+    + _AGG_EVENTS_TAIL
+    + """ SELECT 'received' AS stage, count(*) AS n FROM he
+UNION ALL SELECT 'imported', count(*) FROM q WHERE error IS NULL
+UNION ALL SELECT 'to_send', count(*) FROM g""",
+)
+def q_stage_counts(spark, sf_dir):
+    window = f"{RU.header_window_seconds(configs.HEADER_AGGREGATOR)} seconds"
+    he = _header_events(spark, sf_dir)
+    pts = _event_points(spark, sf_dir, configs.HEADER_AGGREGATOR)
+    agg = EVT.aggregate_events(pts, window=window)
+    return ST.count_stages(received=he, imported=pts.filter(F.col("error").isNull()), to_send=agg)

@@ -132,3 +132,148 @@ def collectd_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("").alias("type_instance"),
     )
     return ev.select(F.col("event_id").alias("src_offset"), F.to_json(F.array(doc)).alias("value"), "event_ts")
+
+
+def _u() -> Column:
+    return F.concat(F.lit("u"), F.col("user_id").cast("string"))
+
+
+def _s() -> Column:
+    return F.concat(F.lit("s"), F.pmod("user_id", F.lit(4)).cast("string"))
+
+
+def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notification JSON per event: ``error`` events carry a description (client_url
+    when k >= 50, details when value > 100); the others lack it and are invalid."""
+    ev = events(spark, sf_dir)
+    is_err = F.col("event_type") == "error"
+    desc = F.struct(
+        F.concat(F.lit("error from "), _u()).alias("description"),
+        F.when(F.col("k") >= 50, F.concat(F.lit("https://mon.example/e/"), F.col("event_id").cast("string"))).alias("client_url"),
+        F.when(F.col("value") > 100, F.concat(F.lit("value="), F.col("value").cast("string"))).alias("details"),
+    )
+    other = F.struct(F.col("event_type").alias("summary"), _u().alias("user"))
+    js = F.when(is_err, F.to_json(desc)).otherwise(F.to_json(other))
+    return ev.select(F.col("event_id").alias("src_offset"), js.alias("value"), "event_ts")
+
+
+def emails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E-mail JSON per purchase/signup event; signup messages lack ``body``."""
+    ev = events(spark, sf_dir).filter(F.col("event_type").isin("purchase", "signup"))
+    to = F.concat(_u(), F.lit("@example.org,"), _s(), F.lit("@example.org"))
+    body = F.when(F.col("event_type") == "purchase", F.concat(F.lit("value="), F.col("value").cast("string")))
+    js = F.to_json(F.struct(F.concat(F.col("event_type"), F.lit(" "), _u()).alias("subject"), body.alias("body"), to.alias("to_addresses")))
+    return ev.select(F.col("event_id").alias("src_offset"), js.alias("value"), "event_ts")
+
+
+def measurement_dicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monitoring dict JSON per event; ``time`` in epoch milliseconds."""
+    ev = events(spark, sf_dir)
+    d = F.struct(
+        F.col("event_type").alias("measurement"),
+        F.struct(_u().alias("user"), _s().alias("shard")).alias("tags"),
+        F.struct(
+            F.col("value").alias("value"),
+            F.col("k").alias("k"),
+            (F.col("event_type") == "error").alias("bad"),
+            F.col("event_type").alias("note"),
+        ).alias("fields"),
+        F.expr("ts_us div 1000").alias("time"),
+    )
+    return ev.select(F.col("event_id").alias("src_offset"), F.to_json(d).alias("value"), "event_ts")
+
+
+def raw_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event times written in different units: view s, click ms, signup µs, purchase ns, error ms x 10 (unknown)."""
+    ev = events(spark, sf_dir)
+    t = (
+        F.when(F.col("event_type") == "view", F.expr("ts_us div 1000000"))
+        .when(F.col("event_type") == "click", F.expr("ts_us div 1000"))
+        .when(F.col("event_type") == "signup", F.col("ts_us"))
+        .when(F.col("event_type") == "purchase", F.col("ts_ns"))
+        .otherwise(F.expr("(ts_us div 1000) * 10"))
+    )
+    return ev.select(F.col("event_id").alias("src_offset"), "event_type", t.alias("raw_ts"), "event_ts")
+
+
+def agent_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Agent metric snapshots: ``value`` JSON ``{component: {Type, metric: "number"}}``, ``name``, ``endpoint``, ``sampled_ns``."""
+    ev = events(spark, sf_dir)
+    src = F.struct(
+        F.lit("SOURCE").alias("Type"),
+        F.col("k").cast("string").alias("EventReceivedCount"),
+        F.col("user_id").cast("string").alias("OpenConnectionCount"),
+        F.lit("n/a").alias("StartTime"),
+        F.lit(None).cast("string").alias("ChannelFillPercentage"),
+    )
+    m = F.create_map(
+        F.concat(F.lit("SOURCE.src_"), F.col("event_type")), src,
+        F.concat(F.lit("CHANNEL.ch_"), _s()), F.struct(F.lit("CHANNEL").alias("Type"), F.lit(None).cast("string").alias("EventReceivedCount"),
+                                                       F.lit(None).cast("string").alias("OpenConnectionCount"), F.lit(None).cast("string").alias("StartTime"),
+                                                       F.col("value").cast("string").alias("ChannelFillPercentage")),
+    )
+    js = F.to_json(F.transform_values(m, lambda k, v: F.map_filter(
+        F.from_json(F.to_json(v), "MAP<STRING,STRING>"), lambda kk, vv: vv.isNotNull())))
+    return ev.select(
+        F.col("event_id").alias("src_offset"),
+        js.alias("value"),
+        F.concat(F.lit("agent"), F.pmod("user_id", F.lit(4)).cast("string")).alias("name"),
+        F.concat(F.lit("host"), F.pmod("user_id", F.lit(4)).cast("string"), F.lit(":5653")).alias("endpoint"),
+        F.col("ts_ns").alias("sampled_ns"),
+        "event_ts",
+    )
+
+
+def spark_snapshots(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """Spark status JSON objects of one kind (``stats``, ``batches``, ``executors``,
+    ``allexecutors``) from the events of one type each (view, click, purchase, signup);
+    in ``executors`` the ``error`` events report a non-integer ``rddBlocks``."""
+    ev = events(spark, sf_dir)
+    app = F.concat(F.lit("app-"), F.pmod("user_id", F.lit(4)).cast("string"))
+    if kind == "stats":
+        src = ev.filter(F.col("event_type") == "signup")
+        obj = F.struct(
+            F.lit("2024-01-01T00:00:00.000GMT").alias("startTime"),
+            F.lit(30000).alias("batchDuration"),
+            F.pmod("user_id", F.lit(4)).alias("numReceivers"),
+            F.col("k").alias("numTotalCompletedBatches"),
+            F.col("value").alias("avgInputRate"),
+        )
+    elif kind == "batches":
+        src = ev.filter(F.col("event_type") == "purchase")
+        obj = F.struct(
+            F.expr("ts_us div 1000").alias("batchId"),
+            F.lit("2024-01-01T00:00:00.000GMT").alias("batchTime"),
+            F.lit("COMPLETED").alias("status"),
+            F.col("k").alias("inputSize"),
+            F.col("user_id").alias("processingTime"),
+        )
+    else:
+        types = ("view", "error") if kind == "executors" else ("click",)
+        src = ev.filter(F.col("event_type").isin(*types))
+        rdd = F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(F.col("k").cast("string"))
+        obj = F.struct(
+            F.col("user_id").cast("string").alias("id"),
+            F.concat(F.lit("host"), F.pmod("user_id", F.lit(4)).cast("string"), F.lit(":4040")).alias("hostPort"),
+            (F.col("event_type") != "click").alias("isActive"),
+            rdd.alias("rddBlocks"),
+            (F.col("user_id") * 1000).alias("memoryUsed"),
+            (F.pmod("user_id", F.lit(4)) + 1).alias("totalCores"),
+            F.struct(F.concat(F.lit("http://host/logs/"), F.col("user_id").cast("string")).alias("stdout")).alias("executorLogs"),
+            F.struct((F.col("k") * 10).alias("usedOnHeapStorageMemory"), F.lit(1000).alias("totalOnHeapStorageMemory")).alias("memoryMetrics"),
+        )
+    return src.select(
+        F.col("event_id").alias("src_offset"), F.to_json(obj).alias("value"), app.alias("app_id"),
+        F.col("ts_ns").alias("sampled_ns"), "event_ts",
+    )
+
+
+def delivery_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivery log of the LP records: send time, latency (ms, from ``k``) and bytes."""
+    ev = events(spark, sf_dir)
+    return ev.select(
+        F.col("event_id").alias("src_offset"),
+        "event_ts",
+        F.col("k").alias("latency_ms"),
+        F.octet_length(lp_text()).alias("bytes"),
+    )
