@@ -840,3 +840,34 @@ def q_stage_counts(spark, sf_dir):
     pts = _event_points(spark, sf_dir, configs.HEADER_AGGREGATOR)
     agg = EVT.aggregate_events(pts, window=window)
     return ST.count_stages(received=he, imported=pts.filter(F.col("error").isNull()), to_send=agg)
+
+
+# ----------------------------------------------------------------------------- T1-T4 (Structured Streaming)
+from ..streaming import jobs as SJ  # noqa: E402
+from ..streaming.detector import detect_changes  # noqa: E402
+
+_GRACE_NS = 10_000_000_000
+
+
+@register(
+    "agg_stream_closed",
+    _agg_sql(_ALL_FNS).replace(
+        "SELECT fn, series, window_end_ns, round(value, 4) AS value FROM g",
+        f"SELECT fn, series, window_end_ns, round(value, 4) AS value FROM g "
+        f"WHERE window_end_ns <= (SELECT (max(epoch_us(ts)) // 1000) * 1000000 FROM events) - {_GRACE_NS}",
+    ),
+)
+def q_agg_stream_closed(spark, sf_dir):
+    """The aggregator as a stream over the events file: closed windows only."""
+    window = f"{RU.agg_window_seconds(configs.AGGREGATOR)} seconds"
+    s = fx.lines_from(fx.events_stream(spark, sf_dir))
+    out = SJ.run_to_table(SJ.stream_aggregate(s, RU.agg_rules(configs.AGGREGATOR), window=window), "agg_stream")
+    return _round_value(out)
+
+
+@register("changes_stream", ORACLE["changes"])
+def q_changes_stream(spark, sf_dir):
+    """T4: the keyed change detector as a stream; same answer as the batch form."""
+    fields = L.explode_fields(fx.lines_from(fx.events_stream(spark, sf_dir)))
+    out = SJ.run_to_table(detect_changes(fields), "changes_stream")
+    return out.select("series", "src_offset", "value", "line")

@@ -24,14 +24,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ntz_micros(col: str | Column) -> Column:
-    """Epoch microseconds of a TIMESTAMP_NTZ column, independent of the session time zone."""
+    """Epoch microseconds of a TIMESTAMP_NTZ column read as UTC wall time,
+    independent of the session time zone (no cast through the session zone)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+    utc = F.make_timestamp(
+        F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c), F.date_part(F.lit("SECOND"), c), F.lit("UTC")
+    )
+    return F.unix_micros(utc)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` with derived epoch columns and the integer ``k`` from ``props``."""
-    ev = table(spark, sf_dir, "events")
+    return events_from(table(spark, sf_dir, "events"))
+
+
+def events_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
+    """The ``events`` table as a file stream (same derived columns as ``events``)."""
+    schema = table(spark, sf_dir, "events").schema
+    r = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return events_from(r.parquet(sf_dir))
+
+
+def events_from(ev: DataFrame) -> DataFrame:
     us = ntz_micros("ts")
     return ev.select(
         "event_id",
@@ -67,7 +83,10 @@ def lp_text() -> Column:
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """LP records: ``value STRING, event_ts TIMESTAMP, src_partition INT, src_offset BIGINT``."""
-    ev = events(spark, sf_dir)
+    return lines_from(events(spark, sf_dir))
+
+
+def lines_from(ev: DataFrame) -> DataFrame:
     return ev.select(
         lp_text().alias("value"),
         "event_ts",
