@@ -217,7 +217,7 @@ def with_field(point, key: str, value) -> Column:
 
 def with_time(point, t, unit: str = "ns") -> Column:
     p = _c(point)
-    return p.withField("ts_ns", (_c(t) * F.lit(UNIT_NS[unit])).cast("bigint"))
+    return p.withField("ts_ns", _c(t).cast("bigint") * F.lit(UNIT_NS[unit]).cast("bigint"))
 
 
 def split_fields(point) -> Column:

@@ -11,8 +11,11 @@ from pyspark.sql import SparkSession
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def get_session(master: str | None = None, partitions: int = 8, app: str = "pulsegrid") -> SparkSession:
-    """Build (or reuse) a session. On a cluster the master and most sizes come from spark-submit."""
+def get_session(master: str | None = None, partitions: int = 8, app: str = "pulsegrid",
+                checkpoint_dir: str | None = None) -> SparkSession:
+    """Build (or reuse) a session. On a cluster the master, sizes and
+    ``spark.checkpoint.dir`` come from spark-submit; locally (tests, bench) we
+    name a checkpoint folder ourselves when none is given."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
@@ -26,27 +29,26 @@ def get_session(master: str | None = None, partitions: int = 8, app: str = "puls
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
         .config("spark.ui.enabled", "false")
     )
+    if checkpoint_dir or (master or "").startswith("local"):
+        b = b.config("spark.checkpoint.dir", checkpoint_dir or tempfile.mkdtemp(prefix="pulsegrid-ckpt-"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only when the setting is absent (local tests) do we choose a folder ourselves.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    """The shared folder the cluster names in ``spark.checkpoint.dir`` (read from the
+    session). Only when nothing is configured (a local run) do we pick a folder."""
+    sc = spark.sparkContext
+    root = sc.getConf().get("spark.checkpoint.dir", None)
+    if not root:
+        cur = sc._jsc.sc().getCheckpointDir()
+        if cur.isDefined():
+            root = cur.get()
     if not root:
         root = tempfile.mkdtemp(prefix="pulsegrid-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    try:
-        if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-            spark.sparkContext.setCheckpointDir(root)
-    except Exception:  # pragma: no cover - connect sessions have no SparkContext
-        pass
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(root)
     return root
 
 

@@ -107,6 +107,18 @@ class FileRecorder:
         self.fh.close()
 
 
+class RecorderFactory:
+    """Picklable factory of ``FileRecorder`` senders (one per partition)."""
+
+    def __init__(self, folder: str, status: int = 200):
+        self.folder, self.status = folder, status
+
+    def __call__(self) -> FileRecorder:
+        r = FileRecorder(self.folder)
+        r.status = self.status
+        return r
+
+
 def read_recorded(folder: str) -> list[dict]:
     out = []
     for name in sorted(os.listdir(folder)):

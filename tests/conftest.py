@@ -13,9 +13,7 @@ SF = "/root/testdata/sf0.001"
 def spark():
     from pulsegrid.session import get_session
 
-    s = get_session("local[4]", partitions=8, app="pulsegrid-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="pg-test-ckpt-"))
+    s = get_session("local[4]", partitions=8, app="pulsegrid-tests", checkpoint_dir=tempfile.mkdtemp(prefix="pg-test-ckpt-"))
     yield s
 
 
