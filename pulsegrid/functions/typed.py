@@ -27,6 +27,7 @@ VALUE_TYPE = T.StructType(
     ]
 )
 FIELDS_TYPE = T.MapType(T.StringType(), VALUE_TYPE)
+VALUE_DDL = "struct<kind:string,l:bigint,d:double,b:boolean,s:string>"
 
 # Time units accepted by ``with_time`` / ``format_line`` and their size in ns.
 UNIT_NS = {"ns": 1, "us": 1_000, "ms": 1_000_000, "s": 1_000_000_000}
@@ -35,19 +36,20 @@ _SPARK_ONLY_WORDS = r"(?i)^[+-]?(inf|infinity|nan)$"
 _JAVA_WORDS = r"^[+-]?(Infinity|NaN)$"
 
 
-def _last_wins(entries: Column) -> Column:
-    """Keep the last entry of every key (Java ``Map.put`` semantics) before building a map."""
-    return F.filter(
+def last_wins_map(entries: Column, value_type: str) -> Column:
+    """ARRAY<STRUCT<k, v>> -> MAP keeping the last entry of every key (Java ``Map.put``).
+
+    Folded with ``aggregate`` so the entries are evaluated once per row (a
+    lambda that refers back to the whole array would recompute it per element).
+    """
+    zero = F.create_map().cast(f"map<string,{value_type}>")
+    return F.aggregate(
         entries,
-        lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda o: o["k"] == e["k"]),
+        zero,
+        lambda acc, e: F.map_concat(F.map_filter(acc, lambda k, _: k != e["k"]), F.create_map(e["k"], e["v"])),
     )
 
 
-def _map(entries: Column) -> Column:
-    kv = _last_wins(entries)
-    return F.map_from_entries(F.transform(kv, lambda e: F.struct(e["k"].alias("key"), e["v"].alias("value"))))
-
-
 def typed_value(text) -> Column:
     """Field text -> typed value: ``<long>i`` -> long, Java double grammar -> double,
     ``true``/``false`` (any case) -> boolean, otherwise string with ``"`` removed."""
@@ -98,8 +100,8 @@ def parse_line(value) -> Column:
     )
     point = F.struct(
         F.element_at(head, 1).alias("measurement"),
-        _map(tag_entries).alias("tags"),
-        _map(field_entries).alias("fields"),
+        last_wins_map(tag_entries, "string").alias("tags"),
+        last_wins_map(field_entries, VALUE_DDL).alias("fields"),
         ts.alias("ts_ns"),
     )
     return F.when(n >= 2, point)

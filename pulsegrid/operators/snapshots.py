@@ -189,37 +189,39 @@ def spark_points(df: DataFrame, kind: str, value_col: str = "value", app_col: st
     become tags, nested objects are flattened one level, other values ``int()``.
     A value that is not an integer makes the row an error (``error`` column)."""
     meas, excluded, tag_keys = SPARK_KINDS[kind]
-    obj = F.try_variant_get(F.try_parse_json(F.col(value_col)), "$", "map<string,variant>")
+    # the parsed object is its own column, so lambdas below refer to an attribute
+    d = df.withColumn("_obj", F.try_variant_get(F.try_parse_json(F.col(value_col)), "$", "map<string,variant>"))
+    obj = F.col("_obj")
     ex = F.array(*[F.lit(k) for k in excluded]) if excluded else F.array().cast("array<string>")
     tk = F.array(*[F.lit(k) for k in tag_keys]) if tag_keys else F.array().cast("array<string>")
     kept = F.filter(F.map_entries(obj), lambda e: ~F.array_contains(ex, e["key"]))
     is_obj = lambda e: F.schema_of_variant(e["value"]).startswith("OBJECT")
     tag_e = F.filter(kept, lambda e: F.array_contains(tk, e["key"]))
-    plain = F.filter(kept, lambda e: ~F.array_contains(tk, e["key"]) & ~is_obj(e))
-    nested = F.flatten(
-        F.transform(
-            F.filter(kept, lambda e: ~F.array_contains(tk, e["key"]) & is_obj(e)),
-            lambda e: F.map_entries(F.try_variant_get(e["value"], "$", "map<string,variant>")),
+    if kind in ("executors", "allexecutors"):
+        plain = F.filter(kept, lambda e: ~F.array_contains(tk, e["key"]) & ~is_obj(e))
+        nested = F.flatten(
+            F.transform(
+                F.filter(kept, lambda e: ~F.array_contains(tk, e["key"]) & is_obj(e)),
+                lambda e: F.map_entries(F.try_variant_get(e["value"], "$", "map<string,variant>")),
+            )
         )
-    )
-    if kind not in ("executors", "allexecutors"):
-        nested = F.array().cast("array<struct<key:string,value:variant>>")
-        plain = F.filter(kept, lambda e: ~F.array_contains(tk, e["key"]))
-    field_e = TY._last_wins(F.transform(F.concat(plain, nested), lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v"))))
-    ints = F.transform(field_e, lambda e: F.struct(e["k"].alias("k"), py_int(e["v"]).alias("v")))
-    bad = F.exists(ints, lambda e: e["v"].isNull())
-    fields = F.map_from_entries(F.transform(ints, lambda e: kv(e["k"], _long_value(e["v"]))))
-    tag_list = [kv("id", F.col(app_col))]
+        field_src = F.concat(plain, nested)
+    else:
+        field_src = F.filter(kept, lambda e: ~F.array_contains(tk, e["key"]))
+    ints = F.transform(field_src, lambda e: F.struct(e["key"].alias("k"), py_int(e["value"]).alias("v")))
+    d = d.withColumn("_ints", TY.last_wins_map(ints, "bigint"))
+    bad = F.exists(F.map_values("_ints"), lambda v: v.isNull())
+    fields = F.transform_values("_ints", lambda k, v: _long_value(v))
+    tag_list = [F.struct(F.lit("id").alias("k"), F.col(app_col).alias("v"))]
     if kind in ("executors", "allexecutors"):
-        tag_list.append(kv("hostPort", F.try_variant_get(F.try_parse_json(F.col(value_col)), "$.hostPort", "string")))
-    base_tags = F.array(*tag_list)
-    more = F.transform(tag_e, lambda e: kv(e["key"], py_str(e["value"])))
-    tags = F.map_from_entries(_dedupe_kv(F.concat(base_tags, more)))
+        tag_list.append(F.struct(F.lit("hostPort").alias("k"), F.try_variant_get(obj["hostPort"], "$", "string").alias("v")))
+    more = F.transform(tag_e, lambda e: F.struct(e["key"].alias("k"), py_str(e["value"]).alias("v")))
+    tags = TY.last_wins_map(F.concat(F.array(*tag_list), more), "string")
     if kind == "batches":
-        time = (F.try_variant_get(obj["batchId"], "$", "bigint") * F.lit(1_000_000))
+        time = F.try_variant_get(obj["batchId"], "$", "bigint") * F.lit(1_000_000)
     else:
         time = F.col(time_col)
-    return df.withColumns(
+    return d.withColumns(
         {
             "measurement": F.lit(meas),
             "tags": tags,
@@ -227,9 +229,4 @@ def spark_points(df: DataFrame, kind: str, value_col: str = "value", app_col: st
             "time": time,
             "error": F.when(obj.isNull(), F.lit("not a JSON object")).when(bad, F.lit("value is not an integer")),
         }
-    )
-
-
-def _dedupe_kv(entries: Column) -> Column:
-    """Last entry per key of an ARRAY<STRUCT<key, value>>."""
-    return F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda o: o["key"] == e["key"]))
+    ).drop("_obj", "_ints")

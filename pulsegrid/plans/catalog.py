@@ -116,7 +116,7 @@ g AS (
   replace(series, '#', ' ') || '_' || fn || '=' || CAST(value AS VARCHAR) || ' ' || CAST(window_end_ns AS VARCHAR) AS line
 FROM g WHERE fn IN ('min', 'max')"""
         )
-    return base + "SELECT fn, series, window_end_ns, round(value, 4) AS value FROM g"
+    return base + "SELECT fn, series, window_end_ns, " + R4("value") + " AS value FROM g"
 
 
 # ----------------------------------------------------------------------------- helpers
@@ -131,8 +131,19 @@ def _agg(spark, sf_dir, fns) -> DataFrame:
     return A.aggregate(_fields(spark, sf_dir), rules, window=window)
 
 
+def round4(c) -> "F.Column":
+    """4-decimal rounding that is stable under last-bit summation noise: round to 9
+    decimals first, then HALF_UP to 4 in DECIMAL (same recipe as ``R4`` in SQL)."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.round(F.round(c, 9).cast("decimal(38,9)"), 4).cast("double")
+
+
+def R4(x: str) -> str:
+    return f"CAST(round(CAST(round({x}, 9) AS DECIMAL(38,9)), 4) AS DOUBLE)"
+
+
 def _round_value(df: DataFrame) -> DataFrame:
-    return df.select("fn", "series", "window_end_ns", F.round("value", 4).alias("value"))
+    return df.select("fn", "series", "window_end_ns", round4("value").alias("value"))
 
 
 # ----------------------------------------------------------------------------- S1 P1 P2
@@ -638,12 +649,12 @@ g AS (SELECT fn, metric_key, (ts_ns // {_HOUR} + 1) * {_HOUR} AS window_end_ns,
 
 @register(
     "agg_events",
-    _points_sql(configs.HEADER_AGGREGATOR) + _AGG_EVENTS_TAIL + " SELECT fn, metric_key, window_end_ns, round(value, 4) AS value FROM g",
+    _points_sql(configs.HEADER_AGGREGATOR) + _AGG_EVENTS_TAIL + " SELECT fn, metric_key, window_end_ns, " + R4("value") + " AS value FROM g",
 )
 def q_agg_events(spark, sf_dir):
     window = f"{RU.header_window_seconds(configs.HEADER_AGGREGATOR)} seconds"
     a = EVT.aggregate_events(_event_points(spark, sf_dir, configs.HEADER_AGGREGATOR), window=window)
-    return a.select("fn", "metric_key", "window_end_ns", F.round("value", 4).alias("value"))
+    return a.select("fn", "metric_key", "window_end_ns", round4("value").alias("value"))
 
 
 @register(
@@ -798,31 +809,31 @@ def q_spark_points(spark, sf_dir):
     "WITH " + EV + """, l AS (SELECT k AS latency, octet_length(encode(""" + LINE + """)) AS bytes, ts FROM ev),
 s AS (SELECT list_sort(list(latency)) AS arr, count(*) AS n, sum(latency) AS lat_sum, max(latency) AS max_latency,
         sum(bytes) AS bytes, epoch_ms(max(ts)) - epoch_ms(min(ts)) AS el FROM l)
-SELECT n AS count, round(1000.0 * n / el, 4) AS records_per_s, round(1000.0 * bytes / el / (1024.0 * 1024.0), 4) AS mb_per_s,
-  round(lat_sum / n, 4) AS avg_latency, max_latency,
+SELECT n AS count, """ + R4("1000.0 * n / el") + """ AS records_per_s, """ + R4("1000.0 * bytes / el / (1024.0 * 1024.0)") + """ AS mb_per_s,
+  """ + R4("lat_sum / n") + """ AS avg_latency, max_latency,
   arr[CAST(floor(0.5 * n) AS BIGINT) + 1] AS p50, arr[CAST(floor(0.95 * n) AS BIGINT) + 1] AS p95,
   arr[CAST(floor(0.99 * n) AS BIGINT) + 1] AS p99, arr[CAST(floor(0.999 * n) AS BIGINT) + 1] AS p999 FROM s""",
 )
 def q_latency_summary(spark, sf_dir):
     s = ST.latency_summary(fx.delivery_log(spark, sf_dir))
     return s.select(
-        "count", F.round("records_per_s", 4).alias("records_per_s"), F.round("mb_per_s", 4).alias("mb_per_s"),
-        F.round("avg_latency", 4).alias("avg_latency"), "max_latency", "p50", "p95", "p99", "p999",
+        "count", round4("records_per_s").alias("records_per_s"), round4("mb_per_s").alias("mb_per_s"),
+        round4("avg_latency").alias("avg_latency"), "max_latency", "p50", "p95", "p99", "p999",
     )
 
 
 @register(
     "latency_windows",
     "WITH " + EV + """, l AS (SELECT k AS latency, octet_length(encode(""" + LINE + f""")) AS bytes, ts_ns FROM ev)
-SELECT (ts_ns // {_HOUR} + 1) * {_HOUR} AS window_end_ns, count(*) AS count, round(count(*) / 3600.0, 4) AS records_per_s,
-  round(sum(bytes) / 3600.0 / (1024.0 * 1024.0), 6) AS mb_per_s, round(avg(latency), 4) AS avg_latency, max(latency) AS max_latency
+SELECT (ts_ns // {_HOUR} + 1) * {_HOUR} AS window_end_ns, count(*) AS count, {R4("count(*) / 3600.0")} AS records_per_s,
+  {R4("sum(bytes) / 3600.0 / 1024.0")} AS kb_per_s, {R4("avg(latency)")} AS avg_latency, max(latency) AS max_latency
 FROM l GROUP BY 1""",
 )
 def q_latency_windows(spark, sf_dir):
     w = ST.latency_windows(fx.delivery_log(spark, sf_dir), "1 hour")
     return w.select(
-        "window_end_ns", "count", F.round("records_per_s", 4).alias("records_per_s"), F.round("mb_per_s", 6).alias("mb_per_s"),
-        F.round("avg_latency", 4).alias("avg_latency"), "max_latency",
+        "window_end_ns", "count", round4("records_per_s").alias("records_per_s"), round4(F.col("mb_per_s") * 1024).alias("kb_per_s"),
+        round4("avg_latency").alias("avg_latency"), "max_latency",
     )
 
 
@@ -852,8 +863,8 @@ _GRACE_NS = 10_000_000_000
 @register(
     "agg_stream_closed",
     _agg_sql(_ALL_FNS).replace(
-        "SELECT fn, series, window_end_ns, round(value, 4) AS value FROM g",
-        f"SELECT fn, series, window_end_ns, round(value, 4) AS value FROM g "
+        "SELECT fn, series, window_end_ns, " + R4("value") + " AS value FROM g",
+        "SELECT fn, series, window_end_ns, " + R4("value") + " AS value FROM g "
         f"WHERE window_end_ns <= (SELECT (max(epoch_us(ts)) // 1000) * 1000000 FROM events) - {_GRACE_NS}",
     ),
 )

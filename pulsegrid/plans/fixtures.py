@@ -20,7 +20,17 @@ from ..functions.lines import kv
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """At least one input partition per core: a small table stored as one row group
+    would otherwise run every map-side step in a single task. Large inputs already
+    have more splits than cores and are left alone (no extra shuffle)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def ntz_micros(col: str | Column) -> Column:
