@@ -114,17 +114,114 @@ class ChangeProcessor(StatefulProcessor):
         pass
 
 
-def detect_changes(fields: DataFrame, refresh_s: int | None = None, ttl_s: int | None = None) -> DataFrame:
+class ChangeRowProcessor(StatefulProcessor):
+    """Row-based form of ``ChangeProcessor`` (``transformWithState``): no pandas frame per
+    series, which matters when a micro-batch touches many small series."""
+
+    def __init__(self, refresh_ms: int | None = None, ttl_ms: int | None = None):
+        self.refresh_ms = refresh_ms
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", STATE_SCHEMA, self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues):
+        from pyspark.sql import Row
+
+        batch = sorted(rows, key=lambda r: (r["src_partition"], r["src_offset"]))
+        stored = self.last.get()
+        prev = stored[3] if stored is not None else None
+        for r in batch:
+            v = r["value"]
+            if prev is None or v != prev:
+                head = _head(r["measurement"], r["tags"])
+                ts = r["ts_ns"]
+                yield Row(
+                    kind="change", key=f"{r['measurement']}#{r['field']}", series=r["series"], measurement=r["measurement"],
+                    tags=r["tags"], field=r["field"], value=v, ts_ns=ts, src_partition=r["src_partition"],
+                    src_offset=r["src_offset"], line=f"{head} {r['field']}={v}" + ("" if ts is None else f" {ts}"),
+                )
+            prev = v
+        tail = batch[-1]
+        self.last.update((tail["measurement"], tail["tags"], tail["field"], tail["value"]))
+        if self.refresh_ms and stored is None:
+            now = timerValues.getCurrentProcessingTimeInMs()
+            self.handle.registerTimer((now // self.refresh_ms) * self.refresh_ms + self.refresh_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        from pyspark.sql import Row
+
+        t = expiredTimerInfo.getExpiryTimeInMs()
+        if self.refresh_ms:
+            self.handle.registerTimer(t + self.refresh_ms)
+        stored = self.last.get()
+        if stored is None:
+            return
+        m, tags, f, v = stored
+        series = key[0]
+        yield Row(kind="refresh", key=series, series=series, measurement=m, tags=tags, field=f, value=v,
+                  ts_ns=t * 1_000_000, src_partition=None, src_offset=None, line=f"{_head(m, tags)} {f}={v} {t}000000")
+
+    def close(self) -> None:
+        pass
+
+
+def _changes_in_group(key, pdfs, state):
+    """``applyInPandasWithState`` body: the stored value travels with the group, so a
+    series costs no state-server round trip (used when no refresh timer is needed)."""
+    pdf = pd.concat(list(pdfs), ignore_index=True)
+    pdf = pdf.sort_values(["src_partition", "src_offset"], kind="stable").reset_index(drop=True)
+    stored = state.get if state.exists else None
+    prev = pdf["value"].shift(1)
+    prev.iloc[0] = stored[3] if stored is not None else None
+    out = pdf[prev.isna() | (pdf["value"] != prev)]
+    tail = pdf.iloc[-1]
+    state.update((tail["measurement"], tail["tags"], tail["field"], tail["value"]))
+    if len(out):
+        heads = [_head(m, t) for m, t in zip(out["measurement"], out["tags"])]
+        ts = out["ts_ns"]
+        yield pd.DataFrame(
+            {
+                "kind": "change",
+                "key": (out["measurement"] + "#" + out["field"]).values,
+                "series": out["series"].values,
+                "measurement": out["measurement"].values,
+                "tags": out["tags"].values,
+                "field": out["field"].values,
+                "value": out["value"].values,
+                "ts_ns": ts.astype("Int64").values,
+                "src_partition": out["src_partition"].astype("Int32").values,
+                "src_offset": out["src_offset"].astype("Int64").values,
+                "line": [f"{h} {f}={v}" + ("" if pd.isna(t) else f" {int(t)}") for h, f, v, t in zip(heads, out["field"], out["value"], ts)],
+            }
+        )[_COLS]
+
+
+def detect_changes(fields: DataFrame, refresh_s: int | None = None, ttl_s: int | None = None, rows: bool = True,
+                   engine: str | None = None) -> DataFrame:
     """T4/T5 on a (streaming or batch) field-row DataFrame; append-mode output."""
     use_rocksdb(fields.sparkSession)
     x = with_series(fields).select(
         "series", "measurement", "tags", "field", "value", "ts_ns", "src_partition", "src_offset"
     )
-    proc = ChangeProcessor(
+    # "rows" (transformWithState, measured fastest), "pandas" (transformWithStateInPandas) or
+    # "group_state" (applyInPandasWithState, no timers: change detection only)
+    engine = engine or ("rows" if rows else "pandas")
+    if engine == "group_state" and (refresh_s or ttl_s):
+        raise ValueError("group_state engine has no timers; use rows or pandas for refresh/ttl")
+    if engine == "group_state":
+        return x.groupBy("series").applyInPandasWithState(
+            _changes_in_group, OUTPUT_SCHEMA, STATE_SCHEMA, "append", "NoTimeout"
+        )
+    cls = ChangeRowProcessor if engine == "rows" else ChangeProcessor
+    proc = cls(
         refresh_ms=int(refresh_s * 1000) if refresh_s else None,
         ttl_ms=int(ttl_s * 1000) if ttl_s else None,
     )
-    return x.groupBy("series").transformWithStateInPandas(
+    grouped = x.groupBy("series")
+    run = grouped.transformWithState if engine == "rows" else grouped.transformWithStateInPandas
+    return run(
         statefulProcessor=proc,
         outputStructType=OUTPUT_SCHEMA,
         outputMode="Append",

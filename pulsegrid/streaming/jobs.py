@@ -39,14 +39,39 @@ def stream_detector(internal: DataFrame, refresh_s: int | None = None) -> DataFr
 
 
 def stream_event_aggregate(events: DataFrame, rules: RuleTable, default: RuleTable | None, window: str = "30 seconds",
-                           time: str = "event", grace: str = GRACE) -> DataFrame:
-    """Header events -> per-window aggregates. ``time='processing'`` windows on arrival
-    time (window = slide = trigger interval), ``'event'`` on ``event_ts`` with a watermark."""
+                           grace: str = GRACE) -> DataFrame:
+    """A6 on event time: header events -> per-window aggregates with a watermark."""
+    return EVT.aggregate_events(EVT.event_points(events, rules, default), window=window, watermark=grace)
+
+
+def aggregate_micro_batch(points: DataFrame, batch_time_ns: int) -> DataFrame:
+    """A6/T6 on one micro-batch (window = slide = batch interval), stamped with the batch time (D2 fixed)."""
+    ok = points.filter(F.col("error").isNull()) if "error" in points.columns else points
+    g = ok.groupBy("fn", "metric_key").agg(
+        F.avg("value").alias("_avg"), F.sum("value").alias("_sum"), F.min("value").alias("_min"), F.max("value").alias("_max")
+    )
+    fn = F.col("fn")
+    value = F.when(fn == "avg", F.col("_avg")).when(fn == "sum", F.col("_sum")).when(fn == "min", F.col("_min")).otherwise(F.col("_max"))
+    return g.select("fn", "metric_key", F.lit(int(batch_time_ns)).alias("window_end_ns"), value.alias("value"))
+
+
+def start_event_aggregate_per_batch(events: DataFrame, rules: RuleTable, default: RuleTable | None, interval: str,
+                                    write_batch, name: str = "header_aggregator", checkpoint: str | None = None):
+    """The header-event aggregator on processing time. Every trigger interval the
+    micro-batch's points are aggregated and handed to ``write_batch(df, batch_id)``
+    (e.g. ``points_to_json`` + ``write_udp``)."""
+    import time as _time
+
     pts = EVT.event_points(events, rules, default)
-    if time == "processing":
-        pts = pts.withColumn("arrival_ts", F.current_timestamp())
-        return EVT.aggregate_events(pts, window=window, time_col="arrival_ts", watermark="0 seconds")
-    return EVT.aggregate_events(pts, window=window, watermark=grace)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        write_batch(aggregate_micro_batch(batch, _time.time_ns()), batch_id)
+
+    ckpt = checkpoint or scratch_path(events.sparkSession, f"{name}-ckpt")
+    return (
+        pts.writeStream.queryName(name).foreachBatch(each).option("checkpointLocation", ckpt)
+        .trigger(processingTime=interval).start()
+    )
 
 
 def start(df: DataFrame, name: str, sink: str = "parquet", path: str | None = None, trigger: dict | None = None,
