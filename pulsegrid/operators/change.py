@@ -6,8 +6,8 @@ Arrival order is ``(src_partition, src_offset)``. A series is the series key
 Skew: a single series may hold a large share of all rows, so no step puts a
 whole series into one task. ``changes`` cuts each series into offset chunks of
 at most ``chunk_rows`` offsets; ``lag`` runs inside a chunk, and only the first
-row of each chunk is checked against the last value of the previous chunk,
-which comes from a per-chunk aggregate (one row per chunk).
+row of each chunk is checked against the last row of the previous chunk, found
+by a second ``lag`` over the chunk boundary rows alone (two rows per chunk).
 """
 
 from __future__ import annotations
@@ -30,22 +30,31 @@ def with_series(fields: DataFrame) -> DataFrame:
 def changes(fields: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Rows that are the first of their series or differ from the previous value.
 
+    One shuffle: ``lag`` runs per (series, partition, offset chunk). Only the
+    first row of a chunk needs the row before it, which is the last row of the
+    previous chunk; so the chunk boundary rows (first and last, at most two per
+    chunk) get a second ``lag`` per series, over a table of ``2 x chunks`` rows.
+
     Output keeps the input columns plus ``series``, ``key`` (``meas#field``) and
     ``line`` (the one-field LP record that the detector forwards).
     """
     x = with_series(fields).withColumn("_chunk", F.expr(f"src_offset div {int(chunk_rows)}"))
-    part = ["series", "src_partition", "_chunk"]
-    w = Window.partitionBy(*part).orderBy("src_offset")
-    x = x.withColumns({"_prev": F.lag("value").over(w), "_rn": F.row_number().over(w)})
-    inner = x.filter((F.col("_rn") > 1) & ~F.col("value").eqNullSafe(F.col("_prev")))
-    # last value of every chunk, then the previous chunk's last value per series
-    last = x.groupBy(*part).agg(F.max_by("value", "src_offset").alias("_last"))
-    wc = Window.partitionBy("series").orderBy("src_partition", "_chunk")
-    last = last.select(*part, F.lag("_last").over(wc).alias("_before"))
-    firsts = x.filter(F.col("_rn") == 1).join(last, part, "inner")
-    firsts = firsts.filter(F.col("_before").isNull() | ~F.col("value").eqNullSafe(F.col("_before")))
-    out = inner.drop("_prev").unionByName(firsts.drop("_before", "_prev"))
-    return out.drop("_chunk", "_rn", "_prev").withColumns(
+    w = Window.partitionBy("series", "src_partition", "_chunk").orderBy("src_offset")
+    x = x.withColumns(
+        {
+            "_prev": F.lag("value").over(w),
+            "_first": F.lag("src_offset").over(w).isNull(),
+            "_last": F.lead("src_offset").over(w).isNull(),
+        }
+    )
+    inner = x.filter(~F.col("_first") & ~F.col("value").eqNullSafe(F.col("_prev")))
+    edges = x.filter(F.col("_first") | F.col("_last"))
+    we = Window.partitionBy("series").orderBy("src_partition", "_chunk", "src_offset")
+    firsts = edges.withColumn("_prev", F.lag("value").over(we)).filter(
+        F.col("_first") & (F.col("_prev").isNull() | ~F.col("value").eqNullSafe(F.col("_prev")))
+    )
+    out = inner.unionByName(firsts)
+    return out.drop("_chunk", "_prev", "_first", "_last").withColumns(
         {
             "key": F.concat_ws(L.KEY_SEP, "measurement", "field"),
             "line": L.render_line("measurement", "tags", "field", "value", "ts_ns"),
