@@ -51,6 +51,8 @@ def route(df: DataFrame, rules: RuleTable, topics: dict | None = None, value_col
     """
     topics = topics or {}
     spark = df.sparkSession
+    if key_col:
+        df = df.withColumnRenamed(key_col, "_src_key")
     x = L.explode_fields(df, value_col, keep_bad=True)
     r = rules.df(spark).select(
         "branch", F.col("measurement").alias("_rm"), F.col("rule_field").alias("_rf")
@@ -65,8 +67,8 @@ def route(df: DataFrame, rules: RuleTable, topics: dict | None = None, value_col
     for b, t in topics.items():
         topic = F.when(F.col("branch") == b, F.lit(t)).otherwise(topic)
     wire = L.encode_internal(j)
-    orig_key = F.col(key_col) if key_col else F.lit(None).cast("string")
-    passthrough = [c for c in df.columns if c not in (value_col, key_col)]
+    orig_key = F.col("_src_key") if key_col else F.lit(None).cast("string")
+    passthrough = [c for c in df.columns if c not in (value_col, "_src_key", "branch", "topic", "key", "value", "wire")]
     return wire.select(
         "branch",
         topic.alias("topic"),

@@ -29,8 +29,9 @@ def stream_aggregate(lines: DataFrame, rules: RuleTable, window: str = "30 secon
 
 
 def stream_router(lines: DataFrame, rules: RuleTable, topics: dict | None = None) -> DataFrame:
-    """Router as one map-only stream with a per-row ``topic`` column (K2)."""
-    return R.route(lines, rules, topics)
+    """Router as one map-only stream with a per-row ``topic`` column (K2); the
+    database branch keeps the source record key."""
+    return R.route(lines, rules, topics, key_col="key" if "key" in lines.columns else None)
 
 
 def stream_detector(internal: DataFrame, refresh_s: int | None = None) -> DataFrame:
