@@ -29,7 +29,9 @@ def spread(df: DataFrame) -> DataFrame:
     have more splits than cores and are left alone (no extra shuffle)."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+        # hash of all columns: deterministic on retry without the local sort that
+        # round-robin repartitioning needs
+        return df.repartition(cores, *df.columns)
     return df
 
 
