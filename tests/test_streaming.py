@@ -139,3 +139,31 @@ def test_processing_time_event_aggregate(spark, tmpdir_fresh):
     pts = SJ.EVT.event_points(he, rules, default).filter(F.col("error").isNull())
     assert r.count() == pts.select("fn", "metric_key").distinct().count()
     assert set(r.columns) == {"fn", "metric_key", "window_end_ns", "value"}
+
+
+def test_progress_reporter_rate_limit():
+    from pulsegrid.streaming.progress import ProgressReporter
+
+    sent = []
+
+    class Row:
+        def __init__(self, d):
+            self.d = d
+
+        def asDict(self):
+            return self.d
+
+    class Prog:
+        name = "router"
+        numInputRows = 7
+        observedMetrics = {"router": Row({"sentRecords": 5})}
+
+    class Ev:
+        progress = Prog()
+
+    r = ProgressReporter("router", period_ms=60_000, tags={"application_id": "streams-app-router"}, sender=sent.append)
+    r.onQueryProgress(Ev())
+    r.onQueryProgress(Ev())  # within the period: not sent again
+    assert len(sent) == 1
+    assert sent[0].startswith("kafka_streams,application_id=streams-app-router,hostname=")
+    assert " receivedRecords=7i,sentRecords=5i " in sent[0]
