@@ -882,3 +882,16 @@ def q_changes_stream(spark, sf_dir):
     fields = L.explode_fields(fx.lines_from(fx.events_stream(spark, sf_dir)))
     out = SJ.run_to_table(detect_changes(fields), "changes_stream")
     return out.select("series", "src_offset", "value", "line")
+
+
+# ----------------------------------------------------------------------------- D5: malformed input goes to its own output
+@register(
+    "parse_errors",
+    "WITH " + EV + """ SELECT event_id AS src_offset, 'malformed field' AS error,
+  replace(""" + LINE + """, ' ' || CAST(ts_ns AS VARCHAR), ',oops ' || CAST(ts_ns AS VARCHAR)) AS line
+FROM ev WHERE event_type = 'error'
+UNION ALL SELECT event_id, 'too few tokens', event_type || ',' || """ + TAGS + """ FROM ev WHERE event_type = 'signup' AND k >= 90""",
+)
+def q_parse_errors(spark, sf_dir):
+    x = L.explode_fields(fx.dirty_lines(spark, sf_dir), keep_bad=True)
+    return L.bad_rows(x).select("src_offset", "error", "line")

@@ -308,3 +308,19 @@ def delivery_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("k").alias("latency_ms"),
         F.octet_length(lp_text()).alias("bytes"),
     )
+
+
+def dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LP records with malformed input: ``error`` events carry an extra piece ``oops``
+    without ``=``; ``signup`` events with k >= 90 are a single token (no fields)."""
+    ev = events(spark, sf_dir)
+    head = F.concat(F.col("event_type"), F.lit(",user=u"), F.col("user_id").cast("string"), F.lit(",shard=s"),
+                    F.pmod("user_id", F.lit(4)).cast("string"))
+    oops = F.regexp_replace(lp_text(), " ([0-9]+)$", ",oops $1")
+    value = (
+        F.when(F.col("event_type") == "error", oops)
+        .when((F.col("event_type") == "signup") & (F.col("k") >= 90), head)
+        .otherwise(lp_text())
+    )
+    return ev.select(value.alias("value"), "event_ts", F.pmod("user_id", F.lit(4)).cast("int").alias("src_partition"),
+                     F.col("event_id").alias("src_offset"))
