@@ -29,6 +29,10 @@ def get_session(master: str | None = None, partitions: int = 8, app: str = "puls
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
         .config("spark.ui.enabled", "false")
     )
+    if (master or "").startswith("local"):
+        # local mode runs everything in the driver JVM; Spark's 1 GB default heap
+        # turns a long session into a GC-bound one
+        b = b.config("spark.driver.memory", os.environ.get("PULSEGRID_DRIVER_MEMORY", "16g"))
     if checkpoint_dir or (master or "").startswith("local"):
         b = b.config("spark.checkpoint.dir", checkpoint_dir or tempfile.mkdtemp(prefix="pulsegrid-ckpt-"))
     spark = b.getOrCreate()
