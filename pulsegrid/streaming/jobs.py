@@ -95,7 +95,17 @@ def run_to_table(df: DataFrame, name: str) -> DataFrame:
     shared checkpoint root and return the result as a batch DataFrame."""
     spark: SparkSession = df.sparkSession
     out = scratch_path(spark, f"{name}-out")
-    q = start(df, name, sink="parquet", path=out)
+    # one state partition per core for this run (the count is fixed in the checkpoint
+    # when the query starts); the session's own setting is restored afterwards
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    cores = spark.sparkContext.defaultParallelism
+    if int(before) > cores:
+        spark.conf.set(key, str(cores))
+    try:
+        q = start(df, name, sink="parquet", path=out)
+    finally:
+        spark.conf.set(key, before)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
