@@ -74,3 +74,17 @@ def test_webhook_app(spark, tmpdir_fresh):
     q.processAllAvailable()
     q.stop()
     assert [json.loads(r["body"]) for r in W.read_recorded(rec)] == [{"text": "disk full\nsda"}]
+
+
+def test_pass_through_sends_bodies(spark, tmpdir_fresh):
+    """Reference UDP sink test, pass mode: each datagram equals the event body; empty bodies are not sent."""
+    src = os.path.join(tmpdir_fresh, "ev")
+    rows = [({"name": "m"}, f"m v={i}i".encode()) for i in range(10)] + [({"name": "m"}, b"")]
+    spark.createDataFrame(rows, "headers map<string,string>, body binary").write.parquet(src)
+    s = spark.readStream.schema("headers map<string,string>, body binary").parquet(src)
+    rec = os.path.join(tmpdir_fresh, "rec")
+    q = apps.run_pass_through(spark, {"output": {"hostname": "h", "port": 8089}}, s, sender_factory=W.RecorderFactory(rec))
+    q.processAllAvailable()
+    q.stop()
+    got = sorted(r["payload"] for r in W.read_recorded(rec))
+    assert got == sorted(f"m v={i}i" for i in range(10))
