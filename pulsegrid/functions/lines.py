@@ -37,7 +37,7 @@ def kv(key, value) -> Column:
 def java_split(s, sep: str) -> Column:
     """``split`` on one literal character, dropping trailing empty strings."""
     esc = "\\" + sep if sep in "\\^$.|?*+()[]{}" else sep
-    return F.split(F.regexp_replace(_c(s), f"{esc}+$", ""), esc)
+    return F.split(F.rtrim(_c(s), F.lit(sep)), esc)
 
 
 def parse_long(s) -> Column:
@@ -57,12 +57,12 @@ def explode_fields(df: DataFrame, value_col: str = "value", keep_bad: bool = Fal
     """
     passthrough = [c for c in df.columns if c != value_col]
     d = df.select(*passthrough, F.col(value_col).alias("line"))
-    d = d.withColumns({"_toks": F.split(F.regexp_replace("line", " +$", ""), " ")})
+    d = d.withColumns({"_toks": F.split(F.rtrim("line"), " ")})
     d = d.withColumns({"_n": F.size("_toks"), "_last": F.element_at("_toks", -1)})
     d = d.withColumns(
         {
             "ts_ns": F.when(F.col("_n") >= 2, parse_long("_last")),
-            "_head": F.regexp_replace(F.element_at("_toks", 1), ",+$", ""),
+            "_head": F.rtrim(F.element_at("_toks", 1), F.lit(",")),
         }
     )
     d = d.withColumns(
@@ -84,8 +84,8 @@ def explode_fields(df: DataFrame, value_col: str = "value", keep_bad: bool = Fal
         }
     )
     d = d.select(*passthrough, "line", "measurement", "tags", "ts_ns", F.posexplode_outer("_fields").alias("_pos", "_f"))
-    fr = F.regexp_replace("_f", "=+$", "")
-    n_eq = F.length(fr) - F.length(F.regexp_replace(fr, "=", ""))
+    fr = F.rtrim("_f", F.lit("="))
+    n_eq = F.length(fr) - F.length(F.replace(fr, F.lit("="), F.lit("")))
     error = (
         F.when(F.col("line").isNull(), F.lit("null record"))
         .when(F.col("_f").isNull(), F.lit("too few tokens"))

@@ -80,7 +80,7 @@ def parse_line(value) -> Column:
     Malformed tag or field pieces are skipped (the reference logs and skips them);
     a record with fewer than two tokens gives null.
     """
-    line = F.regexp_replace(_c(value), " +$", "")
+    line = F.rtrim(_c(value))
     toks = F.split(line, " ")
     n = F.size(toks)
     last = F.element_at(toks, -1)
