@@ -5,8 +5,9 @@ log table (one row per record: time, latency, bytes): count, records/s, MB/s,
 average and maximum latency and the p50/p95/p99/p99.9 order statistics with
 the index ``floor(p*n)`` of the sorted latencies. No global sort: latencies are
 counted per distinct value (partial aggregation), counts are summed per value
-bucket, and the running position is found with a small window over buckets plus
-a window inside each bucket, so no task ever holds more than one bucket.
+bucket (at most 65,536 buckets, width derived from the value range), and the
+running position is found with a small window over bucket totals plus a window
+inside each bucket, so no task holds more than one bucket of distinct values.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 # The reported percentiles.
 PERCENTILES = (("p50", 0.5), ("p95", 0.95), ("p99", 0.99), ("p999", 0.999))
 BUCKET = 1024
+MAX_BUCKETS = 65536
 
 
 def count_stages(**stages: DataFrame) -> DataFrame:
@@ -33,7 +35,13 @@ def latency_summary(log: DataFrame, latency_col: str = "latency_ms", bytes_col:
     n = log.select(F.count(F.lit(1))).scalar()
     total_bytes = log.select(F.sum(F.col(bytes_col))).scalar()
     elapsed_ms = log.select(F.unix_millis(F.max(time_col)) - F.unix_millis(F.min(time_col))).scalar()
-    counts = log.groupBy(lat.alias("lat")).agg(F.count(F.lit(1)).alias("c")).withColumn("b", F.expr(f"lat div {BUCKET}"))
+    # bucket width from the value range, so there are at most MAX_BUCKETS buckets
+    lo = log.select(F.min(lat)).scalar()
+    width = log.select(
+        F.greatest(F.lit(BUCKET).cast("bigint"), F.ceil((F.max(lat) - F.min(lat) + 1) / F.lit(MAX_BUCKETS)).cast("bigint"))
+    ).scalar()
+    counts = log.groupBy(lat.alias("lat")).agg(F.count(F.lit(1)).alias("c"))
+    counts = counts.withColumn("b", ((F.col("lat") - lo).cast("decimal(38,0)") / width).cast("bigint"))
     buckets = counts.groupBy("b").agg(F.sum("c").alias("bc"))
     buckets = buckets.withColumn(
         "before", F.coalesce(F.sum("bc").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -50,6 +50,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if cur.isDefined():
             root = cur.get()
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="pulsegrid-ckpt-")
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(root)

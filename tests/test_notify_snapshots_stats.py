@@ -67,3 +67,17 @@ def test_count_stages(spark):
     a = spark.range(5)
     b = spark.range(3)
     assert sorted(rows(ST.count_stages(received=a, sent=b))) == [("received", 5), ("sent", 3)]
+
+
+def test_latency_summary_wide_range(spark):
+    import random
+
+    rnd = random.Random(7)
+    vals = [rnd.choice([rnd.randint(0, 50), rnd.randint(10**9, 10**12)]) for _ in range(3000)]
+    log = spark.createDataFrame([(v, 10, i) for i, v in enumerate(vals)], "latency_ms long, bytes int, sec long").withColumn(
+        "event_ts", F.timestamp_seconds("sec")
+    )
+    s = ST.latency_summary(log).collect()[0]
+    lat = sorted(vals)
+    for name, p in ST.PERCENTILES:
+        assert s[name] == lat[int(p * len(lat))], name
