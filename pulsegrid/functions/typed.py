@@ -54,10 +54,20 @@ def typed_value(text) -> Column:
     """Field text -> typed value: ``<long>i`` -> long, Java double grammar -> double,
     ``true``/``false`` (any case) -> boolean, otherwise string with ``"`` removed."""
     v = _c(text)
-    as_long = F.when(v.endswith("i") & F.substr(v, F.lit(1), F.length(v) - 1).rlike(LONG_RE),
-                     F.substr(v, F.lit(1), F.length(v) - 1).try_cast("bigint"))
+    return _typed_from(v, _long_candidate(v), _double_candidate(v))
+
+
+def _long_candidate(v: Column) -> Column:
+    pre = F.substr(v, F.lit(1), F.length(v) - 1)
+    return F.when(v.endswith("i") & pre.rlike(LONG_RE), pre.try_cast("bigint"))
+
+
+def _double_candidate(v: Column) -> Column:
     t = F.trim(v)
-    as_double = F.when(~t.rlike(_SPARK_ONLY_WORDS) | t.rlike(_JAVA_WORDS), v.try_cast("double"))
+    return F.when(~t.rlike(_SPARK_ONLY_WORDS) | t.rlike(_JAVA_WORDS), v.try_cast("double"))
+
+
+def _typed_from(v: Column, as_long: Column, as_double: Column) -> Column:
     low = F.lower(v)
     kind = (
         F.when(as_long.isNotNull(), F.lit("long"))
@@ -94,10 +104,13 @@ def parse_line(value) -> Column:
     )
     body = F.array_join(F.slice(toks, 2, F.greatest(nb, F.lit(0))), " ")
     field_pieces = F.transform(java_split(body, ","), lambda f: java_split(f, "="))
-    field_entries = F.transform(
+    # two passes: the casts are computed once per field into a struct, then the typed
+    # value is assembled from its fields (a lambda has no common-subexpression reuse)
+    cand = F.transform(
         F.filter(field_pieces, lambda p: F.size(p) == 2),
-        lambda p: F.struct(p[0].alias("k"), typed_value(p[1]).alias("v")),
+        lambda p: F.struct(p[0].alias("k"), p[1].alias("v"), _long_candidate(p[1]).alias("l"), _double_candidate(p[1]).alias("d")),
     )
+    field_entries = F.transform(cand, lambda e: F.struct(e["k"].alias("k"), _typed_from(e["v"], e["l"], e["d"]).alias("v")))
     point = F.struct(
         F.element_at(head, 1).alias("measurement"),
         last_wins_map(tag_entries, "string").alias("tags"),
