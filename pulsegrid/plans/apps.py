@@ -25,6 +25,12 @@ from ..sources import streams as S
 from ..streaming import jobs as J
 from ..streaming.detector import detect_changes
 
+# Section names of the reference's YAML files (kept for drop-in configs).
+WEBHOOK_SECTION = "mattermost_config"
+EMAIL_SECTION = "email_config"
+SENDER_SECTION = "sender_config"
+CONSUMER_SECTION = "kafka_consumer_config"
+
 
 def _bootstrap(cfg: dict, section: str = "kafka_config") -> str:
     return str((cfg.get(section) or {}).get("bootstrap.servers", ""))
@@ -89,13 +95,13 @@ def run_detector(spark: SparkSession, cfg):
 def _bytes_source(spark: SparkSession, cfg: dict, source: DataFrame | None) -> DataFrame:
     if source is not None:
         return source
-    return S.read_bytes(spark, cfg.get("kafka_consumer_config") or {})
+    return S.read_bytes(spark, cfg.get(CONSUMER_SECTION) or {})
 
 
 def run_udp_consumer(spark: SparkSession, cfg, source: DataFrame | None = None, sender_factory=None):
     """Topic -> datagrams, round robin over the configured ports, empty payloads skipped."""
     cfg = RU.load_config(cfg)
-    sc = cfg.get("sender_config") or {}
+    sc = cfg.get(SENDER_SECTION) or {}
     df = _bytes_source(spark, cfg, source)
     return W.write_udp(df, sc.get("hostname", "localhost"), str(sc.get("port", "8089")), sender_factory=sender_factory,
                        checkpoint=J.scratch_path(spark, "udp-consumer-ckpt"))
@@ -109,7 +115,7 @@ def build_webhook(spark: SparkSession, cfg, source: DataFrame | None = None) ->
 
 def run_webhook(spark: SparkSession, cfg, source: DataFrame | None = None, sender_factory=None):
     cfg = RU.load_config(cfg)
-    url = (cfg.get("mattermost_config") or {}).get("url", "")
+    url = (cfg.get(WEBHOOK_SECTION) or {}).get("url", "")
     return W.write_webhook(build_webhook(spark, cfg, source).filter(F.col("error").isNull()), url, sender_factory=sender_factory,
                            checkpoint=J.scratch_path(spark, "webhook-ckpt"))
 
@@ -122,7 +128,7 @@ def build_email(spark: SparkSession, cfg, source: DataFrame | None = None) -> Da
 
 def run_email(spark: SparkSession, cfg, source: DataFrame | None = None, sender_factory=None):
     cfg = RU.load_config(cfg)
-    return W.write_email(build_email(spark, cfg, source), cfg.get("email_config") or {}, sender_factory=sender_factory,
+    return W.write_email(build_email(spark, cfg, source), cfg.get(EMAIL_SECTION) or {}, sender_factory=sender_factory,
                          checkpoint=J.scratch_path(spark, "email-ckpt"))
 
 
@@ -161,7 +167,7 @@ APPS = {
     "aggregator": run_aggregator,
     "onoff": run_detector,
     "udp-consumer": run_udp_consumer,
-    "mattermost-consumer": run_webhook,
+    "webhook-consumer": run_webhook,
     "email-consumer": run_email,
 }
 

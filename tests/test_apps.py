@@ -70,7 +70,7 @@ def test_webhook_app(spark, tmpdir_fresh):
         fh.write(json.dumps({"value": '{"nothing":1}'}) + "\n")
     s = spark.readStream.schema("value string").json(src)
     rec = os.path.join(tmpdir_fresh, "rec")
-    q = apps.run_webhook(spark, {"mattermost_config": {"url": "https://hook"}}, source=s, sender_factory=W.RecorderFactory(rec))
+    q = apps.run_webhook(spark, {apps.WEBHOOK_SECTION: {"url": "https://hook"}}, source=s, sender_factory=W.RecorderFactory(rec))
     q.processAllAvailable()
     q.stop()
     assert [json.loads(r["body"]) for r in W.read_recorded(rec)] == [{"text": "disk full\nsda"}]
