@@ -71,12 +71,15 @@ def latest(fields: DataFrame) -> DataFrame:
     return g.select("series", "r.*", "n_rows")
 
 
-def refresh(fields: DataFrame, period_s: int, time_col: str = "ts_ns") -> DataFrame:
+def refresh(fields: DataFrame, period_s: int, time_col: str = "ts_ns", until_ns: int | None = None) -> DataFrame:
     """Refresh grid. At every tick ``t`` (multiples of the period, epoch aligned)
-    each series seen before ``t`` is emitted with its latest value, stamped ``t``.
+    each series seen before ``t`` is emitted with its latest value, stamped ``t``,
+    up to ``until_ns`` (default: the last tick that has data).
 
     Rows are first reduced to the last value per (series, tick) with a partial
-    aggregate; the running fill then works on one row per series and tick.
+    aggregate. Each of those rows then covers its own tick up to the series'
+    next one (``lead`` over one row per series and tick), which forward-fills the
+    grid without a join, a union or a whole-series buffer.
     """
     p_ns = int(period_s) * 1_000_000_000
     x = with_series(fields)
@@ -85,15 +88,13 @@ def refresh(fields: DataFrame, period_s: int, time_col: str = "ts_ns") -> DataFr
     b = x.withColumn("tick_ns", tick.cast("bigint")).groupBy("series", "tick_ns").agg(
         F.max_by(F.struct("measurement", "tags", "field", "value"), order).alias("r")
     )
-    last_tick = b.select(F.max("tick_ns")).scalar()
-    grid = b.groupBy("series").agg(F.min("tick_ns").alias("_first")).select(
+    last_tick = F.lit(int(until_ns)) if until_ns is not None else b.select(F.max("tick_ns")).scalar()
+    w = Window.partitionBy("series").orderBy("tick_ns")
+    nxt = F.coalesce(F.lead("tick_ns").over(w), last_tick + F.lit(p_ns))
+    g = b.withColumn("_next", nxt).filter(F.col("tick_ns") < F.col("_next"))
+    out = g.select(
         "series",
-        F.explode(F.sequence(F.col("_first"), last_tick, F.lit(p_ns).cast("bigint"))).alias("tick_ns"),
-        F.lit(None).cast(b.schema["r"].dataType).alias("r"),
-        F.lit(1).alias("_grid"),
+        F.explode(F.sequence(F.col("tick_ns"), F.col("_next") - F.lit(p_ns), F.lit(p_ns).cast("bigint"))).alias("tick_ns"),
+        "r.*",
     )
-    u = b.withColumn("_grid", F.lit(0)).unionByName(grid)
-    w = Window.partitionBy("series").orderBy("tick_ns", "_grid").rowsBetween(Window.unboundedPreceding, 0)
-    filled = u.withColumn("r", F.last("r", ignorenulls=True).over(w)).filter(F.col("_grid") == 1)
-    out = filled.select("series", "tick_ns", "r.*")
     return out.withColumn("line", L.render_line("measurement", "tags", "field", "value", "tick_ns"))
