@@ -48,3 +48,11 @@ def test_latest_and_refresh(spark):
         ("m,h=a#f", 30_000_000_000, "2", "m,h=a f=2 30000000000"),
         ("m,h=b#f", 30_000_000_000, "9", "m,h=b f=9 30000000000"),
     ]
+
+
+def test_refresh_until(spark):
+    df = spark.createDataFrame([("m,h=a f=1 5000000000", 0), ("m,h=a f=2 27000000000", 1)], "value string, src_offset long").withColumn(
+        "src_partition", F.lit(0)
+    )
+    r = sorted(rows(C.refresh(L.explode_fields(df), 10, until_ns=50_000_000_000), "tick_ns", "value"))
+    assert r == [(10_000_000_000, "1"), (20_000_000_000, "1"), (30_000_000_000, "2"), (40_000_000_000, "2"), (50_000_000_000, "2")]
