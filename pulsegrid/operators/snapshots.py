@@ -185,48 +185,68 @@ def agent_points(df: DataFrame, value_col: str = "value", name_col: str = "name"
 def spark_points(df: DataFrame, kind: str, value_col: str = "value", app_col: str = "app_id",
                  time_col: str = "sampled_ns") -> DataFrame:
     """Spark-status JSON object -> dict for one of ``stats``, ``batches``,
-    ``executors``, ``allexecutors``: excluded keys dropped first (D12), tag keys
-    become tags, nested objects are flattened one level, other values ``int()``.
-    A value that is not an integer makes the row an error (``error`` column)."""
-    meas, excluded, tag_keys = SPARK_KINDS[kind]
-    # the parsed object is its own column, so lambdas below refer to an attribute
-    d = df.withColumn("_obj", F.try_variant_get(F.try_parse_json(F.col(value_col)), "$", "map<string,variant>"))
-    obj = F.col("_obj")
-    ex = F.array(*[F.lit(k) for k in excluded]) if excluded else F.array().cast("array<string>")
-    tk = F.array(*[F.lit(k) for k in tag_keys]) if tag_keys else F.array().cast("array<string>")
-    kept = F.filter(F.map_entries(obj), lambda e: ~F.array_contains(ex, e["key"]))
-    is_obj = lambda e: F.schema_of_variant(e["value"]).startswith("OBJECT")
-    tag_e = F.filter(kept, lambda e: F.array_contains(tk, e["key"]))
-    if kind in ("executors", "allexecutors"):
-        plain = F.filter(kept, lambda e: ~F.array_contains(tk, e["key"]) & ~is_obj(e))
-        nested = F.flatten(
-            F.transform(
-                F.filter(kept, lambda e: ~F.array_contains(tk, e["key"]) & is_obj(e)),
-                lambda e: F.map_entries(F.try_variant_get(e["value"], "$", "map<string,variant>")),
-            )
+    ``executors``, ``allexecutors`` (all rows of one kind)."""
+    out = spark_points_mixed(df.withColumn("_kind", F.lit(kind)), "_kind", value_col, app_col, time_col)
+    return out.drop("_kind")
+
+
+def _kind_map(values: dict, dtype: str) -> Column:
+    parts = []
+    for k, v in values.items():
+        parts.append(F.lit(k))
+        parts.append(F.array(*[F.lit(x) for x in v]).cast(dtype) if isinstance(v, list) else F.lit(v))
+    return F.create_map(*parts)
+
+
+def spark_points_mixed(df: DataFrame, kind_col: str = "kind", value_col: str = "value", app_col: str = "app_id",
+                       time_col: str = "sampled_ns") -> DataFrame:
+    """Spark-status JSON objects of mixed kinds (``kind_col`` per row) -> dicts, in one
+    projection, so one scan serves all four shapes: excluded keys dropped first
+    (D12), tag keys become tags, nested objects are flattened one level (executor
+    kinds), other values ``int()``. A value that is not an integer, or an unknown
+    kind, makes the row an error (``error`` column)."""
+    kind = F.col(kind_col)
+    # per-row parameters and the parsed object are columns, so lambdas refer to attributes
+    d = df.withColumns(
+        {
+            "_obj": F.try_variant_get(F.try_parse_json(F.col(value_col)), "$", "map<string,variant>"),
+            "_meas": F.element_at(_kind_map({k: v[0] for k, v in SPARK_KINDS.items()}, "string"), kind),
+            "_ex": F.element_at(_kind_map({k: v[1] for k, v in SPARK_KINDS.items()}, "array<string>"), kind),
+            "_tk": F.element_at(_kind_map({k: v[2] for k, v in SPARK_KINDS.items()}, "array<string>"), kind),
+            "_exec": kind.isin("executors", "allexecutors"),
+        }
+    )
+    obj, ex, tk, is_exec = F.col("_obj"), F.col("_ex"), F.col("_tk"), F.col("_exec")
+    kept = F.filter(F.map_entries(obj), lambda e: ~F.coalesce(F.array_contains(ex, e["key"]), F.lit(False)))
+    is_obj = lambda e: is_exec & F.schema_of_variant(e["value"]).startswith("OBJECT")
+    is_tag = lambda e: F.coalesce(F.array_contains(tk, e["key"]), F.lit(False))
+    tag_e = F.filter(kept, is_tag)
+    plain = F.filter(kept, lambda e: ~is_tag(e) & ~is_obj(e))
+    nested = F.flatten(
+        F.transform(
+            F.filter(kept, lambda e: ~is_tag(e) & is_obj(e)),
+            lambda e: F.map_entries(F.try_variant_get(e["value"], "$", "map<string,variant>")),
         )
-        field_src = F.concat(plain, nested)
-    else:
-        field_src = F.filter(kept, lambda e: ~F.array_contains(tk, e["key"]))
-    ints = F.transform(field_src, lambda e: F.struct(e["key"].alias("k"), py_int(e["value"]).alias("v")))
+    )
+    ints = F.transform(F.concat(plain, nested), lambda e: F.struct(e["key"].alias("k"), py_int(e["value"]).alias("v")))
     d = d.withColumn("_ints", TY.last_wins_map(ints, "bigint"))
     bad = F.exists(F.map_values("_ints"), lambda v: v.isNull())
     fields = F.transform_values("_ints", lambda k, v: _long_value(v))
-    tag_list = [F.struct(F.lit("id").alias("k"), F.col(app_col).alias("v"))]
-    if kind in ("executors", "allexecutors"):
-        tag_list.append(F.struct(F.lit("hostPort").alias("k"), F.try_variant_get(obj["hostPort"], "$", "string").alias("v")))
+    base = F.array(
+        F.struct(F.lit("id").alias("k"), F.col(app_col).alias("v")),
+        F.struct(F.lit("hostPort").alias("k"), F.when(is_exec, F.try_variant_get(obj["hostPort"], "$", "string")).alias("v")),
+    )
     more = F.transform(tag_e, lambda e: F.struct(e["key"].alias("k"), py_str(e["value"]).alias("v")))
-    tags = TY.last_wins_map(F.concat(F.array(*tag_list), more), "string")
-    if kind == "batches":
-        time = F.try_variant_get(obj["batchId"], "$", "bigint") * F.lit(1_000_000)
-    else:
-        time = F.col(time_col)
+    tags = TY.last_wins_map(F.filter(F.concat(base, more), lambda e: e["v"].isNotNull()), "string")
+    time = F.when(kind == "batches", F.try_variant_get(obj["batchId"], "$", "bigint") * F.lit(1_000_000)).otherwise(F.col(time_col))
     return d.withColumns(
         {
-            "measurement": F.lit(meas),
+            "measurement": F.col("_meas"),
             "tags": tags,
             "fields": F.when(~bad, fields),
             "time": time,
-            "error": F.when(obj.isNull(), F.lit("not a JSON object")).when(bad, F.lit("value is not an integer")),
+            "error": F.when(F.col("_meas").isNull(), F.lit("unknown kind"))
+            .when(obj.isNull(), F.lit("not a JSON object"))
+            .when(bad, F.lit("value is not an integer")),
         }
-    ).drop("_obj", "_ints")
+    ).drop("_obj", "_ints", "_meas", "_ex", "_tk", "_exec")

@@ -791,16 +791,10 @@ def q_agent_points(spark, sf_dir):
 SELECT * FROM x""",
 )
 def q_spark_points(spark, sf_dir):
-    parts = []
-    for kind in ("stats", "batches", "executors", "allexecutors"):
-        p = SN.spark_points(fx.spark_snapshots(spark, sf_dir, kind), kind)
-        lines = SN.measurements_to_lines(p.withColumnRenamed("error", "_perr"), F.col("sampled_ns") / F.lit(1e9))
-        parts.append(
-            lines.select(
-                "src_offset", "measurement", "line", F.coalesce(F.col("_perr"), F.col("error")).alias("error")
-            )
-        )
-    return A.union_all(*parts)
+    """All four Spark-status shapes from one scan (kind per row)."""
+    p = SN.spark_points_mixed(fx.spark_snapshots_mixed(spark, sf_dir), "kind")
+    lines = SN.measurements_to_lines(p.withColumnRenamed("error", "_perr"), F.col("sampled_ns") / F.lit(1e9))
+    return lines.select("src_offset", "measurement", "line", F.coalesce(F.col("_perr"), F.col("error")).alias("error"))
 
 
 # ----------------------------------------------------------------------------- A7 A8

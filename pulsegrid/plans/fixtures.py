@@ -255,50 +255,68 @@ def agent_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def spark_snapshots(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    """Spark status JSON objects of one kind (``stats``, ``batches``, ``executors``,
-    ``allexecutors``) from the events of one type each (view, click, purchase, signup);
-    in ``executors`` the ``error`` events report a non-integer ``rddBlocks``."""
-    ev = events(spark, sf_dir)
-    app = F.concat(F.lit("app-"), F.pmod("user_id", F.lit(4)).cast("string"))
+# event type that reports each Spark-status kind
+SNAPSHOT_TYPES = {"stats": ("signup",), "batches": ("purchase",), "executors": ("view", "error"), "allexecutors": ("click",)}
+
+
+def _snapshot_obj(kind: str) -> Column:
     if kind == "stats":
-        src = ev.filter(F.col("event_type") == "signup")
-        obj = F.struct(
+        return F.struct(
             F.lit("2024-01-01T00:00:00.000GMT").alias("startTime"),
             F.lit(30000).alias("batchDuration"),
             F.pmod("user_id", F.lit(4)).alias("numReceivers"),
             F.col("k").alias("numTotalCompletedBatches"),
             F.col("value").alias("avgInputRate"),
         )
-    elif kind == "batches":
-        src = ev.filter(F.col("event_type") == "purchase")
-        obj = F.struct(
+    if kind == "batches":
+        return F.struct(
             F.expr("ts_us div 1000").alias("batchId"),
             F.lit("2024-01-01T00:00:00.000GMT").alias("batchTime"),
             F.lit("COMPLETED").alias("status"),
             F.col("k").alias("inputSize"),
             F.col("user_id").alias("processingTime"),
         )
-    else:
-        types = ("view", "error") if kind == "executors" else ("click",)
-        src = ev.filter(F.col("event_type").isin(*types))
-        rdd = F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(F.col("k").cast("string"))
-        obj = F.struct(
-            F.col("user_id").cast("string").alias("id"),
-            F.concat(F.lit("host"), F.pmod("user_id", F.lit(4)).cast("string"), F.lit(":4040")).alias("hostPort"),
-            (F.col("event_type") != "click").alias("isActive"),
-            rdd.alias("rddBlocks"),
-            (F.col("user_id") * 1000).alias("memoryUsed"),
-            (F.pmod("user_id", F.lit(4)) + 1).alias("totalCores"),
-            F.struct(F.concat(F.lit("http://host/logs/"), F.col("user_id").cast("string")).alias("stdout")).alias("executorLogs"),
-            F.struct((F.col("k") * 10).alias("usedOnHeapStorageMemory"), F.lit(1000).alias("totalOnHeapStorageMemory")).alias("memoryMetrics"),
-        )
-    return src.select(
-        F.col("event_id").alias("src_offset"), F.to_json(obj).alias("value"), app.alias("app_id"),
-        F.col("ts_ns").alias("sampled_ns"), "event_ts",
+    rdd = F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(F.col("k").cast("string"))
+    return F.struct(
+        F.col("user_id").cast("string").alias("id"),
+        F.concat(F.lit("host"), F.pmod("user_id", F.lit(4)).cast("string"), F.lit(":4040")).alias("hostPort"),
+        (F.col("event_type") != "click").alias("isActive"),
+        rdd.alias("rddBlocks"),
+        (F.col("user_id") * 1000).alias("memoryUsed"),
+        (F.pmod("user_id", F.lit(4)) + 1).alias("totalCores"),
+        F.struct(F.concat(F.lit("http://host/logs/"), F.col("user_id").cast("string")).alias("stdout")).alias("executorLogs"),
+        F.struct((F.col("k") * 10).alias("usedOnHeapStorageMemory"), F.lit(1000).alias("totalOnHeapStorageMemory")).alias("memoryMetrics"),
     )
 
 
+def _snapshot_cols(value: Column, kind: Column | None = None) -> list:
+    cols = [F.col("event_id").alias("src_offset"), value.alias("value"),
+            F.concat(F.lit("app-"), F.pmod("user_id", F.lit(4)).cast("string")).alias("app_id"),
+            F.col("ts_ns").alias("sampled_ns"), "event_ts"]
+    return cols + ([kind.alias("kind")] if kind is not None else [])
+
+
+def spark_snapshots(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """Spark status JSON objects of one kind (``stats``, ``batches``, ``executors``,
+    ``allexecutors``) from the events of one type each (signup, purchase, view +
+    error, click); in ``executors`` the ``error`` events report a non-integer ``rddBlocks``."""
+    ev = events(spark, sf_dir).filter(F.col("event_type").isin(*SNAPSHOT_TYPES[kind]))
+    return ev.select(*_snapshot_cols(F.to_json(_snapshot_obj(kind))))
+
+
+def spark_snapshots_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four Spark-status shapes from one scan of ``events``, with a ``kind`` column."""
+    ev = events(spark, sf_dir)
+    kind = None
+    value = None
+    for k, types in SNAPSHOT_TYPES.items():
+        cond = F.col("event_type").isin(*types)
+        kind = F.when(cond, F.lit(k)) if kind is None else kind.when(cond, F.lit(k))
+        js = F.to_json(_snapshot_obj(k))
+        value = F.when(cond, js) if value is None else value.when(cond, js)
+    return ev.select(*_snapshot_cols(value, kind))
+
+
 def delivery_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delivery log of the LP records: send time, latency (ms, from ``k``) and bytes."""
     ev = events(spark, sf_dir)
