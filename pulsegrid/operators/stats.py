@@ -5,22 +5,24 @@ log table (one row per record: time, latency, bytes): count, records/s, MB/s,
 average and maximum latency and the p50/p95/p99/p99.9 order statistics with
 the index ``floor(p*n)`` of the sorted latencies. No global sort: latencies are
 counted per distinct value (partial aggregation), counts are summed per value
-bucket (at most 65,536 buckets, width derived from the value range), and the
-running position is found with a small window over bucket totals plus a window
-inside each bucket, so no task holds more than one bucket of distinct values.
+log-scale bucket (64 per power of two: at most about 8,200 buckets for any
+64-bit range), and the running position is found with a small window over
+bucket totals plus a window inside each bucket, so no task holds more than one
+bucket of distinct values. One scan of the log; no scalar subqueries.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_root
+
 # The reported percentiles.
 PERCENTILES = (("p50", 0.5), ("p95", 0.95), ("p99", 0.99), ("p999", 0.999))
-BUCKET = 1024
-MAX_BUCKETS = 65536
+BUCKETS_PER_OCTAVE = 64
 
 
 def count_stages(**stages: DataFrame) -> DataFrame:
@@ -29,23 +31,36 @@ def count_stages(**stages: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def latency_summary(log: DataFrame, latency_col: str = "latency_ms", bytes_col: str = "bytes", time_col: str = "event_ts") -> DataFrame:
-    """One-row report over the whole log."""
+def _log_bucket(lat: Column) -> Column:
+    """Order-preserving bucket of a latency: 64 buckets per power of two, so any
+    64-bit range needs at most about 8,200 buckets."""
+    pos = F.floor(F.log2(lat.cast("double") + 1) * F.lit(BUCKETS_PER_OCTAVE))
+    neg = -1 - F.floor(F.log2(-lat.cast("double") + 1) * F.lit(BUCKETS_PER_OCTAVE))
+    return F.when(lat >= 0, pos).otherwise(neg).cast("bigint")
+
+
+def latency_summary(log: DataFrame, latency_col: str = "latency_ms", bytes_col: str = "bytes", time_col: str = "event_ts",
+                    materialize: bool = True) -> DataFrame:
+    """One-row report over the whole log, from a single scan."""
     lat = F.col(latency_col).cast("bigint")
-    n = log.select(F.count(F.lit(1))).scalar()
-    total_bytes = log.select(F.sum(F.col(bytes_col))).scalar()
-    elapsed_ms = log.select(F.unix_millis(F.max(time_col)) - F.unix_millis(F.min(time_col))).scalar()
-    # bucket width from the value range, so there are at most MAX_BUCKETS buckets
-    lo = log.select(F.min(lat)).scalar()
-    width = log.select(
-        F.greatest(F.lit(BUCKET).cast("bigint"), F.ceil((F.max(lat) - F.min(lat) + 1) / F.lit(MAX_BUCKETS)).cast("bigint"))
-    ).scalar()
-    counts = log.groupBy(lat.alias("lat")).agg(F.count(F.lit(1)).alias("c"))
-    counts = counts.withColumn("b", ((F.col("lat") - lo).cast("decimal(38,0)") / width).cast("bigint"))
+    counts = log.groupBy(lat.alias("lat")).agg(
+        F.count(F.lit(1)).alias("c"),
+        F.sum(F.col(bytes_col)).alias("sb"),
+        F.min(time_col).alias("t0"),
+        F.max(time_col).alias("t1"),
+    ).withColumn("b", _log_bucket(F.col("lat")))
+    if materialize:
+        # one row per distinct latency: written once to the shared checkpoint folder,
+        # so the two uses below read it instead of scanning the log twice
+        checkpoint_root(log.sparkSession)
+        counts = counts.checkpoint()
     buckets = counts.groupBy("b").agg(F.sum("c").alias("bc"))
-    buckets = buckets.withColumn(
-        "before", F.coalesce(F.sum("bc").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).select("b", "before")
+    ordered = Window.orderBy("b")
+    buckets = buckets.select(
+        "b",
+        F.coalesce(F.sum("bc").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
+        F.sum("bc").over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"),
+    )
     pos = counts.join(buckets, "b").withColumn(
         "cum", F.col("before") + F.sum("c").over(Window.partitionBy("b").orderBy("lat").rowsBetween(Window.unboundedPreceding, 0))
     )
@@ -53,12 +68,15 @@ def latency_summary(log: DataFrame, latency_col: str = "latency_ms", bytes_col:
         F.sum("c").alias("count"),
         F.sum(F.col("lat") * F.col("c")).alias("_lat_sum"),
         F.max("lat").alias("max_latency"),
-        *[F.min(F.when(F.col("cum") > F.floor(F.lit(p) * n), F.col("lat"))).alias(name) for name, p in PERCENTILES],
+        F.sum("sb").alias("_bytes"),
+        (F.unix_millis(F.max("t1")) - F.unix_millis(F.min("t0"))).alias("_elapsed_ms"),
+        *[F.min(F.when(F.col("cum") > F.floor(F.lit(p) * F.col("total")), F.col("lat"))).alias(name) for name, p in PERCENTILES],
     )
+    el = F.col("_elapsed_ms")
     return rep.select(
         "count",
-        F.when(elapsed_ms > 0, F.lit(1000.0) * F.col("count") / elapsed_ms).alias("records_per_s"),
-        F.when(elapsed_ms > 0, F.lit(1000.0) * total_bytes / elapsed_ms / F.lit(1024.0 * 1024.0)).alias("mb_per_s"),
+        F.when(el > 0, F.lit(1000.0) * F.col("count") / el).alias("records_per_s"),
+        F.when(el > 0, F.lit(1000.0) * F.col("_bytes") / el / F.lit(1024.0 * 1024.0)).alias("mb_per_s"),
         (F.col("_lat_sum") / F.col("count")).alias("avg_latency"),
         "max_latency",
         *[name for name, _ in PERCENTILES],
