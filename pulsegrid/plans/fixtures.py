@@ -296,14 +296,6 @@ def _snapshot_cols(value: Column, kind: Column | None = None) -> list:
     return cols + ([kind.alias("kind")] if kind is not None else [])
 
 
-def spark_snapshots(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    """Spark status JSON objects of one kind (``stats``, ``batches``, ``executors``,
-    ``allexecutors``) from the events of one type each (signup, purchase, view +
-    error, click); in ``executors`` the ``error`` events report a non-integer ``rddBlocks``."""
-    ev = events(spark, sf_dir).filter(F.col("event_type").isin(*SNAPSHOT_TYPES[kind]))
-    return ev.select(*_snapshot_cols(F.to_json(_snapshot_obj(kind))))
-
-
 def spark_snapshots_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All four Spark-status shapes from one scan of ``events``, with a ``kind`` column."""
     ev = events(spark, sf_dir)

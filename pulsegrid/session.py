@@ -68,10 +68,3 @@ def use_rocksdb(spark: SparkSession) -> None:
     """Stateful operators in this package expect the RocksDB state store (spills, changelog)."""
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-
-
-def env_cpus(default: int = 8) -> int:
-    try:
-        return int(os.environ.get("BENCH_CPUS", default))
-    except ValueError:
-        return default
