@@ -85,3 +85,19 @@ def test_header_aggregator_app(spark, tmpdir_fresh):
     got = [json.loads(r["payload"]) for r in W.read_recorded(rec)]
     assert got and all(g["headers"]["name"].endswith("_aggr") and g["body"] == "" for g in got)
     assert all(r["payload"].endswith("\n") for r in W.read_recorded(rec))
+
+
+def test_stream_event_aggregate_matches_batch_closed_windows(spark, tmpdir_fresh):
+    from pulsegrid.sources import rules as RU
+
+    rules, default = RU.metric_rules(configs.HEADER_AGGREGATOR)
+    he = fx.header_events(spark, SF)
+    src = os.path.join(tmpdir_fresh, "he")
+    he.write.parquet(src)
+    s = spark.readStream.schema(he.schema).parquet(src)
+    out = SJ.run_to_table(SJ.stream_event_aggregate(s, rules, default, window="1 hour"), "ev_agg")
+    batch = EVT.aggregate_events(EVT.event_points(he, rules, default), window="1 hour")
+    wm_ns = he.select((F.unix_micros(F.max("event_ts")) - 10_000_000) * 1000).first()[0]
+    want = sorted((r[0], r[1], r[2], round(r[3], 6)) for r in batch.filter(F.col("window_end_ns") <= wm_ns).collect())
+    got = sorted((r[0], r[1], r[2], round(r[3], 6)) for r in out.select("fn", "metric_key", "window_end_ns", "value").collect())
+    assert got == want and len(got) > 0
