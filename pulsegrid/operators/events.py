@@ -8,12 +8,12 @@ Malformed input gets an ``error`` reason instead of being dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lines as L
 from ..functions.lines import _c, parse_long
-from ..sources.rules import RuleTable
+from ..sources.rules import MAX_BROADCAST_RULES, RuleTable
 
 # Header keys and prefixes, the 2018-01-01 lower bound for
 # nanosecond timestamps, and the JSON event size cap.
@@ -139,7 +139,8 @@ def metric_key(headers, remove=None) -> Column:
 
 
 # --------------------------------------------------------------------------- P31 / J3
-def event_points(df: DataFrame, rules: RuleTable, default: RuleTable | None = None, headers_col: str = "headers") -> DataFrame:
+def event_points(df: DataFrame, rules: RuleTable, default: RuleTable | None = None, headers_col: str = "headers",
+                 keep_unmatched: bool = False) -> DataFrame:
     """Header event -> points ``(fn, metric_key, value)``, one per configured function.
 
     J3: a metric's own rules apply; only a metric without any rule falls back
@@ -157,21 +158,26 @@ def event_points(df: DataFrame, rules: RuleTable, default: RuleTable | None = No
         error = F.coalesce(F.col("error"), error)
     d = d.withColumn("error", error)
     r = rules.df(df.sparkSession).select(F.col("metric").alias("_metric"), "fn", "remove_tags")
-    j = d.join(r, F.col("_name") == F.col("_metric"), "left")
+    # rank of a rule within its metric (on the small rule side): exactly one output
+    # row per input event has ``event_first``, so event counts need no second pass
+    r = r.withColumn("_rank", F.row_number().over(Window.partitionBy("_metric").orderBy("fn")))
+    j = d.join(F.broadcast(r) if len(rules) <= MAX_BROADCAST_RULES else r, F.col("_name") == F.col("_metric"), "left")
     if default is not None and len(default) > 0:
         _, dfn, drm = default.rows[0]
         fn = F.coalesce(F.col("fn"), F.lit(dfn))
         rm = F.when(F.col("fn").isNull(), F.array(*[F.lit(t) for t in drm]).cast("array<string>")).otherwise(F.col("remove_tags"))
     else:
         fn, rm = F.col("fn"), F.col("remove_tags")
-    j = j.withColumns({"fn": fn, "remove_tags": rm})
-    j = j.filter(F.col("fn").isNotNull() | F.col("error").isNotNull())
+    j = j.withColumns({"fn": fn, "remove_tags": rm, "event_first": F.col("_rank").isNull() | (F.col("_rank") == 1)})
+    if not keep_unmatched:
+        j = j.filter(F.col("fn").isNotNull() | F.col("error").isNotNull())
     return j.select(
         *[c for c in df.columns if c != "error"],
         F.when(F.col("error").isNull(), F.col("fn")).alias("fn"),
         F.when(F.col("error").isNull(), metric_key(h, F.col("remove_tags"))).alias("metric_key"),
         F.when(F.col("error").isNull(), F.col("_dval")).alias("value"),
         "error",
+        *(["event_first"] if keep_unmatched else []),
     )
 
 

@@ -39,6 +39,22 @@ def _log_bucket(lat: Column) -> Column:
     return F.when(lat >= 0, pos).otherwise(neg).cast("bigint")
 
 
+def event_stage_counts(points: DataFrame, window_s: int, time_col: str = "event_ts") -> DataFrame:
+    """A7 over header-event points (``event_points(..., keep_unmatched=True)``) in one
+    aggregate: received events, imported points and aggregates to send (distinct
+    window/function/metric groups), as ``(stage, n)`` rows."""
+    w_us = int(window_s) * 1_000_000
+    valid = F.col("error").isNull() & F.col("fn").isNotNull()
+    end_us = (F.expr(f"unix_micros({time_col}) div {w_us}") + 1) * F.lit(w_us)
+    agg = points.agg(
+        F.count(F.when(F.col("event_first"), F.lit(1))).alias("received"),
+        F.count(F.when(valid, F.lit(1))).alias("imported"),
+        F.count_distinct(F.when(valid, F.struct(end_us.alias("e"), F.col("fn"), F.col("metric_key")))).alias("to_send"),
+    )
+    stages = F.array(*[F.struct(F.lit(n).alias("stage"), F.col(n).cast("bigint").alias("n")) for n in ("received", "imported", "to_send")])
+    return agg.select(F.explode(stages).alias("s")).select("s.stage", "s.n")
+
+
 def latency_summary(log: DataFrame, latency_col: str = "latency_ms", bytes_col: str = "bytes", time_col: str = "event_ts",
                     materialize: bool = True) -> DataFrame:
     """One-row report over the whole log, from a single scan."""

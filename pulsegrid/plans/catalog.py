@@ -840,11 +840,10 @@ UNION ALL SELECT 'imported', count(*) FROM q WHERE error IS NULL
 UNION ALL SELECT 'to_send', count(*) FROM g""",
 )
 def q_stage_counts(spark, sf_dir):
-    window = f"{RU.header_window_seconds(configs.HEADER_AGGREGATOR)} seconds"
-    he = _header_events(spark, sf_dir)
-    pts = _event_points(spark, sf_dir, configs.HEADER_AGGREGATOR)
-    agg = EVT.aggregate_events(pts, window=window)
-    return ST.count_stages(received=he, imported=pts.filter(F.col("error").isNull()), to_send=agg)
+    """Received / imported / to-send counts of the header aggregator, from one scan."""
+    rules, default = RU.metric_rules(configs.HEADER_AGGREGATOR)
+    pts = EVT.event_points(_header_events(spark, sf_dir), rules, default, keep_unmatched=True)
+    return ST.event_stage_counts(pts, RU.header_window_seconds(configs.HEADER_AGGREGATOR))
 
 
 # ----------------------------------------------------------------------------- T1-T4 (Structured Streaming)
