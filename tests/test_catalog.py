@@ -26,7 +26,7 @@ def test_queries_build_plans(spark):
 
 def test_single_scan_plans(spark):
     """The router, the one-pass aggregate and the mixed-kind snapshot query read events once."""
-    for name in ("route_all", "agg_multi", "spark_points", "explode_fields"):
+    for name in ("route_all", "agg_multi", "spark_points", "explode_fields", "stage_counts"):
         df = E.queries()[name](spark, "/root/testdata/sf0.001")
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert plan.count("FileScan parquet") == 1, name
