@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import chat, mixing, quality
 
 QUERIES = {
     "op1_mixing": mixing.op1,
+    "op8_quality_rules": quality.op8,
+    "op9_chat_format": chat.op9,
 }
 ORACLE = {
     "op1_mixing": mixing.OP1_SQL,
+    "op8_quality_rules": quality.OP8_SQL,
+    "op9_chat_format": chat.OP9_SQL,
 }
