@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from . import chat, mixing, quality
+from . import chat, mixing, quality, secret_scan
 
 QUERIES = {
     "op1_mixing": mixing.op1,
+    "op6_secret_scan": secret_scan.op6,
     "op8_quality_rules": quality.op8,
     "op9_chat_format": chat.op9,
 }
 ORACLE = {
     "op1_mixing": mixing.OP1_SQL,
+    "op6_secret_scan": secret_scan.OP6_SQL,
     "op8_quality_rules": quality.OP8_SQL,
     "op9_chat_format": chat.OP9_SQL,
 }
