@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat, mixing, quality, secret_scan
+from . import chat, html_text, langid, mixing, packing, quality, secret_scan
 
 QUERIES = {
     "op1_mixing": mixing.op1,
+    "op3_html_text": html_text.op3,
+    "op5_packing": packing.op5,
     "op6_secret_scan": secret_scan.op6,
+    "op7_language_id": langid.op7,
     "op8_quality_rules": quality.op8,
     "op9_chat_format": chat.op9,
 }
