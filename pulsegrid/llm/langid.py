@@ -21,11 +21,14 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..workers import ship_by_value
 from .common import read
 
 SAMPLE, EXCERPT, DICTIONARY, BLOCK = 128, 2000, 1 << 16, 2048
+#: Texts of fewer bytes are compressed from every word on.
+SHORT = 128
 #: Rejected below this share of the second-best size.
 MARGIN = 0.002
 UNKNOWN = "und"
@@ -67,7 +70,10 @@ class Classifier:
         b = letters(text)
         if not b or not self.by:
             return UNKNOWN, 0.0, True
-        blocks = [b[i:i + BLOCK] for i in range(0, len(b), BLOCK)]
+        if len(b) < SHORT:  # whole bytes are too coarse for a few words: add up what stands from each word on
+            blocks = [b[i:] for i in range(len(b) - 1) if b[i] == 32]
+        else:
+            blocks = [b[i:i + BLOCK] for i in range(0, len(b), BLOCK)]
         sizes = [sum(len(c.compress(x)) for x in blocks) for c in self.by]
         best = min(range(len(sizes)), key=sizes.__getitem__)
         second = min((s for i, s in enumerate(sizes) if i != best), default=None)
@@ -94,7 +100,7 @@ def identify(docs: DataFrame, model: list[tuple[str, bytes]], text_col: str = "t
             cols = [pa.array([f[i] for f in found], k) for i, k in enumerate((pa.string(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *cols], names=[*batch.schema.names, *own])
 
-    schema = docs.schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
+    schema = StructType([*docs.schema.fields, *StructType.fromDDL("lang_pred string, score double, rejected boolean").fields])
     return docs.mapInArrow(run, schema)
 
 
