@@ -27,7 +27,7 @@ from ..workers import ship_by_value
 from .common import read
 
 SAMPLE, EXCERPT, DICTIONARY, BLOCK = 128, 2000, 1 << 16, 2048
-#: Texts of fewer bytes are compressed from every word on.
+#: Texts of fewer bytes are compressed four times over.
 SHORT = 128
 #: Rejected below this share of the second-best size.
 MARGIN = 0.002
@@ -70,10 +70,9 @@ class Classifier:
         b = letters(text)
         if not b or not self.by:
             return UNKNOWN, 0.0, True
-        if len(b) < SHORT:  # whole bytes are too coarse for a few words: add up what stands from each word on
-            blocks = [b[i:] for i in range(len(b) - 1) if b[i] == 32]
-        else:
-            blocks = [b[i:i + BLOCK] for i in range(0, len(b), BLOCK)]
+        if len(b) < SHORT:  # a few bytes alone are stored as they are, whatever the dictionary
+            b = b * 4
+        blocks = [b[i:i + BLOCK] for i in range(0, len(b), BLOCK)]
         sizes = [sum(len(c.compress(x)) for x in blocks) for c in self.by]
         best = min(range(len(sizes)), key=sizes.__getitem__)
         second = min((s for i, s in enumerate(sizes) if i != best), default=None)
