@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat, html_text, langid, mixing, packing, quality, secret_scan
+from . import chat, fingerprints, html_text, langid, mixing, packing, quality, secret_scan
 
 QUERIES = {
     "op1_mixing": mixing.op1,
     "op3_html_text": html_text.op3,
+    "op4_fingerprints": fingerprints.op4,
     "op5_packing": packing.op5,
     "op6_secret_scan": secret_scan.op6,
     "op7_language_id": langid.op7,
