@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import chat, fingerprints, html_text, langid, mixing, packing, quality, secret_scan
+from . import chat, fingerprints, html_text, langid, mixing, ngram_join, packing, quality, secret_scan
 
 QUERIES = {
     "op1_mixing": mixing.op1,
+    "op2_ngram_join": ngram_join.op2,
     "op3_html_text": html_text.op3,
     "op4_fingerprints": fingerprints.op4,
     "op5_packing": packing.op5,
