@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat, fingerprints, html_text, langid, mixing, ngram_join, packing, quality, secret_scan
+import corpus_pipeline
+
+from . import chat, fingerprints, html_text, langid, mixing, ngram_join, packing, pii, quality, secret_scan
 
 QUERIES = {
     "op1_mixing": mixing.op1,
@@ -14,6 +16,8 @@ QUERIES = {
     "op7_language_id": langid.op7,
     "op8_quality_rules": quality.op8,
     "op9_chat_format": chat.op9,
+    "op10_pii": pii.op10,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE = {
     "op1_mixing": mixing.OP1_SQL,
