@@ -70,11 +70,13 @@ def reconstruct(log: DataFrame, conv: str = "conv_id", seq: str = "seq", message
 def render(messages: DataFrame, conv: str = "conv_id", loss_role: str = LOSS_ROLE) -> DataFrame:
     """(conv, place, role, text) -> per conversation ``formatted`` and ``loss_mask``: for each
     turn under the mask its place, the absolute start in ``formatted``, the start inside the
-    turn and the length, in code points. Null roles and texts count as empty."""
+    turn and the length, in code points. Turns stand by place and are
+    numbered anew from 0. Null roles and texts count as empty."""
     role, text = (F.coalesce(F.col(c), F.lit("")) for c in ("role", "text"))
     r = messages.select(F.col(conv).alias("conv"), "place", role.alias("role"), F.concat(F.lit("### "), escape(role, True), F.lit(": ")).alias("head"),
                         escape(text).alias("body"))
     r = r.withColumn("turn", F.concat("head", "body", F.lit(END)))
+    r = r.withColumn("place", F.row_number().over(Window.partitionBy("conv").orderBy("place", "turn")) - 1)
     before = Window.partitionBy("conv").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     r = r.withColumn("at", F.coalesce(F.sum(F.length("turn").cast("long")).over(before), F.lit(0)) + F.length("head"))
     mask = F.when(F.col("role") == loss_role, F.struct(

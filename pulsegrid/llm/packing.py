@@ -130,8 +130,6 @@ class Ids:
         keys = np.concatenate([keys[plain], keys[~plain]])
         size = np.concatenate(parts)
         new = np.concatenate([ids, np.fromiter(itertools.chain.from_iterable(rest), np.uint32)])
-        if len(self.keys) + len(keys) > CACHE:
-            self.forget()
         order = np.argsort(np.concatenate([self.keys, keys]), kind="stable")
         sizes = np.concatenate([np.diff(self.at), size])
         begin = np.concatenate([self.at[:-1], self.at[-1] + np.cumsum(size) - size])
@@ -139,6 +137,10 @@ class Ids:
         self.keys = np.concatenate([self.keys, keys])[order]
         self.at = np.concatenate([[0], np.cumsum(sizes[order])])
 
+    def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        place = np.searchsorted(self.keys, keys)
+        return place, self.keys[np.minimum(place, len(self.keys) - 1)] == keys if len(self.keys) else np.zeros(len(keys), bool)
+
     def forget(self) -> None:
         self.keys = np.zeros(0, np.uint64)
         self.at, self.pool = np.zeros(1, np.int64), np.zeros(0, np.uint32)
@@ -150,13 +152,14 @@ class Ids:
         row, parts = 0, []
         for h, s, e in kernels.runs(raw, offsets, lower=False, lead=True):
             uniq, first, which = np.unique(h, return_index=True, return_inverse=True)
-            for _ in range(2):  # twice, if learning made the memory forget
-                place = np.searchsorted(self.keys, uniq)
-                known = (place < len(self.keys)) & (self.keys[np.minimum(place, len(self.keys) - 1)] == uniq) if len(self.keys) else np.zeros(len(uniq), bool)
-                if known.all():
-                    break
+            place, known = self.look_up(uniq)
+            if not known.all():
+                if len(self.keys) + len(uniq) - known.sum() > CACHE:
+                    self.forget()
+                    known[:] = False
                 new = np.flatnonzero(~known)
                 self.learn(uniq[new], [texts[s[i]:e[i]] for i in first[new]])
+                place, _ = self.look_up(uniq)
             sizes = np.diff(self.at)[place][which]
             ids = gather(self.pool, self.at[:-1][place][which], sizes)
             upto = np.concatenate([[0], np.cumsum(sizes)])
