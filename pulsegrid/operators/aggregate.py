@@ -44,6 +44,16 @@ def prepare(fields: DataFrame, rules: RuleTable) -> DataFrame:
     )
 
 
+def aggregates(value: str) -> list[Column]:
+    """The four aggregates that ``picked`` chooses from."""
+    return [F.avg(value).alias("_avg"), F.sum(value).alias("_sum"), F.min(value).alias("_min"), F.max(value).alias("_max")]
+
+
+def picked() -> Column:
+    """The aggregate named by ``fn`` (null for another name; rule loading refuses those)."""
+    return _pick(F.col("fn"), F.col("_avg"), F.col("_sum"), F.col("_min"), F.col("_max"))
+
+
 def _pick(fn: Column, avg_c, sum_c, min_c, max_c) -> Column:
     return (
         F.when(fn == "avg", avg_c)
@@ -67,13 +77,8 @@ def aggregate(
     """
     src = fields.withWatermark(time_col, watermark) if watermark else fields
     p = prepare(src, rules)
-    g = p.groupBy(F.window(time_col, window).alias("window"), "fn", "series").agg(
-        F.avg("dvalue").alias("_avg"),
-        F.sum("dvalue").alias("_sum"),
-        F.min("dvalue").alias("_min"),
-        F.max("dvalue").alias("_max"),
-    )
-    value = _pick(F.col("fn"), F.col("_avg"), F.col("_sum"), F.col("_min"), F.col("_max"))
+    g = p.groupBy(F.window(time_col, window).alias("window"), "fn", "series").agg(*aggregates("dvalue"))
+    value = picked()
     end_ns = L.window_end_ns("window")
     return g.select(
         "fn",

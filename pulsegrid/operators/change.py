@@ -16,9 +16,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lines as L
+from ..session import checkpoint_root
 
 ORDER = ("src_partition", "src_offset")
 CHUNK_ROWS = 1 << 20
+#: Ticks laid out at once for one row of the refresh grid.
+RUN = 10_000
 
 
 def with_series(fields: DataFrame) -> DataFrame:
@@ -71,30 +74,44 @@ def latest(fields: DataFrame) -> DataFrame:
     return g.select("series", "r.*", "n_rows")
 
 
-def refresh(fields: DataFrame, period_s: int, time_col: str = "ts_ns", until_ns: int | None = None) -> DataFrame:
+def refresh(fields: DataFrame, period_s: int, time_col: str = "event_ts", until_ns: int | None = None) -> DataFrame:
     """Refresh grid. At every tick ``t`` (multiples of the period, epoch aligned)
     each series seen before ``t`` is emitted with its latest value, stamped ``t``,
     up to ``until_ns`` (default: the last tick that has data).
 
-    Rows are first reduced to the last value per (series, tick) with a partial
-    aggregate. Each of those rows then covers its own tick up to the series'
-    next one (``lead`` over one row per series and tick), which forward-fills the
-    grid without a join, a union or a whole-series buffer.
+    The time is that of the record (``event_ts``); a column of nanoseconds such as
+    ``ts_ns`` is taken as it is (also where there is no ``event_ts``), rows without it by
+    their record time; a row without any time has no place in the grid. Rows are first
+    reduced to the last value per (series, tick) with a partial aggregate. Each of those
+    rows then covers its own tick up to the series' next one (``lead`` over one row per
+    series and tick), which forward-fills the grid without a join, a union or a
+    whole-series buffer; a long gap is laid out in runs of ``RUN`` ticks. Without
+    ``until_ns`` the reduced rows are checkpointed, so that finding the last tick reads
+    them and not the input again.
     """
     p_ns = int(period_s) * 1_000_000_000
     x = with_series(fields)
-    tick = (F.expr(f"{time_col} div {p_ns}") + 1) * F.lit(p_ns)
+    at = F.unix_micros("event_ts") * 1000 if "event_ts" in x.columns else F.lit(None).cast("bigint")
+    ns = at if time_col == "event_ts" and "event_ts" in x.columns else F.coalesce(F.col("ts_ns" if time_col == "event_ts" else time_col), at)
+    tick = F.col("_ns") - F.pmod(F.col("_ns"), F.lit(p_ns)) + F.lit(p_ns)
     order = F.struct(*[F.col(c) for c in ORDER])
-    b = x.withColumn("tick_ns", tick.cast("bigint")).groupBy("series", "tick_ns").agg(
+    b = x.withColumn("_ns", ns).filter(F.col("_ns").isNotNull()).withColumn("tick_ns", tick.cast("bigint")).groupBy("series", "tick_ns").agg(
         F.max_by(F.struct("measurement", "tags", "field", "value"), order).alias("r")
     )
-    last_tick = F.lit(int(until_ns)) if until_ns is not None else b.select(F.max("tick_ns")).scalar()
+    if until_ns is None:
+        checkpoint_root(fields.sparkSession)
+        b = b.checkpoint()
+        last_tick = b.select(F.max("tick_ns")).scalar()
+    else:
+        last_tick = F.lit(int(until_ns))
     w = Window.partitionBy("series").orderBy("tick_ns")
     nxt = F.coalesce(F.lead("tick_ns").over(w), last_tick + F.lit(p_ns))
     g = b.withColumn("_next", nxt).filter(F.col("tick_ns") < F.col("_next"))
+    step, run = F.lit(p_ns).cast("bigint"), F.lit(p_ns * RUN).cast("bigint")
+    g = g.withColumn("_run", F.explode(F.sequence(F.col("tick_ns"), F.col("_next") - step, run)))
     out = g.select(
         "series",
-        F.explode(F.sequence(F.col("tick_ns"), F.col("_next") - F.lit(p_ns), F.lit(p_ns).cast("bigint"))).alias("tick_ns"),
+        F.explode(F.sequence(F.col("_run"), F.least(F.col("_run") + run, F.col("_next")) - step, step)).alias("tick_ns"),
         "r.*",
     )
     return out.withColumn("line", L.render_line("measurement", "tags", "field", "value", "tick_ns"))

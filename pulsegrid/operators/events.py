@@ -8,12 +8,14 @@ Malformed input gets an ``error`` reason instead of being dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import lines as L
 from ..functions.lines import _c, parse_long
-from ..sources.rules import MAX_BROADCAST_RULES, RuleTable
+from ..sources.rules import RuleTable
+from .aggregate import aggregates, picked
 
 # Header keys and prefixes, the 2018-01-01 lower bound for
 # nanosecond timestamps, and the JSON event size cap.
@@ -50,7 +52,7 @@ def parse_json_events(df: DataFrame, value_col: str = "value", delimiter: str =
     parsed = F.from_json("event", "headers MAP<STRING,STRING>")
     d = d.withColumn("_p", parsed)
     error = (
-        F.when(F.octet_length("event") > F.lit(max_size), F.lit("event too large"))
+        F.when(F.octet_length("event") > F.lit(max_size), F.lit("event over the size limit"))
         .when(F.col("_p").isNull() | F.col("_p.headers").isNull(), F.lit("no headers object"))
     )
     return d.select(
@@ -89,7 +91,7 @@ def events_to_lines(df: DataFrame, headers_col: str = "headers") -> DataFrame:
         F.when(h.isNull(), F.lit("no headers"))
         .when(h[NAME_KEY].isNull(), F.lit("no name header"))
         .when(ts_txt.isNotNull() & ts.isNull(), F.lit("timestamp is not a long"))
-        .when(ts < F.lit(MIN_TIMESTAMP_NS), F.lit("timestamp must be in nanoseconds"))
+        .when(ts < F.lit(MIN_TIMESTAMP_NS), F.lit("timestamp below the nanosecond range"))
         .when(F.size(val_keys) == 0, F.lit("no value fields"))
     )
     tags = F.array_join(
@@ -150,25 +152,29 @@ def event_points(df: DataFrame, rules: RuleTable, default: RuleTable | None = No
     h = F.col(headers_col)
     d = df.withColumns({"_name": h[NAME_KEY], "_dval": java_double(h[VALUE_KEY])})
     error = (
-        F.when(F.col("_name").isNull(), F.lit("no name field"))
-        .when(h[VALUE_KEY].isNull(), F.lit("no value_value field"))
-        .when(F.col("_dval").isNull(), F.lit("value_value is not a number"))
+        F.when(F.col("_name").isNull(), F.lit("event has no name header"))
+        .when(h[VALUE_KEY].isNull(), F.lit("event has no value header"))
+        .when(F.col("_dval").isNull(), F.lit("value header is not numeric"))
     )
     if "error" in df.columns:
         error = F.coalesce(F.col("error"), error)
     d = d.withColumn("error", error)
-    r = rules.df(df.sparkSession).select(F.col("metric").alias("_metric"), "fn", "remove_tags")
-    # rank of a rule within its metric (on the small rule side): exactly one output
-    # row per input event has ``event_first``, so event counts need no second pass
-    r = r.withColumn("_rank", F.row_number().over(Window.partitionBy("_metric").orderBy("fn")))
-    j = d.join(F.broadcast(r) if len(rules) <= MAX_BROADCAST_RULES else r, F.col("_name") == F.col("_metric"), "left")
+    # a metric's first function (rules are known here): exactly one output row per input
+    # event has ``event_first``, so event counts need no second pass
+    first: dict[str, str] = {}
+    for metric, fn_name, _ in rules.rows:
+        first[metric] = min(fn_name, first.get(metric, fn_name))
+    ranked = RuleTable(tuple((m, f, t, f == first[m]) for m, f, t in rules.rows),
+                       T.StructType([*rules.schema.fields, T.StructField("rule_first", T.BooleanType(), False)]))
+    r = ranked.df(df.sparkSession).select(F.col("metric").alias("_metric"), "fn", "remove_tags", F.col("rule_first").alias("_first"))
+    j = d.join(r, F.col("_name") == F.col("_metric"), "left")
     if default is not None and len(default) > 0:
         _, dfn, drm = default.rows[0]
         fn = F.coalesce(F.col("fn"), F.lit(dfn))
         rm = F.when(F.col("fn").isNull(), F.array(*[F.lit(t) for t in drm]).cast("array<string>")).otherwise(F.col("remove_tags"))
     else:
         fn, rm = F.col("fn"), F.col("remove_tags")
-    j = j.withColumns({"fn": fn, "remove_tags": rm, "event_first": F.col("_rank").isNull() | (F.col("_rank") == 1)})
+    j = j.withColumns({"fn": fn, "remove_tags": rm, "event_first": F.coalesce(F.col("_first"), F.lit(True))})
     if not keep_unmatched:
         j = j.filter(F.col("fn").isNotNull() | F.col("error").isNotNull())
     return j.select(
@@ -186,14 +192,8 @@ def aggregate_events(points: DataFrame, window: str = "30 seconds", time_col: st
     """avg/sum/min/max per (window, fn, metric_key), one shuffle for all functions."""
     src = points.withWatermark(time_col, watermark) if watermark else points
     src = src.filter(F.col("error").isNull()) if "error" in src.columns else src
-    g = src.groupBy(F.window(time_col, window).alias("window"), "fn", "metric_key").agg(
-        F.avg("value").alias("_avg"), F.sum("value").alias("_sum"), F.min("value").alias("_min"), F.max("value").alias("_max")
-    )
-    fn = F.col("fn")
-    value = (
-        F.when(fn == "avg", F.col("_avg")).when(fn == "sum", F.col("_sum")).when(fn == "min", F.col("_min")).when(fn == "max", F.col("_max"))
-    )
-    return g.select("fn", "metric_key", L.window_end_ns("window").alias("window_end_ns"), value.alias("value"))
+    g = src.groupBy(F.window(time_col, window).alias("window"), "fn", "metric_key").agg(*aggregates("value"))
+    return g.select("fn", "metric_key", L.window_end_ns("window").alias("window_end_ns"), picked().alias("value"))
 
 
 # --------------------------------------------------------------------------- P33

@@ -39,8 +39,8 @@ def notification_text(df: DataFrame, value_col: str = "value") -> DataFrame:
     )
 
 
-def email_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """One row per recipient ``(subject, body, address)``; a missing key is an error row."""
+def email_messages(df: DataFrame, value_col: str = "value", each: bool = True) -> DataFrame:
+    """One row per recipient (or, without ``each``, per message with an array ``addresses``) ``(subject, body, address)``; a missing key is an error row."""
     s = F.from_json(F.col(value_col), ", ".join(f"{k} STRING" for k in EMAIL_KEYS))
     m = F.from_json(F.col(value_col), "MAP<STRING,STRING>")
     missing = ~F.coalesce(
@@ -51,8 +51,10 @@ def email_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
         {
             "subject": s["subject"],
             "body": s["body"],
-            "error": F.when(missing, F.lit("'body', 'subject' or 'to_addresses' missing")),
+            "error": F.when(missing, F.lit("mail lacks a required key")),
         }
     )
     addrs = F.when(F.col("error").isNull(), java_split(s["to_addresses"], ","))
+    if not each:
+        return d.withColumn("addresses", addrs)
     return d.select(*d.columns, F.explode_outer(addrs).alias("address"))

@@ -61,7 +61,7 @@ def latency_summary(log: DataFrame, latency_col: str = "latency_ms", bytes_col:
     lat = F.col(latency_col).cast("bigint")
     counts = log.groupBy(lat.alias("lat")).agg(
         F.count(F.lit(1)).alias("c"),
-        F.sum(F.col(bytes_col)).alias("sb"),
+        F.sum(F.col(bytes_col).cast("decimal(38,0)")).alias("sb"),
         F.min(time_col).alias("t0"),
         F.max(time_col).alias("t1"),
     ).withColumn("b", _log_bucket(F.col("lat")))
@@ -82,7 +82,7 @@ def latency_summary(log: DataFrame, latency_col: str = "latency_ms", bytes_col:
     )
     rep = pos.agg(
         F.sum("c").alias("count"),
-        F.sum(F.col("lat") * F.col("c")).alias("_lat_sum"),
+        F.sum((F.col("lat").cast("decimal(19,0)") * F.col("c").cast("decimal(18,0)")).cast("decimal(38,0)")).alias("_lat_sum"),
         F.max("lat").alias("max_latency"),
         F.sum("sb").alias("_bytes"),
         (F.unix_millis(F.max("t1")) - F.unix_millis(F.min("t0"))).alias("_elapsed_ms"),
@@ -92,8 +92,8 @@ def latency_summary(log: DataFrame, latency_col: str = "latency_ms", bytes_col:
     return rep.select(
         "count",
         F.when(el > 0, F.lit(1000.0) * F.col("count") / el).alias("records_per_s"),
-        F.when(el > 0, F.lit(1000.0) * F.col("_bytes") / el / F.lit(1024.0 * 1024.0)).alias("mb_per_s"),
-        (F.col("_lat_sum") / F.col("count")).alias("avg_latency"),
+        F.when(el > 0, F.lit(1000.0) * F.col("_bytes").cast("double") / el / F.lit(1024.0 * 1024.0)).alias("mb_per_s"),
+        (F.col("_lat_sum").cast("double") / F.col("count")).alias("avg_latency"),
         "max_latency",
         *[name for name, _ in PERCENTILES],
     )

@@ -2,7 +2,10 @@
 
 Each ``build_*`` returns the streaming DataFrame that goes to the sink (the
 source may be injected, e.g. a file stream in tests); each ``run_*`` also
-starts the sink and returns the query. CLI::
+starts the sink and returns the query. Offsets and state stay in
+``<spark.checkpoint.dir>/<application id>/<job>``, so that a restarted app goes
+on where it stopped; bad rows go to ``error_output``, if one is named, and are
+counted by the reporter of ``stats_config``. CLI::
 
     python -m pulsegrid.plans.apps router --config conf-router.yaml
 """
@@ -22,7 +25,9 @@ from ..operators import notify as NT
 from ..sinks import writers as W
 from ..sources import rules as RU
 from ..sources import streams as S
+from ..session import app_checkpoint, use_rocksdb
 from ..streaming import jobs as J
+from ..streaming import progress as P
 from ..streaming.detector import detect_changes
 
 # Section names of the reference's YAML files (kept for drop-in configs).
@@ -30,81 +35,156 @@ WEBHOOK_SECTION = "mattermost_config"
 EMAIL_SECTION = "email_config"
 SENDER_SECTION = "sender_config"
 CONSUMER_SECTION = "kafka_consumer_config"
+STATS_SECTION = "stats_config"
+APPLICATION_ID = "application.id"
+#: Own key: a folder for bad rows.
+ERROR_OUTPUT = "error_output"
 
 
 def _bootstrap(cfg: dict, section: str = "kafka_config") -> str:
     return str((cfg.get(section) or {}).get("bootstrap.servers", ""))
 
 
+def app_id(cfg: dict, name: str) -> str:
+    """``application.id`` (at the top or in a Kafka section), else the component's name."""
+    for part in (cfg, cfg.get("kafka_config") or {}, cfg.get(CONSUMER_SECTION) or {}):
+        if part.get(APPLICATION_ID):
+            return str(part[APPLICATION_ID])
+    return f"pulsegrid-{name}"
+
+
+def _checkpoint(spark: SparkSession, cfg: dict, name: str, given: str | None) -> str:
+    """A restarted application finds its offsets and state where it left them."""
+    return given or app_checkpoint(spark, app_id(cfg, name), name)
+
+
 def _lines_source(spark: SparkSession, cfg: dict, topic: str, source: DataFrame | None) -> DataFrame:
     if source is not None:
         return source
-    return S.read_lines(spark, "kafka", {"kafka.bootstrap.servers": _bootstrap(cfg), "subscribe": topic})
+    kafka = {k: v for k, v in (cfg.get("kafka_config") or {}).items() if k != APPLICATION_ID}
+    return S.read_lines(spark, "kafka", S.kafka_options(kafka, topic))
+
+
+def _bad(df: DataFrame, raw: str) -> DataFrame:
+    """Bad rows as (error, raw, at): why, what came in, and its record time if known."""
+    at = F.col("event_ts").cast("timestamp") if "event_ts" in df.columns else F.lit(None).cast("timestamp")
+    return df.filter(F.col("error").isNotNull()).select("error", F.col(raw).cast("string").alias("raw"), at.alias("at"))
+
+
+def _start_errors(bad: DataFrame, cfg: dict, checkpoint: str, errors: str | None):
+    """Write bad rows as JSON to ``errors`` (or ``error_output`` in the YAML) by a query of
+    its own with its own checkpoint. None if no output is named: they are then only counted."""
+    path = errors or cfg.get(ERROR_OUTPUT)
+    if not path:
+        return None
+    return J.start(bad, f"{checkpoint.rstrip('/').rsplit('/', 1)[-1]}-errors", sink="json", path=str(path), checkpoint=f"{checkpoint}-errors",
+                   trigger={"processingTime": "1 second"})
+
+
+def _watched(df: DataFrame, cfg: dict, name: str, error: bool = False) -> DataFrame:
+    """``df`` with the counters of ``stats_config`` attached and its reporter registered
+    (``enabled``, ``hostname``, ``port``, ``period_ms``; from code also a ``sender``)."""
+    stats = cfg.get(STATS_SECTION) or {}
+    if str(stats.get("enabled", "false")).lower() != "true":
+        return df
+    bad = F.count(F.when(F.col("error").isNotNull(), 1)) if error else F.lit(0).cast("bigint")
+    spark = df.sparkSession
+    query = query_name(cfg, name)
+    spark.streams.addListener(P.ProgressReporter(
+        query, int(stats.get("period_ms", 10_000)), str(stats.get("hostname", "localhost")), int(stats.get("port", 8090)),
+        tags={"application-id": app_id(cfg, name)}, sender=stats.get("sender")))
+    return P.observe_counts(df, name, sentRecords=F.count(F.lit(1)) - bad, filteredRecords=bad)
+
+
+def query_name(cfg: dict, name: str) -> str:
+    return f"{app_id(cfg, name)}.{name}"
 
 
 # --------------------------------------------------------------------------- router
+def _router_source(spark: SparkSession, cfg: dict, source: DataFrame | None) -> DataFrame:
+    return _lines_source(spark, cfg, (cfg.get("component_config") or {}).get("topic.input", ""), source)
+
+
 def build_router(spark: SparkSession, cfg, source: DataFrame | None = None) -> DataFrame:
     cfg = RU.load_config(cfg)
     comp = cfg.get("component_config") or {}
     topics = {b: comp.get(f"topic.output.{b}", b) for b in RU.ROUTER_BRANCHES}
-    lines = _lines_source(spark, cfg, comp.get("topic.input", ""), source)
-    return J.stream_router(lines, RU.router_rules(cfg), topics)
+    return J.stream_router(_router_source(spark, cfg, source), RU.router_rules(cfg), topics)
+
 
+def _run_topic(spark: SparkSession, cfg: dict, name: str, out: DataFrame, bad: DataFrame, topic: str | None, checkpoint: str | None,
+               errors: str | None, write_topic=None):
+    """Start the sink of a topic application and its error output."""
+    use_rocksdb(spark)
+    ckpt = _checkpoint(spark, cfg, name, checkpoint)
+    out = _watched(out, cfg, name)
+    _start_errors(bad, cfg, ckpt, errors)
+    if write_topic is not None:
+        return write_topic(out, ckpt)
+    return W.write_topic(out, _bootstrap(cfg), topic, checkpoint=ckpt, name=query_name(cfg, name))
 
-def run_router(spark: SparkSession, cfg):
+
+def run_router(spark: SparkSession, cfg, source: DataFrame | None = None, checkpoint: str | None = None, errors: str | None = None, write_topic=None):
+    """``write_topic(df, checkpoint)`` may replace the Kafka writer, here and below."""
     cfg = RU.load_config(cfg)
-    return W.write_topic(build_router(spark, cfg), _bootstrap(cfg), topic=None, checkpoint=J.scratch_path(spark, "router-ckpt"))
+    lines = _router_source(spark, cfg, source)
+    bad = _bad(L.explode_fields(lines, keep_bad=True), "line")
+    return _run_topic(spark, cfg, "router", build_router(spark, cfg, lines), bad, None, checkpoint, errors, write_topic)
 
 
 # --------------------------------------------------------------------------- aggregator
+def _internal(spark: SparkSession, cfg: dict, section: str, source: DataFrame | None) -> DataFrame:
+    recs = _lines_source(spark, cfg, (cfg.get(section) or {}).get("topic.input", ""), source)
+    return recs.withColumnRenamed("value", "wire")
+
+
 def build_aggregator(spark: SparkSession, cfg, source: DataFrame | None = None) -> DataFrame:
     """Internal records (router's aggregator branch) -> closed-window aggregate LP lines."""
     cfg = RU.load_config(cfg)
     ac = cfg.get("aggregation_config") or {}
-    recs = _lines_source(spark, cfg, ac.get("topic.input", ""), source)
-    fields = L.decode_internal(recs.withColumnRenamed("value", "wire"), "key", "wire")
+    fields = L.decode_internal(_internal(spark, cfg, "aggregation_config", source), "key", "wire")
     window = f"{int(ac.get('window.s', 30))} seconds"
     agg = A.aggregate(fields, RU.agg_rules(cfg), window=window, watermark=A.GRACE)
     return agg.select("key", F.col("line").alias("value"))
 
 
-def run_aggregator(spark: SparkSession, cfg):
+def run_aggregator(spark: SparkSession, cfg, source: DataFrame | None = None, checkpoint: str | None = None, errors: str | None = None, write_topic=None):
     cfg = RU.load_config(cfg)
+    bad = _bad(L.decode_internal(_internal(spark, cfg, "aggregation_config", source), "key", "wire", keep_bad=True), "wire")
     topic = (cfg.get("aggregation_config") or {}).get("topic.output")
-    return W.write_topic(build_aggregator(spark, cfg), _bootstrap(cfg), topic, checkpoint=J.scratch_path(spark, "aggregator-ckpt"))
+    return _run_topic(spark, cfg, "aggregator", build_aggregator(spark, cfg, source), bad, topic, checkpoint, errors, write_topic)
 
 
 # --------------------------------------------------------------------------- on/off detector
 def build_detector(spark: SparkSession, cfg, source: DataFrame | None = None) -> DataFrame:
     cfg = RU.load_config(cfg)
-    dc = cfg.get("detector") or {}
-    recs = _lines_source(spark, cfg, dc.get("topic.input", ""), source)
-    fields = L.decode_internal(recs.withColumnRenamed("value", "wire"), "key", "wire")
-    refresh = dc.get("refresh.period.s")
+    fields = L.decode_internal(_internal(spark, cfg, "detector", source), "key", "wire")
+    refresh = (cfg.get("detector") or {}).get("refresh.period.s")
     out = detect_changes(fields, refresh_s=int(refresh) if refresh else None)
     return out.select("key", F.col("line").alias("value"), "kind")
 
 
-def run_detector(spark: SparkSession, cfg):
+def run_detector(spark: SparkSession, cfg, source: DataFrame | None = None, checkpoint: str | None = None, errors: str | None = None, write_topic=None):
     cfg = RU.load_config(cfg)
+    bad = _bad(L.decode_internal(_internal(spark, cfg, "detector", source), "key", "wire", keep_bad=True), "wire")
     topic = (cfg.get("detector") or {}).get("topic.output")
-    return W.write_topic(build_detector(spark, cfg).drop("kind"), _bootstrap(cfg), topic, checkpoint=J.scratch_path(spark, "detector-ckpt"))
+    return _run_topic(spark, cfg, "detector", build_detector(spark, cfg, source).drop("kind"), bad, topic, checkpoint, errors, write_topic)
 
 
 # --------------------------------------------------------------------------- consumers
 def _bytes_source(spark: SparkSession, cfg: dict, source: DataFrame | None) -> DataFrame:
     if source is not None:
         return source
-    return S.read_bytes(spark, cfg.get(CONSUMER_SECTION) or {})
+    return S.read_bytes(spark, {k: v for k, v in (cfg.get(CONSUMER_SECTION) or {}).items() if k != APPLICATION_ID})
 
 
-def run_udp_consumer(spark: SparkSession, cfg, source: DataFrame | None = None, sender_factory=None):
+def run_udp_consumer(spark: SparkSession, cfg, source: DataFrame | None = None, sender_factory=None, checkpoint: str | None = None):
     """Topic -> datagrams, round robin over the configured ports, empty payloads skipped."""
     cfg = RU.load_config(cfg)
     sc = cfg.get(SENDER_SECTION) or {}
-    df = _bytes_source(spark, cfg, source)
+    df = _watched(EVT.drop_empty(_bytes_source(spark, cfg, source)), cfg, "udp-consumer")
     return W.write_udp(df, sc.get("hostname", "localhost"), str(sc.get("port", "8089")), sender_factory=sender_factory,
-                       checkpoint=J.scratch_path(spark, "udp-consumer-ckpt"))
+                       checkpoint=_checkpoint(spark, cfg, "udp-consumer", checkpoint), name=query_name(cfg, "udp-consumer"))
 
 
 def build_webhook(spark: SparkSession, cfg, source: DataFrame | None = None) -> DataFrame:
@@ -113,53 +193,87 @@ def build_webhook(spark: SparkSession, cfg, source: DataFrame | None = None) ->
     return NT.notification_text(df)
 
 
-def run_webhook(spark: SparkSession, cfg, source: DataFrame | None = None, sender_factory=None):
+def run_webhook(spark: SparkSession, cfg, source: DataFrame | None = None, sender_factory=None, checkpoint: str | None = None, errors: str | None = None):
     cfg = RU.load_config(cfg)
     url = (cfg.get(WEBHOOK_SECTION) or {}).get("url", "")
-    return W.write_webhook(build_webhook(spark, cfg, source).filter(F.col("error").isNull()), url, sender_factory=sender_factory,
-                           checkpoint=J.scratch_path(spark, "webhook-ckpt"))
+    made = build_webhook(spark, cfg, source)
+    ckpt = _checkpoint(spark, cfg, "webhook", checkpoint)
+    _start_errors(_bad(made, "value"), cfg, ckpt, errors)
+    out = _watched(made, cfg, "webhook", error=True).filter(F.col("error").isNull())
+    return W.write_webhook(out, url, sender_factory=sender_factory, checkpoint=ckpt, name=query_name(cfg, "webhook"))
 
 
 def build_email(spark: SparkSession, cfg, source: DataFrame | None = None) -> DataFrame:
     cfg = RU.load_config(cfg)
     df = _bytes_source(spark, cfg, source).withColumn("value", F.col("value").cast("string"))
-    return NT.email_messages(df)
+    return NT.email_messages(df, each=False)
 
 
-def run_email(spark: SparkSession, cfg, source: DataFrame | None = None, sender_factory=None):
+def run_email(spark: SparkSession, cfg, source: DataFrame | None = None, sender_factory=None, checkpoint: str | None = None, errors: str | None = None):
     cfg = RU.load_config(cfg)
-    return W.write_email(build_email(spark, cfg, source), cfg.get(EMAIL_SECTION) or {}, sender_factory=sender_factory,
-                         checkpoint=J.scratch_path(spark, "email-ckpt"))
+    made = build_email(spark, cfg, source)
+    ckpt = _checkpoint(spark, cfg, "email", checkpoint)
+    _start_errors(_bad(made, "value"), cfg, ckpt, errors)
+    return W.write_email(_watched(made, cfg, "email", error=True), cfg.get(EMAIL_SECTION) or {}, sender_factory=sender_factory, checkpoint=ckpt,
+                         name=query_name(cfg, "email"))
 
 
 # --------------------------------------------------------------------------- header-event apps
-def run_header_aggregator(spark: SparkSession, cfg, source: DataFrame, sender_factory=None):
+def _events_source(spark: SparkSession, cfg: dict, source: DataFrame | None) -> DataFrame:
+    """Header events: the source given, else Kafka records with headers (``input``: topic and
+    consumer settings)."""
+    if source is not None:
+        return source
+    return S.read_events(spark, "kafka", S.kafka_options({k: v for k, v in (cfg.get("input") or {}).items() if k not in ("bindaddress", "port")}))
+
+
+def run_header_aggregator(spark: SparkSession, cfg, source: DataFrame | None = None, sender_factory=None, checkpoint: str | None = None,
+                          errors: str | None = None):
     """Header events -> per-batch aggregates -> JSON events -> datagrams (window = batch interval)."""
     cfg = RU.load_config(cfg)
     rules, default = RU.metric_rules(cfg)
     out = cfg.get("output") or {}
     interval = f"{RU.header_window_seconds(cfg)} seconds"
+    events = _events_source(spark, cfg, source)
+    ckpt = _checkpoint(spark, cfg, "header-aggregator", checkpoint)
+    bad = EVT.event_points(events, rules, default)
+    _start_errors(_bad(bad.withColumn("raw", F.to_json("headers")), "raw"), cfg, ckpt, errors)
 
     def write_batch(df: DataFrame, _batch_id: int) -> None:
         js = EVT.points_to_json(df).select(F.col("json").alias("value"))
         W.write_udp(js, out.get("hostname", "localhost"), str(out.get("port", "0")), sender_factory=sender_factory, suffix="\n")
 
-    return J.start_event_aggregate_per_batch(source, rules, default, interval, write_batch)
+    return J.start_event_aggregate_per_batch(_watched(events, cfg, "header-aggregator"), rules, default, interval, write_batch,
+                                             name=query_name(cfg, "header-aggregator"), checkpoint=ckpt)
 
 
-def run_pass_through(spark: SparkSession, cfg, source: DataFrame, sender_factory=None):
+def run_pass_through(spark: SparkSession, cfg, source: DataFrame | None = None, sender_factory=None, checkpoint: str | None = None,
+                     errors: str | None = None):
     """Header events -> body bytes as datagrams (empty bodies are errors, not sent)."""
     cfg = RU.load_config(cfg)
     out = cfg.get("output") or {}
-    body = EVT.pass_body(source).filter(F.col("error").isNull()).select(F.col("payload").alias("value"))
-    return W.write_udp(body, out.get("hostname", "localhost"), str(out.get("port", "0")), sender_factory=sender_factory,
-                       checkpoint=J.scratch_path(spark, "pass-through-ckpt"))
+    made = EVT.pass_body(_events_source(spark, cfg, source))
+    ckpt = _checkpoint(spark, cfg, "pass-through", checkpoint)
+    _start_errors(_bad(made.withColumn("raw", F.to_json("headers")), "raw"), cfg, ckpt, errors)
+    body = _watched(made, cfg, "pass-through", error=True).filter(F.col("error").isNull()).select(F.col("payload").alias("value"))
+    return W.write_udp(body, out.get("hostname", "localhost"), str(out.get("port", "0")), sender_factory=sender_factory, checkpoint=ckpt,
+                       name=query_name(cfg, "pass-through"))
 
 
-def run_http_sink(spark: SparkSession, url: str, batch_size: int, source: DataFrame, sender_factory=None):
+def run_http_sink(spark: SparkSession, url: str, batch_size: int, source: DataFrame, sender_factory=None, cfg: dict | None = None,
+                  checkpoint: str | None = None):
     """LP records -> batched HTTP writes (only 200/204 commit)."""
-    return W.write_http(source.select("value"), url, batch_size, sender_factory=sender_factory,
-                        checkpoint=J.scratch_path(spark, "http-sink-ckpt"))
+    cfg = cfg or {}
+    return W.write_http(_watched(source.select("value"), cfg, "http-sink"), url, batch_size, sender_factory=sender_factory,
+                        checkpoint=_checkpoint(spark, cfg, "http-sink", checkpoint), name=query_name(cfg, "http-sink"))
+
+
+def run_http_sink_from_config(spark: SparkSession, cfg, source: DataFrame | None = None, sender_factory=None, checkpoint: str | None = None):
+    """The HTTP sink from YAML: ``output`` has ``url`` and ``batchsize``, ``kafka_config`` the input."""
+    cfg = RU.load_config(cfg)
+    out = cfg.get("output") or {}
+    lines = _lines_source(spark, cfg, str(out.get("topic.input", "")), source)
+    return run_http_sink(spark, str(out.get("url", "")), int(out.get("batchsize", 500_000)), lines, sender_factory, cfg, checkpoint)
 
 
 APPS = {
@@ -169,6 +283,9 @@ APPS = {
     "udp-consumer": run_udp_consumer,
     "webhook-consumer": run_webhook,
     "email-consumer": run_email,
+    "header-aggregator": run_header_aggregator,
+    "pass-through": run_pass_through,
+    "http-sink": run_http_sink_from_config,
 }
 
 

@@ -571,7 +571,7 @@ _CD_TS = "CAST(CAST(trunc((epoch_us(ts) / 1e6) * 1e9) AS BIGINT) AS VARCHAR)"
     CASE WHEN event_type = 'error' THEN NULL ELSE """ + _CD_TS + """ END,
     CASE WHEN event_type = 'error' THEN NULL ELSE CAST(k AS VARCHAR) END,
     CASE WHEN event_type = 'error' THEN NULL ELSE 'long' END,
-    CASE WHEN event_type = 'error' THEN 'type not match: histogram' END FROM ev)
+    CASE WHEN event_type = 'error' THEN 'unsupported value type: histogram' END FROM ev)
 SELECT * FROM c""",
 )
 def q_collectd(spark, sf_dir):
@@ -625,7 +625,7 @@ q AS (
       WHEN ks THEN '|tag_shard:' || tag_shard
       WHEN ku THEN '|tag_user:' || tag_user ELSE '' END END AS metric_key,
     CASE WHEN name IS NULL THEN NULL ELSE value END AS value,
-    CASE WHEN name IS NULL THEN 'no name field' END AS error
+    CASE WHEN name IS NULL THEN 'event has no name header' END AS error
   FROM p WHERE fn IS NOT NULL OR name IS NULL)"""
     )
 
@@ -704,7 +704,7 @@ SELECT event_id AS src_offset, event_type || ' u' || CAST(user_id AS VARCHAR) AS
 UNION ALL SELECT event_id, event_type || ' u' || CAST(user_id AS VARCHAR), 'value=' || CAST(value AS VARCHAR),
   's' || CAST(shard AS VARCHAR) || '@example.org', NULL FROM m WHERE event_type = 'purchase'
 UNION ALL SELECT event_id, event_type || ' u' || CAST(user_id AS VARCHAR), NULL, NULL,
-  '''body'', ''subject'' or ''to_addresses'' missing' FROM m WHERE event_type = 'signup'""",
+  'mail lacks a required key' FROM m WHERE event_type = 'signup'""",
 )
 def q_email_rows(spark, sf_dir):
     return NT.email_messages(fx.emails(spark, sf_dir)).select("src_offset", "subject", "body", "address", "error")

@@ -3,43 +3,58 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 
 
-def get_session(master: str | None = None, partitions: int = 8, app: str = "pulsegrid",
+def get_session(master: str | None = None, partitions: int | None = None, app: str = "pulsegrid",
                 checkpoint_dir: str | None = None) -> SparkSession:
-    """Build (or reuse) a session. On a cluster the master, sizes and
-    ``spark.checkpoint.dir`` come from spark-submit; locally (tests, bench) we
-    name a checkpoint folder ourselves when none is given."""
+    """Build (or reuse) a session. What spark-submit or the caller's configuration sets is
+    left alone: on a cluster the master, all sizes and ``spark.checkpoint.dir`` come from
+    there. Only a local master (tests, bench) gets a partition count, a driver heap and a
+    checkpoint folder here."""
+    given = SparkConf()
+    local = (master or given.get("spark.master", "")).startswith("local")
+    wanted = {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+        CHANGELOG: "true",
+        "spark.ui.enabled": "false",
+    }
+    if local:
+        wanted["spark.sql.shuffle.partitions"] = str(partitions or 8)
+        # local mode runs everything in the driver JVM; Spark's 1 GB default heap
+        # turns a long session into a GC-bound one
+        wanted["spark.driver.memory"] = os.environ.get("PULSEGRID_DRIVER_MEMORY", "16g")
+        if not is_cluster(master or given.get("spark.master", "")):
+            wanted["spark.checkpoint.dir"] = checkpoint_dir or tempfile.mkdtemp(prefix="pulsegrid-ckpt-")
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    b = (
-        b.config("spark.sql.shuffle.partitions", str(partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-        .config("spark.ui.enabled", "false")
-    )
-    if (master or "").startswith("local"):
-        # local mode runs everything in the driver JVM; Spark's 1 GB default heap
-        # turns a long session into a GC-bound one
-        b = b.config("spark.driver.memory", os.environ.get("PULSEGRID_DRIVER_MEMORY", "16g"))
-    if checkpoint_dir or (master or "").startswith("local"):
-        b = b.config("spark.checkpoint.dir", checkpoint_dir or tempfile.mkdtemp(prefix="pulsegrid-ckpt-"))
+    for k, v in wanted.items():
+        if not given.contains(k):
+            b = b.config(k, v)
+    if checkpoint_dir:
+        b = b.config("spark.checkpoint.dir", checkpoint_dir)
+    if partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(partitions))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+def is_cluster(master: str) -> bool:
+    """Whether executors are other processes, which don't see the driver's own folders."""
+    return not master.startswith("local") or master.startswith("local-cluster")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir`` (read from the
     session). Only when nothing is configured (a local run) do we pick a folder."""
@@ -50,7 +65,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         if cur.isDefined():
             root = cur.get()
     if not root:
-        if not sc.master.startswith("local"):
+        if is_cluster(sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="pulsegrid-ckpt-")
     if sc._jsc.sc().getCheckpointDir().isEmpty():
@@ -64,7 +79,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def app_checkpoint(spark: SparkSession, app_id: str, job: str) -> str:
+    """The checkpoint of one job of an application, the same at every start: a restarted
+    application goes on from its offsets and state."""
+    safe = re.sub(r"[^A-Za-z0-9_.-]", "_", app_id) or "app"
+    return f"{checkpoint_root(spark).rstrip('/')}/{safe}/{job}"
+
+
 def use_rocksdb(spark: SparkSession) -> None:
     """Stateful operators in this package expect the RocksDB state store (spills, changelog)."""
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    if spark.conf.get(CHANGELOG, "false") != "true":
+        spark.conf.set(CHANGELOG, "true")

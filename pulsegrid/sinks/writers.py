@@ -13,10 +13,9 @@ micro-batch from the checkpoint (at-least-once), like the reference's rollback.
 
 from __future__ import annotations
 
-import json
 import logging
-import os
 import socket
+import urllib.error
 import urllib.request
 
 from pyspark.sql import DataFrame
@@ -48,87 +47,42 @@ class UdpSender:
 class HttpSender:
     def post(self, url: str, body: bytes, content_type: str = "text/plain") -> int:
         req = urllib.request.Request(url, data=body, method="POST", headers={"Content-Type": content_type})
-        with urllib.request.urlopen(req, timeout=30) as resp:  # noqa: S310 - configured endpoint
-            return resp.status
+        try:
+            with urllib.request.urlopen(req, timeout=30) as resp:  # noqa: S310 - configured endpoint
+                return resp.status
+        except urllib.error.HTTPError as e:  # an answer, not a failure of the connection
+            return e.code
 
     def close(self) -> None:
         pass
 
 
 class SmtpSender:
+    """One connection per partition; ``tls: true`` in the configuration asks for STARTTLS."""
+
     def __init__(self, cfg: dict):
         import smtplib
 
-        self.cfg = cfg
         self.smtp = smtplib.SMTP(cfg["hostname"], int(cfg.get("port", 25)))
-        if cfg.get("username"):
+        if str(cfg.get("tls", "false")).lower() == "true":
             self.smtp.starttls()
+        if cfg.get("username"):
             self.smtp.login(cfg["username"], cfg.get("password", ""))
 
-    def send(self, sender: str, to: str, subject: str, body: str) -> None:
+    def send(self, sender: str, to: list[str], subject: str, body: str) -> None:
         from email.message import EmailMessage
 
         m = EmailMessage()
-        m["From"], m["To"], m["Subject"] = sender, to, subject
+        m["From"], m["To"], m["Subject"] = sender, ", ".join(to), subject
         m.set_content(body)
-        self.smtp.send_message(m)
+        self.smtp.send_message(m, to_addrs=list(to))
 
     def close(self) -> None:
         self.smtp.quit()
 
 
-class FileRecorder:
-    """Test sender: appends every call as one JSON line to a file per partition
-    under ``folder`` (workers are separate processes, so memory is not shared)."""
-
-    def __init__(self, folder: str):
-        os.makedirs(folder, exist_ok=True)
-        self.path = os.path.join(folder, f"part-{os.getpid()}-{id(self)}.jsonl")
-        self.fh = open(self.path, "a", encoding="utf-8")  # noqa: SIM115
-        self.status = 200
-
-    def _rec(self, **kw) -> None:
-        self.fh.write(json.dumps(kw) + "\n")
-        self.fh.flush()
-
-    def send(self, *args) -> None:
-        if args and isinstance(args[0], (bytes, bytearray)):
-            payload, host, port = args
-            self._rec(kind="udp", payload=payload.decode("utf-8"), host=host, port=port)
-        else:
-            frm, to, subject, body = args
-            self._rec(kind="mail", sender=frm, to=to, subject=subject, body=body)
-
-    def post(self, url: str, body: bytes, content_type: str = "text/plain") -> int:
-        self._rec(kind="http", url=url, body=body.decode("utf-8"), content_type=content_type)
-        return self.status
-
-    def close(self) -> None:
-        self.fh.close()
-
-
-class RecorderFactory:
-    """Picklable factory of ``FileRecorder`` senders (one per partition)."""
-
-    def __init__(self, folder: str, status: int = 200):
-        self.folder, self.status = folder, status
-
-    def __call__(self) -> FileRecorder:
-        r = FileRecorder(self.folder)
-        r.status = self.status
-        return r
-
-
-def read_recorded(folder: str) -> list[dict]:
-    out = []
-    for name in sorted(os.listdir(folder)):
-        with open(os.path.join(folder, name), encoding="utf-8") as fh:
-            out.extend(json.loads(x) for x in fh if x.strip())
-    return out
-
-
 # --------------------------------------------------------------------------- helpers
-def _for_each(df: DataFrame, fn, checkpoint: str | None = None, trigger: dict | None = None):
+def _for_each(df: DataFrame, fn, checkpoint: str | None = None, trigger: dict | None = None, name: str | None = None):
     """Run ``fn(partition_rows)`` on every partition of a batch DataFrame, or of
     every micro-batch of a streaming one (returns the started query)."""
     if not df.isStreaming:
@@ -137,12 +91,14 @@ def _for_each(df: DataFrame, fn, checkpoint: str | None = None, trigger: dict |
     w = df.writeStream.foreachBatch(lambda b, _id: b.foreachPartition(fn))
     if checkpoint:
         w = w.option("checkpointLocation", checkpoint)
+    if name:
+        w = w.queryName(name)
     return w.trigger(**(trigger or {"processingTime": "1 second"})).start()
 
 
 # --------------------------------------------------------------------------- K1 K2
 def write_topic(df: DataFrame, bootstrap: str, topic: str | None = None, checkpoint: str | None = None,
-                options: dict | None = None):
+                options: dict | None = None, name: str | None = None):
     """K1/K2: ``key``/``value`` (and per-row ``topic`` when ``topic`` is None) to Kafka."""
     cols = [F.col("key").cast("string"), F.col("value").cast("string")]
     if topic is None:
@@ -154,6 +110,8 @@ def write_topic(df: DataFrame, bootstrap: str, topic: str | None = None, checkpo
             w = w.option("topic", topic)
         if checkpoint:
             w = w.option("checkpointLocation", checkpoint)
+        if name:
+            w = w.queryName(name)
         for k, v in (options or {}).items():
             w = w.option(k, v)
         return w.start()
@@ -187,9 +145,9 @@ def udp_partition_writer(host: str, ports, value_col: str = "value", sender_fact
 
 
 def write_udp(df: DataFrame, host: str, ports, value_col: str = "value", sender_factory=None, suffix: str = "",
-              checkpoint: str | None = None, trigger: dict | None = None):
+              checkpoint: str | None = None, trigger: dict | None = None, name: str | None = None):
     """K3/K4: one datagram per record (UTF-8 bytes, D17), ports used round robin per partition."""
-    return _for_each(df.select(value_col), udp_partition_writer(host, ports, value_col, sender_factory, suffix), checkpoint, trigger)
+    return _for_each(df.select(value_col), udp_partition_writer(host, ports, value_col, sender_factory, suffix), checkpoint, trigger, name)
 
 
 # --------------------------------------------------------------------------- K5
@@ -229,10 +187,10 @@ def http_partition_writer(url: str, batch_size: int = 500_000, value_col: str =
 
 
 def write_http(df: DataFrame, url: str, batch_size: int = 500_000, value_col: str = "value", sender_factory=None,
-               checkpoint: str | None = None, trigger: dict | None = None):
+               checkpoint: str | None = None, trigger: dict | None = None, name: str | None = None):
     """K5: up to ``batch_size`` bodies joined by newlines per POST; any status other than
     200/204 or an I/O error fails the task (retry / replay)."""
-    return _for_each(df.select(value_col), http_partition_writer(url, batch_size, value_col, sender_factory), checkpoint, trigger)
+    return _for_each(df.select(value_col), http_partition_writer(url, batch_size, value_col, sender_factory), checkpoint, trigger, name)
 
 
 # --------------------------------------------------------------------------- K6
@@ -254,39 +212,51 @@ def webhook_partition_writer(url: str, text_col: str = "text", sender_factory=No
 
 
 def write_webhook(df: DataFrame, url: str, text_col: str = "text", sender_factory=None,
-                  checkpoint: str | None = None, trigger: dict | None = None):
+                  checkpoint: str | None = None, trigger: dict | None = None, name: str | None = None):
     """K6: POST each ``{"text": ...}`` JSON (P25 output); a non-200 answer is logged."""
-    return _for_each(df.select(text_col), webhook_partition_writer(url, text_col, sender_factory), checkpoint, trigger)
+    return _for_each(df.select(text_col), webhook_partition_writer(url, text_col, sender_factory), checkpoint, trigger, name)
 
 
 # --------------------------------------------------------------------------- K7
 def email_partition_writer(smtp_cfg: dict, sender_factory=None):
     def write(rows) -> None:
-        sender = sender_factory() if sender_factory else SmtpSender(smtp_cfg)
+        sender = None
         try:
             for r in rows:
-                if r["address"] is None:
+                to = [a for a in (r["addresses"] or []) if a]
+                if not to:
                     continue
                 try:
-                    sender.send(smtp_cfg.get("from", ""), r["address"], r["subject"], r["body"])
-                except Exception as e:  # noqa: BLE001 - the reference logs and continues
-                    log.error("mail to %s failed: %s", r["address"], e)
+                    if sender is None:
+                        sender = sender_factory() if sender_factory else SmtpSender(smtp_cfg)
+                    sender.send(smtp_cfg.get("from", ""), to, r["subject"], r["body"])
+                except Exception as e:  # noqa: BLE001 - a mail that fails is logged, the others go on
+                    log.error("mail to %s failed: %s", ", ".join(to), e)
         finally:
-            sender.close()
+            if sender is not None:
+                sender.close()
 
     return write
 
 
-def write_email(df: DataFrame, smtp_cfg: dict, sender_factory=None, checkpoint: str | None = None, trigger: dict | None = None):
-    """K7: one message per (subject, body, address) row (P26 output)."""
+def write_email(df: DataFrame, smtp_cfg: dict, sender_factory=None, checkpoint: str | None = None, trigger: dict | None = None, name: str | None = None):
+    """K7: one message per row to all its ``addresses`` (an array, or one ``address``)."""
     rows = df.filter(F.col("error").isNull()) if "error" in df.columns else df
-    return _for_each(rows.select("subject", "body", "address"), email_partition_writer(smtp_cfg, sender_factory), checkpoint, trigger)
+    to = F.col("addresses") if "addresses" in df.columns else F.array("address")
+    return _for_each(rows.select("subject", "body", to.alias("addresses")), email_partition_writer(smtp_cfg, sender_factory), checkpoint, trigger, name)
 
 
 # --------------------------------------------------------------------------- K8
-def write_console(df: DataFrame, n: int = 20, truncate: bool = False):
-    """K8: print to the driver console (streaming: console sink)."""
-    if df.isStreaming:
-        return df.writeStream.format("console").option("truncate", str(truncate).lower()).start()
-    df.show(n, truncate=truncate)
-    return None
+def write_console(df: DataFrame, value_col: str | None = None, checkpoint: str | None = None, trigger: dict | None = None):
+    """K8: print every row on the driver, one partition in hand at a time: ``value_col``, or
+    the whole row."""
+    def show(batch: DataFrame, _id: int = 0) -> None:
+        for r in batch.toLocalIterator():
+            print(r[value_col] if value_col else ", ".join(f"{k}={v}" for k, v in r.asDict().items()), flush=True)
+
+    if not df.isStreaming:
+        return show(df)
+    w = df.writeStream.foreachBatch(show)
+    if checkpoint:
+        w = w.option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"processingTime": "1 second"})).start()

@@ -23,8 +23,8 @@ AGG_FUNCTIONS = ("avg", "sum", "min", "max")
 DEFAULT_KEY = "default"
 HEADER_SECTIONS = ("general", "input", "output")
 
-# Above this many rows a rule table is joined with a shuffle instead of broadcast.
-MAX_BROADCAST_RULES = 2_000_000
+# Above this many bytes a rule table is joined with a shuffle instead of broadcast.
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def load_config(cfg) -> dict:
@@ -51,7 +51,15 @@ class RuleTable:
 
     def df(self, spark: SparkSession) -> DataFrame:
         d = spark.createDataFrame(list(self.rows), self.schema)
-        return F.broadcast(d) if len(self.rows) <= MAX_BROADCAST_RULES else d
+        return F.broadcast(d) if self.size_bytes <= MAX_BROADCAST_BYTES else d
+
+    @property
+    def size_bytes(self) -> int:
+        """Bytes of all rule texts and tag lists, with 16 a value for Spark's row format."""
+        def size(v) -> int:
+            return 16 + (sum(map(size, v)) if isinstance(v, (list, tuple)) else len(str(v or "").encode("utf-8")))
+
+        return sum(size(r) for r in self.rows)
 
 
 ROUTER_SCHEMA = T.StructType(
@@ -159,6 +167,8 @@ def metric_rules(cfg, require_sections: bool = True) -> tuple[RuleTable, RuleTab
     for fn, entries in functs.items():
         if fn == DEFAULT_KEY:
             continue
+        if fn not in AGG_FUNCTIONS:
+            raise ValueError(f"aggr_functs: unknown function {fn!r}")
         for e in entries or []:
             if "metricname" not in e:
                 raise ValueError(f"aggr_functs.{fn}: entry without metricname: {e!r}")
@@ -167,6 +177,8 @@ def metric_rules(cfg, require_sections: bool = True) -> tuple[RuleTable, RuleTab
         d = functs[DEFAULT_KEY] or {}
         if "function" not in d:
             raise ValueError("aggr_functs.default without function")
+        if str(d["function"]) not in AGG_FUNCTIONS:
+            raise ValueError(f"aggr_functs.default: unknown function {d['function']!r}")
         default_rows.append((DEFAULT_KEY, str(d["function"]), [str(t) for t in (d.get("removetags") or [])]))
     rows = tuple((m, f, r) for (m, f), r in compiled.items())
     return RuleTable(rows, METRIC_SCHEMA), RuleTable(tuple(default_rows), METRIC_SCHEMA)

@@ -19,28 +19,35 @@ CONSUMER_OPTION_MAP = {
     "fetch.min.bytes": "kafka.fetch.min.bytes",
     "receive.buffer.bytes": "kafka.receive.buffer.bytes",
     "max.poll.records": "maxOffsetsPerTrigger",
+    "fail.on.data.loss": "failOnDataLoss",
 }
+# Fixed value: the reference's bound of one poll; here of one micro-batch.
+MAX_POLL_RECORDS = 1_000_000
 OFFSET_RESET = {"latest": "latest", "earliest": "earliest"}
 
 RECORD_COLUMNS = ["key", "value", "event_ts", "src_partition", "src_offset"]
 
 
 def kafka_options(consumer_cfg: dict, topic: str | None = None) -> dict:
-    """S3: reference consumer config -> Spark Kafka source options."""
+    """S3: reference consumer config -> Spark Kafka source options.
+
+    Lost offsets fail the query unless ``fail.on.data.loss`` is set to false, and a
+    micro-batch holds at most ``max.poll.records`` records."""
     opts = {}
     for k, v in consumer_cfg.items():
         if k in CONSUMER_OPTION_MAP:
-            opts[CONSUMER_OPTION_MAP[k]] = str(v)
+            opts[CONSUMER_OPTION_MAP[k]] = str(v).lower() if isinstance(v, bool) else str(v)
         elif k == "auto.offset.reset":
             opts["startingOffsets"] = OFFSET_RESET.get(str(v), "latest")
         elif k == "topic":
             opts["subscribe"] = str(v)
-        elif k not in ("topic",):
+        else:
             opts[f"kafka.{k}"] = str(v)
     if topic:
         opts["subscribe"] = topic
     opts.setdefault("startingOffsets", "latest")
-    opts.setdefault("failOnDataLoss", "false")
+    opts.setdefault("failOnDataLoss", "true")
+    opts.setdefault("maxOffsetsPerTrigger", str(MAX_POLL_RECORDS))
     return opts
 
 

@@ -39,7 +39,16 @@ def _head(measurement: str, tags: str) -> str:
     return measurement if not tags else f"{measurement},{tags}"
 
 
-class ChangeProcessor(StatefulProcessor):
+class _Ticks(StatefulProcessor):
+    """Refresh ticks on the wall clock: ticks missed in a pause are not made up for."""
+
+    refresh_ms: int | None
+
+    def next_tick(self, timerValues) -> int:
+        return (timerValues.getCurrentProcessingTimeInMs() // self.refresh_ms + 1) * self.refresh_ms
+
+
+class ChangeProcessor(_Ticks):
     """Emit a row when a series is new or its value text differs from the stored one."""
 
     def __init__(self, refresh_ms: int | None = None, ttl_ms: int | None = None):
@@ -61,8 +70,7 @@ class ChangeProcessor(StatefulProcessor):
         tail = pdf.iloc[-1]
         self.last.update((tail["measurement"], tail["tags"], tail["field"], tail["value"]))
         if self.refresh_ms and stored is None and not list(self.handle.listTimers()):
-            now = timerValues.getCurrentProcessingTimeInMs()
-            self.handle.registerTimer((now // self.refresh_ms) * self.refresh_ms + self.refresh_ms)
+            self.handle.registerTimer(self.next_tick(timerValues))
         if len(out):
             heads = [_head(m, t) for m, t in zip(out["measurement"], out["tags"])]
             ts = out["ts_ns"]
@@ -87,11 +95,10 @@ class ChangeProcessor(StatefulProcessor):
             )[_COLS]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        t = expiredTimerInfo.getExpiryTimeInMs()
-        if self.refresh_ms:
-            self.handle.registerTimer(t + self.refresh_ms)
         if not self.last.exists():
-            return
+            return  # expired state: its timer ends with it
+        t = self.next_tick(timerValues) - self.refresh_ms
+        self.handle.registerTimer(t + self.refresh_ms)
         m, tags, f, v = self.last.get()
         series = key[0]
         yield pd.DataFrame(
@@ -114,7 +121,7 @@ class ChangeProcessor(StatefulProcessor):
         pass
 
 
-class ChangeRowProcessor(StatefulProcessor):
+class ChangeRowProcessor(_Ticks):
     """Row-based form of ``ChangeProcessor`` (``transformWithState``): no pandas frame per
     series, which matters when a micro-batch touches many small series."""
 
@@ -146,18 +153,16 @@ class ChangeRowProcessor(StatefulProcessor):
         tail = batch[-1]
         self.last.update((tail["measurement"], tail["tags"], tail["field"], tail["value"]))
         if self.refresh_ms and stored is None:
-            now = timerValues.getCurrentProcessingTimeInMs()
-            self.handle.registerTimer((now // self.refresh_ms) * self.refresh_ms + self.refresh_ms)
+            self.handle.registerTimer(self.next_tick(timerValues))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         from pyspark.sql import Row
 
-        t = expiredTimerInfo.getExpiryTimeInMs()
-        if self.refresh_ms:
-            self.handle.registerTimer(t + self.refresh_ms)
         stored = self.last.get()
         if stored is None:
-            return
+            return  # expired state: its timer ends with it
+        t = self.next_tick(timerValues) - self.refresh_ms
+        self.handle.registerTimer(t + self.refresh_ms)
         m, tags, f, v = stored
         series = key[0]
         yield Row(kind="refresh", key=series, series=series, measurement=m, tags=tags, field=f, value=v,

@@ -15,7 +15,7 @@ from ..functions import lines as L
 from ..operators import aggregate as A
 from ..operators import events as EVT
 from ..operators import route as R
-from ..session import scratch_path, use_rocksdb
+from ..session import app_checkpoint, scratch_path, use_rocksdb
 from ..sources.rules import RuleTable
 from .detector import detect_changes
 
@@ -48,19 +48,15 @@ def stream_event_aggregate(events: DataFrame, rules: RuleTable, default: RuleTab
 def aggregate_micro_batch(points: DataFrame, batch_time_ns: int) -> DataFrame:
     """A6/T6 on one micro-batch (window = slide = batch interval), stamped with the batch time (D2 fixed)."""
     ok = points.filter(F.col("error").isNull()) if "error" in points.columns else points
-    g = ok.groupBy("fn", "metric_key").agg(
-        F.avg("value").alias("_avg"), F.sum("value").alias("_sum"), F.min("value").alias("_min"), F.max("value").alias("_max")
-    )
-    fn = F.col("fn")
-    value = F.when(fn == "avg", F.col("_avg")).when(fn == "sum", F.col("_sum")).when(fn == "min", F.col("_min")).otherwise(F.col("_max"))
-    return g.select("fn", "metric_key", F.lit(int(batch_time_ns)).alias("window_end_ns"), value.alias("value"))
+    g = ok.groupBy("fn", "metric_key").agg(*A.aggregates("value"))
+    return g.select("fn", "metric_key", F.lit(int(batch_time_ns)).alias("window_end_ns"), A.picked().alias("value"))
 
 
 def start_event_aggregate_per_batch(events: DataFrame, rules: RuleTable, default: RuleTable | None, interval: str,
                                     write_batch, name: str = "header_aggregator", checkpoint: str | None = None):
     """The header-event aggregator on processing time. Every trigger interval the
-    micro-batch's points are aggregated and handed to ``write_batch(df, batch_id)``
-    (e.g. ``points_to_json`` + ``write_udp``)."""
+    micro-batch's points are aggregated, stamped with the time at which the batch was
+    closed, and handed to ``write_batch(df, batch_id)`` (e.g. ``points_to_json`` + ``write_udp``)."""
     import time as _time
 
     pts = EVT.event_points(events, rules, default)
@@ -68,7 +64,7 @@ def start_event_aggregate_per_batch(events: DataFrame, rules: RuleTable, default
     def each(batch: DataFrame, batch_id: int) -> None:
         write_batch(aggregate_micro_batch(batch, _time.time_ns()), batch_id)
 
-    ckpt = checkpoint or scratch_path(events.sparkSession, f"{name}-ckpt")
+    ckpt = checkpoint or app_checkpoint(events.sparkSession, name, "aggregate")
     return (
         pts.writeStream.queryName(name).foreachBatch(each).option("checkpointLocation", ckpt)
         .trigger(processingTime=interval).start()
@@ -80,7 +76,7 @@ def start(df: DataFrame, name: str, sink: str = "parquet", path: str | None = No
     """Start a query with its checkpoint under ``spark.checkpoint.dir``."""
     spark = df.sparkSession
     use_rocksdb(spark)
-    ckpt = checkpoint or scratch_path(spark, f"{name}-ckpt")
+    ckpt = checkpoint or app_checkpoint(spark, name, "query")
     w = df.writeStream.queryName(name).outputMode(mode).option("checkpointLocation", ckpt)
     for k, v in (options or {}).items():
         w = w.option(k, v)
@@ -95,17 +91,8 @@ def run_to_table(df: DataFrame, name: str) -> DataFrame:
     shared checkpoint root and return the result as a batch DataFrame."""
     spark: SparkSession = df.sparkSession
     out = scratch_path(spark, f"{name}-out")
-    # one state partition per core for this run (the count is fixed in the checkpoint
-    # when the query starts); the session's own setting is restored afterwards
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    cores = spark.sparkContext.defaultParallelism
-    if int(before) > cores:
-        spark.conf.set(key, str(cores))
-    try:
-        q = start(df, name, sink="parquet", path=out)
-    finally:
-        spark.conf.set(key, before)
+    # a run of its own: it ends with its input, so nothing is taken up again
+    q = start(df, name, sink="parquet", path=out, checkpoint=scratch_path(spark, f"{name}-ckpt"))
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

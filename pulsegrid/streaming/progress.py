@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import socket
 import time
+from collections import deque
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,7 +48,7 @@ class ProgressReporter(StreamingQueryListener):
         self.tags.setdefault("hostname", socket.gethostname())
         self.sender = sender
         self.last_ms = 0
-        self.lines: list[str] = []
+        self.lines: deque[str] = deque(maxlen=100)  # the latest, for a look from outside
 
     def onQueryStarted(self, event) -> None:
         pass

@@ -4,6 +4,7 @@ import json
 import os
 import time
 
+import recorders
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import lines as L
@@ -61,10 +62,10 @@ def test_http_sink_app(spark, tmpdir_fresh):
     _records(src, [(None, "m f=1"), (None, "m f=2"), (None, "m f=3")])
     s = spark.readStream.schema(REC).json(src)
     rec = os.path.join(tmpdir_fresh, "rec")
-    q = apps.run_http_sink(spark, "http://db/write", 2, s, sender_factory=W.RecorderFactory(rec))
+    q = apps.run_http_sink(spark, "http://db/write", 2, s, sender_factory=recorders.RecorderFactory(rec))
     q.processAllAvailable()
     q.stop()
-    bodies = [r["body"] for r in W.read_recorded(rec)]
+    bodies = [r["body"] for r in recorders.read_recorded(rec)]
     assert sorted(x for b in bodies for x in b.split("\n")) == ["m f=1", "m f=2", "m f=3"]
     assert all(len(b.split("\n")) <= 2 for b in bodies)
 
@@ -76,15 +77,15 @@ def test_header_aggregator_app(spark, tmpdir_fresh):
     s = spark.readStream.schema(he.schema).parquet(src)
     rec = os.path.join(tmpdir_fresh, "rec")
     cfg = dict(configs.HEADER_MINMAX, general={"window": 1})
-    q = apps.run_header_aggregator(spark, cfg, s, sender_factory=W.RecorderFactory(rec))
+    q = apps.run_header_aggregator(spark, cfg, s, sender_factory=recorders.RecorderFactory(rec))
     deadline = time.time() + 120
-    while time.time() < deadline and not (os.path.isdir(rec) and W.read_recorded(rec)):
+    while time.time() < deadline and not (os.path.isdir(rec) and recorders.read_recorded(rec)):
         time.sleep(0.5)
     q.processAllAvailable()
     q.stop()
-    got = [json.loads(r["payload"]) for r in W.read_recorded(rec)]
+    got = [json.loads(r["payload"]) for r in recorders.read_recorded(rec)]
     assert got and all(g["headers"]["name"].endswith("_aggr") and g["body"] == "" for g in got)
-    assert all(r["payload"].endswith("\n") for r in W.read_recorded(rec))
+    assert all(r["payload"].endswith("\n") for r in recorders.read_recorded(rec))
 
 
 def test_stream_event_aggregate_matches_batch_closed_windows(spark, tmpdir_fresh):

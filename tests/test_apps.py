@@ -3,6 +3,7 @@
 import json
 import os
 
+import recorders
 from pulsegrid.plans import apps
 from pulsegrid.sinks import writers as W
 from pulsegrid.streaming import jobs as SJ
@@ -70,10 +71,10 @@ def test_webhook_app(spark, tmpdir_fresh):
         fh.write(json.dumps({"value": '{"nothing":1}'}) + "\n")
     s = spark.readStream.schema("value string").json(src)
     rec = os.path.join(tmpdir_fresh, "rec")
-    q = apps.run_webhook(spark, {apps.WEBHOOK_SECTION: {"url": "https://hook"}}, source=s, sender_factory=W.RecorderFactory(rec))
+    q = apps.run_webhook(spark, {apps.WEBHOOK_SECTION: {"url": "https://hook"}}, source=s, sender_factory=recorders.RecorderFactory(rec))
     q.processAllAvailable()
     q.stop()
-    assert [json.loads(r["body"]) for r in W.read_recorded(rec)] == [{"text": "disk full\nsda"}]
+    assert [json.loads(r["body"]) for r in recorders.read_recorded(rec)] == [{"text": "disk full\nsda"}]
 
 
 def test_pass_through_sends_bodies(spark, tmpdir_fresh):
@@ -83,8 +84,8 @@ def test_pass_through_sends_bodies(spark, tmpdir_fresh):
     spark.createDataFrame(rows, "headers map<string,string>, body binary").write.parquet(src)
     s = spark.readStream.schema("headers map<string,string>, body binary").parquet(src)
     rec = os.path.join(tmpdir_fresh, "rec")
-    q = apps.run_pass_through(spark, {"output": {"hostname": "h", "port": 8089}}, s, sender_factory=W.RecorderFactory(rec))
+    q = apps.run_pass_through(spark, {"output": {"hostname": "h", "port": 8089}}, s, sender_factory=recorders.RecorderFactory(rec))
     q.processAllAvailable()
     q.stop()
-    got = sorted(r["payload"] for r in W.read_recorded(rec))
+    got = sorted(r["payload"] for r in recorders.read_recorded(rec))
     assert got == sorted(f"m v={i}i" for i in range(10))

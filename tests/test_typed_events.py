@@ -54,7 +54,7 @@ def test_events_to_lines_edges(spark):
     assert got[0] == ('cpu,cpu=c1,host=h1 n=3i,s="up",usage_idle=0.98 1519751192000000000', None)
     assert got[1] == (None, "no name header")
     assert got[2] == (None, "no value fields")
-    assert got[3] == (None, "timestamp must be in nanoseconds")
+    assert got[3] == (None, "timestamp below the nanosecond range")
     assert got[4] == ("x v=1i", None)
 
 
@@ -64,7 +64,7 @@ def test_json_event_source(spark):
     got = rows(EVT.parse_json_events(df).orderBy("event_pos"), "headers", "error")
     assert got[0][0] == {"test": "testValue", "n": "5", "o": '{"a":1}'} and got[0][1] is None
     assert got[1] == (None, "no headers object")
-    assert got[2] == (None, "event too large")
+    assert got[2] == (None, "event over the size limit")
 
 
 def test_event_points_default_and_metric_key(spark):
@@ -81,7 +81,7 @@ def test_event_points_default_and_metric_key(spark):
     assert ("max", "m1|tag_host:h,tag_path:/abc", 2.0, None) in got
     assert ("sum", "m1", 2.0, None) in got
     assert ("avg", "otherx|tag_z:1", 1.5, None) in got
-    assert (None, None, None, "value_value is not a number") in got
+    assert (None, None, None, "value header is not numeric") in got
 
 
 def test_points_json(spark):
@@ -102,7 +102,7 @@ def test_collectd_readme_sample_and_bad(spark):
     assert got[0][0] == {"tag_instance": "dev_sda1", "tag_type": "disk_octets", "timestamp": "1520605461795000064",
                          "tag_host": "h", "value_value": "24125440", "name": "disk_read", "type_value": "long"}
     assert got[1][0]["name"] == "disk_write" and "tag_type_instance" not in got[1][0]
-    assert got[2] == (None, "value-type-name array size mismatch")
-    assert got[3] == (None, "host invalid")
+    assert got[2] == (None, "counts of values, types and names differ")
+    assert got[3] == (None, "empty host")
     assert got[4][0]["value_value"] == "1.5" and got[4][0]["type_value"] == "double"
-    assert got[5] == (None, "type not match: weird")
+    assert got[5] == (None, "unsupported value type: weird")
