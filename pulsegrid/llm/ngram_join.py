@@ -12,7 +12,9 @@ as far as a pair can still reach the similarity. A pair of sets of sizes a and b
    i and another at place j, at most min(a - i, b - j) n-grams can still be shared, and pairs
    below need(a, b) are discarded. A column of up to ``SHORT`` classes gives all its pairs, a
    longer one only the pairs with its most central class (the least place).
-4. Candidates are verified on whole sets and linked ones put into components.
+4. Of a candidate pair the overlap of its first n-grams is counted whole; if what is left of
+   one set could not make up the rest, the pair is discarded. The others are verified on
+   whole sets and linked ones put into components.
 5. What is left of long columns are pairs of different components. These are formed, bounded
    and verified too, and the components closed over all links. So no link is lost, and a
    group of thousands of near copies costs one pair a copy instead of all pairs.
@@ -129,7 +131,8 @@ def named(docs: DataFrame, n: int, count: bool) -> DataFrame:
 
 
 def prefixes(docs: DataFrame, levels: np.ndarray, n: int, percent: int) -> DataFrame:
-    """(name, n, prefix) per document with words: its first n-grams in the order of the sketch."""
+    """(name, n, prefix, last) per document with words: its first n-grams in the order of the
+    sketch, and the place of the last of them in that order."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,13 +144,14 @@ def prefixes(docs: DataFrame, levels: np.ndarray, n: int, percent: int) -> DataF
                     rank = (level[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(58)) | (s >> np.uint64(6))
                     size = len(s) + percent * len(s) // -100 + 1
                     first = np.argpartition(rank, size - 1)[:size] if size < len(s) else np.arange(len(s))
-                    out.append((name_of(s), len(s), s[first[np.argsort(rank[first])]].view(np.int64)))
+                    first = first[np.argsort(rank[first])]
+                    out.append((name_of(s), len(s), s[first].view(np.int64), int(rank[first[-1]] >> np.uint64(1))))
             if out:
                 flat, offsets = np.concatenate([x[2] for x in out]), np.concatenate([[0], np.cumsum([len(x[2]) for x in out])]).astype(np.int32)
                 yield pa.record_batch([pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.int32()),
-                                       pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["name", "n", "prefix"])
+                                       pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array([x[3] for x in out], pa.int64())], ["name", "n", "prefix", "last"])
 
-    return docs.select("text").mapInArrow(run, "name binary, n int, prefix array<long>")
+    return docs.select("text").mapInArrow(run, "name binary, n int, prefix array<long>, last long")
 
 
 def whole_sets(docs: DataFrame, wanted: np.ndarray, n: int) -> DataFrame:
@@ -235,8 +239,22 @@ def multiply(postings: DataFrame, percent: int) -> DataFrame:
     return p.mapInArrow(run, "a long, b long, token long, n int, pos int")
 
 
+def bounded(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that can still link, the overlap of their first n-grams counted whole.
+
+    Of two sets, let x be the one whose first n-grams end earlier in the order. What x has of
+    them beyond those counted is not in the other set, so that at most the n-grams of x after
+    its first ones can be added to the count.
+    """
+    side = lambda c, own: prefixes.select(F.col("cid").alias(own), *[F.col(x).alias(f"{c}_{x}") for x in ("n", "prefix", "last")])
+    j = pairs.join(side("x", "a"), "a").join(side("y", "b"), "b")
+    after = F.when(F.col("x_last") <= F.col("y_last"), F.col("x_n") - F.size("x_prefix")).otherwise(F.col("y_n") - F.size("y_prefix"))
+    most = F.size(F.array_intersect("x_prefix", "y_prefix")) + after
+    return j.filter(most * (100 + percent) >= (F.col("x_n") + F.col("y_n")) * percent).select("a", "b")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link."""
+    """The pairs (a, b) that link, by their whole sets."""
     x = pairs.join(sets.select(F.col("cid").alias("a"), F.col("shingles").alias("x")), "a")
     y = x.join(sets.select(F.col("cid").alias("b"), F.col("shingles").alias("y")), "b")
     both, sizes = F.size(F.array_intersect("x", "y")), F.size("x") + F.size("y")
@@ -295,15 +313,19 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     made = cut(multiply(entries, percent))
     pairs = cut(made.filter("b is not null").select("a", "b").distinct())
     ids = rows.filter("name is not null").groupBy("name").agg(F.min("id").alias("id"), F.xxhash64(F.min("id")).alias("h"))
-    wanted = p.select("name", "cid").join(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), "cid")
-    hits = bit_filter(wanted.join(ids, "name"))
-    sets = cut(whole_sets(d, hits, n).join(wanted, "name").select("cid", "shingles").dropDuplicates(["cid"]))
-    links = cut(verified(pairs, sets, percent))
+
+    def linked(some: DataFrame) -> DataFrame:
+        able = cut(bounded(some, p, percent))
+        wanted = p.select("name", "cid").join(able.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), "cid")
+        hits = bit_filter(wanted.join(ids, "name"))
+        sets = whole_sets(d, hits, n).join(wanted, "name").select("cid", "shingles").dropDuplicates(["cid"])
+        return cut(verified(able, cut(sets), percent))
+
+    links = linked(pairs)
     comp = components(links)
-    more = left_over(made.filter("b is null").select("a", "token", "n", "pos"), comp, pairs, percent)
-    again = cut(verified(more, sets, percent))
-    if not again.isEmpty():
-        links = links.unionByName(again)
+    more = cut(left_over(made.filter("b is null").select("a", "token", "n", "pos"), comp, pairs, percent))
+    if not more.isEmpty():
+        links = links.unionByName(linked(more))
         comp = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("cid")).groupBy("cid").agg(F.count("*").alias("n_links"))
     c = p.select("name", "cid").join(ids.select("name", "id"), "name").join(comp.withColumnRenamed("node", "cid"), "cid", "left")
