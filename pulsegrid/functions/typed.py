@@ -39,15 +39,22 @@ _JAVA_WORDS = r"^[+-]?(Infinity|NaN)$"
 def last_wins_map(entries: Column, value_type: str) -> Column:
     """ARRAY<STRUCT<k, v>> -> MAP keeping the last entry of every key (Java ``Map.put``).
 
-    Folded with ``aggregate`` so the entries are evaluated once per row (a
-    lambda that refers back to the whole array would recompute it per element).
+    Entries with different keys, the common case, become a map at once; only a record that
+    repeats a key is folded entry by entry. The entries are bound to a lambda variable, so
+    that they are evaluated once per row.
     """
     zero = F.create_map().cast(f"map<string,{value_type}>")
-    return F.aggregate(
-        entries,
-        zero,
-        lambda acc, e: F.map_concat(F.map_filter(acc, lambda k, _: k != e["k"]), F.create_map(e["k"], e["v"])),
-    )
+
+    def build(e: Column) -> Column:
+        keys = F.transform(e, lambda x: x["k"])
+        folded = F.aggregate(
+            e,
+            zero,
+            lambda acc, x: F.map_concat(F.map_filter(acc, lambda k, _: k != x["k"]), F.create_map(x["k"], x["v"])),
+        )
+        return F.when(F.size(F.array_distinct(keys)) == F.size(keys), F.map_from_entries(e)).otherwise(folded)
+
+    return F.element_at(F.transform(F.array(entries), build), 1)
 
 
 def typed_value(text) -> Column:
@@ -211,6 +218,13 @@ def with_tag(point, key: str, value) -> Column:
     return p.withField("tags", F.map_concat(kept, F.create_map(F.lit(key), v)))
 
 
+def drop_tags(point, names) -> Column:
+    """P7 on a typed point: the tags named (a list, or an array column) are removed."""
+    p = _c(point)
+    remove = names if isinstance(names, Column) else F.array(*[F.lit(n) for n in names]).cast("array<string>")
+    return p.withField("tags", F.map_filter(p["tags"], lambda k, _: ~F.coalesce(F.array_contains(remove, k), F.lit(False))))
+
+
 def with_field(point, key: str, value) -> Column:
     """Add or replace a field; ``value`` is a Column of any LP value text or a Python scalar."""
     p = _c(point)

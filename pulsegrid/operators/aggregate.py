@@ -20,6 +20,13 @@ from ..sources.rules import RuleTable
 GRACE = "10 seconds"  # fixed grace for late records
 
 
+def listed(lines: DataFrame, rules: RuleTable, value_col: str = "value") -> DataFrame:
+    """Records whose measurement has a rule: what no rule wants is left out before its fields
+    are parsed."""
+    m = rules.measurements(lines.sparkSession).select(F.col("measurement").alias("_rm"))
+    return lines.join(m, L.measurement_of(F.col(value_col)) == F.col("_rm"), "left_semi")
+
+
 def join_rules(fields: DataFrame, rules: RuleTable) -> DataFrame:
     """Inner join on (measurement, field); one output row per matching function."""
     r = rules.df(fields.sparkSession).select(

@@ -4,8 +4,9 @@
 * onoff / aggregator: field rows matching (measurement, field or all fields),
   re-keyed to the internal form ``meas#field`` -> ``tags#value#ts``.
 
-The record is parsed once; all branches come out of one broadcast join against
-the rule table, so the router is a map-only job (no shuffle).
+Records of measurements without a rule are left out first; the others are parsed once,
+and all branches come out of one broadcast join against the rule table, so the router is
+a map-only job (no shuffle).
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lines as L
 from ..sources.rules import RuleTable
+from .aggregate import listed
 
 
 def _rules(spark: SparkSession, rules: RuleTable, branches) -> DataFrame:
@@ -39,8 +41,9 @@ def route_database(df: DataFrame, rules: RuleTable, value_col: str = "value") ->
 
 def route_fields(df: DataFrame, rules: RuleTable, branch: str, value_col: str = "value") -> DataFrame:
     """Field rows for the ``onoff`` or ``aggregator`` branch, in internal wire form."""
-    fields = L.explode_fields(df, value_col)
-    kept = semi_rules(fields, _rules(df.sparkSession, rules, [branch]))
+    own = RuleTable(tuple(r for r in rules.rows if r[0] == branch), rules.schema)
+    fields = L.explode_fields(listed(df, own, value_col), value_col)
+    kept = semi_rules(fields, own.df(df.sparkSession))
     return L.encode_internal(kept)
 
 
@@ -53,7 +56,7 @@ def route(df: DataFrame, rules: RuleTable, topics: dict | None = None, value_col
     spark = df.sparkSession
     if key_col:
         df = df.withColumnRenamed(key_col, "_src_key")
-    x = L.explode_fields(df, value_col, keep_bad=True)
+    x = L.explode_fields(listed(df, rules, value_col), value_col, keep_bad=True)
     r = rules.df(spark).select(
         "branch", F.col("measurement").alias("_rm"), F.col("rule_field").alias("_rf")
     )

@@ -110,12 +110,7 @@ g AS (
 """
     )
     if lines:
-        return (
-            base
-            + """SELECT fn, series AS key,
-  replace(series, '#', ' ') || '_' || fn || '=' || CAST(value AS VARCHAR) || ' ' || CAST(window_end_ns AS VARCHAR) AS line
-FROM g WHERE fn IN ('min', 'max')"""
-        )
+        return base + "SELECT fn, series AS key, replace(series, '#', ' ') || '_' || fn AS head, " + R4("value") + " AS value, window_end_ns FROM g"
     return base + "SELECT fn, series, window_end_ns, " + R4("value") + " AS value FROM g"
 
 
@@ -128,7 +123,7 @@ def _agg(spark, sf_dir, fns) -> DataFrame:
     rules = RU.agg_rules(configs.AGGREGATOR)
     rules = RU.RuleTable(tuple(r for r in rules.rows if r[0] in fns), rules.schema)
     window = f"{RU.agg_window_seconds(configs.AGGREGATOR)} seconds"
-    return A.aggregate(_fields(spark, sf_dir), rules, window=window)
+    return A.aggregate(L.explode_fields(A.listed(fx.lines(spark, sf_dir), rules)), rules, window=window)
 
 
 def round4(c) -> "F.Column":
@@ -305,7 +300,10 @@ def q_agg_multi(spark, sf_dir):
 
 @register("agg_lines", _agg_sql(_ALL_FNS, lines=True))
 def q_agg_lines(spark, sf_dir):
-    return _agg(spark, sf_dir, _ALL_FNS).filter(F.col("fn").isin("min", "max")).select("fn", "key", "line")
+    """P11 for all functions; the parts are read back from the rendered line."""
+    part = lambda i: F.regexp_extract("line", r"^(.*)=([^= ]+) (-?[0-9]+)$", i)
+    return _agg(spark, sf_dir, _ALL_FNS).select("fn", "key", part(1).alias("head"), round4(part(2).cast("double")).alias("value"),
+                                                part(3).cast("bigint").alias("window_end_ns"))
 
 
 # ----------------------------------------------------------------------------- W1 W2 W3
@@ -659,18 +657,23 @@ def q_agg_events(spark, sf_dir):
 
 @register(
     "points_json",
-    _points_sql(configs.HEADER_MINMAX)
+    _points_sql(configs.HEADER_AGGREGATOR)
     + _AGG_EVENTS_TAIL
-    + """ SELECT fn, metric_key, window_end_ns,
-  '{"headers":{"name":"' || split_part(metric_key, '|', 1) || '_aggr","value_' || fn || '":"' || CAST(value AS VARCHAR)
-  || '","type_value":"double","timestamp":"' || CAST(window_end_ns AS VARCHAR) || '"'
-  || CASE WHEN metric_key LIKE '%|%' THEN ',"' || replace(split_part(metric_key, '|', 2), ':', '":"') || '"' ELSE '' END
-  || '},"body":""}' AS json FROM g""",
+    + """ SELECT fn, metric_key, window_end_ns, split_part(metric_key, '|', 1) || '_aggr' AS name, """ + R4("value") + """ AS value,
+  '{"headers":{"name":"' || split_part(metric_key, '|', 1) || '_aggr","value_' || fn || '":"V","type_value":"double","timestamp":"'
+  || CAST(window_end_ns AS VARCHAR) || '"'
+  || CASE WHEN metric_key LIKE '%|%' THEN ',"' || replace(replace(split_part(metric_key, '|', 2), ':', '":"'), ',', '","') || '"' ELSE '' END
+  || '},"body":""}' AS shape FROM g""",
 )
 def q_points_json(spark, sf_dir):
-    window = f"{RU.header_window_seconds(configs.HEADER_MINMAX)} seconds"
-    a = EVT.aggregate_events(_event_points(spark, sf_dir, configs.HEADER_MINMAX), window=window)
-    return EVT.points_to_json(a).select("fn", "metric_key", "window_end_ns", "json")
+    """P33 on the full rule set; the value is read back from the JSON and compared apart, as
+    engines write the same double differently."""
+    window = f"{RU.header_window_seconds(configs.HEADER_AGGREGATOR)} seconds"
+    a = EVT.aggregate_events(_event_points(spark, sf_dir, configs.HEADER_AGGREGATOR), window=window)
+    j = EVT.points_to_json(a).withColumn("h", F.from_json(F.get_json_object("json", "$.headers"), "map<string,string>"))
+    read = F.col("h")[F.concat(F.lit("value_"), F.col("fn"))]
+    return j.select("fn", "metric_key", "window_end_ns", F.col("h")["name"].alias("name"), round4(read.cast("double")).alias("value"),
+                    F.regexp_replace("json", r'("value_[a-z]+":)"[^"]*"', '$1"V"').alias("shape"))
 
 
 # ----------------------------------------------------------------------------- P24-P26
@@ -698,13 +701,12 @@ def q_notify_text(spark, sf_dir):
 
 @register(
     "email_rows",
-    "WITH " + EV + """, m AS (SELECT * FROM ev WHERE event_type IN ('purchase', 'signup'))
-SELECT event_id AS src_offset, event_type || ' u' || CAST(user_id AS VARCHAR) AS subject, 'value=' || CAST(value AS VARCHAR) AS body,
-  'u' || CAST(user_id AS VARCHAR) || '@example.org' AS address, CAST(NULL AS VARCHAR) AS error FROM m WHERE event_type = 'purchase'
-UNION ALL SELECT event_id, event_type || ' u' || CAST(user_id AS VARCHAR), 'value=' || CAST(value AS VARCHAR),
-  's' || CAST(shard AS VARCHAR) || '@example.org', NULL FROM m WHERE event_type = 'purchase'
-UNION ALL SELECT event_id, event_type || ' u' || CAST(user_id AS VARCHAR), NULL, NULL,
-  'mail lacks a required key' FROM m WHERE event_type = 'signup'""",
+    "WITH " + EV + """, m AS (SELECT event_id AS src_offset, event_type, event_type || ' u' || CAST(user_id AS VARCHAR) AS subject,
+  'value=' || CAST(value AS VARCHAR) AS body, 'u' || CAST(user_id AS VARCHAR) || '@example.org' AS u, 's' || CAST(shard AS VARCHAR) || '@example.org' AS s FROM ev)
+SELECT src_offset, subject, body, u AS address, CAST(NULL AS VARCHAR) AS error FROM m WHERE event_type NOT IN ('click', 'view', 'signup', 'error')
+UNION ALL SELECT src_offset, subject, body, s, NULL FROM m WHERE event_type NOT IN ('view', 'signup', 'error')
+UNION ALL SELECT src_offset, CASE WHEN event_type <> 'error' THEN subject END, CASE WHEN event_type = 'view' THEN body END, NULL, 'mail lacks a required key'
+  FROM m WHERE event_type IN ('view', 'signup', 'error')""",
 )
 def q_email_rows(spark, sf_dir):
     return NT.email_messages(fx.emails(spark, sf_dir)).select("src_offset", "subject", "body", "address", "error")
@@ -888,3 +890,78 @@ UNION ALL SELECT event_id, 'too few tokens', event_type || ',' || """ + TAGS + "
 def q_parse_errors(spark, sf_dir):
     x = L.explode_fields(fx.dirty_lines(spark, sf_dir), keep_bad=True)
     return L.bad_rows(x).select("src_offset", "error", "line")
+
+
+# ----------------------------------------------------------------------------- S1 S2 P34 U1 K4 L1 P7 T2
+from ..session import scratch_path  # noqa: E402
+from ..sinks import writers as W  # noqa: E402
+from ..sources import streams as S  # noqa: E402
+
+
+def _landed(df: DataFrame, name: str) -> str:
+    """Records of the tables written as the landed files that a scan reads."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return path
+
+
+@register("scan_lines", "WITH " + EV + " SELECT event_id AS src_offset, shard AS src_partition, " + LINE + " AS value, ts_ns FROM ev")
+def q_scan_lines(spark, sf_dir):
+    """The LP scan over landed records."""
+    got = S.read_lines(spark, "parquet", path=_landed(fx.lines(spark, sf_dir), "lines"), stream=False)
+    return got.select("src_offset", "src_partition", "value", (F.unix_micros("event_ts") * 1000).alias("ts_ns"))
+
+
+@register("scan_internal", "WITH " + FIELDS + " SELECT src_offset, measurement, tags, field, value, ts_ns FROM f")
+def q_scan_internal(spark, sf_dir):
+    """The scan of internal records, decoded to field rows."""
+    wire = L.encode_internal(_fields(spark, sf_dir)).select("key", F.col("wire").alias("value"), "event_ts", "src_partition", "src_offset")
+    got = S.read_internal(spark, "parquet", path=_landed(wire, "internal"), stream=False)
+    return got.select("src_offset", "measurement", "tags", "field", "value", "ts_ns")
+
+
+@register("drop_empty", "WITH " + EV + " SELECT event_id AS src_offset FROM ev WHERE event_type <> 'error'")
+def q_drop_empty(spark, sf_dir):
+    return EVT.drop_empty(fx.header_events(spark, sf_dir), "body").select("src_offset")
+
+
+@register("route_union", f"SELECT * FROM ({_ONOFF_SQL}) UNION ALL SELECT * FROM ({_AGGR_SQL})")
+def q_route_union(spark, sf_dir):
+    """The two field branches put together."""
+    return A.union_all(q_route_onoff(spark, sf_dir), q_route_aggregator(spark, sf_dir))
+
+
+@register(
+    "delivery_plan",
+    "WITH " + EV + ", n AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY event_id) - 1 AS i FROM ev)"
+    " SELECT event_id AS src_offset, shard AS src_partition, [8089, 8090, 8091][i % 3 + 1] AS port, i // 500 AS batch FROM n",
+)
+def q_delivery_plan(spark, sf_dir):
+    return W.delivery_plan(fx.lines(spark, sf_dir), "8089,8090,8091", 500).select("src_offset", "src_partition", "port", "batch")
+
+
+@register(
+    "typed_drop_tags",
+    "WITH " + EV + " SELECT event_id AS src_offset, event_type || ',shard=s' || CAST(shard AS VARCHAR)"
+    + " || ' bad=' || " + _BAD_TXT + " || ',k=' || CAST(k AS VARCHAR) || 'i,value=' || CAST(value AS VARCHAR) || ' ' || CAST(ts_ns AS VARCHAR) AS line FROM ev",
+)
+def q_typed_drop_tags(spark, sf_dir):
+    return _points(spark, sf_dir).select("src_offset", TY.format_line(TY.drop_tags("p", ["user", "absent"])).alias("line"))
+
+
+@register("agg_late_dropped", ORACLE["agg_stream_closed"])
+def q_agg_late_dropped(spark, sf_dir):
+    """Every record comes once more after the watermark has passed the closed windows: the
+    second coming of a record in a closed window changes nothing. The last windows, which are
+    still open then, are left out as in ``agg_stream_closed``."""
+    ev = fx.table(spark, sf_dir, "events")
+    path = _landed(ev, "late")
+    first = len(spark.read.parquet(path).inputFiles())
+    # Spark holds late records against the watermark of the batch before: a batch of
+    # records that no rule wants lets it pass
+    ev.withColumn("event_type", F.lit("heartbeat")).write.mode("append").parquet(path)
+    cut = ev.agg((F.max("ts") - F.expr("INTERVAL '1' DAY")).alias("cut"))
+    ev.join(F.broadcast(cut), F.col("ts") < F.col("cut")).drop("cut").write.mode("append").parquet(path)  # one row
+    s = fx.events_from(spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", first).parquet(path))
+    window = f"{RU.agg_window_seconds(configs.AGGREGATOR)} seconds"
+    return _round_value(SJ.run_to_table(SJ.stream_aggregate(fx.lines_from(s), RU.agg_rules(configs.AGGREGATOR), window=window), "agg_late"))

@@ -28,10 +28,10 @@ def spread(df: DataFrame) -> DataFrame:
     would otherwise run every map-side step in a single task. Large inputs already
     have more splits than cores and are left alone (no extra shuffle)."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        # hash of all columns: deterministic on retry without the local sort that
-        # round-robin repartitioning needs
-        return df.repartition(cores, *df.columns)
+    if df._jdf.queryExecution().toRdd().getNumPartitions() < cores:
+        # by one column, so that the scan still reads only what a query needs, and by a
+        # hash: deterministic on retry without the local sort of round-robin
+        return df.repartition(cores, "ts" if "ts" in df.columns else df.columns[0])
     return df
 
 
@@ -189,11 +189,14 @@ def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def emails(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E-mail JSON per purchase/signup event; signup messages lack ``body``."""
-    ev = events(spark, sf_dir).filter(F.col("event_type").isin("purchase", "signup"))
-    to = F.concat(_u(), F.lit("@example.org,"), _s(), F.lit("@example.org"))
-    body = F.when(F.col("event_type") == "purchase", F.concat(F.lit("value="), F.col("value").cast("string")))
+    """E-mail JSON per event: signup messages lack ``body``, view messages ``to_addresses``,
+    error messages are no JSON; click messages have one recipient, the others two."""
+    ev = events(spark, sf_dir)
+    kind = F.col("event_type")
+    to = F.when(kind == "click", F.concat(_s(), F.lit("@example.org"))).when(kind != "view", F.concat(_u(), F.lit("@example.org,"), _s(), F.lit("@example.org")))
+    body = F.when(kind != "signup", F.concat(F.lit("value="), F.col("value").cast("string")))
     js = F.to_json(F.struct(F.concat(F.col("event_type"), F.lit(" "), _u()).alias("subject"), body.alias("body"), to.alias("to_addresses")))
+    js = F.when(kind == "error", F.lit("{broken")).otherwise(js)
     return ev.select(F.col("event_id").alias("src_offset"), js.alias("value"), "event_ts")
 
 

@@ -18,7 +18,7 @@ import socket
 import urllib.error
 import urllib.request
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..workers import ship_by_value
@@ -96,6 +96,16 @@ def _for_each(df: DataFrame, fn, checkpoint: str | None = None, trigger: dict |
     return w.trigger(**(trigger or {"processingTime": "1 second"})).start()
 
 
+def delivery_plan(df: DataFrame, ports, batch_size: int, order=("src_partition", "src_offset")) -> DataFrame:
+    """K4/L1 as columns: the port and the batch that each record of a partition gets in
+    arrival order (ports in turn, ``batch_size`` records a batch; empty payloads get none)."""
+    ports = [int(p) for p in (ports if isinstance(ports, (list, tuple)) else str(ports).split(","))]
+    w = Window.partitionBy(order[0]).orderBy(order[1])
+    kept = df.filter(F.col("value").isNotNull() & (F.octet_length("value") > 0)).withColumn("_i", F.row_number().over(w) - 1)
+    port = F.element_at(F.array(*[F.lit(p) for p in ports]), F.col("_i") % len(ports) + 1)
+    return kept.withColumns({"port": port, "batch": F.floor(F.col("_i") / batch_size).cast("bigint")}).drop("_i")
+
+
 # --------------------------------------------------------------------------- K1 K2
 def write_topic(df: DataFrame, bootstrap: str, topic: str | None = None, checkpoint: str | None = None,
                 options: dict | None = None, name: str | None = None):

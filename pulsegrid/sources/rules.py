@@ -53,6 +53,12 @@ class RuleTable:
         d = spark.createDataFrame(list(self.rows), self.schema)
         return F.broadcast(d) if self.size_bytes <= MAX_BROADCAST_BYTES else d
 
+    def measurements(self, spark: SparkSession) -> DataFrame:
+        """The distinct measurements that have a rule, broadcast like the rules."""
+        place = self.schema.names.index(MEASUREMENT_KEY)
+        rows = tuple((m,) for m in sorted({r[place] for r in self.rows}))
+        return RuleTable(rows, T.StructType([self.schema[place]])).df(spark)
+
     @property
     def size_bytes(self) -> int:
         """Bytes of all rule texts and tag lists, with 16 a value for Spark's row format."""

@@ -25,7 +25,7 @@ GRACE = A.GRACE
 def stream_aggregate(lines: DataFrame, rules: RuleTable, window: str = "30 seconds", grace: str = GRACE,
                      time_col: str = "event_ts") -> DataFrame:
     """LP records -> closed-window aggregate lines, emitted once after window + grace."""
-    return A.aggregate(L.explode_fields(lines), rules, window=window, time_col=time_col, watermark=grace)
+    return A.aggregate(L.explode_fields(A.listed(lines, rules)), rules, window=window, time_col=time_col, watermark=grace)
 
 
 def stream_router(lines: DataFrame, rules: RuleTable, topics: dict | None = None) -> DataFrame:
