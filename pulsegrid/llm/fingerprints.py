@@ -7,9 +7,8 @@ chance adds, estimates the sets' Jaccard similarity. For near duplicates, bands
 joined in Spark and candidate pairs verified by the Jaccard similarity of their sets.
 
 Scale: fingerprints are made in a pass without a shuffle; only they and ids are moved.
-``near_duplicates`` first folds equal sets into one class. In every band, a class is
-joined with the least class of its band key, so a key shared by a third of all rows makes
-one pair per class and no pairs among its members. Sets are moved only for the classes
+``near_duplicates`` folds equal sets into one class; a band key shared by a third of all
+rows makes a pair per class and not all pairs, and sets are moved only for the classes
 that stand in a candidate pair.
 """
 
@@ -27,10 +26,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from ..workers import ship_by_value
-from . import kernels
+from . import kernels, ngram_join
 from .common import cut, read
 
-PERMUTATIONS, WORDS, SIMILARITY = 128, 5, 0.8
+PERMUTATIONS, WORDS = 128, 5
 #: Texts hashed at once: shingles times permutations that are held in memory.
 CHUNK = 1 << 14
 _rng = np.random.default_rng(7)
@@ -112,46 +111,35 @@ def fingerprint(docs: DataFrame, text_col: str = "text", name: str = "fingerprin
     return docs.mapInArrow(run, StructType([*docs.schema.fields, *StructType.fromDDL(f"`{name}` binary").fields]))
 
 
-def shingle_sets(docs: DataFrame, text_col: str = "text", n: int = WORDS) -> DataFrame:
-    """The input with ``shingles`` (sorted distinct 64-bit hashes, array<long>) for ``text_col``."""
-    place = docs.columns.index(text_col)
-    keep = [i for i in range(len(docs.columns)) if i != place]
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS, percent: int = 80, bands: int = 16) -> DataFrame:
+    """Near-duplicate groups: (id, n_shingles, name, component, n_links, component_id) per
+    document, as the n-gram join returns them, candidates being the texts that share a band.
+
+    Texts of equal sets are one class. Of a band key shared by many classes only pairs with
+    one of them are made first; pairs left between different components follow, so that no
+    candidate that links is lost and no key gives all its pairs. A candidate links if the
+    Jaccard similarity of the whole sets reaches ``percent``. Texts without a word are linked
+    with nothing; repeated rows, equal and null ids are handled as there. With 16 bands of 8,
+    texts of similarity 0.8 share a band with probability 0.95, of 0.9 with 0.9999.
+    """
+    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    schema = StructType([d.schema["id"], *StructType.fromDDL("n long, name binary, fp binary").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            words, at = kernels.word_hashes(*kernels.utf8(b.column(place)))
+            words, at = kernels.word_hashes(*kernels.utf8(b.column(1)))
             sets = [kernels.shingles(words[x:y], n) for x, y in zip(at[:-1], at[1:])]
-            offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-            flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-            arr = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in keep], arr], names=[*[b.schema.names[i] for i in keep], "shingles"])
-
-    fields = [docs.schema.fields[i] for i in keep]
-    return docs.mapInArrow(run, StructType([*fields, *StructType.fromDDL("shingles array<long>").fields]))
-
-
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS, similarity: float = SIMILARITY,
-                    bands: int = 16) -> DataFrame:
-    """Verified pairs (a, b, jaccard) of ids: in each band a class of equal fingerprints and
-    the least class of the band's key, kept if the Jaccard similarity of their sets reaches
-    ``similarity``. Ids stand for themselves and their equal copies: a is a class's least id.
-
-    Texts without a word have no pairs; null ids are left out; an empty table has none.
-    """
-    rows = PERMUTATIONS // bands * 2
-    prints = fingerprint(docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), n=n)
-    empty = "f" * (PERMUTATIONS * 2)
-    classes = cut(prints.select("id", F.lower(F.hex("fingerprint")).alias("fp")).filter(F.col("fp") != empty).groupBy("fp").agg(F.min("id").alias("id")))
-    band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.struct(i.alias("band"), F.substring(F.col("fp"), i * rows + 1, F.lit(rows)).alias("key"))))
-    keys = classes.select("id", band.alias("b")).select("id", "b.band", F.xxhash64("b.band", "b.key").alias("key"))
-    least = keys.groupBy("band", "key").agg(F.min("id").alias("a"), F.count("*").alias("n")).filter("n > 1")
-    pairs = cut(keys.join(least, ["band", "key"]).filter("id <> a").select("a", F.col("id").alias("b")).distinct())
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi")
-    sets = cut(shingle_sets(texts, n=n).groupBy("id").agg(F.min("shingles").alias("s")))
-    j = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
-    both = F.size(F.array_intersect("x", "y"))
-    return j.select("a", "b", (both / (F.size("x") + F.size("y") - both)).alias("jaccard")).filter(F.col("jaccard") >= similarity)
+            names = pa.array([ngram_join.name_of(s) if len(s) else None for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), names, as_binary(signatures_of(words, at, n).astype(np.uint8))],
+                                             names=schema.names)
+
+    rows = cut(d.mapInArrow(run, schema))
+    classes = cut(rows.filter("name is not null").select("name", "n", "fp").dropDuplicates(["name"])).withColumn("cid", F.monotonically_increasing_id())
+    size = PERMUTATIONS // bands
+    keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.substring(F.col("fp"), i * size + 1, F.lit(size))))
+    entries = classes.select("cid", F.col("n").cast("int").alias("n"), F.explode(keys).alias("token"), F.lit(0).alias("pos"))
+    out = ngram_join.closed(d, rows.select("id", "n", "name"), classes, entries, lambda pairs: pairs, n, percent)
+    return out.withColumnRenamed("id", id_col)
 
 
 def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS) -> DataFrame:

@@ -310,13 +310,20 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     levels = gathered(first.filter("chunk is not null"))
     p = cut(prefixes(d, levels, n, percent).dropDuplicates(["name"])).withColumn("cid", F.monotonically_increasing_id())
     entries = p.select("cid", "n", F.posexplode("prefix").alias("pos", "token"))
+    return closed(d, rows, p, entries, lambda pairs: bounded(pairs, p, percent), n, percent).withColumnRenamed("id", id_col)
+
+
+def closed(d: DataFrame, rows: DataFrame, classes: DataFrame, entries: DataFrame, bound, n: int, percent: int) -> DataFrame:
+    """Steps 3 to 5 for the entries (token, cid, n, pos) of any candidate scheme: pairs from
+    the columns, verified on the sets of ``d`` (id, text), closed to components over
+    ``rows`` (id, n, name). ``classes``: (cid, name); ``bound`` may discard pairs ahead."""
     made = cut(multiply(entries, percent))
     pairs = cut(made.filter("b is not null").select("a", "b").distinct())
     ids = rows.filter("name is not null").groupBy("name").agg(F.min("id").alias("id"), F.xxhash64(F.min("id")).alias("h"))
 
     def linked(some: DataFrame) -> DataFrame:
-        able = cut(bounded(some, p, percent))
-        wanted = p.select("name", "cid").join(able.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), "cid")
+        able = cut(bound(some))
+        wanted = classes.select("name", "cid").join(able.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), "cid")
         hits = bit_filter(wanted.join(ids, "name"))
         sets = whole_sets(d, hits, n).join(wanted, "name").select("cid", "shingles").dropDuplicates(["cid"])
         return cut(verified(able, cut(sets), percent))
@@ -328,11 +335,11 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
         links = links.unionByName(linked(more))
         comp = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("cid")).groupBy("cid").agg(F.count("*").alias("n_links"))
-    c = p.select("name", "cid").join(ids.select("name", "id"), "name").join(comp.withColumnRenamed("node", "cid"), "cid", "left")
+    c = classes.select("name", "cid").join(ids.select("name", "id"), "name").join(comp.withColumnRenamed("node", "cid"), "cid", "left")
     c = c.withColumn("comp", F.coalesce("comp", "cid"))
     c = c.join(c.groupBy("comp").agg(F.min("id").alias("component_id")), "comp").join(degree, "cid", "left").select("name", "component_id", "n_links", F.col("comp").alias("component"))
     out = rows.join(c, "name", "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "name", "component", F.coalesce("n_links", F.lit(0)).alias("n_links"),
+    return out.select("id", F.col("n").alias("n_shingles"), "name", "component", F.coalesce("n_links", F.lit(0)).alias("n_links"),
                       F.when(F.col("name").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
 

@@ -116,14 +116,19 @@ def test_signature_of_long_text_in_stretches(monkeypatch):
     assert (fingerprints.signatures(pa.array(texts)) == whole).all()
 
 
-def test_near_duplicates_are_verified(spark):
-    base = [f"w{i}" for i in range(200)]
-    rows = [(i, " ".join(base[:60 + i] + [f"x{i}"] + base[61 + i:])) for i in range(8)] + [(50, "other words " * 40), (51, None), (None, "w1 w2")]
-    d = spark.createDataFrame(rows, "doc_id long, text string")
-    sets = {i: shingles(t, 5) for i, t in rows}
-    pairs = fingerprints.near_duplicates(d).collect()
-    assert pairs and all(r.jaccard == pytest.approx(jaccard(sets[r.a], sets[r.b])) and r.jaccard >= 0.8 for r in pairs)
-    assert {r.a for r in pairs} | {r.b for r in pairs} == set(range(8))
+def test_near_duplicates_by_bands(spark):
+    rows = near_copies()
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in fingerprints.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = brute_components(rows, 5, 80)
+    assert {i: g[0] for i, g in got.items()} == {i: w[0] for i, w in want.items()}
+    assert sum(got[i] == want[i] for i in want) >= 0.95 * len(want)
+    groups = collections.defaultdict(set)
+    for i, (_, low) in got.items():
+        groups[low].add(want[i][1])
+    assert all(len(g) == 1 for g in groups.values())  # nothing is linked that isn't
+    e = spark.createDataFrame([(1, None), (None, "a b c d e"), (3, "a b c d e"), (3, "a b c d e"), (6, " ")], "doc_id long, text string")
+    assert sorted(((r.doc_id, r.component_id) for r in fingerprints.near_duplicates(e).collect()), key=str) == sorted([(1, 1), (None, 3), (3, 3), (3, 3), (6, 6)], key=str)
+    assert fingerprints.near_duplicates(e.limit(0)).count() == 0
 
 
 # --- packing
