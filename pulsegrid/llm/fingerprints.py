@@ -112,7 +112,7 @@ def fingerprint(docs: DataFrame, text_col: str = "text", name: str = "fingerprin
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS, percent: int = 80, bands: int = 16) -> DataFrame:
-    """Near-duplicate groups: (id, n_shingles, name, component, n_links, component_id) per
+    """Near-duplicate groups: (id, n_shingles, name, component, links_found, component_id) per
     document, as the n-gram join returns them, candidates being the texts that share a band.
 
     Texts of equal sets are one class. Of a band key shared by many classes only pairs with

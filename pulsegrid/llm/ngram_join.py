@@ -295,11 +295,11 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(id, n_shingles, name, component, n_links, component_id) per document.
+    """(id, n_shingles, name, component, links_found, component_id) per document.
 
     ``name`` tells the document's set (null without words: an empty set, linked with nothing)
     and ``component`` is a number for its component (null with the name);
-    ``n_links`` counts the linked classes found for its class (a group may be held together
+    ``links_found`` counts the linked classes found for its class (a group may be held together
     by fewer links than there are linked pairs); ``component_id`` is the least id reachable
     by links. Null ids are never least unless all are null; equal ids of different texts are
     different documents. Empty tables give empty results. Other columns are not read.
@@ -334,12 +334,12 @@ def closed(d: DataFrame, rows: DataFrame, classes: DataFrame, entries: DataFrame
     if not more.isEmpty():
         links = links.unionByName(linked(more))
         comp = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("cid")).groupBy("cid").agg(F.count("*").alias("n_links"))
+    degree = links.select(F.explode(F.array("a", "b")).alias("cid")).groupBy("cid").agg(F.count("*").alias("links_found"))
     c = classes.select("name", "cid").join(ids.select("name", "id"), "name").join(comp.withColumnRenamed("node", "cid"), "cid", "left")
     c = c.withColumn("comp", F.coalesce("comp", "cid"))
-    c = c.join(c.groupBy("comp").agg(F.min("id").alias("component_id")), "comp").join(degree, "cid", "left").select("name", "component_id", "n_links", F.col("comp").alias("component"))
+    c = c.join(c.groupBy("comp").agg(F.min("id").alias("component_id")), "comp").join(degree, "cid", "left").select("name", "component_id", "links_found", F.col("comp").alias("component"))
     out = rows.join(c, "name", "left")
-    return out.select("id", F.col("n").alias("n_shingles"), "name", "component", F.coalesce("n_links", F.lit(0)).alias("n_links"),
+    return out.select("id", F.col("n").alias("n_shingles"), "name", "component", F.coalesce("links_found", F.lit(0)).alias("links_found"),
                       F.when(F.col("name").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
@@ -367,7 +367,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
 
 
 def op2(spark, sf_dir: str) -> DataFrame:
-    return link(read(spark, sf_dir, "documents"), n=4, percent=85).select("doc_id", "n_shingles", "component_id", "n_links")
+    return link(read(spark, sf_dir, "documents"), n=4, percent=85).select("doc_id", "n_shingles", "component_id", "links_found")
 
 
 ship_by_value(__name__)
