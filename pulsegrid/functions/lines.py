@@ -177,15 +177,20 @@ _SPARK_ONLY_WORDS = r"(?i)^[+-]?(inf|infinity|nan)$"
 _JAVA_WORDS = r"^[+-]?(Infinity|NaN)$"
 
 
+def java_double(value) -> Column:
+    """Java ``Double.parseDouble`` grammar -> DOUBLE or null (Spark's cast takes more words)."""
+    v = _c(value)
+    t = F.trim(v)
+    return F.when(~t.rlike(_SPARK_ONLY_WORDS) | t.rlike(_JAVA_WORDS), v.try_cast("double"))
+
+
 def to_double(value) -> Column:
     """Numeric coercion of a field value: Java double grammar, else drop one last
     character and parse a long (``100i`` -> 100.0, ``5%`` -> 5.0); otherwise null."""
     v = _c(value)
-    t = F.trim(v)
-    as_double = F.when(~t.rlike(_SPARK_ONLY_WORDS) | t.rlike(_JAVA_WORDS), v.try_cast("double"))
     prefix = F.regexp_extract(v, r"^([+-]?[0-9]+)(?s:.)$", 1)
     as_long = F.when(prefix != "", prefix.try_cast("bigint").cast("double"))
-    return F.coalesce(as_double, as_long)
+    return F.coalesce(java_double(v), as_long)
 
 
 # --------------------------------------------------------------------------- P9 / P10 / P11

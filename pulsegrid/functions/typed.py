@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .lines import LONG_RE, _c, java_split
+from .lines import LONG_RE, _c, java_double, java_split
 
 VALUE_TYPE = T.StructType(
     [
@@ -32,9 +32,6 @@ VALUE_DDL = "struct<kind:string,l:bigint,d:double,b:boolean,s:string>"
 # Time units accepted by ``with_time`` / ``format_line`` and their size in ns.
 UNIT_NS = {"ns": 1, "us": 1_000, "ms": 1_000_000, "s": 1_000_000_000}
 
-_SPARK_ONLY_WORDS = r"(?i)^[+-]?(inf|infinity|nan)$"
-_JAVA_WORDS = r"^[+-]?(Infinity|NaN)$"
-
 
 def last_wins_map(entries: Column, value_type: str) -> Column:
     """ARRAY<STRUCT<k, v>> -> MAP keeping the last entry of every key (Java ``Map.put``).
@@ -61,7 +58,7 @@ def typed_value(text) -> Column:
     """Field text -> typed value: ``<long>i`` -> long, Java double grammar -> double,
     ``true``/``false`` (any case) -> boolean, otherwise string with ``"`` removed."""
     v = _c(text)
-    return _typed_from(v, _long_candidate(v), _double_candidate(v))
+    return _typed_from(v, _long_candidate(v), java_double(v))
 
 
 def _long_candidate(v: Column) -> Column:
@@ -69,11 +66,6 @@ def _long_candidate(v: Column) -> Column:
     return F.when(v.endswith("i") & pre.rlike(LONG_RE), pre.try_cast("bigint"))
 
 
-def _double_candidate(v: Column) -> Column:
-    t = F.trim(v)
-    return F.when(~t.rlike(_SPARK_ONLY_WORDS) | t.rlike(_JAVA_WORDS), v.try_cast("double"))
-
-
 def _typed_from(v: Column, as_long: Column, as_double: Column) -> Column:
     low = F.lower(v)
     kind = (
@@ -115,7 +107,7 @@ def parse_line(value) -> Column:
     # value is assembled from its fields (a lambda has no common-subexpression reuse)
     cand = F.transform(
         F.filter(field_pieces, lambda p: F.size(p) == 2),
-        lambda p: F.struct(p[0].alias("k"), p[1].alias("v"), _long_candidate(p[1]).alias("l"), _double_candidate(p[1]).alias("d")),
+        lambda p: F.struct(p[0].alias("k"), p[1].alias("v"), _long_candidate(p[1]).alias("l"), java_double(p[1]).alias("d")),
     )
     field_entries = F.transform(cand, lambda e: F.struct(e["k"].alias("k"), _typed_from(e["v"], e["l"], e["d"]).alias("v")))
     point = F.struct(

@@ -715,6 +715,7 @@ def q_email_rows(spark, sf_dir):
 # ----------------------------------------------------------------------------- P27-P30 S7 S8
 NOW_S = 1_705_276_800  # fixed "now" (2024-01-15) for time-unit inference
 _W = 7 * 24 * 60 * 60
+_IN_REACH = f"ts_ns >= {(NOW_S - _W) * 10**9} AND ts_ns < {(NOW_S + _W) * 10**9}"
 
 
 def _unit_sql(t: str, now: str) -> str:
@@ -756,17 +757,19 @@ def q_dict_lines(spark, sf_dir):
 
 @register(
     "agent_points",
-    "WITH " + EV + """ SELECT event_id AS src_offset, 'SOURCE.src_' || event_type AS component,
+    "WITH " + EV + """, q AS (SELECT event_id AS src_offset, 'SOURCE.src_' || event_type AS component,
   'flume_SOURCE,component=SOURCE.src_' || event_type || ',endpoint=host' || CAST(shard AS VARCHAR) || ':5653,hostname=agent'
   || CAST(shard AS VARCHAR) || ' EventReceivedCount=' || CAST(k AS VARCHAR) || 'i,OpenConnectionCount=' || CAST(user_id AS VARCHAR)
   || 'i ' || CAST(ts_ns AS VARCHAR) AS line FROM ev
 UNION ALL SELECT event_id, 'CHANNEL.ch_s' || CAST(shard AS VARCHAR),
   'flume_CHANNEL,component=CHANNEL.ch_s' || CAST(shard AS VARCHAR) || ',endpoint=host' || CAST(shard AS VARCHAR) || ':5653,hostname=agent'
-  || CAST(shard AS VARCHAR) || ' ChannelFillPercentage=' || CAST(value AS VARCHAR) || ' ' || CAST(ts_ns AS VARCHAR) FROM ev""",
+  || CAST(shard AS VARCHAR) || ' ChannelFillPercentage=' || CAST(value AS VARCHAR) || ' ' || CAST(ts_ns AS VARCHAR) FROM ev)
+SELECT src_offset, component, CASE WHEN """ + _IN_REACH + """ THEN line END AS line,
+  CASE WHEN NOT (""" + _IN_REACH + """) THEN 'cannot infer the time unit' END AS error FROM q JOIN ev ON src_offset = event_id""",
 )
 def q_agent_points(spark, sf_dir):
     a = SN.agent_points(fx.agent_snapshots(spark, sf_dir))
-    return SN.measurements_to_lines(a, F.col("sampled_ns") / F.lit(1e9)).select("src_offset", "component", "line")
+    return SN.measurements_to_lines(a, NOW_S).select("src_offset", "component", "line", "error")
 
 
 @register(
@@ -790,12 +793,14 @@ def q_agent_points(spark, sf_dir):
     || CAST(k * 10 AS VARCHAR) || 'i ' || CAST(ts_ns AS VARCHAR) END,
     CASE WHEN event_type = 'error' THEN 'value is not an integer' END
     FROM ev WHERE event_type IN ('view', 'error', 'click'))
-SELECT * FROM x""",
+SELECT src_offset, measurement, CASE WHEN """ + _IN_REACH + """ THEN line END AS line,
+  CASE WHEN error IS NOT NULL THEN error WHEN NOT (""" + _IN_REACH + """) THEN 'cannot infer the time unit' END AS error
+FROM x JOIN ev ON src_offset = event_id""",
 )
 def q_spark_points(spark, sf_dir):
     """All four Spark-status shapes from one scan (kind per row)."""
     p = SN.spark_points_mixed(fx.spark_snapshots_mixed(spark, sf_dir), "kind")
-    lines = SN.measurements_to_lines(p.withColumnRenamed("error", "_perr"), F.col("sampled_ns") / F.lit(1e9))
+    lines = SN.measurements_to_lines(p.withColumnRenamed("error", "_perr"), NOW_S)
     return lines.select("src_offset", "measurement", "line", F.coalesce(F.col("_perr"), F.col("error")).alias("error"))
 
 
