@@ -126,9 +126,7 @@ def cutoffs(labelled: DataFrame, risk: float = RISK, error: float = ERROR, rules
     hit = F.filter("b", lambda x: x["beyond"] >= F.col("size") - F.col("i"))
     total = lambda f: F.aggregate(hit, F.lit(0).cast("long"), lambda a, x: a + x[f])
     t = t.withColumn("k", total("good")).withColumn("hits", total("bad"))
-    strata = t.select("stratum").distinct().agg(F.count("*").alias("strata"))
-    t = t.crossJoin(F.broadcast(strata))  # one row
-    level = F.lit(error) / (F.col("strata") * len(size))
+    level = F.lit(error) / (whole.select(F.count_distinct("stratum")).scalar() * len(size))
     t = t.withColumn("passed", (F.col("k") < F.col("n_good") * risk) & (binomial_cdf(F.col("k"), F.col("n_good"), risk) <= level))
     in_turn = by.orderBy("i")
     t = t.withColumn("certified", F.min(F.col("passed").cast("int")).over(in_turn) == 1)
