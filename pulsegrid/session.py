@@ -7,45 +7,38 @@ import re
 import tempfile
 import uuid
 
-from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 
 
 def get_session(master: str | None = None, partitions: int | None = None, app: str = "pulsegrid",
                 checkpoint_dir: str | None = None) -> SparkSession:
     """Build (or reuse) a session. What spark-submit or the caller's configuration sets is
-    left alone: on a cluster the master, all sizes and ``spark.checkpoint.dir`` come from
-    there. Only a local master (tests, bench) gets a partition count, a driver heap and a
-    checkpoint folder here."""
-    given = SparkConf()
-    local = (master or given.get("spark.master", "")).startswith("local")
-    wanted = {
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
-        CHANGELOG: "true",
-        "spark.ui.enabled": "false",
-    }
-    if local:
-        wanted["spark.sql.shuffle.partitions"] = str(partitions or 8)
-        # local mode runs everything in the driver JVM; Spark's 1 GB default heap
-        # turns a long session into a GC-bound one
-        wanted["spark.driver.memory"] = os.environ.get("PULSEGRID_DRIVER_MEMORY", "16g")
-        if not is_cluster(master or given.get("spark.master", "")):
-            wanted["spark.checkpoint.dir"] = checkpoint_dir or tempfile.mkdtemp(prefix="pulsegrid-ckpt-")
+    left alone: without ``master`` the master, all sizes and ``spark.checkpoint.dir`` come
+    from there. Only a local ``master`` (tests, bench) gets a partition count, a driver
+    heap and a checkpoint folder here."""
     b = SparkSession.builder.appName(app)
     if master:
-        b = b.master(master)
-    for k, v in wanted.items():
-        if not given.contains(k):
-            b = b.config(k, v)
+        b = b.master(master).config("spark.ui.enabled", "false")
+    if master and master.startswith("local"):
+        b = b.config("spark.sql.shuffle.partitions", str(partitions or 8))
+        # local mode runs everything in the driver JVM; Spark's 1 GB default heap
+        # turns a long session into a GC-bound one
+        b = b.config("spark.driver.memory", os.environ.get("PULSEGRID_DRIVER_MEMORY", "16g"))
+        if not is_cluster(master):
+            b = b.config("spark.checkpoint.dir", checkpoint_dir or tempfile.mkdtemp(prefix="pulsegrid-ckpt-"))
+    elif partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(partitions))
     if checkpoint_dir:
         b = b.config("spark.checkpoint.dir", checkpoint_dir)
-    if partitions:
-        b = b.config("spark.sql.shuffle.partitions", str(partitions))
     spark = b.getOrCreate()
+    given = spark.sparkContext.getConf()
+    for k, v in {"spark.sql.session.timeZone": "UTC", PROVIDER: ROCKSDB_PROVIDER, CHANGELOG: "true"}.items():
+        if not given.contains(k):
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -88,7 +81,7 @@ def app_checkpoint(spark: SparkSession, app_id: str, job: str) -> str:
 
 def use_rocksdb(spark: SparkSession) -> None:
     """Stateful operators in this package expect the RocksDB state store (spills, changelog)."""
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    if spark.conf.get(PROVIDER, "") != ROCKSDB_PROVIDER:
+        spark.conf.set(PROVIDER, ROCKSDB_PROVIDER)
     if spark.conf.get(CHANGELOG, "false") != "true":
         spark.conf.set(CHANGELOG, "true")
