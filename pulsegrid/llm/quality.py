@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, let, read, words
 
-RISK, ERROR = 0.01, 0.05
+RISK, ERROR = 0.02, 0.05
 SHARES = (950, 900, 800, 700, 600, 500, 400, 300, 200, 100)
 #: Rule -> cutoffs, in per mille, loosest first.
 RULES = {
