@@ -21,8 +21,10 @@ from pulsegrid.session import scratch_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = langid.identify(docs, langid.fit(langid.learnable(docs)))
-    return found.filter("not rejected").select(*docs.columns)
+    # numbered names: a column of the documents may be called like one that is added
+    plain = [f"c{i}" for i in range(len(docs.columns))]
+    found = langid.identify(docs.toDF(*plain), langid.fit(langid.learnable(docs)), text_col=plain[docs.columns.index("text")])
+    return found.filter("not rejected").select(*plain).toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

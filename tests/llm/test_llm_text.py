@@ -358,3 +358,16 @@ def test_pipeline_stages(spark):
     assert packed.agg(F.countDistinct("doc_id")).first()[0] == mixed.agg(F.countDistinct("doc_id")).first()[0]
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_pipeline_keeps_columns_with_clashing_names(spark):
+    own = {"score": 7, "lang_pred": "x", "rejected": True, "size": 1, "row": 2, "name": "n", "id": 5, "hinted": False, "c0": 3, "fits": 0, "taken": 4}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    for k, v in own.items():
+        docs = docs.withColumn(k, F.lit(v))
+    d = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        d = stage(spark, d, SF).checkpoint()
+        assert d.columns == docs.columns and d.count() > 0
+        assert d.select(*own).distinct().collect() == [tuple(own.values())]
+    assert corpus_pipeline.STAGES[-1][1](spark, d, SF).count() > 0
