@@ -105,7 +105,7 @@ def fingerprint(docs: DataFrame, text_col: str = "text", name: str = "fingerprin
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in kernels.slices(batches):
             yield pa.RecordBatch.from_arrays([*b.columns, as_binary(signatures(b.column(place), n))], names=[*b.schema.names, name])
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, *StructType.fromDDL(f"`{name}` binary").fields]))
@@ -126,7 +126,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     schema = StructType([d.schema["id"], *StructType.fromDDL("n long, name binary, fp binary").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in kernels.slices(batches):
             words, at = kernels.word_hashes(*kernels.utf8(b.column(1)))
             sets = [kernels.shingles(words[x:y], n) for x, y in zip(at[:-1], at[1:])]
             names = pa.array([ngram_join.name_of(s) if len(s) else None for s in sets], pa.binary())
@@ -177,9 +177,7 @@ def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
             nothing[2] = as_binary(s[None])
             return pa.RecordBatch.from_arrays([i, *nothing, pa.array([part], pa.int32()), pa.array([which], pa.int32()), pa.array([t])], names=waiting.names)
 
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in kernels.slices(batches):
             ids, texts, sigs = b.column(0), b.column(1).to_pylist(), signatures(b.column(1), n)
             if first is None:
                 first = (ids.slice(0, 1), texts[0], sigs[0])

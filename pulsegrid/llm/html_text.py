@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..workers import ship_by_value
+from . import kernels
 from .common import read
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*(?:>|\Z)""", re.S)
@@ -204,7 +205,7 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     schema = pages.select(*[F.col(f"`{c}`") for c in keep]).schema.add("text", "string").add("n_chars", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in kernels.slices(batches):
             found = [main_text(x.as_py()) for x in batch.column(len(keep))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.string()), pa.array(map(len, found), pa.int64())], names=schema.names)
 

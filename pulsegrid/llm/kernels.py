@@ -55,6 +55,13 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, o - o[0]
 
 
+def slices(batches, rows: int = 1024):
+    """The batches in slices of some rows: what is made of a slice is freed before the next."""
+    for b in batches:
+        for a in range(0, b.num_rows, rows):
+            yield b.slice(a, rows)
+
+
 def pieces(raw: np.ndarray, offsets: np.ndarray):
     """(from, to) cuts of the buffer of about PIECE bytes, at white space or row starts."""
     a = 0

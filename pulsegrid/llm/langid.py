@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..workers import ship_by_value
+from . import kernels
 from .common import read
 
 SAMPLE, EXCERPT, DICTIONARY, BLOCK = 128, 2000, 1 << 16, 2048
@@ -94,7 +95,7 @@ def identify(docs: DataFrame, model: list[tuple[str, bytes]], text_col: str = "t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classify = Classifier(model, margin)
-        for batch in batches:
+        for batch in kernels.slices(batches):
             found = [classify(t.as_py()) for t in batch.column(place)]
             cols = [pa.array([f[i] for f in found], k) for i, k in enumerate((pa.string(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *cols], names=[*batch.schema.names, *own])

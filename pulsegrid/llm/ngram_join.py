@@ -114,7 +114,7 @@ def named(docs: DataFrame, n: int, count: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, kind = np.zeros(1 << SKETCH_BITS, np.uint32), None
-        for b in batches:
+        for b in kernels.slices(batches):
             kind, sets, m = b.column(0).type, sets_of(b, 1, n), b.num_rows
             if count:
                 for s in sets:  # each once in a set, so without repeats
@@ -137,7 +137,7 @@ def prefixes(docs: DataFrame, levels: np.ndarray, n: int, percent: int) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = shared.value
-        for b in batches:
+        for b in kernels.slices(batches):
             out = []
             for s in sets_of(b, 0, n):
                 if len(s):
@@ -159,7 +159,7 @@ def whole_sets(docs: DataFrame, wanted: np.ndarray, n: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in kernels.slices(batches):
             b = b.filter(pa.array(shared.value[place_of(b.column(0).to_numpy(zero_copy_only=False), SKETCH_BITS)]))
             if b.num_rows:
                 sets = sets_of(b, 1, n)
@@ -354,7 +354,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     schema = StructType([t.schema["row"], t.schema["id"], *StructType.fromDDL("name binary").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in kernels.slices(batches):
             names = pa.array([name_of(s) if len(s) else None for s in sets_of(b, 2, n)], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), names], names=schema.names)
 

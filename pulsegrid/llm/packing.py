@@ -219,7 +219,7 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, id_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, rests, counter = ids_of(tokenizer), [], TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in kernels.slices(batches):
             names_of = batch.column(0)
             raw, offsets = kernels.utf8(batch.column(1))
             pieces: list[tuple] = []
@@ -244,6 +244,7 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, id_col: str =
             kind = batch.schema.field(0).type
         if rests:
             yield packed(rests, counter, kind)
+        ids.forget()  # the worker may go on with other work
 
     def packed(rests: list[tuple], counter: int, kind: pa.DataType) -> pa.RecordBatch:
         out = []

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..workers import ship_by_value
+from . import kernels
 from .common import read
 
 KINDS = ("email", "ip", "card", "phone")
@@ -296,7 +297,7 @@ def find(docs: DataFrame, weights: np.ndarray, text_col: str = "text") -> DataFr
     kind = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in kernels.slices(batches):
             found = [spans_of(t.as_py(), weights) for t in b.column(b.num_columns - 1)]
             cols = [pa.array([[dict(zip(("kind", "start", "end"), s)) for s in f[i]] for f in found], kind) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], *cols], names=schema.names)
@@ -313,7 +314,7 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     hinted = docs.select("*", F.col(f"`{text_col}`").rlike(HINT).alias("\0hinted"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in kernels.slices(batches):
             cols, texts, hints = list(b.columns[:-1]), b.column(place).to_pylist(), b.column(b.num_columns - 1).to_pylist()
             new = [masked(t, [s for x in spans_of(t, weights) for s in x]) if h else t for t, h in zip(texts, hints)]
             cols[place] = pa.array(new, cols[place].type)
