@@ -4,8 +4,11 @@ A page becomes a tree. Parts that are no article by their element, class or id (
 headers, footers, sidebars, notices, adverts, forms, scripts, comments) are cut off. For
 every node left, characters per tag are weighted down by its share of link text (composite
 text density), and a node's density sum is that of its children. The node of the largest
-sum is the core; the least density on its path to the body is the threshold, and in every
-part of the page whose density reaches it the subtree of the largest sum is content.
+sum is the core; the least density on its path to the body is the threshold. The article
+(or main element) around the core is content as a whole; without one, so are the core and
+the blocks beside its path that are text rather than links. In the rest of the page every
+node whose density reaches the threshold is content: the whole of it, or if it is mostly
+links, the subtree of the largest sum in it.
 
 Scale: one pass over the pages, without a shuffle; a task holds one batch. Trees are kept
 in flat lists in page order and summed from the end, so depth costs no recursion, and
@@ -55,6 +58,7 @@ class Page:
 
     def __init__(self, source: str):
         self.tag, self.parent, self.cut, self.texts = ["#page"], [-1], [False], []
+        self.loose: set[int] = set()  # nodes whose own text is content, but not all that is in them
         stack, open_tags, block, at = [0], {}, 0, 0
         n = len(source)
 
@@ -160,19 +164,31 @@ class Page:
         while i != body and i > 0:
             threshold = min(threshold, density[i])
             i = self.parent[i]
-        # the highest nodes under the body that reach the threshold, and in each the node of the largest sum
-        top, best = [-1] * n, {}
         if core == body:
             return [body]
-        for i in range(body + 1, n):
+        path = [core]
+        while path[-1] != body:
+            path.append(self.parent[path[-1]])
+        own = next((i for t in ("article", "main") for i in path[::-1] if self.tag[i] == t), core)
+        # beside the path of the core, every block stays that is text rather than links; an article stays as it is
+        near, best = set(path[1:]) if own == core and self.tag[core] not in ("article", "main") else set(), list(range(n))
+        texts, links = chars[:], [0] * n  # of a node on the path without the blocks in it
+        for i in range(n - 1, body, -1):
+            p = self.parent[i]
             if inside[i]:
-                top[i] = top[self.parent[i]]
-                if top[i] < 0 and density[i] >= threshold:
-                    top[i] = i
-                    best[i] = i
-                if top[i] >= 0 and sums[i] > sums[best[top[i]]]:
-                    best[top[i]] = i
-        return sorted(best.values())
+                best[p] = max(best[p], best[i], key=lambda k: (sums[k], -k))
+                texts[p] -= link_chars[i] if self.tag[i] in INLINE else chars[i]
+                links[p] += link_chars[i] * (self.tag[i] in INLINE)
+        self.loose = {i for i in near if texts[i] >= links[i]}
+        path, whole = set(path), {own}
+        for i in range(body + 1, n):
+            if inside[i] and i not in path:
+                p, text = self.parent[i], 2 * link_chars[i] <= chars[i]
+                if p in self.loose if p in near and self.tag[i] in INLINE else text and (p in near or density[i] >= threshold):
+                    whole.add(i)
+                elif density[i] >= threshold:
+                    whole.add(best[i])
+        return sorted(whole)
 
     def text(self) -> str:
         chosen = self.content()
@@ -183,7 +199,7 @@ class Page:
             keep[i] = keep[i] or keep[self.parent[i]]
         blocks: dict[int, list[str]] = {}
         for i, b, t in self.texts:
-            if keep[i]:
+            if keep[i] or i in self.loose:
                 blocks.setdefault(b, []).append(t)
         lines = (SPACE.sub(" ", "".join(x)).strip() for x in blocks.values())
         return "\n".join(x for x in lines if x)

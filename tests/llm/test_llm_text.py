@@ -65,6 +65,28 @@ def test_main_text(source, want):
     assert html_text.main_text(source) == want
 
 
+def blocks(tag, k, size):
+    return [f"{tag}{i} " + ("word " * size)[:size - 4].strip() for i in range(k)]
+
+
+@pytest.mark.parametrize("outer", ["article", "main", "div"])
+def test_articles_of_sections_lists_and_tables(outer):
+    dress = lambda tag, lines: "".join(f"<{tag}>{x}</{tag}>" for x in lines)
+    one, two, three, items, cells = blocks("a", 3, 200), blocks("b", 3, 200), blocks("c", 2, 40), blocks("d", 40, 60), blocks("e", 12, 30)
+    page = "<body><ul>" + "".join(f"<li><a href=x>go {i}</a></li>" for i in range(30)) + f"</ul><{outer}>%s</{outer}><p><a>next page</a></p></body>"
+    sections = f"<h1>Title</h1><section>{dress('p', one)}</section><section><h2>Part two</h2>{dress('p', two)}</section><section>{dress('p', three)}</section>"
+    assert html_text.main_text(page % sections).split("\n") == ["Title", *one, "Part two", *two, *three]
+    assert html_text.main_text(page % f"<h1>Title</h1>{dress('p', one)}<ul>{dress('li', items)}</ul><p>end</p>").split("\n") == ["Title", *one, *items, "end"]
+    table = "<table><tr>" + dress("td", cells) + "</tr></table>"
+    assert html_text.main_text(page % f"<h1>Title</h1>lead <b>in</b><section>{dress('p', one)}</section>{table}").split("\n") == ["Title", "lead in", *one, *cells]
+
+
+def test_second_article_is_whole():
+    part = lambda c: f"<article><h1>Title {c}</h1>" + "".join("<section>" + "".join(f"<p>{x}</p>" for x in blocks(c + str(i), 3, 200)) + "</section>" for i in range(2)) + "</article>"
+    want = [x for c in "xy" for x in (f"Title {c}", *blocks(c + "0", 3, 200), *blocks(c + "1", 3, 200))]
+    assert html_text.main_text(f"<body><div>{part('x')}</div><div>{part('y')}</div></body>").split("\n") == want
+
+
 def test_extract_against_articles(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     found = {r.page_id: (r.text, r.n_chars) for r in html_text.op3(spark, SF).collect()}
