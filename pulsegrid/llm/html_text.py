@@ -35,30 +35,43 @@ NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp", "noembed", "noframes"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 CLOSES_P = {"address", "article", "aside", "blockquote", "center", "details", "dialog", "dir", "div", "dl", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "main", "menu", "nav", "ol", "p", "pre", "search", "section", "summary", "table", "ul"}
-BLOCK = CLOSES_P | {"html", "body", "li", "dt", "dd", "td", "th", "tr", "thead", "tbody", "tfoot", "caption", "option", "legend"}
-INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var"} | VOID
+BLOCK = CLOSES_P | {"html", "body", "text", "li", "dt", "dd", "td", "th", "tr", "thead", "tbody", "tfoot", "caption", "option", "legend"}
+INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "svg", "math", "time", "tt", "u", "var"} | VOID
 #: Elements that end an open one of the second set, up to one of the third.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
     "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}),
 }
-DROP = RAW | {"head", "nav", "header", "footer", "aside", "form", "menu", "button", "select", "dialog", "svg", "math", "object", "audio", "video", "canvas", "input"}
-#: Words of a class, id or role that mark a part as no article.
+DROP = RAW | {"head", "nav", "header", "footer", "aside", "form", "menu", "button", "select", "dialog", "annotation", "annotation-xml", "defs", "desc", "metadata", "object", "audio", "video", "canvas", "input"}
+#: Elements whose insides are drawn as one sign or picture: their texts count, their tags don't.
+DRAWN = {"math", "svg"}
+#: Words that mark a part as no article. A class, id or role does if it has one of them and
+#: otherwise only words that say where or how the part stands.
 DROP_WORDS = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "sponsor", "sponsored", "promo", "promotion", "banner", "popup", "modal", "overlay",
     "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "pagination", "pager", "header", "masthead", "footer", "sidebar", "aside", "complementary", "contentinfo",
     "cookie", "cookies", "consent", "gdpr", "notice", "notices", "alert", "disclaimer", "newsletter", "subscribe", "subscription", "signup", "login", "search", "form",
     "share", "sharing", "social", "related", "recommended", "recommendations", "trending", "comment", "comments", "disqus", "discussion", "replies", "respond", "widget", "toolbar", "skip", "hidden",
 }
+PLACE_WORDS = {
+    "", "site", "global", "main", "primary", "secondary", "top", "bottom", "left", "right", "inner", "outer", "fixed", "sticky", "floating", "mobile", "desktop",
+    "block", "box", "bar", "container", "wrapper", "wrap", "area", "section", "panel", "slot", "unit", "zone", "space", "list", "item", "items", "link", "links", "button", "buttons", "icon", "icons",
+    "thread", "policy", "media", "posts", "articles", "stories", "text", "message", "to", "by", "us", "js",
+}
 SPACE = re.compile(r"\s+")
 
 
 class Page:
-    """Nodes in page order: tag, parent, whether cut off; texts as (node, block, text)."""
+    """Nodes in page order: tag, parent, whether cut off; texts as (node, block, text).
+
+    Elements that are no article by their tag are cut at once, those that are none by a word
+    when the page is known: never what holds the page's article (its longest article element
+    or main, without one more than half of the text), and none if nothing would be left."""
 
     def __init__(self, source: str):
         self.tag, self.parent, self.cut, self.texts = ["#page"], [-1], [False], []
         self.loose: set[int] = set()  # nodes whose own text is content, but not all that is in them
+        self.named: list[int] = []  # nodes that are no article by a word
         stack, open_tags, block, at = [0], {}, 0, 0
         n = len(source)
 
@@ -99,7 +112,9 @@ class Page:
             if t in ENDS:
                 pop_to(*ENDS[t])
             block += t in BLOCK
-            cut = self.cut[stack[-1]] or t in DROP or (t not in ("html", "body") and bool(m[3]) and self.unwanted(m[3]))
+            cut = self.cut[stack[-1]] or t in DROP
+            if not cut and t not in ("html", "body") and m[3] and self.unwanted(m[3]):
+                self.named.append(len(self.tag))
             self.tag.append(t)
             self.parent.append(stack[-1])
             self.cut.append(cut)
@@ -116,17 +131,46 @@ class Page:
                 stack.append(len(self.tag) - 1)
                 open_tags[t] = open_tags.get(t, 0) + 1
 
+        if self.named:
+            self.cut_named()
+
     @staticmethod
     def unwanted(attributes: str) -> bool:
-        return any(w in DROP_WORDS for m in NAMES.finditer(attributes) for w in re.split(r"[^a-z]+", (m[2] or m[3] or m[4] or "").lower()))
+        for m in NAMES.finditer(attributes):
+            for name in (m[2] or m[3] or m[4] or "").lower().split():
+                words = set(re.split(r"[^a-z]+", name))
+                if words & DROP_WORDS and words <= DROP_WORDS | PLACE_WORDS:
+                    return True
+        return False
+
+    def cut_named(self) -> None:
+        n = len(self.tag)
+        chars = [0] * n
+        for i, _, t in self.texts:
+            chars[i] += len(t) - sum(map(t.count, " \n\t\r"))
+        for i in range(n - 1, 0, -1):
+            chars[self.parent[i]] += chars[i]
+        articles = [i for t in ("article", "main") for i in range(n) if self.tag[i] == t and chars[i]]
+        holds, i = set(), max(articles, key=lambda i: (self.tag[i] == "article", chars[i])) if articles else 0
+        while i > 0:
+            holds.add(i)
+            i = self.parent[i]
+        named = {i for i in self.named if i not in holds and (articles or 2 * chars[i] <= chars[0])}
+        cut = self.cut[:]
+        for i in range(1, n):
+            cut[i] = cut[i] or i in named or cut[self.parent[i]]
+        left = [x for x in self.texts if not cut[x[0]]]
+        if any(not t.isspace() for _, _, t in left):
+            self.cut, self.texts = cut, left
 
     def content(self) -> list[int]:
         """The nodes whose subtrees are the main text, in page order."""
         n = len(self.tag)
         chars, link_chars, tags, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
-        in_link = [False] * n
+        in_link, drawn = [False] * n, [False] * n
         for i in range(1, n):
             in_link[i] = in_link[self.parent[i]] or self.tag[i] == "a"
+            drawn[i] = drawn[self.parent[i]] or self.tag[i] in DRAWN
         for i, _, t in self.texts:
             c = len(t) - t.count(" ") - t.count("\n")
             chars[i] += c
@@ -136,7 +180,7 @@ class Page:
             if not self.cut[i]:
                 chars[p] += chars[i]
                 link_chars[p] += link_chars[i]
-                tags[p] += tags[i] + 1
+                tags[p] += tags[i] + (not drawn[i])
                 link_tags[p] += link_tags[i] + (self.tag[i] == "a")
         body_share = link_chars[0] / max(chars[0], 1)
         density, sums = [0.0] * n, [0.0] * n

@@ -81,6 +81,25 @@ def test_articles_of_sections_lists_and_tables(outer):
     assert html_text.main_text(page % f"<h1>Title</h1>lead <b>in</b><section>{dress('p', one)}</section>{table}").split("\n") == ["Title", "lead in", *one, *cells]
 
 
+LONG = "This is a sentence of the article, and it is a long one. " * 4
+
+
+@pytest.mark.parametrize("source, want", [
+    (f"<div id=content class='has-sidebar'><p>{LONG}</p></div>", LONG.strip()),
+    (f"<main class='with-ads'><p>{LONG}</p></main>", LONG.strip()),
+    (f"<article class='post no-comments'><p>{LONG}</p></article>", LONG.strip()),
+    (f"<div class='layout sidebar-right'><nav>menu</nav><p>{LONG}</p></div>", LONG.strip()),
+    (f"<div class='sidebar'><article><p>{LONG}</p></article><div class='ad-slot'>Buy now</div></div>", LONG.strip()),
+    (f"<article><div class='article-header'><h1>Title</h1></div><p>{LONG}</p><p class='promotion-history'>His promotion</p></article>", f"Title\n{LONG.strip()}\nHis promotion"),
+    ("<div class=notice><p>one</div><div class=alert><p>two</div><div class=related><p>three</div>", "one\ntwo\nthree"),
+    (f"<article><p>{LONG}</p><p>Area <math><mi>a</mi><mo>=</mo><mn>2</mn></math>.</p><svg><title>t</title><text>left</text><text>right</text></svg></article>",
+     f"{LONG.strip()}\nArea a=2.\nleft\nright"),
+    (f"<article><p>{LONG}</p></article><div class='comments-area'>{'<p>me too</p>' * 90}</div><div class='site-footer'>f</div><div id=cookie-banner>c</div>", LONG.strip()),
+])
+def test_words_cut_no_article(source, want):
+    assert html_text.main_text(f"<body>{source}</body>") == want
+
+
 def test_second_article_is_whole():
     part = lambda c: f"<article><h1>Title {c}</h1>" + "".join("<section>" + "".join(f"<p>{x}</p>" for x in blocks(c + str(i), 3, 200)) + "</section>" for i in range(2)) + "</article>"
     want = [x for c in "xy" for x in (f"Title {c}", *blocks(c + "0", 3, 200), *blocks(c + "1", 3, 200))]
