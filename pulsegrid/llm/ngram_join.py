@@ -16,8 +16,11 @@ as far as a pair can still reach the similarity. A pair of sets of sizes a and b
    one set could not make up the rest, the pair is discarded. The others are verified on
    whole sets and linked ones put into components.
 5. What is left of long columns are pairs of different components. These are formed, bounded
-   and verified too, and the components closed over all links. So no link is lost, and a
-   group of thousands of near copies costs one pair a copy instead of all pairs.
+   and verified too, and the components closed over all links. So no component is missed, and
+   a group of thousands of near copies costs one pair a copy instead of all pairs.
+6. Where links are asked for, all pairs inside a component are multiplied, on whole sets and
+   in blocks of classes. Only a number of links for each class and block leaves a task, so a
+   group's sets are moved once for each of its blocks and its pairs never.
 
 Scale: two passes over the texts make the sets (they are not stored), a third makes those
 of classes in candidate pairs. What is broadcast, the sketch and a bit filter of class
@@ -47,6 +50,8 @@ WORDS, PERCENT = 5, 80
 SKETCH_BITS = 22
 SHORT, ROWS = 8, 1 << 18
 CHUNK_BITS = 16
+#: Classes and n-grams of a block of step 6, and columns of a dense product.
+BLOCK_CLASSES, BLOCK_SHINGLES, DENSE = 2048, 1 << 20, 2048
 
 
 def need(a, b, percent: int):
@@ -294,13 +299,89 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
 
 
-def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """The sizes of the intersections of each set of ``x`` with each of ``y``. N-grams that
+    stand in many of both are multiplied as a dense matrix, the others pair by pair."""
+    token, at = np.unique(np.concatenate([*x, *y]), return_inverse=True)
+    rows, cols = np.repeat(np.arange(len(x)), [len(s) for s in x]), np.repeat(np.arange(len(y)), [len(s) for s in y])
+    ax, ay = at[:len(rows)], at[len(rows):]
+    cx, cy = np.bincount(ax, minlength=len(token)), np.bincount(ay, minlength=len(token))
+    dense = cx * cy * 128 > len(x) * len(y)
+    out = np.zeros(len(x) * len(y), np.int64)
+    column = np.cumsum(dense) - 1
+    for start in range(0, int(dense.sum()), DENSE):
+        sides = []
+        for m, own, a in ((len(x), rows, ax), (len(y), cols, ay)):
+            i = np.flatnonzero(dense[a] & (column[a] >= start) & (column[a] < start + DENSE))
+            side = np.zeros((m, DENSE), np.float32)
+            side[own[i], column[a[i]] - start] = 1
+            sides.append(side)
+        out += (sides[0] @ sides[1].T).astype(np.int64).ravel()
+    order = np.argsort(ay, kind="stable")
+    begin = np.cumsum(cy) - cy
+    i = np.flatnonzero(~dense[ax] & (cy[ax] > 0))
+    ends = np.cumsum(cy[ax[i]])
+    a = 0
+    while a < len(i):  # up to 2^22 pairs at once, or one entry's
+        done = ends[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(ends, done + (1 << 22), "right")))
+        k = cy[ax[i[a:b]]]
+        place = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k) + np.repeat(begin[ax[i[a:b]]], k)
+        out += np.bincount(np.repeat(rows[i[a:b]], k) * len(y) + cols[order[place]], minlength=len(out))
+        a = b
+    return out.reshape(len(x), len(y))
+
+
+def degrees(classes: DataFrame, sets: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
+    """(cid, links_found): with how many classes each class of ``comp`` (node, comp) links,
+    from ``classes`` (cid, n) and ``sets`` (cid, shingles). Two classes alone are one link."""
+    c = comp.select(F.col("node").alias("cid"), "comp")
+    size = c.join(classes.select("cid", "n"), "cid").groupBy("comp").agg(F.count("*").alias("k"), F.sum("n").alias("m"))
+    c = c.join(size, "comp")
+    parts = F.greatest(F.ceil(F.col("k") / BLOCK_CLASSES), F.ceil(F.col("m") / BLOCK_SHINGLES)).cast("int")
+    own = F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int")
+    many = c.filter("k > 2").withColumn("parts", parts).withColumn("own", own).join(sets, "cid")
+    many = many.select("comp", "cid", "shingles", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    many = many.select("comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "cid", "shingles")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, sides = None, ([], [])
+        for b in batches:
+            keys = list(zip(*(b.column(k).to_pylist() for k in range(3))))
+            side, cid, sets = b.column(3).to_pylist(), b.column(4).to_pylist(), b.column(5)
+            flat, at = sets.values.to_numpy(zero_copy_only=False), sets.offsets.to_numpy()
+            for r, k in enumerate(keys):
+                if k != key:
+                    if key:
+                        yield count(sides, key[1] == key[2])
+                    key, sides = k, ([], [])
+                sides[side[r]].append((cid[r], flat[at[r]:at[r + 1]].copy()))
+        if key:
+            yield count(sides, key[1] == key[2])
+
+    def count(sides, same: bool) -> pa.RecordBatch:
+        x, y = sides[0], sides[0] if same else sides[1]
+        if not x or not y:
+            return pa.record_batch([pa.array([], pa.int64()), pa.array([], pa.int64())], ["cid", "k"])
+        sx, sy = [s for _, s in x], [s for _, s in y]
+        nx, ny = np.array([len(s) for s in sx]), np.array([len(s) for s in sy])
+        found = overlaps(sx, sy) >= need(nx[:, None], ny[None], percent)
+        if same:
+            np.fill_diagonal(found, False)
+            return pa.record_batch([pa.array([c for c, _ in x], pa.int64()), pa.array(found.sum(axis=1), pa.int64())], ["cid", "k"])
+        return pa.record_batch([pa.array([c for c, _ in (*x, *y)], pa.int64()), pa.array(np.concatenate([found.sum(axis=1), found.sum(axis=0)]), pa.int64())], ["cid", "k"])
+
+    many = many.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j", "side").mapInArrow(run, "cid long, k long")
+    return many.groupBy("cid").agg(F.sum("k").alias("links_found")).unionByName(c.filter("k = 2").select("cid", F.lit(1).cast("long").alias("links_found")))
+
+
+def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS, percent: int = PERCENT, count: bool = True) -> DataFrame:
     """(id, n_shingles, name, component, links_found, component_id) per document.
 
     ``name`` tells the document's set (null without words: an empty set, linked with nothing)
     and ``component`` is a number for its component (null with the name);
-    ``links_found`` counts the linked classes found for its class (a group may be held together
-    by fewer links than there are linked pairs); ``component_id`` is the least id reachable
+    ``links_found`` is the number of classes that link with its class (not there without
+    ``count``, which spares step 6); ``component_id`` is the least id reachable
     by links. Null ids are never least unless all are null; equal ids of different texts are
     different documents. Empty tables give empty results. Other columns are not read.
     """
@@ -310,36 +391,40 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     levels = gathered(first.filter("chunk is not null"))
     p = cut(prefixes(d, levels, n, percent).dropDuplicates(["name"])).withColumn("cid", F.monotonically_increasing_id())
     entries = p.select("cid", "n", F.posexplode("prefix").alias("pos", "token"))
-    return closed(d, rows, p, entries, lambda pairs: bounded(pairs, p, percent), n, percent).withColumnRenamed("id", id_col)
+    return closed(d, rows, p, entries, lambda pairs: bounded(pairs, p, percent), n, percent, count).withColumnRenamed("id", id_col)
 
 
-def closed(d: DataFrame, rows: DataFrame, classes: DataFrame, entries: DataFrame, bound, n: int, percent: int) -> DataFrame:
-    """Steps 3 to 5 for the entries (token, cid, n, pos) of any candidate scheme: pairs from
+def closed(d: DataFrame, rows: DataFrame, classes: DataFrame, entries: DataFrame, bound, n: int, percent: int, count: bool = True) -> DataFrame:
+    """Steps 3 to 6 for the entries (token, cid, n, pos) of any candidate scheme: pairs from
     the columns, verified on the sets of ``d`` (id, text), closed to components over
-    ``rows`` (id, n, name). ``classes``: (cid, name); ``bound`` may discard pairs ahead."""
+    ``rows`` (id, n, name). ``classes``: (cid, name, n); ``bound`` may discard pairs ahead."""
     made = cut(multiply(entries, percent))
     pairs = cut(made.filter("b is not null").select("a", "b").distinct())
     ids = rows.filter("name is not null").groupBy("name").agg(F.min("id").alias("id"), F.xxhash64(F.min("id")).alias("h"))
 
-    def linked(some: DataFrame) -> DataFrame:
+    def linked(some: DataFrame) -> tuple[DataFrame, DataFrame]:
         able = cut(bound(some))
         wanted = classes.select("name", "cid").join(able.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), "cid")
         hits = bit_filter(wanted.join(ids, "name"))
-        sets = whole_sets(d, hits, n).join(wanted, "name").select("cid", "shingles").dropDuplicates(["cid"])
-        return cut(verified(able, cut(sets), percent))
+        sets = cut(whole_sets(d, hits, n).join(wanted, "name").select("cid", "shingles").dropDuplicates(["cid"]))
+        return cut(verified(able, sets, percent)), sets
 
-    links = linked(pairs)
+    links, sets = linked(pairs)
     comp = components(links)
     more = cut(left_over(made.filter("b is null").select("a", "token", "n", "pos"), comp, pairs, percent))
     if not more.isEmpty():
-        links = links.unionByName(linked(more))
+        new, new_sets = linked(more)
+        links = links.unionByName(new)
+        sets = sets.unionByName(new_sets.join(sets.select("cid"), "cid", "left_anti"))
         comp = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("cid")).groupBy("cid").agg(F.count("*").alias("links_found"))
     c = classes.select("name", "cid").join(ids.select("name", "id"), "name").join(comp.withColumnRenamed("node", "cid"), "cid", "left")
     c = c.withColumn("comp", F.coalesce("comp", "cid"))
-    c = c.join(c.groupBy("comp").agg(F.min("id").alias("component_id")), "comp").join(degree, "cid", "left").select("name", "component_id", "links_found", F.col("comp").alias("component"))
+    c = c.join(c.groupBy("comp").agg(F.min("id").alias("component_id")), "comp")
+    if count:
+        c = c.join(degrees(classes, sets, comp, percent), "cid", "left").withColumn("links_found", F.coalesce("links_found", F.lit(0)))
+    c = c.select("name", "component_id", *["links_found"] * count, F.col("comp").alias("component"))
     out = rows.join(c, "name", "left")
-    return out.select("id", F.col("n").alias("n_shingles"), "name", "component", F.coalesce("links_found", F.lit(0)).alias("links_found"),
+    return out.select("id", F.col("n").alias("n_shingles"), "name", "component", *[F.coalesce("links_found", F.lit(0)).alias("links_found")] * count,
                       F.when(F.col("name").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
@@ -347,7 +432,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     """One document of each component with all its columns: the row of the least id (nulls
     last), of equal ids the one of the least set name, of rows equal in both the one of the
     least text. Documents without words are linked with nothing and all stay."""
-    found = link(docs, id_col, text_col, n, percent).filter("name is not null")
+    found = link(docs, id_col, text_col, n, percent, count=False).filter("name is not null")
     best = found.groupBy("component").agg(F.min(F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), "name")).alias("b"))
     best = best.select(F.col("b.id").alias("best_id"), F.col("b.name").alias("best_name"))
     t = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))

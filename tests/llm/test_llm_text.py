@@ -364,6 +364,26 @@ def test_ngram_join_against_brute_force(spark, monkeypatch, n, percent, short, b
     assert got == brute_components(rows, n, percent)
 
 
+@pytest.mark.parametrize("classes, size", [(2048, 1 << 20), (7, 1 << 20), (2048, 500)])
+def test_links_found_are_all_links(spark, monkeypatch, classes, size):
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", classes)
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", size)
+    rows = near_copies()
+    rows += [(1000 + i, t) for i, (_, t) in enumerate(rows[:20])]
+    sets = {i: shingles(t, 4) for i, t in rows}
+    linked = lambda a, b: a and b and 100 * len(a & b) >= 85 * len(a | b)
+    want = {i: sum(bool(x != s and linked(x, s)) for x in set(sets.values())) for i, s in sets.items()}
+    assert max(want.values()) > 10
+    assert {r.doc_id: r.links_found for r in ngram_join.link(spark.createDataFrame(rows, "doc_id long, text string"), n=4, percent=85).collect()} == want
+
+
+def test_overlaps(monkeypatch):
+    monkeypatch.setattr(ngram_join, "DENSE", 5)
+    rng = random.Random(2)
+    x, y = ([np.unique([rng.choice((rng.randint(0, 12), rng.randint(13, 3000))) for _ in range(rng.randint(1, 30))]).astype(np.int64) for _ in range(m)] for m in (40, 60))
+    assert ngram_join.overlaps(x, y).tolist() == [[len(set(a) & set(b)) for b in y.copy()] for a in x]
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)]
     comp = {r.node: r.comp for r in ngram_join.components(spark.createDataFrame(edges, "a long, b long")).collect()}
