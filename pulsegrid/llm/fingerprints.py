@@ -111,7 +111,7 @@ def fingerprint(docs: DataFrame, text_col: str = "text", name: str = "fingerprin
     return docs.mapInArrow(run, StructType([*docs.schema.fields, *StructType.fromDDL(f"`{name}` binary").fields]))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS, percent: int = 80, bands: int = 16) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS, percent: int = 80, bands: int = 32, count: bool = True) -> DataFrame:
     """Near-duplicate groups: (id, n_shingles, name, component, links_found, component_id) per
     document, as the n-gram join returns them, candidates being the texts that share a band.
 
@@ -119,8 +119,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     one of them are made first; pairs left between different components follow, so that no
     candidate that links is lost and no key gives all its pairs. A candidate links if the
     Jaccard similarity of the whole sets reaches ``percent``. Texts without a word are linked
-    with nothing; repeated rows, equal and null ids are handled as there. With 16 bands of 8,
-    texts of similarity 0.8 share a band with probability 0.95, of 0.9 with 0.9999.
+    with nothing; repeated rows, equal and null ids are handled as there. With 32 bands of 4,
+    texts of similarity 0.8 miss every band with probability 5e-8. Without ``count`` the
+    column links_found is left out.
     """
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = StructType([d.schema["id"], *StructType.fromDDL("n long, name binary, fp binary").fields])
@@ -138,7 +139,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     size = PERMUTATIONS // bands
     keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.substring(F.col("fp"), i * size + 1, F.lit(size))))
     entries = classes.select("cid", F.col("n").cast("int").alias("n"), F.explode(keys).alias("token"), F.lit(0).alias("pos"))
-    out = ngram_join.closed(d, rows.select("id", "n", "name"), classes, entries, lambda pairs: pairs, n, percent)
+    out = ngram_join.closed(d, rows.select("id", "n", "name"), classes, entries, lambda pairs: pairs, n, percent, count)
     return out.withColumnRenamed("id", id_col)
 
 
@@ -148,7 +149,8 @@ def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
     The edited text has its last floor(n_chars / 2) code points replaced by the first as many
     (or all) of the next document by descending id, after the last the first. Rows of equal
     id stand by a hash of their text, null ids after all others; null texts are empty. A
-    single document is its own next. An empty table gives an empty result.
+    single document is its own next. An empty table gives an empty result. ``set_name`` tells
+    the text's set of shingles as ``name`` does in ``near_duplicates``.
 
     Documents are range-partitioned and sorted once. A task works through its range with one
     row in hand; the last row of each range waits for the first of the next, which are the
@@ -158,22 +160,27 @@ def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
     order = [F.col("id").desc_nulls_last(), F.col("tie")]
     d = d.repartitionByRange(*order).sortWithinPartitions(*order, "text").select("id", "text")
     id_type = d.schema.fields[0]
-    result = "n_chars long, edited_sha256 string, fp binary, edited_fp binary, near_edited double, near_next double"
+    result = "n_chars long, edited_sha256 string, fp binary, edited_fp binary, near_edited double, near_next double, set_name binary"
     waiting = StructType([id_type, *StructType.fromDDL(result + ", part int, edge int, text string").fields])
-    final = StructType(waiting.fields[:7])
+    final = StructType(waiting.fields[:8])
 
     def pairs(ids, texts, sigs, nexts, next_sigs):
         new = [t[:len(t) - len(t) // 2] + x[:len(t) // 2] for t, x in zip(texts, nexts)]
         e = signatures(pa.array(new, pa.large_string()), n)
         return [ids, pa.array(map(len, texts), pa.int64()), pa.array([hashlib.sha256(x.encode()).hexdigest() for x in new]), as_binary(sigs), as_binary(e),
-                pa.array(likeness(sigs, e)), pa.array(likeness(sigs, next_sigs))]
+                pa.array(likeness(sigs, e)), pa.array(likeness(sigs, next_sigs)), names_of(texts)]
+
+    def names_of(texts):
+        words, at = kernels.word_hashes(*kernels.utf8(pa.array(texts, pa.large_string())))
+        sets = (kernels.shingles(words[x:y], n) for x, y in zip(at[:-1], at[1:]))
+        return pa.array([ngram_join.name_of(s) if len(s) else None for s in sets], pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held, first = TaskContext.get().partitionId(), None, None
 
         def edge(row, which):
             i, t, s = row
-            nothing = [pa.nulls(1, f.type) for f in to_arrow_schema(waiting)][1:7]
+            nothing = [pa.nulls(1, f.type) for f in to_arrow_schema(waiting)][1:8]
             nothing[2] = as_binary(s[None])
             return pa.RecordBatch.from_arrays([i, *nothing, pa.array([part], pa.int32()), pa.array([which], pa.int32()), pa.array([t])], names=waiting.names)
 
@@ -209,8 +216,12 @@ def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
 
 
 def op4(spark, sf_dir: str) -> DataFrame:
-    return edits(read(spark, sf_dir, "documents")).select(
-        "doc_id", "n_chars", "edited_sha256", F.base64("fp").alias("fingerprint"), F.base64("edited_fp").alias("edited_fingerprint"), "near_edited", "near_next")
+    docs = read(spark, sf_dir, "documents")
+    groups = near_duplicates(docs, count=False).filter("name is not null").groupBy(F.col("name").alias("set_name")).agg(F.first("component_id").alias("component_id"))
+    component = F.when(F.col("set_name").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return edits(docs).join(groups, "set_name", "left").select(
+        "doc_id", "n_chars", "edited_sha256", F.base64("fp").alias("fingerprint"), F.base64("edited_fp").alias("edited_fingerprint"), "near_edited", "near_next",
+        component.alias("component_id"))
 
 
 ship_by_value(__name__)

@@ -172,6 +172,23 @@ def test_near_duplicates_by_bands(spark):
     assert fingerprints.near_duplicates(e.limit(0)).count() == 0
 
 
+def test_pairs_just_above_the_threshold_are_found(spark):
+    rng, rows = random.Random(12), []
+    for i in range(200):
+        w = [f"w{rng.randrange(1 << 40)}" for _ in range(200)]
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w[:rng.randint(162, 166)]))]
+    got = fingerprints.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(jaccard(shingles(rows[2 * i][1], 5), shingles(rows[2 * i + 1][1], 5)) >= 0.8 for i in range(200))
+    assert {r.doc_id: r.component_id for r in got} == {i: i // 2 * 2 for i, _ in rows}
+
+
+def test_op4_has_components(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    want = brute_components(rows, 5, 80)
+    got = fingerprints.op4(spark, SF).collect()
+    assert len(got) == len(rows) and {r.doc_id: r.component_id for r in got} == {i: w[1] for i, w in want.items()}
+
+
 # --- packing
 
 
