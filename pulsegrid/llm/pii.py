@@ -15,8 +15,8 @@ of them in looser writings (no plus sign, "at" and "dot" in words) that the rule
 Spans found by the rules always stay; the field adds spans that overlap none of them.
 
 Scale: one pass without a shuffle; texts without a digit, an at sign or "at"/"dot" in
-brackets never leave the JVM. A zone is bounded by white space and letters around it and
-decoded in its length times ``LONGEST``.
+brackets never leave the JVM. A zone is as long as its signs go on and is
+decoded in its length times ``LONGEST``, ``STRETCH`` tokens at once.
 """
 
 from __future__ import annotations
@@ -36,6 +36,8 @@ from .common import read
 
 KINDS = ("email", "ip", "card", "phone")
 LONGEST, ZONES, EPOCHS = 24, 600, 12
+#: Tokens whose segments are scored at once.
+STRETCH = 512
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -45,7 +47,7 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: Texts that may hold an entity, for Spark and Python alike.
 HINT = r"[0-9@]|\[at\]|\(at\)"
-ZONE = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++[\x20]?(?:@|\[at\]|\(at\))[\x20]?[A-Za-z0-9.()\[\]-]+(?:[\x20](?:\[dot\]|\(dot\))[\x20][A-Za-z0-9-]+)*|[+(]?[0-9](?:[\x20().0-9/+-]{0,48}[0-9])?")
+ZONE = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++[\x20]?(?:@|\[at\]|\(at\))[\x20]?[A-Za-z0-9.()\[\]-]+(?:[\x20](?:\[dot\]|\(dot\))[\x20][A-Za-z0-9-]+)*|[+(]?[0-9](?:[\x20().0-9/+-]*[0-9])?")
 TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|.", re.S)
 MASKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 
@@ -128,32 +130,47 @@ def allowed(text: str, a: int, b: int) -> list[bool]:
     return ["@" in s or "[at]" in s or "(at)" in s, plain and s.count(".") == 3, plain and 13 <= n <= 19, plain and 9 <= n <= 15 and any(c in s for c in "+(-.")]
 
 
+def cuts_of(text: str, a: int, b: int) -> list[int]:
+    """Token starts (with the end)."""
+    return [a + m.start() for m in TOKEN.finditer(text[a:b])] + [b]
+
+
 def segments(text: str, a: int, b: int) -> tuple[list[int], list[tuple[int, int]], np.ndarray, np.ndarray]:
     """Token starts (with the end), the candidate segments by token, their features,
     and what kinds are ruled out. A segment begins and ends with a sign that an entity can
     begin and end with."""
-    cuts = [a + m.start() for m in TOKEN.finditer(text[a:b])] + [b]
-    spans = [(i, j) for i in range(len(cuts) - 1) for j in range(i + 1, min(i + LONGEST, len(cuts) - 1) + 1)
+    cuts = cuts_of(text, a, b)
+    return cuts, *segments_from(text, cuts, 0, len(cuts) - 1)
+
+
+def segments_from(text: str, cuts: list[int], first: int, last: int) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray]:
+    """The segments that begin at the tokens from ``first`` to before ``last``."""
+    spans = [(i, j) for i in range(first, min(last, len(cuts) - 1)) for j in range(i + 1, min(i + LONGEST, len(cuts) - 1) + 1)
              if cuts[j] - cuts[i] >= 7 and (text[cuts[i]].isalnum() or text[cuts[i]] in "+(") and text[cuts[j] - 1].isalnum()]
     may = np.array([allowed(text, cuts[i], cuts[j]) for i, j in spans], bool).reshape(len(spans), len(KINDS))
     spans = [s for s, m in zip(spans, may) if m.any()]
     may = may[may.any(axis=1)]
     x = np.stack([features(text, cuts[i], cuts[j]) for i, j in spans]) if spans else np.zeros((0, FEATURES))
-    return cuts, spans, x, np.where(may, 0.0, -1e9)
+    return spans, x, np.where(may, 0.0, -1e9)
 
 
 def decode(weights: np.ndarray, text: str, a: int, b: int) -> list[tuple[int, int, int]]:
     """Best segmentation of a zone as (kind, start, end)."""
-    cuts, spans, x, may = segments(text, a, b)
+    cuts = cuts_of(text, a, b)
+    spans, kinds, top = [], [], []  # segments that score above 0
+    into: dict[int, list[int]] = {}
+    for first in range(0, len(cuts) - 1, STRETCH):
+        some, x, may = segments_from(text, cuts, first, first + STRETCH)
+        if some:
+            score = x @ weights.T + may
+            most = score.max(axis=1)
+            for k in np.flatnonzero(most > 0):
+                into.setdefault(some[k][1], []).append(len(spans))
+                spans.append(some[k])
+                kinds.append(int(score[k].argmax()))
+                top.append(most[k])
     if not spans:
         return []
-    score = x @ weights.T + may
-    kind = score.argmax(axis=1)
-    top = score[np.arange(len(spans)), kind]
-    into: dict[int, list[int]] = {}
-    for k, (_, j) in enumerate(spans):
-        if top[k] > 0:
-            into.setdefault(j, []).append(k)
     best, by = [0.0] * len(cuts), [-1] * len(cuts)
     for j in range(1, len(cuts)):
         best[j], by[j] = best[j - 1], -1
@@ -167,7 +184,7 @@ def decode(weights: np.ndarray, text: str, a: int, b: int) -> list[tuple[int, in
             j -= 1
         else:
             i, e = spans[by[j]]
-            out.append((int(kind[by[j]]), cuts[i], cuts[e]))
+            out.append((kinds[by[j]], cuts[i], cuts[e]))
             j = i
     return out[::-1]
 
@@ -228,12 +245,12 @@ def looser(text: str, gold: list[tuple[int, int, int]]) -> list[tuple[str, list[
 
 
 def fit(docs: DataFrame, text_col: str = "text", most: int = ZONES) -> np.ndarray:
-    """Weights from at most ``most`` zones: those of the texts of least hash, of which ``most``
-    are taken that hold a candidate. Without any, the field adds nothing."""
+    """Weights from at most ``most`` zones: those of the texts of least hash, of whose
+    places around a candidate ``most`` are taken, those of least hash. Without any, the field adds nothing."""
     t = docs.select(F.col(text_col).alias("text")).filter(F.col("text").rlike(HINT)).withColumn("h", F.xxhash64("text"))
     least = t.select("h").distinct().orderBy("h").limit(most)  # the bounded sample
     texts = t.join(F.broadcast(least), "h").groupBy("h").agg(F.min(F.expr(f"regexp_extract_all(text, '(?s).{{0,80}}(?:{HINT.replace(chr(92), chr(92) * 2)}).{{0,80}}', 0)")).alias("near"))
-    near = texts.select(F.explode(F.slice("near", 1, 4)).alias("text")).orderBy("text").limit(most).collect()
+    near = texts.select(F.explode("near").alias("text")).orderBy(F.xxhash64("text"), "text").limit(most).collect()
     samples = []
     for r in near:
         rules = by_rules(r.text)

@@ -318,6 +318,15 @@ def test_field_learns_looser_writings(spark):
     assert pii.redact(d.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("stretch", [5, 512])
+def test_long_runs_of_numbers_are_one_zone(spark, monkeypatch, stretch):
+    monkeypatch.setattr(pii, "STRETCH", stretch)
+    text = " ".join(f"(555) 123-{4567 + i}" for i in range(40))
+    assert list(pii.zones(text)) == [(0, len(text))]
+    w = pii.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    assert pii.spans_of(text, w)[1] == [(3, 15 * i, 15 * i + 14) for i in range(40)]
+
+
 def test_base_spans_stay(spark):
     for r in pii.op10(spark, SF).join(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"), "doc_id").collect():
         rules = pii.by_rules(r.text)
