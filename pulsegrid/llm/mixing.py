@@ -153,7 +153,8 @@ def mix(docs: DataFrame, text_col: str = "text", schedules=SCHEDULES, **kw) -> D
 
 
 def op1(spark, sf_dir: str) -> DataFrame:
-    return assign(read(spark, sf_dir, "documents"), keep=["doc_id"]).select(
+    mixed = assign(read(spark, sf_dir, "documents"), keep=["doc_id"])
+    return mixed.orderBy(F.col("position").asc_nulls_last(), F.xxhash64("row")).select(
         "row.doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position"))
 
 

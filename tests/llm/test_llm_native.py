@@ -67,6 +67,11 @@ def test_mix_keeps_columns_and_order(docs):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_op1_is_in_training_order(spark):
+    at = [r.position for r in mixing.op1(spark, "/root/testdata/sf0.001").collect()]
+    assert at == sorted(at, key=lambda p: (p is None, p))
+
+
 def test_first_words(spark):
     d = spark.createDataFrame([("  a  b\tc ", 2), ("a b", 2), ("x", 1)], "t string, k int")
     assert [r[0] for r in d.select(mixing.first_words(F.col("t"), F.col("k"))).collect()] == ["  a  b", "a b", "x"]
