@@ -7,10 +7,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
-from pulsegrid.llm import simhash
+from pulsegrid.llm import collocations, simhash
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -87,3 +88,81 @@ def test_simhash_whole_table(spark):
     assert collections.Counter(map(tuple, got)) == want
     assert simhash.simhash(df.limit(0), id_col="Doc_Id").collect() == []
     assert any(c[0] != c[2] for c in want)
+
+
+# --- phrase collocations
+
+
+def plain_collocations(docs, least, cover, top):
+    f, n = collections.defaultdict(collections.Counter), collections.Counter()
+    for lang, t in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\x0A-\x0D]", lower(t)):
+            w = re.findall("[^\x20\x09]+", piece)
+            n[lang] += len(w)
+            for m in range(1, 5):
+                f[lang].update(" ".join(w[i:i + m]) for i in range(len(w) - m + 1))
+    out = set()
+    for lang, own in f.items():
+        rows = []
+        phrases = {p: a for p, a in own.items() if a >= least and " " in p}
+        for p, a in phrases.items():
+            w = p.split(" ")
+            cuts = [(2000000 * a // (own[" ".join(w[:k])] + own[" ".join(w[k:])]), k, own[" ".join(w[:k])], own[" ".join(w[k:])]) for k in range(1, len(w))]
+            longer = [b for q, b in phrases.items() if len(q) > len(p) and f" {p} " in f" {q} "]
+            if not any(100 * b >= cover * a for b in longer):
+                score, _, l, r = min(cuts)
+                rows.append((-score, -a, p.encode(), l, r))
+        for i, (s, a, p, l, r) in enumerate(sorted(rows)[:top]):
+            out.add((lang, i + 1, p.decode(), -a, l, r, n[lang], -s))
+    return out
+
+
+def collocation_docs():
+    rng = random.Random(8)
+    words = ["New", "york", "city", "ö", "😀x", "of", "the", "a", "#1", "York"] + [f"w{i}" for i in range(30)]
+    texts = [(rng.choice(["en", "fr", None, "und"]), "".join(rng.choice(words) + rng.choice([" ", " ", " ", "  ", "\t", ". ", ",", "\n", "!?"]) for _ in range(rng.randint(0, 80)))) for _ in range(500)]
+    return texts + [("en", None), (None, ""), ("fr", " .,"), ("en", "new york city of the " * 300), ("en", ("x" * 500 + " a ") * 40)]
+
+
+@pytest.mark.parametrize("sizes", [(1 << 18, 1 << 20), (6, 9), (1, 1)])
+def test_collocations_brute_force(spark, monkeypatch, sizes):
+    docs = collocation_docs()
+    df = spark.createDataFrame([(lang, t, "x", "y") for lang, t in docs], "lang string, text string, phrase string, `a.b` string").repartition(3)
+    for least, top in ((8, 2000), (3, 25)):
+        got = list(map(tuple, collocations.collocations(df, least=least, top=top, word_ids=sizes[0], phrase_ids=sizes[1]).collect()))
+        assert len(got) == len(set(got)) and set(got) == plain_collocations(docs, least, 80, top)
+        assert len(got) > 5
+
+
+def test_collocation_stretches_and_tiles(monkeypatch):
+    docs = collocation_docs()
+    batch = lambda: iter([pa.record_batch([pa.array([x for x, _ in docs], pa.string()), pa.array([x for _, x in docs], pa.string())], ["lang", "text"])])
+    whole = [(lang, t) for lang, t in collocations.stretches(batch(), 0)]
+    monkeypatch.setattr(collocations, "STRETCH", 50)
+    parts = collections.defaultdict(collections.Counter)
+    for lang, t in collocations.stretches(batch(), 2):
+        parts[lang].update(x for x in zip(t, t[1:], t[2:]) if all(map(collocations.is_word, x)))
+    want = collections.defaultdict(collections.Counter)
+    for lang, t in whole:
+        want[lang].update(x for x in zip(t, t[1:], t[2:]) if all(map(collocations.is_word, x)))
+    assert {k: v for k, v in parts.items() if v} == {k: v for k, v in want.items() if v}
+    monkeypatch.setattr(collocations, "DENSE_PAIRS", 40)
+    rng = np.random.default_rng(3)
+    pairs, total = collocations.Pairs(), collections.Counter()
+    for _ in range(5):
+        x, y = (rng.exponential(900, 400).astype(np.int64) for _ in range(2))
+        pairs.add(x, y)
+        total.update(zip(x.tolist(), y.tolist()))
+    assert 0 < len(pairs.dense) <= collocations.DENSE_TILES
+    found = collections.Counter()
+    for b in [*pairs.sparse(), *pairs.tiles()]:
+        for code, n in zip(b.column(0).to_pylist(), b.column(3).to_pylist()):
+            found[(code >> 20, code & (1 << 20) - 1)] += n
+    assert found == total
+
+
+def test_collocations_empty(spark):
+    df = spark.createDataFrame([], "lang string, text string")
+    assert collocations.collocations(df).collect() == []
+    assert collocations.collocations(spark.createDataFrame([(None, None), ("en", "a b")], "lang string, text string")).collect() == []
