@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import chat, collocations, fingerprints, html_text, langid, mixing, ngram_join, packing, pii, quality, secret_scan, simhash
+from . import alignment, chat, collocations, fingerprints, html_text, langid, mixing, ngram_join, packing, pii, quality, secret_scan, simhash
 
 QUERIES = {
     "op1_mixing": mixing.op1,
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_quality_rules": quality.op8,
     "op9_chat_format": chat.op9,
     "op10_pii": pii.op10,
+    "op11_alignment": alignment.op11,
     "op12_collocations": collocations.op12,
     "op13_simhash": simhash.op13,
     "pipeline": corpus_pipeline.run,

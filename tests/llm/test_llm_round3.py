@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 import xxhash
 
-from pulsegrid.llm import collocations, simhash
+from pulsegrid.llm import alignment, collocations, simhash
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -166,3 +166,111 @@ def test_collocations_empty(spark):
     df = spark.createDataFrame([], "lang string, text string")
     assert collocations.collocations(df).collect() == []
     assert collocations.collocations(spark.createDataFrame([(None, None), ("en", "a b")], "lang string, text string")).collect() == []
+
+
+# --- cross-tokenizer alignment
+
+
+def random_tokens(rng, n):
+    a, b = (sorted({n, *(rng.randint(1, n) for _ in range(rng.randint(0, n)))}) for _ in range(2))
+    return [[e << alignment.ID_BITS | rng.randint(0, 5) for e in side] for side in (a, b)]
+
+
+def plain_groups(a, b):
+    """Groups between offsets where both end, and in each the pairs whose ranges overlap."""
+    spans = [[(e0, t >> 17, t & (1 << 17) - 1) for e0, t in zip([0, *(x >> 17 for x in side)], side)] for side in (a, b)]
+    groups, start = [], 0
+    for end in sorted({e for _, e, _ in spans[0]} & {e for _, e, _ in spans[1]}):
+        x, y = ([s for s in side if start <= s[0] and s[1] <= end] for side in spans)
+        groups.append((",".join(str(s[2]) for s in x) + "|" + ",".join(str(s[2]) for s in y), sorted(p[2] << 17 | q[2] for p in x for q in y if p[0] < q[1] and q[0] < p[1])))
+        start = end
+    return groups
+
+
+def test_fragments_are_a_monoid():
+    rng = random.Random(11)
+    for _ in range(300):
+        n = rng.randint(1, 40)
+        a, b = random_tokens(rng, n)
+        want = plain_groups(a, b)
+        groups, rest = alignment.align(a, b)
+        assert [(t, sorted(x)) for t, x in groups] == want and rest == ([], [])
+        cuts = sorted({0, *(rng.randint(0, n) for _ in range(5))})
+        parts = []  # (fragment, groups with their place) of the tokens that start in each range
+        for lo, hi in zip(cuts, [*cuts[1:], n]):
+            own = [[t for e0, t in zip([0, *(x >> 17 for x in side)], side) if lo <= e0 < hi] for side in (a, b)]
+            f, g = alignment.fragment(*own)
+            parts.append((f, [(t, sorted(x)) for t, x in g]))
+        order = []
+        while len(parts) > 1:  # in any order of composition
+            i = rng.randrange(len(parts) - 1)
+            f, between = alignment.compose(parts[i][0], parts[i + 1][0])
+            parts[i:i + 2] = [(f, parts[i][1] + [(t, sorted(x)) for t, x in between] + parts[i + 1][1])]
+        f, inner = parts[0]
+        last, _ = alignment.align(*f.head)  # a text begins where both sides start
+        assert [(t, sorted(x)) for t, x in last] + inner == want and f.tail == ([], [])
+
+
+def plain_alignment(docs):
+    import public_tokenizers as P
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
+    chars = alignment.byte_of()
+    counts, made = collections.Counter(), []
+    for i, t in docs:
+        groups = None
+        if t:
+            ids = a.encode(" " + t, add_special_tokens=False).ids, b.encode(t)
+            texts = [[bytes(chars[c] for c in a.id_to_token(x)) for x in ids[0]],
+                     [bytes([int(p[3:5], 16)]) if b.is_byte(x) else p.replace("▁", " ").encode() for x in ids[1] for p in [b.id_to_piece(x)]]]
+            if all(b"".join(x) == (" " + t).encode() for x in texts):
+                sides = [[int(e) << 17 | x for e, x in zip(np.cumsum([len(y) for y in own]), side)] for own, side in zip(texts, ids)]
+                groups = plain_groups(*sides) if len(t) < 3000 else [(x, sorted(y)) for x, y in alignment.align(*sides)[0]]
+                counts.update(x for g in groups for x in g[1])
+        made.append((i, sides if groups else ([], []), groups or []))
+    best = collections.defaultdict(int)
+    for c, n in counts.items():
+        best[c & (1 << 17) - 1] = max(best[c & (1 << 17) - 1], n)
+    out = []
+    for i, sides, groups in made:
+        links = [x for g in groups for x in g[1]]
+        sha = hashlib.sha256(";".join(g[0] for g in groups).encode()).hexdigest() if groups else ""
+        out.append((i, len(sides[0]), len(sides[1]), len(groups), len(links), sum(counts[x] == best[x & (1 << 17) - 1] for x in links), sum(counts[x] for x in links), sha))
+    return collections.Counter(out)
+
+
+def alignment_docs(spark):
+    rng = random.Random(12)
+    odd = ["a", " ", "  ", "\n", " b", "né", " ", "日本", "😀", "'s", "<|endoftext|>", "<0x41>", "<s>", "12", "\t", "x" * 40, " the", " and,", "--", "　"]
+    docs = texts_of(spark, 60) + [(i, "".join(rng.choice(odd) for _ in range(rng.randint(1, 60)))) for i in range(1000, 1060)]
+    docs += [(1, None), (2, ""), (3, " "), (4, " lead"), (5, "trail  "), (6, "a ▁b"), (7, "has ▁ inside " + "long text here " * 300), (7, "twice twice"), (None, "no id"), (8, "▁")]
+    return docs + [(9, "One two, three! " * 400), (10, "z" * 3000 + " tail of it"), (11, "日本語のテキスト" * 200 + " x y " * 300), (12, "    a b  c d" * 200), (13, "x y" + "q" * 900)]
+
+
+@pytest.mark.parametrize("size, fan, table", [(1 << 16, 8, 1 << 20), (100, 2, 50), (700, 3, 2000)])
+def test_alignment_brute_force(spark, size, fan, table):
+    docs = alignment_docs(spark)
+    df = spark.createDataFrame([(i, t, 1, "x") for i, t in docs], "doc_id long, text string, row int, `a.k` string").repartition(3)
+    got = collections.Counter(map(tuple, alignment.align_documents(df, size=size, fan=fan, table=table).collect()))
+    want = plain_alignment(docs)
+    assert got == want
+    assert sum(x[1] == 0 for x in want) >= 4
+
+
+def test_alignment_empty(spark):
+    assert alignment.align_documents(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_ranges_hold_all_bytes():
+    rng = random.Random(13)
+    for _ in range(200):
+        t = "".join(rng.choice(["ab", " ", "  ", "é", "c d", "\n"]) for _ in range(rng.randint(1, 80))).encode()
+        at, raw = 0, b" " + t
+        for k, base, skip, stop, part in alignment.ranges(t, rng.randint(1, 30)):
+            assert base + skip == at and raw[base:base + len(part)] == part and part[:1] == b" "
+            at = base + stop
+        assert at == len(raw)
