@@ -14,22 +14,24 @@ different tasks, are reduced as a tree: ``FAN`` neighbours at once, round by rou
 groups are written out where they arise, with their place in the text, and don't travel
 through the tree.
 
-Tasks get a byte range with the whole words that it cuts. A word is what stands between single
-spaces that have printable ASCII on both sides; there the pattern of A and the pieces of B part
-too (none has a space after another character), so words are encoded one by one, each
-distinct one once a task. Ranges cut words, and with them tokens, wherever their bytes end.
+Tasks get a byte range with the whole words that it cuts: a text is taken apart at single
+spaces that have no white space beside them, where the pattern of A and the pieces of B part
+too (none has a space after another character). Ranges cut words, and with them tokens,
+wherever their bytes end. All ranges of a batch are aligned at once in numpy.
 
 Scale: texts of up to ``RANGE`` bytes are one range each and are worked on where they are read;
-only ranges of longer ones are moved. Counts of linked ids are added up in the task and then by
-Spark. The counts of the ``TABLE`` most frequent id pairs (16 bytes each) and the highest
-count of each B id (as many as B's vocabulary has) are sent to the tasks of the second pass;
-links of other pairs are joined with the table of counts. A text's digest needs its groups
-in order: they pass through one task for a text, as a stream.
+only ranges of longer ones are moved. Texts are encoded once: what is kept of them are numbers,
+digests and the packed counts of their id pairs (a few bytes a pair), in a checkpoint. Counts
+are added up in the task and then by Spark. Of the counts, the ``TABLE`` most frequent pairs
+(16 bytes each) and the highest of each B id (as many as B's vocabulary has) are sent to the
+tasks of the second pass; links of other pairs are joined with the table of counts. A text's
+digest needs its groups in order: they pass through one task for a text, as a stream.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -37,6 +39,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,9 +51,11 @@ from . import kernels
 from .common import cut, read
 
 RANGE, FAN, TABLE = 1 << 16, 8, 1 << 20
-#: Distinct words that a task remembers, and the bytes of them together.
-WORDS, WORD_BYTES = 200_000, 1 << 25
-CUT = re.compile(rb"(?<=[!-~]) (?=[!-~])")
+#: Bytes that are aligned at once (at least a range), and id pairs that a task holds.
+AT_ONCE, KEEP = 1 << 19, 1 << 19
+#: A single space between characters that are no white space: printable ASCII, or of first bytes
+#: (C3 to DF, E0, E4 to F4) that no white space and not B's own sign for it begins with.
+CUT = re.compile(rb"(?:(?<=[!-~])|(?<=[\xc3-\xdf].)|(?<=[\xe0\xe4-\xef]..)|(?<=[\xf0-\xf4]...)) (?=[!-~\xc3-\xe0\xe4-\xf4])", re.DOTALL)
 ID_BITS = 17
 
 #: Tokens of one side, each ``end << ID_BITS | id``, by end.
@@ -103,7 +108,7 @@ def compose(f: Fragment, g: Fragment) -> tuple[Fragment, list[Group]]:
     return Fragment(True, f.head, g.tail if g.closed else rest), groups
 
 
-# --- words
+# --- encoding
 
 
 def byte_of() -> dict[str, int]:
@@ -114,111 +119,147 @@ def byte_of() -> dict[str, int]:
     return {chr(x): x for x in plain} | {chr(256 + i): x for i, x in enumerate(others)}
 
 
-class Words:
-    """Both encodings of words, each aligned when first seen, and remembered up to a bound.
-
-    A word's number gives ``text`` and ``links`` (its closed groups and their links), and in
-    ``size`` its tokens of A and B, groups and links; ``good`` tells whether the bytes of both
-    sides' tokens are a space and the word.
-    """
+class Encoders:
+    """Both tokenizers, the bytes of their tokens, and the texts of ids as groups are written:
+    in one list, those of A and then of B, each before a comma and before what ends its side."""
 
     def __init__(self, a_path: str, b_path: str):
+        import public_tokenizers
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        of, vocabulary = byte_of(), self.a.get_vocab()
-        self.a_bytes = {i: bytes(of[c] for c in t) if all(c in of for c in t) else t.encode() for t, i in vocabulary.items()}
+        of, special = byte_of(), {t.content for t in self.a.get_added_tokens_decoder().values()}
+        self.a_bytes = {i: t.encode() if t in special else bytes(of[c] for c in t) for t, i in self.a.get_vocab().items()}
+        with open(a_path) as file:
+            merges = json.load(file)["model"]["merges"]
+        parts = [x if isinstance(x, list) else x.split(" ") for x in merges]
+        # ids in the order of the merges: the same encoding from ranks, several times faster
+        self.ranked = None
+        if all(self.a.token_to_id(x + y) == 256 + i for i, (x, y) in enumerate(parts)):
+            ranks = {t: i for i, t in self.a_bytes.items() if i < 256 + len(parts)}
+            self.ranked = tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         if any(re.search("[^▁]▁", p) for p in pieces):
             raise ValueError("a piece of B has a space after another character: texts can't be cut there")
-        if max(len(pieces), max(vocabulary.values())) >> ID_BITS:
+        n_a, n_b = max(self.a_bytes) + 1, len(pieces)
+        if max(n_a, n_b) >> ID_BITS:
             raise ValueError(f"ids have {ID_BITS} bits")
-        self.forget()
-
-    def forget(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.text: list[str] = []
-        self.links: list[np.ndarray] = []
-        self.size, self.good, self.held = np.zeros((0, 4), np.int64), np.zeros(0, bool), 0
-
-    def full(self) -> bool:
-        return len(self.text) > WORDS or self.held > WORD_BYTES
-
-    def tokens(self, words: list[bytes]) -> Iterator[tuple[Tokens, Tokens, bool]]:
-        """(A, B, good) of each word with a space before it."""
-        texts = [w.decode() for w in words]
-        for w, x, y in zip(words, self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False), self.b.encode(texts, num_threads=1)):
-            sides, good = [], True
-            for ids, of in ((x.ids, self.a_bytes), (y, self.b_bytes)):
-                parts = [of[i] for i in ids]
-                good &= b"".join(parts) == b" " + w
-                sides.append([int(e) << ID_BITS | i for e, i in zip(np.cumsum([len(p) for p in parts], dtype=np.int64), ids)])
-            yield sides[0], sides[1], good
-
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        new = [w for w in dict.fromkeys(words) if w not in self.number]
-        if new:
-            size, good = [], []
-            for w, (a, b, ok) in zip(new, self.tokens(new)):
-                self.number[w] = len(self.text)
-                groups = align(a, b)[0] if ok else []
-                links = [x for g in groups for x in g[1]]
-                self.text.append(";".join(g[0] for g in groups))
-                self.links.append(np.array(links, np.int64))
-                size.append((len(a), len(b), len(groups), len(links)))
-                good.append(ok)
-                self.held += len(w)
-            self.size, self.good = np.concatenate([self.size, np.array(size, np.int64)]), np.append(self.good, good)
-        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-
-
-class Leaf(NamedTuple):
-    """What a byte range yields: its fragment, its closed groups (numbers of whole words, and
-    groups of the words that it cuts on either side), and its number of tokens."""
+        self.length = np.zeros(n_a, np.int64), np.array([len(x) for x in self.b_bytes])
+        for i, t in self.a_bytes.items():
+            self.length[0][i] = len(t)
+        self.texts = [f"{i}{end}" for n, last in ((n_a, "|"), (n_b, ";")) for end in (",", last) for i in range(n)]
+
+    def a_ids(self, text: str) -> list[int]:
+        if self.ranked:
+            try:
+                return self.ranked.encode_ordinary(text)
+            except Exception:  # its pattern gives up on very long runs of white space
+                pass
+        return self.a.encode(text, add_special_tokens=False).ids
+
+    def ids(self, raw: bytes) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids of a space and the text after it; None if the bytes are not those of both sides."""
+        text = raw.decode()
+        a, b = self.a_ids(text), self.b.encode(text[1:])
+        for ids, of in ((a, self.a_bytes), (b, self.b_bytes)):
+            if b"".join(map(of.__getitem__, ids)) != raw:
+                return None
+        return np.array(a, np.int64), np.array(b, np.int64)
+
+
+class Unit(NamedTuple):
+    """What a byte range yields: the tokens that start in it, its fragment, and its closed groups."""
 
-    fragment: Fragment
-    before: list[Group]
-    whole: np.ndarray
-    after: list[Group]
     n_a: int
     n_b: int
-    good: bool
-
-
-def leaf(words: Words, raw: bytes, base: int, skip: int, stop: int) -> Leaf:
-    """The tokens of ``raw`` (whole words, each with its space) that start at offsets ``skip`` to
-    ``stop``; a text's own start (``skip`` 0) is a place where both sides start."""
-    found = CUT.split(raw[1:])
-    head, tail, groups, after, n_a, n_b, good = EMPTY, EMPTY, [], [], 0, 0, True
-
-    def part(word: bytes, at: int) -> tuple[Tokens, Tokens]:
-        nonlocal n_a, n_b, good
-        sides = []
-        a, b, ok = next(words.tokens([word]))
-        good &= ok
-        for tokens in (a, b):
-            starts = [at] + [at + (t >> ID_BITS) for t in tokens[:-1]]
-            sides.append([t + (base + at << ID_BITS) for s, t in zip(starts, tokens) if skip <= s < stop])
-        n_a, n_b = n_a + len(sides[0]), n_b + len(sides[1])
-        return sides[0], sides[1]
-
-    first, last = 0, len(found)
-    if skip:
-        # both sides end with the word, be it with tokens that start before the range
-        made, groups = fragment(*part(found[0], 0))
-        head, first = made.head, 1
-    if stop < len(raw):
-        last -= 1
-        after, tail = align(*part(found[-1], len(raw) - 1 - len(found[-1])))
-    whole = words.numbers(found[first:last])
-    size = words.size[whole]
-    good &= bool(words.good[whole].all())
-    return Leaf(Fragment(True, head, tail), groups, whole, after, n_a + int(size[:, 0].sum()), n_b + int(size[:, 1].sum()), good)
+    fragment: Fragment
+    groups: str
+    n_groups: int
+    codes: np.ndarray
+    n: np.ndarray
+
+
+def units(encoders: Encoders, parts: list[tuple[bytes, int, int, int]]) -> Iterator[Unit | None]:
+    """``aligned`` for any number of ranges, some at once."""
+    some, held = [], 0
+    for p in parts:
+        some.append(p)
+        held += len(p[0])
+        if held >= AT_ONCE:
+            yield from aligned(encoders, some)
+            some, held = [], 0
+    if some:
+        yield from aligned(encoders, some)
+
+
+def aligned(encoders: Encoders, parts: list[tuple[bytes, int, int, int]]) -> list[Unit | None]:
+    """The ranges (bytes, base, skip, stop) of texts: of the tokens of ``bytes`` those that start
+    at ``skip`` to ``stop``, at places of the text that are ``base`` more. None where the bytes
+    of the tokens are others. All ranges are aligned at once.
+
+    Where skip is 0 both sides start together, as a text does, and no prefix is open.
+    """
+    ids: tuple[list, list] = ([], [])
+    ends: tuple[list, list] = ([], [])
+    good, room = [], 1 + max((len(p[0]) for p in parts), default=0)
+    for u, (raw, _, skip, stop) in enumerate(parts):
+        found = encoders.ids(raw)
+        good.append(found is not None)
+        for side, x in enumerate(found or ()):
+            end = np.cumsum(encoders.length[side][x])
+            start = end - encoders.length[side][x]
+            own = slice(*np.searchsorted(start, (skip, stop)))
+            ids[side].append(x[own])
+            ends[side].append(end[own] + u * room)  # ranges one after another
+    x, y = (np.concatenate([np.zeros(0, np.int64), *side]) for side in ids)
+    ex, ey = (np.concatenate([np.zeros(0, np.int64), *side]) for side in ends)
+    both = np.intersect1d(ex, ey, assume_unique=True)
+    starts = np.arange(len(parts)) * room
+    first, last = np.searchsorted(both, starts, "right"), np.searchsorted(both, starts + room, "right") - 1
+    closed = last >= first
+    whole = np.array([p[2] == 0 for p in parts], bool)
+    low = np.where(whole | ~closed, starts, both[np.minimum(first, len(both) - 1)] if len(both) else starts)
+    high = np.where(closed, both[last] if len(both) else starts, starts)
+    # tokens and common ends of the closed groups
+    ux, uy, ub = ((e - 1) // room for e in (ex, ey, both))
+    in_x, in_y, in_b = (ex > low[ux]) & (ex <= high[ux]), (ey > low[uy]) & (ey <= high[uy]), (both > low[ub]) & (both <= high[ub])
+    cx, cy, cex, cey, cb = x[in_x], y[in_y], ex[in_x], ey[in_y], both[in_b]
+    gx, gy = np.searchsorted(cb, cex), np.searchsorted(cb, cey)
+    upto_x, upto_y = np.searchsorted(gx, np.arange(len(cb) + 1)), np.searchsorted(gy, np.arange(len(cb) + 1))
+    # a group's texts: its tokens of A, then of B
+    n_a, n_b = (len(side) for side in encoders.length)
+    text = np.zeros(len(cx) + len(cy), np.int64)
+    text[np.arange(len(cx)) + upto_y[gx]] = cx + n_a * (cex == cb[gx])
+    text[np.arange(len(cy)) + upto_x[gy + 1]] = cy + 2 * n_a + n_b * (cey == cb[gy])
+    tokens_at = np.searchsorted(cex, starts) + np.searchsorted(cey, starts)
+    written = list(map(encoders.texts.__getitem__, text.tolist()))
+    # a link for each offset where a token of either side ends
+    offsets = np.sort(np.concatenate([cex, cey]), kind="stable")  # two sorted runs
+    offsets = offsets[np.diff(offsets, prepend=-1) > 0]
+    code = cx[np.searchsorted(cex, offsets)] << ID_BITS | cy[np.searchsorted(cey, offsets)]
+    pair, n = np.unique((offsets - 1) // room << 2 * ID_BITS | code, return_counts=True)
+    codes_at = np.searchsorted(pair, np.arange(len(parts) + 1) << 2 * ID_BITS)
+    groups_at = np.searchsorted(cb, np.append(starts, len(parts) * room), "right")
+    tokens_at = np.append(tokens_at, len(text))
+    at = [np.searchsorted(e, np.append(starts, len(parts) * room), "right") for e in (ex, ey)]
+    out: list[Unit | None] = []
+    for u, (_, base, _, _) in enumerate(parts):
+        if not good[u]:
+            out.append(None)
+            continue
+        sides = [(e[a[u]:a[u + 1]], i[a[u]:a[u + 1]]) for e, i, a in zip((ex, ey), (x, y), at)]
+        head, tail = (tuple(((e[m] - u * room + base) << ID_BITS | i[m]).tolist() for e, i in sides for m in [pick(e)])
+                      for pick in (lambda e: e <= low[u] if closed[u] else e > 0, lambda e: (e > high[u]) & closed[u]))
+        p = slice(codes_at[u], codes_at[u + 1])
+        out.append(Unit(len(sides[0][0]), len(sides[1][0]), Fragment(bool(closed[u]), head, tail), "".join(written[tokens_at[u]:tokens_at[u + 1]])[:-1],
+                        int(groups_at[u + 1] - groups_at[u]), pair[p] & (1 << 2 * ID_BITS) - 1, n[p]))
+    return out
 
 
 def ranges(text: bytes, size: int) -> Iterator[tuple[int, int, int, int, bytes]]:
@@ -239,115 +280,99 @@ def ranges(text: bytes, size: int) -> Iterator[tuple[int, int, int, int, bytes]]
 # --- Spark
 
 
-def summed(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    code, where = np.unique(codes, return_inverse=True)
-    return code, np.bincount(where, weights=n, minlength=len(code)).astype(np.int64)
+def packed(codes: np.ndarray, n: np.ndarray) -> bytes:
+    """Sorted codes and their counts, by differences and byte by byte, so that few bytes are left."""
+    x = np.stack([np.diff(codes, prepend=0), n.astype(np.int64)])
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T).tobytes())
 
 
-def of_words(words: Words, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The links of words, and how often each occurs."""
-    used, n = np.unique(numbers, return_counts=True)
-    links = [words.links[i] for i in used.tolist()]
-    return summed(np.concatenate([np.zeros(0, np.int64), *links]), np.repeat(n, [len(x) for x in links]))
+def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    x = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(8, -1)
+    x = np.ascontiguousarray(x.T).view(np.int64).reshape(2, -1)
+    return np.cumsum(x[0]), x[1]
 
 
-def short_counts(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
-    """(code, n) of the links in (text), texts of one range each."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, often = Words(*paths), np.zeros(0, np.int64)
-
-        def out() -> pa.RecordBatch:
-            used = np.flatnonzero(often)
-            links = [words.links[i] for i in used.tolist()]
-            code, n = summed(np.concatenate([np.zeros(0, np.int64), *links]), np.repeat(often[used], [len(x) for x in links]))
-            return pa.record_batch([pa.array(code), pa.array(n)], ["code", "n"])
-
-        for b in kernels.slices(batches):
-            seen = []
-            for text in b.column(0).cast(pa.large_binary()).to_pylist():
-                if text:
-                    x = leaf(words, b" " + text, 0, 0, len(text) + 1)
-                    if x.good:
-                        seen.append(x.whole)
-            often = np.append(often, np.zeros(len(words.text) - len(often), np.int64))
-            if seen:
-                often += np.bincount(np.concatenate(seen), minlength=len(often))
-            if words.full():
-                yield out()
-                words.forget()
-                often = often[:0]
-        yield out()
+def summed(codes: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    code, where = np.unique(np.concatenate([np.zeros(0, np.int64), *codes]), return_inverse=True)
+    return code, np.bincount(where, weights=np.concatenate([np.zeros(0, np.int64), *n]), minlength=len(code)).astype(np.int64)
 
-    return docs.mapInArrow(run, "code long, n long")
 
+def pair_counts(links: DataFrame) -> DataFrame:
+    """(code, n) of the packed column ``links``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
-class Counts(NamedTuple):
-    """What the second pass knows of the counts: the pairs of the table, and each B id's highest."""
-
-    codes: np.ndarray
-    n: np.ndarray
-    best: np.ndarray
-
-    def of(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(count, whether it is the highest) of links; count 0 if the table has not the pair."""
-        if not len(self.codes):
-            return np.zeros(len(code), np.int64), np.zeros(len(code), bool)
-        place = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-        n = np.where(self.codes[place] == code, self.n[place], 0)
-        return n, (n > 0) & (n == self.best[code & (1 << ID_BITS) - 1])
-
+        def merged() -> int:
+            if held:
+                held[:] = [summed(*map(list, zip(*held)))]
+            return len(held[0][0]) if held else 0
 
-VALUES = "n_best long, count_sum long, rest array<long>, rest_n array<long>"
+        for b in kernels.slices(batches):
+            held.extend(map(unpacked, filter(None, b.column(0).to_pylist())))
+            if sum(len(c) for c, _ in held) > KEEP and merged() > KEEP // 2:
+                yield pa.record_batch([pa.array(held[0][0]), pa.array(held[0][1])], ["code", "n"])
+                held.clear()
+        if merged():
+            yield pa.record_batch([pa.array(held[0][0]), pa.array(held[0][1])], ["code", "n"])
 
+    return links.select("links").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
-def values(counts: Counts, code: np.ndarray, k: np.ndarray) -> tuple[int, int, np.ndarray, np.ndarray]:
-    n, best = counts.of(code)
-    out = n == 0
-    return int(k[best].sum()), int((k * n).sum()), code[out], k[out]
 
+def valued(rows: DataFrame, counts) -> DataFrame:
+    """(row, n_best, count_sum, rest, rest_n) of (row, links): sums over the links whose pair the
+    table has, and the links of other pairs."""
+    schema = StructType.fromDDL("row long, n_best long, count_sum long, rest array<long>, rest_n array<long>")
 
-def short_rows(docs: DataFrame, paths: tuple[str, str], counts) -> DataFrame:
-    """A row for each of (id, text): its numbers, its digest, and links that the table lacks."""
-    schema = StructType([docs.schema["id"], *StructType.fromDDL(f"row long, n_a long, n_b long, n_groups long, n_links long, sha string, {VALUES}").fields])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, n, best = counts.value
+        mask = (1 << ID_BITS) - 1
+        for b in kernels.slices(batches, 256):
+            links = [unpacked(x) if x else (np.zeros(0, np.int64),) * 2 for x in b.column(1).to_pylist()]
+            code, k = (np.concatenate(side) for side in zip(*links))
+            if len(codes):
+                place = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+                count = np.where(codes[place] == code, n[place], 0)
+            else:
+                count = np.zeros(len(code), np.int64)
+            at = np.cumsum([0, *(len(c) for c, _ in links)])
+            sums = [np.append(0, np.cumsum(v)) for v in (k * ((count > 0) & (count == best[code & mask])), k * count)]
+            out = count == 0
+            rest = [(code[p][out[p]], k[p][out[p]]) for p in map(slice, at[:-1], at[1:])]
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(s[at[1:]] - s[at[:-1]]) for s in sums], *[pa.array([r[i] for r in rest], pa.list_(pa.int64())) for i in (0, 1)]], names=schema.names)
+
+    return rows.select("row", "links").mapInArrow(run, schema)
+
+
+def short_rows(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
+    """A row for each of (id, text), texts of one range each: numbers, digest and packed links."""
+    schema = StructType([docs.schema["id"], *StructType.fromDDL("row long, n_a long, n_b long, n_groups long, n_links long, sha string, links binary").fields])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, known, row = Words(*paths), Counts(*counts.value), -1 - (TaskContext.get().partitionId() << 33)
-        value = np.zeros((0, 2), np.int64)  # of each word
-        lacks = np.zeros(0, bool)
-        for b in kernels.slices(batches):
+        encoders, row = Encoders(*paths), -1 - (TaskContext.get().partitionId() << 33)
+        for b in kernels.slices(batches, 256):
+            texts = b.column(1).cast(pa.large_binary()).to_pylist()
+            found = units(encoders, [(b" " + t, 0, 0, len(t) + 1) for t in texts if t])
             out = []
-            for text in b.column(1).cast(pa.large_binary()).to_pylist():
+            for t in texts:
                 row -= 1
-                x = leaf(words, b" " + text, 0, 0, len(text) + 1) if text else None
-                if x is None or not x.good:
-                    out.append((row, 0, 0, 0, 0, "", 0, 0, None, None))
-                    continue
-                if len(value) < len(words.text):
-                    new = [values(known, c, np.ones(len(c), np.int64)) for c in words.links[len(value):]]
-                    value = np.concatenate([value, np.array([v[:2] for v in new], np.int64)])
-                    lacks = np.append(lacks, [len(v[2]) > 0 for v in new])
-                n_best, count_sum = value[x.whole].sum(axis=0).tolist()
-                size = words.size[x.whole].sum(axis=0).tolist()
-                sha = hashlib.sha256(";".join(map(words.text.__getitem__, x.whole.tolist())).encode()).hexdigest()
-                rest = values(known, *of_words(words, x.whole[lacks[x.whole]]))[2:] if lacks[x.whole].any() else (None, None)
-                out.append((row, *size, sha, n_best, count_sum, *rest))
-            cols = list(zip(*out))
-            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, f.type) for c, f in zip(cols, list(arrow)[1:])]], names=schema.names)
-            if words.full():
-                words.forget()
-                value, lacks = value[:0], lacks[:0]
+                x = next(found) if t else None
+                if x:
+                    out.append((row, x.n_a, x.n_b, x.n_groups, int(x.n.sum()), hashlib.sha256(x.groups.encode()).hexdigest(), packed(x.codes, x.n)))
+                else:
+                    out.append((row, 0, 0, 0, 0, "", None))
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, f.type) for c, f in zip(zip(*out), list(arrow)[1:])]], names=schema.names)
 
     return docs.select("id", "text").mapInArrow(run, schema)
 
 
 SIDES = "head_a array<long>, head_b array<long>, tail_a array<long>, tail_b array<long>"
-GROUPS = "key int, groups string, n_groups long, n_links long, codes array<long>, n array<long>"
+GROUPS = "key int, groups string, n_groups long, n_links long, links binary"
 
 
-def closed_groups(key: int, groups: list[Group]) -> tuple:
-    code, n = summed(np.array([x for g in groups for x in g[1]], np.int64), np.ones(sum(len(g[1]) for g in groups), np.int64))
-    return key, ";".join(g[0] for g in groups), len(groups), int(n.sum()), code, n
+def between(key: int, groups: list[Group]) -> tuple:
+    links = [x for g in groups for x in g[1]]
+    return key, ";".join(g[0] for g in groups), len(groups), len(links), packed(*np.unique(np.array(links, np.int64), return_counts=True))
 
 
 def leaves(docs: DataFrame, paths: tuple[str, str], size: int) -> DataFrame:
@@ -365,21 +390,16 @@ def leaves(docs: DataFrame, paths: tuple[str, str], size: int) -> DataFrame:
                 row += 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(*paths)
+        encoders = Encoders(*paths)
         for b in kernels.slices(batches, 16):
+            rows, ks, *rest, raws = (b.column(i).to_pylist() for i in range(1, 7))
             out = []
-            for row, k, base, skip, stop, raw in zip(*(b.column(i).to_pylist() for i in range(1, 7))):
-                x = leaf(words, raw, base, skip, stop)
-                _, edge, n_groups, n_links, code, n = closed_groups(0, x.before + x.after)
-                own, m = of_words(words, x.whole)
-                text = ";".join(t for t in [*(g[0] for g in x.before), *map(words.text.__getitem__, x.whole.tolist()), *(g[0] for g in x.after)] if t)
-                size = words.size[x.whole].sum(axis=0).tolist()
-                f = x.fragment
-                out.append((row, k, x.good, x.n_a, x.n_b, f.closed, *f.head, *f.tail, 2 * k + 1, text, n_groups + size[2], n_links + size[3], *summed(np.append(code, own), np.append(n, m))))
-            cols = list(zip(*out))
-            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, f.type) for c, f in zip(cols, list(arrow)[1:])]], names=schema.names)
-            if words.full():
-                words.forget()
+            for row, k, x in zip(rows, ks, units(encoders, list(zip(raws, *rest)))):
+                if x:
+                    out.append((row, k, True, x.n_a, x.n_b, x.fragment.closed, *x.fragment.head, *x.fragment.tail, 2 * k + 1, x.groups, x.n_groups, int(x.n.sum()), packed(x.codes, x.n)))
+                else:
+                    out.append((row, k, False, 0, 0, False, [], [], [], [], 2 * k + 1, "", 0, 0, None))
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, f.type) for c, f in zip(zip(*out), list(arrow)[1:])]], names=schema.names)
 
     return docs.select("id", "text").mapInArrow(divide, cut_up).repartition("row", "k").mapInArrow(run, schema)
 
@@ -399,23 +419,23 @@ def reduced(state: DataFrame, fan: int) -> DataFrame:
                 if name is not None and name[:2] == (row, k // fan):
                     held, groups = compose(held, f)
                     if groups:
-                        out.append((row, None, None, None, None, None, None, None, *closed_groups(2 * lo, groups)))
+                        out.append((row, None, None, None, None, None, None, None, *between(2 * lo, groups)))
                     continue
                 if name is not None:
-                    out.append((*name, held.closed, *held.head, *held.tail, *[None] * 6))
+                    out.append((*name, held.closed, *held.head, *held.tail, *[None] * 5))
                 name, held = (row, k // fan, lo), f
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], names=schema.names)
         if name is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip((*name, held.closed, *held.head, *held.tail, *[None] * 6), arrow)], names=schema.names)
+            yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip((*name, held.closed, *held.head, *held.tail, *[None] * 5), arrow)], names=schema.names)
 
     s = state.select("row", "k", "lo", "closed", "head_a", "head_b", "tail_a", "tail_b")
     return s.repartition("row", F.floor(F.col("k") / fan)).sortWithinPartitions("row", "k").mapInArrow(run, schema)
 
 
 def long_parts(made: DataFrame, fan: int) -> DataFrame:
-    """(row, key, groups, n_groups, n_links, codes, n) of long texts in order of key: the closed
-    groups of the ranges and, from the tree, of what stands between them."""
+    """(row, key, groups, n_groups, n_links, links) of long texts: the closed groups of the ranges
+    and, from the tree, of what stands between them; keys are in order of place."""
     columns = ["row", *[x.split()[0] for x in GROUPS.split(", ")]]
     parts, state = made.select(*columns), made.withColumn("lo", F.col("k"))
     most = made.agg(F.max("k")).first()[0] or 0
@@ -445,20 +465,6 @@ def digests(parts: DataFrame) -> DataFrame:
     return parts.select("row", "key", "groups").repartition("row").sortWithinPartitions("row", "key").select("row", "groups").mapInArrow(run, "row long, sha string")
 
 
-def long_values(parts: DataFrame, counts) -> DataFrame:
-    names = ["row", "n_groups", "n_links"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Counts(*counts.value)
-        for b in kernels.slices(batches, 64):
-            out = [values(known, np.array(c, np.int64), np.array(n, np.int64)) for c, n in zip(b.column(3).to_pylist(), b.column(4).to_pylist())]
-            cols = list(zip(*out))
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], *[pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())))]],
-                                             names=[*names, "n_best", "count_sum", "rest", "rest_n"])
-
-    return parts.select(*names, "codes", "n").mapInArrow(run, f"row long, n_groups long, n_links long, {VALUES}")
-
-
 def align_documents(docs: DataFrame, a_path: str | None = None, b_path: str | None = None, id_col: str = "doc_id", text_col: str = "text", size: int = RANGE,
                     fan: int = FAN, table: int = TABLE) -> DataFrame:
     """(id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) per document.
@@ -479,13 +485,13 @@ def align_documents(docs: DataFrame, a_path: str | None = None, b_path: str | No
     paths = (a_path, b_path)
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     is_long = F.coalesce(F.octet_length("text") > size, F.lit(False))
-    short, made = d.filter(~is_long), cut(leaves(d.filter(is_long), paths, size))
-
+    rows, made = cut(short_rows(d.filter(~is_long), paths)), cut(leaves(d.filter(is_long), paths, size))
     parts = long_parts(made, fan)
     bad = made.filter("not good").select("row").distinct()
     good = parts.join(bad, "row", "left_anti")
-    links = good.select(F.explode(F.arrays_zip("codes", "n")).alias("x")).select(F.col("x.codes").alias("code"), "x.n")
-    pairs = cut(short_counts(short.select("text"), paths).unionByName(links).groupBy("code").agg(F.sum("n").alias("n")))
+    linked = rows.select("row", "links").unionByName(good.select("row", "links"))
+
+    pairs = cut(pair_counts(linked))
     b_id = F.col("code").bitwiseAND((1 << ID_BITS) - 1)
     tops = pairs.groupBy(b_id.alias("b")).agg(F.max("n").alias("best"))
     best = np.zeros(1 << ID_BITS, np.int64)
@@ -494,24 +500,21 @@ def align_documents(docs: DataFrame, a_path: str | None = None, b_path: str | No
     top = pairs.orderBy(F.desc("n"), "code").limit(table).toPandas().sort_values("code")
     shared = d.sparkSession.sparkContext.broadcast((top["code"].to_numpy(np.int64), top["n"].to_numpy(np.int64), best))
 
-    names = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
-    rows = short_rows(short, paths, shared)
-    valued = long_values(good, shared)
+    sums = valued(linked, shared)
     if len(top) == table:  # there may be pairs beyond the table
-        rows, valued = cut(rows), cut(valued)
-        rest = rows.select("row", "rest", "rest_n").unionByName(valued.select("row", "rest", "rest_n"))
-        rest = rest.select("row", F.explode(F.arrays_zip("rest", "rest_n")).alias("x")).select("row", F.col("x.rest").alias("code"), F.col("x.rest_n").alias("k"))
+        sums = cut(sums)
+        rest = sums.select("row", F.explode(F.arrays_zip("rest", "rest_n")).alias("x")).select("row", F.col("x.rest").alias("code"), F.col("x.rest_n").alias("k"))
         rest = rest.join(pairs, "code").join(tops, b_id == F.col("b"))
-        more = rest.groupBy("row").agg(F.sum(F.when(F.col("n") == F.col("best"), F.col("k")).otherwise(0)).alias("n_best"), F.sum(F.col("k") * F.col("n")).alias("count_sum"))
-        own = rows.join(more.select("row", F.col("n_best").alias("b"), F.col("count_sum").alias("c")), "row", "left")
-        rows = own.withColumns({"n_best": F.col("n_best") + F.coalesce("b", F.lit(0)), "count_sum": F.col("count_sum") + F.coalesce("c", F.lit(0))})
-        zero = F.lit(0).cast("long")
-        valued = valued.select("row", "n_groups", "n_links", "n_best", "count_sum").unionByName(more.filter("row >= 0").select("row", zero.alias("n_groups"), zero.alias("n_links"), "n_best", "count_sum"))
-    heads = made.groupBy("row").agg(*[F.sum(c).alias(c) for c in names[:2]])
-    of_long = valued.groupBy("row").agg(*[F.sum(c).alias(c) for c in names[2:]]).join(heads, "row").join(digests(parts), "row")
+        more = rest.select("row", F.when(F.col("n") == F.col("best"), F.col("k")).otherwise(0).alias("n_best"), (F.col("k") * F.col("n")).alias("count_sum"))
+        sums = sums.select("row", "n_best", "count_sum").unionByName(more)
+    total = lambda t, *names: t.groupBy("row").agg(*[F.sum(c).alias(c) for c in names])
+    of_long = total(good, "n_groups", "n_links").join(total(made, "n_a", "n_b"), "row").join(digests(parts), "row")
     long_rows = made.filter("k = 0").select("id", "row").join(of_long, "row", "left")
-    every = rows.select("id", *names, "sha").unionByName(long_rows.select("id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in names], F.coalesce("sha", F.lit("")).alias("sha")))
-    return every.withColumnsRenamed({"id": id_col, "sha": "groups_sha256"})
+    names = ["n_a", "n_b", "n_groups", "n_links"]
+    every = rows.select("id", "row", *names, "sha").unionByName(long_rows.select("id", "row", *names, "sha"))
+    every = every.join(total(sums, "n_best", "count_sum"), "row", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    return every.select(F.col("id").alias(id_col), *map(zero, [*names, "n_best", "count_sum"]), F.coalesce("sha", F.lit("")).alias("groups_sha256"))
 
 
 def op11(spark, sf_dir: str) -> DataFrame:
