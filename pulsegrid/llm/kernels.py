@@ -8,11 +8,11 @@ a few times that, plus eight bytes a word, for texts of any length.
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 import pyarrow as pa
 
+from ..workers import ship_by_value
+
 PIECE = 1 << 20
 _rng = np.random.default_rng(20240229)
 BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -34,7 +34,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@functools.lru_cache(maxsize=4)
 def powers(n: int, of: int) -> np.ndarray:
     p = np.full(n, of, np.uint64)
     p[0] = 1
@@ -63,14 +62,16 @@ def slices(batches, rows: int = 1024):
 
 
 def pieces(raw: np.ndarray, offsets: np.ndarray):
-    """(from, to) cuts of the buffer of about PIECE bytes, at white space or row starts."""
+    """(from, to) cuts of the buffer of about PIECE bytes, at row starts or before white space that
+    follows something else: a run of white space is never cut."""
     a = 0
     while a < len(raw):
         b = min(a + PIECE, len(raw))
         if b < len(raw):
             row = offsets[np.searchsorted(offsets, b)]
             while b < row:
-                gap = np.flatnonzero(SPACE[raw[b:min(b + 4096, row)]])
+                space = SPACE[raw[b - 1:min(b + 4096, row)]]
+                gap = np.flatnonzero(space[1:] & ~space[:-1])
                 if len(gap):
                     b += int(gap[0])
                     break
@@ -83,6 +84,7 @@ def runs(raw, offsets, lower: bool, lead: bool = False):
     """For each piece: (hash, start, end) of its words in order. ``lead``: a word takes the
     white space before it along (the rest of a row's white space is a word of its own)."""
     code = BYTE_LOWER if lower else BYTE
+    up = down = np.zeros(0, np.uint64)
     for a, b in pieces(raw, offsets):
         x = raw[a:b]
         space = SPACE[x]
@@ -103,10 +105,11 @@ def runs(raw, offsets, lower: bool, lead: bool = False):
             stop[-1] = True
             ends = np.flatnonzero(stop[1:] & ~space) + 1
         if len(starts):
-            n = max(PIECE, 1 << (len(x) - 1).bit_length()) + 8192
+            if len(up) < len(x):
+                up, down = powers(len(x), BASE), powers(len(x), INVERSE)
             sums = np.zeros(len(x) + 1, np.uint64)
-            np.cumsum(code[x] * powers(n, BASE)[:len(x)], out=sums[1:])
-            h = (sums[ends] - sums[starts]) * powers(n, INVERSE)[starts]
+            np.cumsum(code[x] * up[:len(x)], out=sums[1:])
+            h = (sums[ends] - sums[starts]) * down[starts]
             yield mix(h + (ends - starts).astype(np.uint64)), starts + a, ends + a
 
 
@@ -131,3 +134,6 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
     for j in range(m):
         h += words[j:len(words) - m + 1 + j] * SHINGLE[j]
     return np.unique(mix(h))
+
+
+ship_by_value(__name__)

@@ -16,7 +16,6 @@ task that is run again makes the same ones.
 
 from __future__ import annotations
 
-import functools
 import heapq
 import itertools
 import re
@@ -189,11 +188,6 @@ def gather(pool: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def ids_of(path: str) -> Ids:
-    return _ids(path)
-
-
-@functools.lru_cache(maxsize=1)
-def _ids(path: str) -> Ids:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -244,7 +238,6 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, id_col: str =
             kind = batch.schema.field(0).type
         if rests:
             yield packed(rests, counter, kind)
-        ids.forget()  # the worker may go on with other work
 
     def packed(rests: list[tuple], counter: int, kind: pa.DataType) -> pa.RecordBatch:
         out = []
@@ -264,4 +257,3 @@ def op5(spark, sf_dir: str) -> DataFrame:
 
 
 ship_by_value(__name__)
-ship_by_value(kernels.__name__)
