@@ -88,9 +88,10 @@ def render(messages: DataFrame, conv: str = "conv_id", loss_role: str = LOSS_ROL
 def read_back(formatted: Column) -> Column:
     """Array of (role, text) read from a formatted conversation."""
     turns = F.split(formatted, END, -1)
-    parse = lambda t: F.struct(
-        unescape(F.regexp_extract(t, r"(?s)\A### ((?:[^\\:]|\\.)*): ", 1)).alias("role"),
-        unescape(F.regexp_replace(t, r"(?s)\A### (?:[^\\:]|\\.)*: ", "")).alias("text"))
+    # escaped pairs are blanked first: the first colon left ends the role
+    colon = lambda t: F.instr(F.regexp_replace(t, r"(?s)\\.", "xx"), ":")
+    parse = lambda t: let(colon(t), lambda at: F.struct(
+        unescape(F.substring(t, F.lit(5), at - 5)).alias("role"), unescape(F.substring(t, at + 2, F.length(t))).alias("text")))
     return F.transform(F.filter(turns, lambda t: t != ""), parse)
 
 

@@ -11,7 +11,9 @@ import pyarrow as pa
 import pytest
 import xxhash
 
-from pulsegrid.llm import alignment, collocations, simhash
+from pyspark.sql import functions as F
+
+from pulsegrid.llm import alignment, chat, collocations, kernels, packing, simhash
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -274,3 +276,28 @@ def test_ranges_hold_all_bytes():
             assert base + skip == at and raw[base:base + len(part)] == part and part[:1] == b" "
             at = base + stop
         assert at == len(raw)
+
+
+# --- faults of earlier rounds
+
+
+@pytest.mark.parametrize("space", [" ", "\t", "\n", "\r\n", " \n"])
+def test_packing_never_cuts_a_run_of_white_space(monkeypatch, space):
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(kernels, "PIECE", 24)
+    path = P.path("byte_bpe_50k.json")
+    ids, plain = packing.Ids(path), Tokenizer.from_file(path)
+    texts = ["ab" * k + "c" * odd + space * run + "Word and" + space * run for run in range(1, 9) for k in range(6, 13) for odd in (0, 1)]
+    raw, offsets = kernels.utf8(pa.array(texts))
+    for row, got in ids.rows(raw, offsets):
+        assert got.tolist() == plain.encode(texts[row], add_special_tokens=False).ids
+
+
+def test_chat_roles_of_any_length(spark):
+    roles = ["r" * 1_000_000, ":" * 300_000, "\\" * 300_000, "#\\:</turn>" * 50_000, "", ":", "\\", "a\nb: c", "😀:"]
+    rows = [(i, 0, r, f"text: {r[-20:]} \\: x") for i, r in enumerate(roles)]
+    df = spark.createDataFrame(rows, "conv_id long, place int, role string, text string")
+    out = chat.render(df).withColumn("turns", chat.read_back(F.col("formatted"))).collect()
+    assert sorted((r.conv_id, t.role, t.text) for r in out for t in r.turns) == sorted((i, r, t) for i, _, r, t in rows)
