@@ -47,9 +47,10 @@ WORD_IDS, PHRASE_IDS, WORD_BYTES = 1 << 18, 1 << 20, 32
 #: Ids have so many bits, a tile's sides so many, and a dense tile is made for so many pairs of a block.
 ID_BITS, TILE_BITS, DENSE_PAIRS, DENSE_TILES = 20, 10, 1 << 14, 8
 #: Bytes of text and places worked on at once, and distinct entries that a task holds.
-STRETCH, BLOCK, KEEP = 1 << 20, 1 << 19, 1 << 21
-TOKEN = re.compile(rb"[^ \t.,;:!?\n-\r]+|[.,;:!?\n-\r]+")
-BREAK = re.compile(rb"[ \t.,;:!?\n-\r]")
+STRETCH, BLOCK, KEEP = 1 << 20, 1 << 18, 3 << 19
+#: A-Z become a-z, a tab a space, and all that parts pieces a full stop.
+PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\n\v\f\r", b"abcdefghijklmnopqrstuvwxyz ..........")
+BREAK = re.compile(rb"[ .]")
 #: Places without an id: what can't be part of a frequent phrase, and what is frequent beyond the table.
 NONE, BEYOND = -1, -2
 COUNTED = "code long, lang string, phrase binary, f long"
@@ -57,21 +58,21 @@ COUNTED = "code long, lang string, phrase binary, f long"
 
 def stretches(batches: Iterator[pa.RecordBatch], overlap: int) -> Iterator[tuple[str, list[bytes]]]:
     """(lang, tokens) of all texts of (lang, text), a long text in stretches that repeat the last
-    ``overlap`` tokens. A token is a word or a run of what parts pieces."""
+    ``overlap`` tokens. A token is a word, or a full stop for what parts pieces."""
     for b in kernels.slices(batches):
         for lang, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.large_binary()).to_pylist()):
-            text = (text or b"").lower()  # of bytes: A-Z only
+            text = (text or b"").translate(PLAIN)
             a, held = 0, []
             while a < len(text):
                 m = BREAK.search(text, a + STRETCH) if len(text) - a > STRETCH else None
                 end = m.start() if m else len(text)
-                tokens = held + TOKEN.findall(text, a, end)
+                tokens = held + text[a:end].replace(b".", b" . ").split()
                 yield "und" if lang is None else lang, tokens
                 a, held = end, tokens[len(tokens) - overlap:] if overlap and len(tokens) >= overlap else tokens if overlap else []
 
 
 def is_word(token: bytes) -> bool:
-    return token[0] not in b".,;:!?\n\v\f\r"
+    return token != b"."
 
 
 def table(code=None, lang=None, phrase=None, f=()) -> pa.RecordBatch:
@@ -91,16 +92,17 @@ def word_counts(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, Counter] = {}
         for lang, tokens in stretches(batches, 0):
-            found.setdefault(lang, Counter()).update(filter(is_word, tokens))
+            found.setdefault(lang, Counter()).update(tokens)
             if sum(map(len, found.values())) > KEEP // 8:
                 yield texts_table(found)
         yield texts_table(found)
 
-    return docs.mapInArrow(run, COUNTED).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    return docs.mapInArrow(run, COUNTED).filter(F.col("phrase") != F.lit(bytearray(b"."))).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
 def filter_key(lang: str, phrase: bytes) -> int:
-    return xxh64_intdigest(lang.encode() + b"\0" + phrase)
+    """What Spark's xxhash64 makes of both."""
+    return xxh64_intdigest(phrase, xxh64_intdigest(lang.encode(), 42))
 
 
 class Ids:
@@ -126,6 +128,12 @@ class Ids:
             #: with a part beyond the table of parts, known by their text
             self.others = {(langs[i], phrases[i]): i for i, (x, y) in enumerate(codes) if x < 0 or y < 0}
 
+    def names(self) -> dict:
+        return {k: v for k, v in vars(self).items() if k in ("langs", "phrases", "last")}
+
+    def tables(self) -> dict:
+        return {k: v for k, v in vars(self).items() if k not in ("langs", "phrases", "last")}
+
     @classmethod
     def of(cls, values: dict) -> "Ids":
         out = cls.__new__(cls)
@@ -187,10 +195,12 @@ class Pairs:
 
     def merged(self) -> int:
         """Make one list of all; its length."""
-        codes, where = np.unique(np.concatenate([c for c, _ in self.lists]), return_inverse=True)
-        counts = np.bincount(where, weights=np.concatenate([n for _, n in self.lists]), minlength=len(codes))
-        self.lists = [(codes, counts.astype(np.int64))]
-        return len(codes)
+        codes, counts = (np.concatenate(x) for x in zip(*self.lists))
+        order = np.argsort(codes)
+        codes = codes[order]
+        first = np.flatnonzero(np.diff(codes, prepend=codes[:1] - 1))
+        self.lists = [(codes[first], np.add.reduceat(counts[order], first) if len(first) else counts)]
+        return len(first)
 
     def sparse(self) -> Iterator[pa.RecordBatch]:
         if self.lists:
@@ -210,10 +220,11 @@ class Pairs:
 def phrase_counts(docs: DataFrame, levels: list[Ids], least: int) -> DataFrame:
     """(lang, phrase, f) of the phrases of ``len(levels) + 1`` words that are frequent."""
     m = len(levels) + 1
-    shared = docs.sparkSession.sparkContext.broadcast([vars(x) for x in levels])  # plain values, which need no class of this package
+    send = docs.sparkSession.sparkContext.broadcast  # plain values, which need no class of this package
+    tables, names = send([x.tables() for x in levels]), send(levels[-1].names())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, pairs, texts = [Ids.of(x) for x in shared.value], Pairs(), {}
+        ids, pairs, texts = [Ids.of(x) for x in tables.value], Pairs(), {}
         langs, tokens, parts, at, held = [], [], [], [], 0
 
         def count() -> None:
@@ -232,7 +243,7 @@ def phrase_counts(docs: DataFrame, levels: list[Ids], least: int) -> DataFrame:
         for lang, found in stretches(batches, m - 1):
             langs.append(lang)
             at.append(held)
-            tokens.extend((found, [b"\n"]))  # a break between texts
+            tokens.extend((found, [b"."]))  # a break between texts
             parts.extend((ids[0].first(lang, found), np.array([NONE])))
             held += len(found) + 1
             if held >= BLOCK:
@@ -249,7 +260,7 @@ def phrase_counts(docs: DataFrame, levels: list[Ids], least: int) -> DataFrame:
         yield texts_table(texts)
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Ids.of(shared.value[-1])
+        known = Ids.of(names.value)
         for b in batches:
             coded = b.filter(pc.is_valid(b.column(0)))
             code = coded.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -275,12 +286,7 @@ def ranked(found: DataFrame, parts: Ids | None, m: int, size: int) -> Ids:
         f, lang, phrase = t["f"][-1].as_py(), F.lit(langs[-1]), F.lit(bytearray(phrases[-1]))
         rest = rest | (F.col("f") < f) | ((F.col("f") == f) & ((F.col("lang") > lang) | ((F.col("lang") == lang) & (F.col("phrase") > phrase))))
 
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            h = np.array([filter_key(x, y) for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist())], np.uint64)
-            yield pa.record_batch([pa.array(h.view(np.int64))], ["h"])
-
-    hits = bit_filter(found.filter(rest).select("lang", "phrase").mapInArrow(keys, "h long"))
+    hits = bit_filter(found.filter(rest).select(F.xxhash64("lang", "phrase").alias("h")))
     return Ids(langs, phrases, parts, hits if hits.any() else None)
 
 
