@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -30,6 +30,8 @@ from . import kernels, ngram_join
 from .common import cut, read
 
 PERMUTATIONS, WORDS = 128, 5
+#: Share of the threshold that the fingerprints' likeness of a candidate pair must reach.
+LEAST = 0.6875
 #: Texts hashed at once: shingles times permutations that are held in memory.
 CHUNK = 1 << 14
 _rng = np.random.default_rng(7)
@@ -134,13 +136,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), names, as_binary(signatures_of(words, at, n).astype(np.uint8))],
                                              names=schema.names)
 
-    rows = cut(d.mapInArrow(run, schema))
+    return grouped(d, cut(d.mapInArrow(run, schema)), n, percent, bands, count).withColumnRenamed("id", id_col)
+
+
+def grouped(d: DataFrame, rows: DataFrame, n: int, percent: int, bands: int, count: bool) -> DataFrame:
+    """``near_duplicates`` of (id, text) whose (id, n, name, fp) are known: only texts of
+    classes in candidate pairs are read again.
+
+    Of a band only an 8-byte key is moved. Candidates whose fingerprints are less alike than
+    ``LEAST`` are left out before sets are moved: at a similarity of 0.8 that is less likely,
+    with 128 places, than 2e-9 (Chernoff's bound).
+    """
     classes = cut(rows.filter("name is not null").select("name", "n", "fp").dropDuplicates(["name"])).withColumn("cid", F.monotonically_increasing_id())
     size = PERMUTATIONS // bands
     keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.substring(F.col("fp"), i * size + 1, F.lit(size))))
     entries = classes.select("cid", F.col("n").cast("int").alias("n"), F.explode(keys).alias("token"), F.lit(0).alias("pos"))
-    out = ngram_join.closed(d, rows.select("id", "n", "name"), classes, entries, lambda pairs: pairs, n, percent, count)
-    return out.withColumnRenamed("id", id_col)
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = likeness(as_matrix(b.column(2)), as_matrix(b.column(3))) >= LEAST * percent / 100
+            yield b.select(["a", "b"]).filter(pa.array(keep))
+
+    def bound(pairs: DataFrame) -> DataFrame:
+        side = lambda c, fp: classes.select(F.col("cid").alias(c), F.col("fp").alias(fp))
+        return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(alike, "a long, b long")
+
+    return ngram_join.closed(d, rows.select("id", "n", "name"), classes.select("name", "n", "cid"), entries, bound, n, percent, count)
 
 
 def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS) -> DataFrame:
@@ -153,34 +174,34 @@ def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
     the text's set of shingles as ``name`` does in ``near_duplicates``.
 
     Documents are range-partitioned and sorted once. A task works through its range with one
-    row in hand; the last row of each range waits for the first of the next, which are the
-    only texts that a second, small step sees: two rows a range.
+    row in hand; the last row of each range waits for the first of the next; these two meet in a second,
+    small step, a row for each range.
     """
     d = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
     order = [F.col("id").desc_nulls_last(), F.col("tie")]
     d = d.repartitionByRange(*order).sortWithinPartitions(*order, "text").select("id", "text")
     id_type = d.schema.fields[0]
-    result = "n_chars long, edited_sha256 string, fp binary, edited_fp binary, near_edited double, near_next double, set_name binary"
+    result = "n_chars long, edited_sha256 string, fp binary, edited_fp binary, near_edited double, near_next double, set_name binary, n_shingles long"
     waiting = StructType([id_type, *StructType.fromDDL(result + ", part int, edge int, text string").fields])
-    final = StructType(waiting.fields[:8])
+    final = StructType(waiting.fields[:9])
 
     def pairs(ids, texts, sigs, nexts, next_sigs):
         new = [t[:len(t) - len(t) // 2] + x[:len(t) // 2] for t, x in zip(texts, nexts)]
         e = signatures(pa.array(new, pa.large_string()), n)
         return [ids, pa.array(map(len, texts), pa.int64()), pa.array([hashlib.sha256(x.encode()).hexdigest() for x in new]), as_binary(sigs), as_binary(e),
-                pa.array(likeness(sigs, e)), pa.array(likeness(sigs, next_sigs)), names_of(texts)]
+                pa.array(likeness(sigs, e)), pa.array(likeness(sigs, next_sigs)), *names_of(texts)]
 
     def names_of(texts):
         words, at = kernels.word_hashes(*kernels.utf8(pa.array(texts, pa.large_string())))
-        sets = (kernels.shingles(words[x:y], n) for x, y in zip(at[:-1], at[1:]))
-        return pa.array([ngram_join.name_of(s) if len(s) else None for s in sets], pa.binary())
+        sets = [kernels.shingles(words[x:y], n) for x, y in zip(at[:-1], at[1:])]
+        return pa.array([ngram_join.name_of(s) if len(s) else None for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held, first = TaskContext.get().partitionId(), None, None
 
         def edge(row, which):
             i, t, s = row
-            nothing = [pa.nulls(1, f.type) for f in to_arrow_schema(waiting)][1:8]
+            nothing = [pa.nulls(1, f.type) for f in to_arrow_schema(waiting)][1:9]
             nothing[2] = as_binary(s[None])
             return pa.RecordBatch.from_arrays([i, *nothing, pa.array([part], pa.int32()), pa.array([which], pa.int32()), pa.array([t])], names=waiting.names)
 
@@ -201,25 +222,28 @@ def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
             yield edge(held, 1)
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = [b for b in batches if b.num_rows]  # two rows a range
-        if seen:
-            t = pa.Table.from_batches(seen).sort_by([("part", "ascending"), ("edge", "ascending")])
-            texts, sigs = t["text"].to_pylist(), as_matrix(t["fp"].combine_chunks())
-            at = list(range(1, t.num_rows, 2))
-            after = [(i + 1) % t.num_rows for i in at]
-            cols = pairs(t["id"].combine_chunks().take(pa.array(at)), [texts[i] for i in at], sigs[at], [texts[i] for i in after], sigs[after])
-            yield pa.RecordBatch.from_arrays(cols, names=final.names)
+        for b in kernels.slices(batches, 64):
+            texts, nexts = b.column(1).to_pylist(), b.column(3).to_pylist()
+            yield pa.RecordBatch.from_arrays(pairs(b.column(0), texts, as_matrix(b.column(2)), nexts, as_matrix(b.column(4))), names=final.names)
 
     made = cut(d.mapInArrow(run, waiting))
-    rest = made.filter("edge is not null").coalesce(1).mapInArrow(close, final)
+    firsts = made.filter("edge = 0").select(F.col("part").alias("then"), F.col("text").alias("next_text"), F.col("fp").alias("next_fp"))
+    lasts = made.filter("edge = 1")
+    ranges = Window.orderBy("part")  # of numbers, as many as there are ranges
+    then = F.coalesce(F.lead("part").over(ranges), F.min("part").over(ranges.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    joined = lasts.select("id", "text", "fp", "part").join(lasts.select("part", then.alias("then")), "part").join(firsts, "then")
+    rest = joined.select("id", "text", "fp", "next_text", "next_fp").mapInArrow(close, final)
     return made.filter("edge is null").select(*final.names).unionByName(rest).withColumnRenamed("id", id_col)
 
 
 def op4(spark, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    groups = near_duplicates(docs, count=False).filter("name is not null").groupBy(F.col("name").alias("set_name")).agg(F.first("component_id").alias("component_id"))
+    made = edits(docs)
+    rows = made.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.col("set_name").alias("name"), "fp")
+    found = grouped(docs.select(F.col("doc_id").alias("id"), "text"), rows, WORDS, 80, 32, False)
+    groups = found.filter("name is not null").groupBy(F.col("name").alias("set_name")).agg(F.first("component_id").alias("component_id"))
     component = F.when(F.col("set_name").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return edits(docs).join(groups, "set_name", "left").select(
+    return made.join(groups, "set_name", "left").select(
         "doc_id", "n_chars", "edited_sha256", F.base64("fp").alias("fingerprint"), F.base64("edited_fp").alias("edited_fingerprint"), "near_edited", "near_next",
         component.alias("component_id"))
 
