@@ -104,7 +104,7 @@ def explode_fields(df: DataFrame, value_col: str = "value", keep_bad: bool = Fal
     )
     if keep_bad:
         return d
-    return d.filter(F.col("error").isNull()).drop("error", "line", "field_pos")
+    return d.filter(F.col("error").isNull()).drop("error", "line")
 
 
 def bad_rows(df: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Change detection over bounded tables (W1-W3): batch forms of the on/off detector.
 
-Arrival order is ``(src_partition, src_offset)``. A series is the series key
+Arrival order is ``(src_partition, src_offset)``, inside a record ``field_pos`` where the
+fields have it (the place of the field, so that a field named twice has an order). A series is the series key
 ``meas,tags#field``; values compare as **strings** (``1i`` then ``1.0`` is a change).
 
 Skew: a single series may hold a large share of all rows, so no step puts a
@@ -12,7 +13,7 @@ by a second ``lag`` over the chunk boundary rows alone (two rows per chunk).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lines as L
@@ -30,19 +31,27 @@ def with_series(fields: DataFrame) -> DataFrame:
     return fields.withColumn("series", L.series_key("measurement", "tags", "field"))
 
 
-def changes(fields: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def _place(df: DataFrame) -> Column:
+    """The place of a field inside its record."""
+    return F.col("field_pos") if "field_pos" in df.columns else F.lit(0)
+
+
+def changes(fields: DataFrame, chunk_rows: int = CHUNK_ROWS, previous: DataFrame | None = None) -> DataFrame:
     """Rows that are the first of their series or differ from the previous value.
 
     One shuffle: ``lag`` runs per (series, partition, offset chunk). Only the
     first row of a chunk needs the row before it, which is the last row of the
     previous chunk; so the chunk boundary rows (first and last, at most two per
-    chunk) get a second ``lag`` per series, over a table of ``2 x chunks`` rows.
+    chunk) get a second ``lag`` per series, over a table of ``2 x chunks`` rows. With
+    ``previous`` (series, value), the values before these rows, the first row of a series is
+    compared with its value there.
 
     Output keeps the input columns plus ``series``, ``key`` (``meas#field``) and
     ``line`` (the one-field LP record that the detector forwards).
     """
     x = with_series(fields).withColumn("_chunk", F.expr(f"src_offset div {int(chunk_rows)}"))
-    w = Window.partitionBy("series", "src_partition", "_chunk").orderBy("src_offset")
+    x = x.withColumn("_place", _place(fields))
+    w = Window.partitionBy("series", "src_partition", "_chunk").orderBy("src_offset", "_place")
     x = x.withColumns(
         {
             "_prev": F.lag("value").over(w),
@@ -52,12 +61,14 @@ def changes(fields: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     )
     inner = x.filter(~F.col("_first") & ~F.col("value").eqNullSafe(F.col("_prev")))
     edges = x.filter(F.col("_first") | F.col("_last"))
-    we = Window.partitionBy("series").orderBy("src_partition", "_chunk", "src_offset")
-    firsts = edges.withColumn("_prev", F.lag("value").over(we)).filter(
-        F.col("_first") & (F.col("_prev").isNull() | ~F.col("value").eqNullSafe(F.col("_prev")))
-    )
+    we = Window.partitionBy("series").orderBy("src_partition", "_chunk", "src_offset", "_place")
+    firsts = edges.withColumn("_new", F.lag("src_offset").over(we).isNull()).withColumn("_prev", F.lag("value").over(we)).filter("_first")
+    if previous is not None:
+        known = previous.select("series", F.col("value").alias("_known"))
+        firsts = firsts.join(known, "series", "left").withColumn("_prev", F.when(F.col("_new"), F.col("_known")).otherwise(F.col("_prev"))).drop("_known")
+    firsts = firsts.drop("_new").filter(F.col("_prev").isNull() | ~F.col("value").eqNullSafe(F.col("_prev")))
     out = inner.unionByName(firsts)
-    return out.drop("_chunk", "_prev", "_first", "_last").withColumns(
+    return out.drop("_chunk", "_prev", "_first", "_last", "_place").withColumns(
         {
             "key": F.concat_ws(L.KEY_SEP, "measurement", "field"),
             "line": L.render_line("measurement", "tags", "field", "value", "ts_ns"),
@@ -68,7 +79,7 @@ def changes(fields: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
 def latest(fields: DataFrame) -> DataFrame:
     """Latest value per series in arrival order (partial aggregation, skew-safe)."""
     x = with_series(fields)
-    order = F.struct(*[F.col(c) for c in ORDER])
+    order = F.struct(*[F.col(c) for c in ORDER], _place(x).alias("field_pos"))
     row = F.struct("measurement", "tags", "field", "value", "ts_ns", *[F.col(c) for c in ORDER])
     g = x.groupBy("series").agg(F.max_by(row, order).alias("r"), F.count(F.lit(1)).alias("n_rows"))
     return g.select("series", "r.*", "n_rows")
@@ -90,20 +101,37 @@ def refresh(fields: DataFrame, period_s: int, time_col: str = "event_ts", until_
     them and not the input again.
     """
     p_ns = int(period_s) * 1_000_000_000
-    x = with_series(fields)
-    at = F.unix_micros("event_ts") * 1000 if "event_ts" in x.columns else F.lit(None).cast("bigint")
-    ns = at if time_col == "event_ts" and "event_ts" in x.columns else F.coalesce(F.col("ts_ns" if time_col == "event_ts" else time_col), at)
-    tick = F.col("_ns") - F.pmod(F.col("_ns"), F.lit(p_ns)) + F.lit(p_ns)
-    order = F.struct(*[F.col(c) for c in ORDER])
-    b = x.withColumn("_ns", ns).filter(F.col("_ns").isNotNull()).withColumn("tick_ns", tick.cast("bigint")).groupBy("series", "tick_ns").agg(
-        F.max_by(F.struct("measurement", "tags", "field", "value"), order).alias("r")
-    )
+    b = ticks(fields, p_ns, time_col)
     if until_ns is None:
         checkpoint_root(fields.sparkSession)
         b = b.checkpoint()
         last_tick = b.select(F.max("tick_ns")).scalar()
     else:
         last_tick = F.lit(int(until_ns))
+    return grid(b, p_ns, last_tick)
+
+
+def ticks(fields: DataFrame, p_ns: int, time_col: str = "event_ts") -> DataFrame:
+    """The last row of each series before each tick: (series, tick_ns, ord, r), the number ``n``
+    of rows behind it and the ``latest`` time of them."""
+    x = with_series(fields)
+    at = F.unix_micros("event_ts") * 1000 if "event_ts" in x.columns else F.lit(None).cast("bigint")
+    ns = at if time_col == "event_ts" and "event_ts" in x.columns else F.coalesce(F.col("ts_ns" if time_col == "event_ts" else time_col), at)
+    tick = F.col("_ns") - F.pmod(F.col("_ns"), F.lit(p_ns)) + F.lit(p_ns)
+    order = F.struct(F.col("src_partition").cast("int").alias("src_partition"), F.col("src_offset").cast("bigint").alias("src_offset"), _place(x).cast("int").alias("field_pos"))
+    return x.withColumn("_ns", ns).filter(F.col("_ns").isNotNull()).withColumn("tick_ns", tick.cast("bigint")).groupBy("series", "tick_ns").agg(
+        F.max(order).alias("ord"), F.max_by(F.struct("measurement", "tags", "field", "value"), order).alias("r"), F.count("*").alias("n"), F.max("_ns").alias("latest"))
+
+
+def last_of_ticks(rows: DataFrame) -> DataFrame:
+    """Of reduced rows (series, tick_ns, ord, r) the last of each series and tick; ``ord`` null
+    stands before any other."""
+    order = F.struct(F.col("ord").isNotNull().alias("row"), F.col("ord"))
+    return rows.groupBy("series", "tick_ns").agg(F.max_by(F.struct("ord", "r"), order).alias("x")).select("series", "tick_ns", "x.ord", "x.r")
+
+
+def grid(b: DataFrame, p_ns: int, last_tick: Column) -> DataFrame:
+    """Reduced rows (series, tick_ns, r) laid out to the series' next one, up to ``last_tick``."""
     w = Window.partitionBy("series").orderBy("tick_ns")
     nxt = F.coalesce(F.lead("tick_ns").over(w), last_tick + F.lit(p_ns))
     g = b.withColumn("_next", nxt).filter(F.col("tick_ns") < F.col("_next"))

@@ -3,26 +3,28 @@
 ``latency_summary`` reproduces the load tool's end-of-run report on a delivery
 log table (one row per record: time, latency, bytes): count, records/s, MB/s,
 average and maximum latency and the p50/p95/p99/p99.9 order statistics with
-the index ``floor(p*n)`` of the sorted latencies. No global sort: latencies are
-counted per distinct value (partial aggregation), counts are summed per value
-log-scale bucket (64 per power of two: at most about 8,200 buckets for any
-64-bit range), and the running position is found with a small window over
-bucket totals plus a window inside each bucket, so no task holds more than one
-bucket of distinct values. One scan of the log; no scalar subqueries.
+the index ``floor(p*n)`` of the sorted latencies. No sort and no window: latencies are
+counted per distinct value (partial aggregation), and a rank is found by radix selection.
+The range that holds it is cut into ``FAN`` parts, whose counts (at most ``FAN`` numbers a
+percentile) tell the part that holds it, until a part is one value: ``log(range) / log(FAN)``
+rounds, each an aggregate of the counts in that range alone. However the values are spread,
+no task holds more than a share of them. One scan of the log.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
 
 # The reported percentiles.
 PERCENTILES = (("p50", 0.5), ("p95", 0.95), ("p99", 0.99), ("p999", 0.999))
-BUCKETS_PER_OCTAVE = 64
+#: Parts into which a range is cut in a round.
+FAN = 1024
 
 
 def count_stages(**stages: DataFrame) -> DataFrame:
@@ -31,12 +33,38 @@ def count_stages(**stages: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def _log_bucket(lat: Column) -> Column:
-    """Order-preserving bucket of a latency: 64 buckets per power of two, so any
-    64-bit range needs at most about 8,200 buckets."""
-    pos = F.floor(F.log2(lat.cast("double") + 1) * F.lit(BUCKETS_PER_OCTAVE))
-    neg = -1 - F.floor(F.log2(-lat.cast("double") + 1) * F.lit(BUCKETS_PER_OCTAVE))
-    return F.when(lat >= 0, pos).otherwise(neg).cast("bigint")
+def order_statistics(counts: DataFrame, ranks: dict[str, int], low: int, high: int) -> dict[str, int]:
+    """The values at places ``ranks`` (from 0) of the sorted multiset ``counts`` (lat, c), whose
+    least and greatest value are ``low`` and ``high``."""
+    # ranges under way: least value, number of values, and the ranks inside them
+    open_ranges = {(low, high - low + 1): dict(ranks)}
+    found: dict[str, int] = {}
+    while open_ranges:
+        ranges = list(open_ranges.items())
+        digit = F.lit(None).cast("struct<i: int, part: bigint>")
+        for i, ((lo, width), _) in enumerate(ranges):
+            step = -(-width // FAN)
+            # a difference may pass 63 bits
+            part = F.expr(f"(cast(lat as decimal(20,0)) - cast('{lo}' as decimal(20,0))) div cast('{step}' as decimal(20,0))")
+            digit = F.when(F.col("lat").between(lo, lo + width - 1), F.struct(F.lit(i).alias("i"), part.cast("bigint").alias("part"))).otherwise(digit)
+        sums = counts.withColumn("d", digit).filter("d is not null").groupBy("d").agg(F.sum("c").alias("c"))
+        of: dict[int, list[tuple[int, int]]] = {}
+        for r in sums.collect():  # FAN rows a range at most, as many ranges as percentiles at most
+            of.setdefault(r.d.i, []).append((r.d.part, r.c))
+        open_ranges = {}
+        for i, ((lo, width), inside) in enumerate(ranges):
+            step = -(-width // FAN)
+            for name, rank in inside.items():
+                for part, c in sorted(of[i]):
+                    if rank < c:
+                        break
+                    rank -= c
+                if step == 1:
+                    found[name] = lo + part
+                else:
+                    at = lo + part * step
+                    open_ranges.setdefault((at, min(step, lo + width - at)), {})[name] = rank
+    return found
 
 
 def event_stage_counts(points: DataFrame, window_s: int, time_col: str = "event_ts") -> DataFrame:
@@ -59,35 +87,27 @@ def latency_summary(log: DataFrame, latency_col: str = "latency_ms", bytes_col:
                     materialize: bool = True) -> DataFrame:
     """One-row report over the whole log, from a single scan."""
     lat = F.col(latency_col).cast("bigint")
-    counts = log.groupBy(lat.alias("lat")).agg(
+    counts = log.filter(lat.isNotNull()).groupBy(lat.alias("lat")).agg(
         F.count(F.lit(1)).alias("c"),
         F.sum(F.col(bytes_col).cast("decimal(38,0)")).alias("sb"),
         F.min(time_col).alias("t0"),
         F.max(time_col).alias("t1"),
-    ).withColumn("b", _log_bucket(F.col("lat")))
+    )
     if materialize:
         # one row per distinct latency: written once to the shared checkpoint folder,
-        # so the two uses below read it instead of scanning the log twice
+        # so the rounds below read it instead of scanning the log again
         checkpoint_root(log.sparkSession)
         counts = counts.checkpoint()
-    buckets = counts.groupBy("b").agg(F.sum("c").alias("bc"))
-    ordered = Window.orderBy("b")
-    buckets = buckets.select(
-        "b",
-        F.coalesce(F.sum("bc").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
-        F.sum("bc").over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"),
-    )
-    pos = counts.join(buckets, "b").withColumn(
-        "cum", F.col("before") + F.sum("c").over(Window.partitionBy("b").orderBy("lat").rowsBetween(Window.unboundedPreceding, 0))
-    )
-    rep = pos.agg(
+    n, low, high = counts.agg(F.sum("c"), F.min("lat"), F.max("lat")).first()
+    ranks = {name: math.floor(p * n) for name, p in PERCENTILES} if n else {}
+    at = order_statistics(counts, ranks, low, high) if n else {}
+    rep = counts.agg(
         F.sum("c").alias("count"),
         F.sum((F.col("lat").cast("decimal(19,0)") * F.col("c").cast("decimal(18,0)")).cast("decimal(38,0)")).alias("_lat_sum"),
         F.max("lat").alias("max_latency"),
         F.sum("sb").alias("_bytes"),
         (F.unix_millis(F.max("t1")) - F.unix_millis(F.min("t0"))).alias("_elapsed_ms"),
-        *[F.min(F.when(F.col("cum") > F.floor(F.lit(p) * F.col("total")), F.col("lat"))).alias(name) for name, p in PERCENTILES],
-    )
+    ).withColumns({name: F.lit(at.get(name)).cast("bigint") for name, _ in PERCENTILES})
     el = F.col("_elapsed_ms")
     return rep.select(
         "count",

@@ -854,8 +854,9 @@ def q_stage_counts(spark, sf_dir):
 
 
 # ----------------------------------------------------------------------------- T1-T4 (Structured Streaming)
+from ..session import scratch_path  # noqa: E402
 from ..streaming import jobs as SJ  # noqa: E402
-from ..streaming.detector import detect_changes  # noqa: E402
+from ..streaming import ledger as LG  # noqa: E402
 
 _GRACE_NS = 10_000_000_000
 
@@ -876,12 +877,98 @@ def q_agg_stream_closed(spark, sf_dir):
     return _round_value(out)
 
 
+class _Stopped(Exception):
+    """What stops a stream between a batch's output and its commit."""
+
+
+def _in_slices(spark, sf_dir, name: str, by: str, start, slices: int = 3) -> None:
+    """Lands ``events`` in slices of the column ``by``, one after another, and runs the job
+    ``start(events stream, checkpoint, done)`` to the end of the input after each, on one
+    checkpoint. In the second slice (or the only one) the job is stopped once its first batch has left its
+    output but is not committed; started again, it replays that batch."""
+    ev = fx.table(spark, sf_dir, "events")
+    path, checkpoint = scratch_path(spark, f"{name}-in"), scratch_path(spark, f"{name}-ckpt")
+    x = fx.ntz_micros(by) if by == "ts" else F.col(by)
+    lo, hi = (ev.select(f(x).cast("double")).scalar() for f in (F.min, F.max))
+    place = F.floor((x.cast("double") - lo) / F.greatest(hi - lo, F.lit(1.0)) * slices)
+    cut = ev.withColumn("slice", F.least(place, F.lit(slices - 1)))
+
+    def stop(batch_id: int) -> None:
+        raise _Stopped(f"after batch {batch_id}")
+
+    for i in range(slices):
+        cut.filter(F.col("slice") == i).drop("slice").write.mode("append").parquet(path)
+        for done in (stop, None) if i == min(1, slices - 1) else (None,):
+            q = start(fx.events_from(spark.readStream.schema(ev.schema).parquet(path)), checkpoint, done)
+            try:
+                q.awaitTermination()
+            except Exception as e:
+                if done is None or _Stopped.__name__ not in str(e):
+                    raise
+
+
 @register("changes_stream", ORACLE["changes"])
 def q_changes_stream(spark, sf_dir):
-    """T4: the keyed change detector as a stream; same answer as the batch form."""
-    fields = L.explode_fields(fx.lines_from(fx.events_stream(spark, sf_dir)))
-    out = SJ.run_to_table(detect_changes(fields), "changes_stream")
-    return out.select("series", "src_offset", "value", "line")
+    """T4: the change detector as a stream in arrival order, stopped and restarted on the way;
+    same answer as the batch form."""
+    root = scratch_path(spark, "changes_stream")
+    out = LG.Ledger(spark, f"{root}/out")
+    _in_slices(spark, sf_dir, "changes_stream", "event_id", lambda s, ckpt, done: LG.start_changes(
+        L.explode_fields(fx.lines_from(s)), out, f"{root}/state", "changes_stream", ckpt, compact=2, done=done))
+    return out.read("series STRING, src_offset BIGINT, value STRING, line STRING").drop("batch")
+
+
+@register("agg_stream_restarted", ORACLE["agg_stream_closed"])
+def q_agg_stream_restarted(spark, sf_dir):
+    """The aggregator stopped between output and commit and restarted on one checkpoint:
+    no closed window is missing and none is there twice."""
+    out = LG.Ledger(spark, scratch_path(spark, "agg_restarted"))
+    window, rules = f"{RU.agg_window_seconds(configs.AGGREGATOR)} seconds", RU.agg_rules(configs.AGGREGATOR)
+    plan = lambda s: SJ.stream_aggregate(fx.lines_from(s), rules, window=window)
+    _in_slices(spark, sf_dir, "agg_restarted", "ts", lambda s, ckpt, done: LG.start_to_ledger(plan(s), out, "agg_restarted", ckpt, done=done))
+    schema = plan(fx.events(spark, sf_dir)).schema
+    return _round_value(out.read(schema).drop("batch"))
+
+
+@register(
+    "refresh_stream",
+    f"WITH grid AS ({ORACLE['refresh_daily']}) SELECT * FROM grid WHERE tick_ns <= "
+    f"(((SELECT max(epoch_us(ts)) FROM events) * 1000 - {_GRACE_NS}) // {_DAY}) * {_DAY}",
+)
+def q_refresh_stream(spark, sf_dir):
+    """T5: the refresh grid as a stream on event time, stopped and restarted on the way: every
+    tick that the records and the grace have passed, once."""
+    root = scratch_path(spark, "refresh_stream")
+    out = LG.Ledger(spark, f"{root}/out")
+    _in_slices(spark, sf_dir, "refresh_stream", "ts", lambda s, ckpt, done: LG.start_refresh(
+        L.explode_fields(fx.lines_from(s)), 86400, out, f"{root}/state", "refresh_stream", _GRACE_NS // 1_000_000_000, checkpoint=ckpt, done=done))
+    return out.read("series STRING, tick_ns BIGINT, value STRING, line STRING").drop("batch")
+
+
+_AGG_BATCH_SQL = _points_sql(configs.HEADER_AGGREGATOR) + """,
+g AS (SELECT fn, metric_key, CASE fn WHEN 'avg' THEN avg(value) WHEN 'sum' THEN sum(value) WHEN 'min' THEN min(value) ELSE max(value) END AS value
+      FROM q WHERE error IS NULL GROUP BY fn, metric_key)
+SELECT fn, metric_key, """ + R4("value") + """ AS value, 2 AS attempts, 1 AS stamps FROM g"""
+
+
+@register("agg_events_replayed", _AGG_BATCH_SQL)
+def q_agg_events_replayed(spark, sf_dir):
+    """The header-event aggregator on processing time, its batch stopped before the commit
+    and replayed: both attempts give the same rows with the same batch time."""
+    rules, default = RU.metric_rules(configs.HEADER_AGGREGATOR)
+    tries = LG.Ledger(spark, scratch_path(spark, "agg_replayed"))
+
+    def start(s, ckpt, done):
+        def write(df, batch_id):
+            tries.write(df, len(tries.ids()))
+            if done:
+                done(batch_id)
+
+        return SJ.start_event_aggregate_per_batch(fx.header_events_from(s), rules, default, "1 second", write, "agg_replayed", ckpt, {"availableNow": True})
+
+    _in_slices(spark, sf_dir, "agg_replayed", "ts", start, slices=1)
+    got = tries.read("fn STRING, metric_key STRING, window_end_ns BIGINT, value DOUBLE").withColumn("value", round4("value"))
+    return got.groupBy("fn", "metric_key", "value").agg(F.count("*").cast("int").alias("attempts"), F.count_distinct("window_end_ns").cast("int").alias("stamps"))
 
 
 # ----------------------------------------------------------------------------- D5: malformed input goes to its own output
@@ -898,7 +985,6 @@ def q_parse_errors(spark, sf_dir):
 
 
 # ----------------------------------------------------------------------------- S1 S2 P34 U1 K4 L1 P7 T2
-from ..session import scratch_path  # noqa: E402
 from ..sinks import writers as W  # noqa: E402
 from ..sources import streams as S  # noqa: E402
 

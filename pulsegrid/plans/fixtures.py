@@ -114,7 +114,10 @@ def header_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     type_value; the body carries the LP record. ``error`` events are the broken
     ones: they have no ``name`` header and an empty body.
     """
-    ev = events(spark, sf_dir)
+    return header_events_from(events(spark, sf_dir))
+
+
+def header_events_from(ev: DataFrame) -> DataFrame:
     is_err = F.col("event_type") == "error"
     entries = F.array(
         kv("name", F.when(~is_err, F.col("event_type"))),

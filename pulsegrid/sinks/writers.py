@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..workers import ship_by_value
+from . import delivery as D
 
 ship_by_value(__name__)
 
@@ -82,13 +83,18 @@ class SmtpSender:
 
 
 # --------------------------------------------------------------------------- helpers
-def _for_each(df: DataFrame, fn, checkpoint: str | None = None, trigger: dict | None = None, name: str | None = None):
+def _for_each(df: DataFrame, fn, checkpoint: str | None = None, trigger: dict | None = None, name: str | None = None, plan=lambda b: b):
     """Run ``fn(partition_rows)`` on every partition of a batch DataFrame, or of
-    every micro-batch of a streaming one (returns the started query)."""
+    every micro-batch of a streaming one (returns the started query), as ``plan`` arranges it."""
+    return for_batches(df, lambda b, _id: plan(b).foreachPartition(fn), checkpoint, trigger, name)
+
+
+def for_batches(df: DataFrame, each, checkpoint: str | None = None, trigger: dict | None = None, name: str | None = None):
+    """``each(batch, batch_id)`` on a batch DataFrame (as batch 0) or on every micro-batch."""
     if not df.isStreaming:
-        df.foreachPartition(fn)
+        each(df, 0)
         return None
-    w = df.writeStream.foreachBatch(lambda b, _id: b.foreachPartition(fn))
+    w = df.writeStream.foreachBatch(each)
     if checkpoint:
         w = w.option("checkpointLocation", checkpoint)
     if name:
@@ -96,16 +102,45 @@ def _for_each(df: DataFrame, fn, checkpoint: str | None = None, trigger: dict |
     return w.trigger(**(trigger or {"processingTime": "1 second"})).start()
 
 
-def delivery_plan(df: DataFrame, ports, batch_size: int, order=("src_partition", "src_offset")) -> DataFrame:
+ORDER = ("src_partition", "src_offset")
+#: Offsets of a source partition that are numbered in one task.
+CHUNK_OFFSETS = 1 << 20
+
+
+def _ports(ports) -> list[int]:
+    return [int(p) for p in (ports if isinstance(ports, (list, tuple)) else str(ports).split(","))]
+
+
+def numbered(df: DataFrame, name: str, order=ORDER, chunk: int = CHUNK_OFFSETS) -> DataFrame:
+    """``df`` with the place of each row in its source partition, from 0, in arrival order.
+
+    Rows are numbered within chunks of offsets; what a partition's earlier chunks hold is added
+    from a table of one row a chunk. So one task has at most a chunk, however large a partition is.
+    """
+    part, offset = order
+    x = df.withColumn("_chunk", F.expr(f"{offset} div {int(chunk)}"))
+    chunks = x.groupBy(part, "_chunk").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(part).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = chunks.select(F.col(part).alias("_part"), F.col("_chunk").alias("_of"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    x = x.withColumn("_in", F.row_number().over(Window.partitionBy(part, "_chunk").orderBy(offset)) - 1)
+    x = x.join(chunks, F.col(part).eqNullSafe(F.col("_part")) & F.col("_chunk").eqNullSafe(F.col("_of")))
+    return x.withColumn(name, F.col("_before") + F.col("_in")).drop("_chunk", "_in", "_part", "_of", "_before")
+
+
+def delivery_plan(df: DataFrame, ports, batch_size: int, order=ORDER, chunk: int = CHUNK_OFFSETS) -> DataFrame:
     """K4/L1 as columns: the port and the batch that each record of a partition gets in
-    arrival order (ports in turn, ``batch_size`` records a batch; empty payloads get none)."""
-    ports = [int(p) for p in (ports if isinstance(ports, (list, tuple)) else str(ports).split(","))]
-    w = Window.partitionBy(order[0]).orderBy(order[1])
-    kept = df.filter(F.col("value").isNotNull() & (F.octet_length("value") > 0)).withColumn("_i", F.row_number().over(w) - 1)
-    port = F.element_at(F.array(*[F.lit(p) for p in ports]), F.col("_i") % len(ports) + 1)
+    arrival order (ports in turn, ``batch_size`` records a batch; empty payloads get none).
+    The datagram and HTTP sinks deliver by it."""
+    ports = _ports(ports)
+    kept = numbered(df.filter(F.col("value").isNotNull() & (F.octet_length("value") > 0)), "_i", order, chunk)
+    port = F.element_at(F.array(*[F.lit(p) for p in ports]), (F.col("_i") % len(ports) + 1).cast("int"))
     return kept.withColumns({"port": port, "batch": F.floor(F.col("_i") / batch_size).cast("bigint")}).drop("_i")
 
 
+def has_order(df: DataFrame) -> bool:
+    return all(c in df.columns for c in ORDER)
+
+
 # --------------------------------------------------------------------------- K1 K2
 def write_topic(df: DataFrame, bootstrap: str, topic: str | None = None, checkpoint: str | None = None,
                 options: dict | None = None, name: str | None = None):
@@ -133,7 +168,8 @@ def write_topic(df: DataFrame, bootstrap: str, topic: str | None = None, checkpo
 
 # --------------------------------------------------------------------------- K3 K4
 def udp_partition_writer(host: str, ports, value_col: str = "value", sender_factory=None, suffix: str = ""):
-    ports = [int(p) for p in (ports if isinstance(ports, (list, tuple)) else str(ports).split(","))]
+    """Sends each row to its own ``port``, or without that column to the ports in turn."""
+    ports = _ports(ports)
 
     def write(rows) -> None:
         sender = sender_factory() if sender_factory else UdpSender()
@@ -147,7 +183,7 @@ def udp_partition_writer(host: str, ports, value_col: str = "value", sender_fact
                 if len(payload) == 0:
                     continue  # zero-length payloads are skipped
                 i = (i + 1) % len(ports)  # round robin over the ports
-                sender.send(bytes(payload), host, ports[i])
+                sender.send(bytes(payload), host, r["port"] if "port" in r else ports[i])
         finally:
             sender.close()
 
@@ -156,7 +192,12 @@ def udp_partition_writer(host: str, ports, value_col: str = "value", sender_fact
 
 def write_udp(df: DataFrame, host: str, ports, value_col: str = "value", sender_factory=None, suffix: str = "",
               checkpoint: str | None = None, trigger: dict | None = None, name: str | None = None):
-    """K3/K4: one datagram per record (UTF-8 bytes, D17), ports used round robin per partition."""
+    """K3/K4: one datagram per record (UTF-8 bytes, D17). Records with ``src_partition`` and
+    ``src_offset`` get the ports of ``delivery_plan``, others the ports in turn within a task."""
+    ports = _ports(ports)
+    if len(ports) > 1 and has_order(df):
+        plan = lambda b: delivery_plan(b.select(F.col(value_col).alias("value"), *ORDER), ports, 1).select("value", "port")
+        return _for_each(df, udp_partition_writer(host, ports, "value", sender_factory, suffix), checkpoint, trigger, name, plan)
     return _for_each(df.select(value_col), udp_partition_writer(host, ports, value_col, sender_factory, suffix), checkpoint, trigger, name)
 
 
@@ -197,9 +238,14 @@ def http_partition_writer(url: str, batch_size: int = 500_000, value_col: str =
 
 
 def write_http(df: DataFrame, url: str, batch_size: int = 500_000, value_col: str = "value", sender_factory=None,
-               checkpoint: str | None = None, trigger: dict | None = None, name: str | None = None):
+               checkpoint: str | None = None, trigger: dict | None = None, name: str | None = None, ledger: str | None = None):
     """K5: up to ``batch_size`` bodies joined by newlines per POST; any status other than
-    200/204 or an I/O error fails the task (retry / replay)."""
+    200/204 or an I/O error fails the micro-batch (retry / replay). With a ``ledger`` folder
+    (records need ``src_partition`` and ``src_offset``) the answer to each record is kept there,
+    POSTs are those of ``delivery_plan``, and a replay sends only what was not accepted."""
+    if ledger:
+        rows = df.select(F.col(value_col).alias("value"), *ORDER)
+        return for_batches(rows, lambda b, i: D.deliver(b, i, ledger, D.http(url, batch_size, sender_factory), lambda r: D.in_batches(r, batch_size)), checkpoint, trigger, name)
     return _for_each(df.select(value_col), http_partition_writer(url, batch_size, value_col, sender_factory), checkpoint, trigger, name)
 
 
@@ -222,8 +268,11 @@ def webhook_partition_writer(url: str, text_col: str = "text", sender_factory=No
 
 
 def write_webhook(df: DataFrame, url: str, text_col: str = "text", sender_factory=None,
-                  checkpoint: str | None = None, trigger: dict | None = None, name: str | None = None):
-    """K6: POST each ``{"text": ...}`` JSON (P25 output); a non-200 answer is logged."""
+                  checkpoint: str | None = None, trigger: dict | None = None, name: str | None = None, ledger: str | None = None):
+    """K6: POST each ``{"text": ...}`` JSON (P25 output); a non-200 answer is logged. With a
+    ``ledger`` folder no record is posted again by a replay."""
+    if ledger:
+        return for_batches(df.select(F.col(text_col).alias("text"), *ORDER), lambda b, i: D.deliver(b, i, ledger, D.webhook(url, sender_factory)), checkpoint, trigger, name)
     return _for_each(df.select(text_col), webhook_partition_writer(url, text_col, sender_factory), checkpoint, trigger, name)
 
 
@@ -249,10 +298,15 @@ def email_partition_writer(smtp_cfg: dict, sender_factory=None):
     return write
 
 
-def write_email(df: DataFrame, smtp_cfg: dict, sender_factory=None, checkpoint: str | None = None, trigger: dict | None = None, name: str | None = None):
-    """K7: one message per row to all its ``addresses`` (an array, or one ``address``)."""
+def write_email(df: DataFrame, smtp_cfg: dict, sender_factory=None, checkpoint: str | None = None, trigger: dict | None = None, name: str | None = None,
+                ledger: str | None = None):
+    """K7: one message per row to all its ``addresses`` (an array, or one ``address``). With a
+    ``ledger`` folder no mail is sent again by a replay."""
     rows = df.filter(F.col("error").isNull()) if "error" in df.columns else df
     to = F.col("addresses") if "addresses" in df.columns else F.array("address")
+    if ledger:
+        rows = rows.select("subject", "body", to.alias("addresses"), *ORDER)
+        return for_batches(rows, lambda b, i: D.deliver(b, i, ledger, D.email(smtp_cfg, sender_factory)), checkpoint, trigger, name)
     return _for_each(rows.select("subject", "body", to.alias("addresses")), email_partition_writer(smtp_cfg, sender_factory), checkpoint, trigger, name)
 
 

@@ -52,22 +52,29 @@ def aggregate_micro_batch(points: DataFrame, batch_time_ns: int) -> DataFrame:
     return g.select("fn", "metric_key", F.lit(int(batch_time_ns)).alias("window_end_ns"), A.picked().alias("value"))
 
 
+def batch_time_ns(spark: SparkSession, checkpoint: str, batch_id: int) -> int:
+    """When Spark planned a micro-batch, from the query's own offset log, which it writes before
+    the batch runs: a replayed batch has the time of its first attempt."""
+    log = spark.read.text(f"{checkpoint.rstrip('/')}/offsets/{int(batch_id)}")
+    at = F.get_json_object("value", "$.batchTimestampMs").cast("bigint")
+    return log.filter(F.col("value").startswith('{"batchWatermarkMs"')).select(at).first()[0] * 1_000_000
+
+
 def start_event_aggregate_per_batch(events: DataFrame, rules: RuleTable, default: RuleTable | None, interval: str,
-                                    write_batch, name: str = "header_aggregator", checkpoint: str | None = None):
+                                    write_batch, name: str = "header_aggregator", checkpoint: str | None = None, trigger: dict | None = None):
     """The header-event aggregator on processing time. Every trigger interval the
-    micro-batch's points are aggregated, stamped with the time at which the batch was
-    closed, and handed to ``write_batch(df, batch_id)`` (e.g. ``points_to_json`` + ``write_udp``)."""
-    import time as _time
-
+    micro-batch's points are aggregated, stamped with the batch's time in the query's log, so
+    that a replayed batch gives the same rows, and handed to ``write_batch(df, batch_id)``
+    (e.g. ``points_to_json`` + ``write_udp``)."""
     pts = EVT.event_points(events, rules, default)
+    ckpt = checkpoint or app_checkpoint(events.sparkSession, name, "aggregate")
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        write_batch(aggregate_micro_batch(batch, _time.time_ns()), batch_id)
+        write_batch(aggregate_micro_batch(batch, batch_time_ns(batch.sparkSession, ckpt, batch_id)), batch_id)
 
-    ckpt = checkpoint or app_checkpoint(events.sparkSession, name, "aggregate")
     return (
         pts.writeStream.queryName(name).foreachBatch(each).option("checkpointLocation", ckpt)
-        .trigger(processingTime=interval).start()
+        .trigger(**(trigger or {"processingTime": interval})).start()
     )
 
 
