@@ -52,12 +52,18 @@ def route(df: DataFrame, rules: RuleTable, topics: dict | None = None, value_col
 
     ``topics`` maps branch -> output topic (defaults to the branch name).
     """
+    return routed(parsed(listed(df, rules, value_col), value_col, key_col), rules, topics)
+
+
+def parsed(df: DataFrame, value_col: str = "value", key_col: str | None = None) -> DataFrame:
+    """The field rows that ``routed`` takes, malformed ones with their ``error``."""
+    return L.explode_fields(df.withColumnRenamed(key_col, "_src_key") if key_col else df, value_col, keep_bad=True)
+
+
+def routed(x: DataFrame, rules: RuleTable, topics: dict | None = None) -> DataFrame:
+    """``route`` of records that are parsed already."""
     topics = topics or {}
-    spark = df.sparkSession
-    if key_col:
-        df = df.withColumnRenamed(key_col, "_src_key")
-    x = L.explode_fields(listed(df, rules, value_col), value_col, keep_bad=True)
-    r = rules.df(spark).select(
+    r = rules.df(x.sparkSession).select(
         "branch", F.col("measurement").alias("_rm"), F.col("rule_field").alias("_rf")
     )
     whole = F.col("branch") == "database"
@@ -70,8 +76,9 @@ def route(df: DataFrame, rules: RuleTable, topics: dict | None = None, value_col
     for b, t in topics.items():
         topic = F.when(F.col("branch") == b, F.lit(t)).otherwise(topic)
     wire = L.encode_internal(j)
-    orig_key = F.col("_src_key") if key_col else F.lit(None).cast("string")
-    passthrough = [c for c in df.columns if c not in (value_col, "_src_key", "branch", "topic", "key", "value", "wire")]
+    orig_key = F.col("_src_key") if "_src_key" in x.columns else F.lit(None).cast("string")
+    made = ("line", "measurement", "tags", "field", "value", "ts_ns", "field_pos", "error")
+    passthrough = [c for c in x.columns if c not in (*made, "_src_key", "branch", "topic", "key", "wire")]
     return wire.select(
         "branch",
         topic.alias("topic"),

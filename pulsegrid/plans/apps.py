@@ -22,12 +22,14 @@ from ..functions import lines as L
 from ..operators import aggregate as A
 from ..operators import events as EVT
 from ..operators import notify as NT
+from ..operators import route as R
 from ..sinks import writers as W
 from ..sources import rules as RU
 from ..sources import streams as S
 from ..session import app_checkpoint, use_rocksdb
 from ..streaming import jobs as J
 from ..streaming import progress as P
+from ..streaming import tee as TEE
 from ..streaming.detector import detect_changes
 
 # Section names of the reference's YAML files (kept for drop-in configs).
@@ -65,10 +67,7 @@ def _lines_source(spark: SparkSession, cfg: dict, topic: str, source: DataFrame
     return S.read_lines(spark, "kafka", S.kafka_options(kafka, topic))
 
 
-def _bad(df: DataFrame, raw: str) -> DataFrame:
-    """Bad rows as (error, raw, at): why, what came in, and its record time if known."""
-    at = F.col("event_ts").cast("timestamp") if "event_ts" in df.columns else F.lit(None).cast("timestamp")
-    return df.filter(F.col("error").isNotNull()).select("error", F.col(raw).cast("string").alias("raw"), at.alias("at"))
+_bad = TEE.bad_rows
 
 
 def _start_errors(bad: DataFrame, cfg: dict, checkpoint: str, errors: str | None):
@@ -81,19 +80,48 @@ def _start_errors(bad: DataFrame, cfg: dict, checkpoint: str, errors: str | None
                    trigger={"processingTime": "1 second"})
 
 
-def _watched(df: DataFrame, cfg: dict, name: str, error: bool = False) -> DataFrame:
-    """``df`` with the counters of ``stats_config`` attached and its reporter registered
-    (``enabled``, ``hostname``, ``port``, ``period_ms``; from code also a ``sender``)."""
+def _stats(cfg: dict) -> dict | None:
+    """``stats_config``, if it is enabled."""
     stats = cfg.get(STATS_SECTION) or {}
-    if str(stats.get("enabled", "false")).lower() != "true":
+    return stats if str(stats.get("enabled", "false")).lower() == "true" else None
+
+
+def _report_to(stats: dict) -> dict:
+    return {"period_ms": int(stats.get("period_ms", 10_000)), "host": str(stats.get("hostname", "localhost")), "port": int(stats.get("port", 8090)), "sender": stats.get("sender")}
+
+
+# Names that dashboards on the reference's self-monitoring lines ask for.
+STREAMS, CONSUMER, APP_TAG = "kafka_streams", "kafka_consumer", "application_id"
+BRANCH_COUNTERS = {"database": "sentDatabaseRecords", "onoff": "sentOnOffRecords", "aggregator": "sentAggregatorRecords"}
+CONSUMER_TAGS = {"udp-consumer": "InfluxDB", "email": "Emailer", "webhook": "Mattermost"}
+
+
+def _watched(df: DataFrame, cfg: dict, name: str, error: bool = False, **counters) -> DataFrame:
+    """``df`` with the counters of ``stats_config`` attached and its reporter registered
+    (``enabled``, ``hostname``, ``port``, ``period_ms``; from code also a ``sender``): sent
+    and filtered rows, or the given ``counters`` (name=Column)."""
+    stats = _stats(cfg)
+    if stats is None:
         return df
     bad = F.count(F.when(F.col("error").isNotNull(), 1)) if error else F.lit(0).cast("bigint")
-    spark = df.sparkSession
-    query = query_name(cfg, name)
-    spark.streams.addListener(P.ProgressReporter(
-        query, int(stats.get("period_ms", 10_000)), str(stats.get("hostname", "localhost")), int(stats.get("port", 8090)),
-        tags={"application-id": app_id(cfg, name)}, sender=stats.get("sender")))
-    return P.observe_counts(df, name, sentRecords=F.count(F.lit(1)) - bad, filteredRecords=bad)
+    tags = {"application-id": app_id(cfg, name), APP_TAG: app_id(cfg, name)}
+    measurement = CONSUMER if name in CONSUMER_TAGS else STREAMS
+    if name in CONSUMER_TAGS:
+        tags["endpoint_type"] = CONSUMER_TAGS[name]
+        topic, sink = (cfg.get(CONSUMER_SECTION) or {}).get("topic"), cfg.get(SENDER_SECTION) or {}
+        if topic:
+            tags["topic"] = str(topic)
+        if name == "udp-consumer":
+            tags["endpoint"] = f"{sink.get('hostname', 'localhost')}:{sink.get('port', '8089')}".replace(",", "|")
+    df.sparkSession.streams.addListener(P.ProgressReporter(query_name(cfg, name), measurement=measurement, tags=tags, **_report_to(stats)))
+    return P.observe_counts(df, name, **(counters or {"sentRecords": F.count(F.lit(1)) - bad, "filteredRecords": bad}))
+
+
+def _filtered(parsed: DataFrame, cfg: dict, name: str) -> DataFrame:
+    """Parsed rows with their bad ones counted in the query's own scan, before they are left out."""
+    if _stats(cfg) is None:
+        return parsed
+    return P.observe_counts(parsed, f"{name}-parsed", filteredRecords=F.count_if(F.col("error").isNotNull()))
 
 
 def query_name(cfg: dict, name: str) -> str:
@@ -105,11 +133,14 @@ def _router_source(spark: SparkSession, cfg: dict, source: DataFrame | None) ->
     return _lines_source(spark, cfg, (cfg.get("component_config") or {}).get("topic.input", ""), source)
 
 
+def _topics(cfg: dict) -> dict:
+    comp = cfg.get("component_config") or {}
+    return {b: comp.get(f"topic.output.{b}", b) for b in RU.ROUTER_BRANCHES}
+
+
 def build_router(spark: SparkSession, cfg, source: DataFrame | None = None) -> DataFrame:
     cfg = RU.load_config(cfg)
-    comp = cfg.get("component_config") or {}
-    topics = {b: comp.get(f"topic.output.{b}", b) for b in RU.ROUTER_BRANCHES}
-    return J.stream_router(_router_source(spark, cfg, source), RU.router_rules(cfg), topics)
+    return J.stream_router(_router_source(spark, cfg, source), RU.router_rules(cfg), _topics(cfg))
 
 
 def _run_topic(spark: SparkSession, cfg: dict, name: str, out: DataFrame, bad: DataFrame, topic: str | None, checkpoint: str | None,
@@ -117,19 +148,36 @@ def _run_topic(spark: SparkSession, cfg: dict, name: str, out: DataFrame, bad: D
     """Start the sink of a topic application and its error output."""
     use_rocksdb(spark)
     ckpt = _checkpoint(spark, cfg, name, checkpoint)
-    out = _watched(out, cfg, name)
+    counters = {"sentRecords": F.count(F.lit(1))}
+    if "kind" in out.columns:
+        periodic = F.col("kind") == "refresh"
+        counters = {"sentPeriodicRecords": F.count_if(periodic), "sentRecords": F.count_if(~periodic)}
+    out = _watched(out, cfg, name, **counters).drop("kind")
     _start_errors(bad, cfg, ckpt, errors)
     if write_topic is not None:
         return write_topic(out, ckpt)
     return W.write_topic(out, _bootstrap(cfg), topic, checkpoint=ckpt, name=query_name(cfg, name))
 
 
-def run_router(spark: SparkSession, cfg, source: DataFrame | None = None, checkpoint: str | None = None, errors: str | None = None, write_topic=None):
-    """``write_topic(df, checkpoint)`` may replace the Kafka writer, here and below."""
+def run_router(spark: SparkSession, cfg, source: DataFrame | None = None, checkpoint: str | None = None, errors: str | None = None, write_topic=None,
+               write_batch=None, trigger: dict | None = None):
+    """With ``stats_config`` or an error output each micro-batch is parsed once, and from there
+    sent, counted by branch and its bad rows written. ``write_batch(df, batch_id)`` may replace
+    the Kafka writer; ``write_topic(df, checkpoint)`` may do so for a plain stream, here and
+    below, whose errors a query of their own writes."""
     cfg = RU.load_config(cfg)
     lines = _router_source(spark, cfg, source)
-    bad = _bad(L.explode_fields(lines, keep_bad=True), "line")
-    return _run_topic(spark, cfg, "router", build_router(spark, cfg, lines), bad, None, checkpoint, errors, write_topic)
+    path, stats, rules, topics = errors or cfg.get(ERROR_OUTPUT), _stats(cfg), RU.router_rules(cfg), _topics(cfg)
+    if write_topic is not None or not (path or stats or write_batch):
+        bad = _bad(L.explode_fields(lines, keep_bad=True), "line")
+        return _run_topic(spark, cfg, "router", build_router(spark, cfg, lines), bad, None, checkpoint, errors, write_topic)
+    use_rocksdb(spark)
+    totals = P.Totals(STREAMS, {APP_TAG: app_id(cfg, "router")}, **_report_to(stats)) if stats else None
+    counters = {name: F.count_if(F.col("branch") == branch) for branch, name in BRANCH_COUNTERS.items()}
+    send = write_batch or (lambda df, _id: W.write_topic(df, _bootstrap(cfg)))
+    parsed = R.parsed(lines, key_col="key" if "key" in lines.columns else None)
+    return TEE.start_tee(parsed, "line", lambda x: R.routed(x, rules, topics), send, query_name(cfg, "router"), _checkpoint(spark, cfg, "router", checkpoint),
+                         str(path) if path else None, totals, counters, trigger)
 
 
 # --------------------------------------------------------------------------- aggregator
@@ -142,7 +190,8 @@ def build_aggregator(spark: SparkSession, cfg, source: DataFrame | None = None)
     """Internal records (router's aggregator branch) -> closed-window aggregate LP lines."""
     cfg = RU.load_config(cfg)
     ac = cfg.get("aggregation_config") or {}
-    fields = L.decode_internal(_internal(spark, cfg, "aggregation_config", source), "key", "wire")
+    parsed = L.decode_internal(_internal(spark, cfg, "aggregation_config", source), "key", "wire", keep_bad=True)
+    fields = L.good_rows(_filtered(parsed, cfg, "aggregator")).drop("error")
     window = f"{int(ac.get('window.s', 30))} seconds"
     agg = A.aggregate(fields, RU.agg_rules(cfg), window=window, watermark=A.GRACE)
     return agg.select("key", F.col("line").alias("value"))
@@ -158,7 +207,8 @@ def run_aggregator(spark: SparkSession, cfg, source: DataFrame | None = None, ch
 # --------------------------------------------------------------------------- on/off detector
 def build_detector(spark: SparkSession, cfg, source: DataFrame | None = None) -> DataFrame:
     cfg = RU.load_config(cfg)
-    fields = L.decode_internal(_internal(spark, cfg, "detector", source), "key", "wire")
+    parsed = L.decode_internal(_internal(spark, cfg, "detector", source), "key", "wire", keep_bad=True)
+    fields = L.good_rows(_filtered(parsed, cfg, "detector")).drop("error")
     refresh = (cfg.get("detector") or {}).get("refresh.period.s")
     out = detect_changes(fields, refresh_s=int(refresh) if refresh else None)
     return out.select("key", F.col("line").alias("value"), "kind")
@@ -168,7 +218,7 @@ def run_detector(spark: SparkSession, cfg, source: DataFrame | None = None, chec
     cfg = RU.load_config(cfg)
     bad = _bad(L.decode_internal(_internal(spark, cfg, "detector", source), "key", "wire", keep_bad=True), "wire")
     topic = (cfg.get("detector") or {}).get("topic.output")
-    return _run_topic(spark, cfg, "detector", build_detector(spark, cfg, source).drop("kind"), bad, topic, checkpoint, errors, write_topic)
+    return _run_topic(spark, cfg, "detector", build_detector(spark, cfg, source), bad, topic, checkpoint, errors, write_topic)
 
 
 # --------------------------------------------------------------------------- consumers
@@ -187,6 +237,11 @@ def run_udp_consumer(spark: SparkSession, cfg, source: DataFrame | None = None,
                        checkpoint=_checkpoint(spark, cfg, "udp-consumer", checkpoint), name=query_name(cfg, "udp-consumer"))
 
 
+def _ledger(df: DataFrame, checkpoint: str) -> str | None:
+    """Where deliveries are kept, for records that have a place in their source."""
+    return f"{checkpoint}-sent" if W.has_order(df) else None
+
+
 def build_webhook(spark: SparkSession, cfg, source: DataFrame | None = None) -> DataFrame:
     cfg = RU.load_config(cfg)
     df = _bytes_source(spark, cfg, source).withColumn("value", F.col("value").cast("string"))
@@ -200,7 +255,7 @@ def run_webhook(spark: SparkSession, cfg, source: DataFrame | None = None, sende
     ckpt = _checkpoint(spark, cfg, "webhook", checkpoint)
     _start_errors(_bad(made, "value"), cfg, ckpt, errors)
     out = _watched(made, cfg, "webhook", error=True).filter(F.col("error").isNull())
-    return W.write_webhook(out, url, sender_factory=sender_factory, checkpoint=ckpt, name=query_name(cfg, "webhook"))
+    return W.write_webhook(out, url, sender_factory=sender_factory, checkpoint=ckpt, name=query_name(cfg, "webhook"), ledger=_ledger(out, ckpt))
 
 
 def build_email(spark: SparkSession, cfg, source: DataFrame | None = None) -> DataFrame:
@@ -215,7 +270,7 @@ def run_email(spark: SparkSession, cfg, source: DataFrame | None = None, sender_
     ckpt = _checkpoint(spark, cfg, "email", checkpoint)
     _start_errors(_bad(made, "value"), cfg, ckpt, errors)
     return W.write_email(_watched(made, cfg, "email", error=True), cfg.get(EMAIL_SECTION) or {}, sender_factory=sender_factory, checkpoint=ckpt,
-                         name=query_name(cfg, "email"))
+                         name=query_name(cfg, "email"), ledger=_ledger(made, ckpt))
 
 
 # --------------------------------------------------------------------------- header-event apps
@@ -264,8 +319,10 @@ def run_http_sink(spark: SparkSession, url: str, batch_size: int, source: DataFr
                   checkpoint: str | None = None):
     """LP records -> batched HTTP writes (only 200/204 commit)."""
     cfg = cfg or {}
-    return W.write_http(_watched(source.select("value"), cfg, "http-sink"), url, batch_size, sender_factory=sender_factory,
-                        checkpoint=_checkpoint(spark, cfg, "http-sink", checkpoint), name=query_name(cfg, "http-sink"))
+    ckpt = _checkpoint(spark, cfg, "http-sink", checkpoint)
+    rows = source.select("value", *[c for c in W.ORDER if W.has_order(source)])
+    return W.write_http(_watched(rows, cfg, "http-sink"), url, batch_size, sender_factory=sender_factory, checkpoint=ckpt,
+                        name=query_name(cfg, "http-sink"), ledger=_ledger(source, ckpt))
 
 
 def run_http_sink_from_config(spark: SparkSession, cfg, source: DataFrame | None = None, sender_factory=None, checkpoint: str | None = None):

@@ -74,3 +74,34 @@ class ProgressReporter(StreamingQueryListener):
 
     def onQueryTerminated(self, event) -> None:
         pass
+
+
+class Totals:
+    """Counters since the start, sent as an LP line at most once per ``period_ms``."""
+
+    def __init__(self, measurement: str = "kafka_streams", tags: dict | None = None, period_ms: int = 10_000, host: str = "localhost", port: int = 8090, sender=None):
+        self.measurement, self.tags, self.period_ms, self.addr, self.sender = measurement, dict(tags or {}), period_ms, (host, int(port)), sender
+        self.tags.setdefault("hostname", socket.gethostname())
+        self.values: dict[str, int] = {}
+        self.last_ms, self.last_batch = 0, -1
+
+    def line(self, now_ms: int) -> str:
+        tags = "".join(f",{k}={v}" for k, v in sorted(self.tags.items()))
+        return f"{self.measurement}{tags} " + ",".join(f"{k}={v}i" for k, v in self.values.items()) + f" {now_ms}000000"
+
+    def add(self, batch_id: int, counts: dict) -> None:
+        """Add a batch's counts; a batch that is replayed in the same run counts once."""
+        if batch_id <= self.last_batch:
+            return
+        self.last_batch = batch_id
+        for k, v in counts.items():
+            self.values[k] = self.values.get(k, 0) + int(v or 0)
+        now = int(time.time() * 1000)
+        if now - self.last_ms < self.period_ms:
+            return
+        self.last_ms = now
+        if self.sender is not None:
+            self.sender(self.line(now))
+        else:
+            with socket.socket(socket.AF_INET, socket.SOCK_DGRAM) as s:
+                s.sendto(self.line(now).encode("utf-8"), self.addr)
