@@ -1056,3 +1056,111 @@ def q_agg_late_dropped(spark, sf_dir):
     s = fx.events_from(spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", first).parquet(path))
     window = f"{RU.agg_window_seconds(configs.AGGREGATOR)} seconds"
     return _round_value(SJ.run_to_table(SJ.stream_aggregate(fx.lines_from(s), RU.agg_rules(configs.AGGREGATOR), window=window), "agg_late"))
+
+
+# ----------------------------------------------------------------------------- K5 K6 K7 S4 T7: whole tables through the components
+import zlib  # noqa: E402
+
+from ..sinks import delivery as D  # noqa: E402
+from ..streaming import tee as TEE  # noqa: E402
+from ..streaming.progress import Totals  # noqa: E402
+from ..workers import ship_by_value  # noqa: E402
+
+ship_by_value(__name__)
+
+
+class Endpoint:
+    """Stands for what takes deliveries, here and in no other process: at the first attempt it
+    refuses a third of all requests."""
+
+    def __init__(self, attempt: int):
+        self.attempt = attempt
+
+    def post(self, url: str, body: bytes, content_type: str = "text/plain") -> int:
+        return 503 if self.attempt == 0 and zlib.crc32(body) % 3 == 0 else 200
+
+    def send(self, sender: str, to: list, subject: str, body: str) -> None:
+        if not to or not subject:
+            raise ValueError("no mail")
+
+    def close(self) -> None:
+        pass
+
+
+def _times(spark, root: str, batch_id: int = 0) -> DataFrame:
+    return D.accepted(spark, root, batch_id).groupBy("src_partition", "src_offset").agg(F.count("*").alias("times"))
+
+
+@register("http_delivery", "WITH " + EV + " SELECT event_id AS src_offset, shard AS src_partition, 1 AS times FROM ev")
+def q_http_delivery(spark, sf_dir):
+    """K5/L1: LP records in POSTs of up to 500; refused ones are replayed until every record
+    is accepted, each once."""
+    root, rows = scratch_path(spark, "http_delivery"), fx.lines(spark, sf_dir)
+    for attempt in range(2):
+        try:
+            W.write_http(rows, "http://sink", 500, sender_factory=lambda attempt=attempt: Endpoint(attempt), ledger=root)
+        except D.Refused:
+            if attempt:
+                raise
+    return _times(spark, root).select("src_offset", "src_partition", "times")
+
+
+@register("mail_delivery", "WITH " + EV + " SELECT event_id AS src_offset, 1 AS times FROM ev WHERE event_type NOT IN ('view', 'signup', 'error')")
+def q_mail_delivery(spark, sf_dir):
+    """K7: the mails of the table, their batch replayed as after a crash before its commit."""
+    root = scratch_path(spark, "mail_delivery")
+    mails = NT.email_messages(fx.emails(spark, sf_dir), each=False).withColumn("src_partition", F.lit(0))
+    for attempt in range(2):
+        W.write_email(mails, {"from": "me"}, sender_factory=lambda: Endpoint(1), ledger=root)
+    return _times(spark, root).select("src_offset", "times")
+
+
+@register("webhook_delivery", "WITH " + EV + " SELECT event_id AS src_offset, 1 AS times FROM ev WHERE event_type = 'error'")
+def q_webhook_delivery(spark, sf_dir):
+    """K6: the notifications of the table, their batch replayed as after a crash before its commit."""
+    root = scratch_path(spark, "webhook_delivery")
+    texts = NT.notification_text(fx.notifications(spark, sf_dir)).filter("error is null").withColumn("src_partition", F.lit(0))
+    for attempt in range(2):
+        W.write_webhook(texts, "http://hook", sender_factory=lambda: Endpoint(1), ledger=root)
+    return _times(spark, root).select("src_offset", "times")
+
+
+@register(
+    "scan_events",
+    "WITH " + EV + " SELECT event_id AS src_offset, CASE WHEN event_type <> 'error' THEN event_type END AS name, 's' || CAST(shard AS VARCHAR) AS shard,"
+    " CASE WHEN event_type = 'error' THEN '' ELSE " + LINE + " END AS body FROM ev",
+)
+def q_scan_events(spark, sf_dir):
+    """The scan of header events with byte bodies over landed records."""
+    got = S.read_events(spark, "parquet", path=_landed(fx.header_events(spark, sf_dir), "events"), stream=False)
+    return got.select("src_offset", F.try_element_at("headers", F.lit("name")).alias("name"), F.col("headers")["tag_shard"].alias("shard"), F.decode("body", "UTF-8").alias("body"))
+
+
+@register(
+    "router_counters",
+    "WITH " + EV + """, c AS (SELECT count(*) AS receivedRecords,
+  count(*) FILTER (WHERE event_type = 'error' OR (event_type = 'signup' AND k >= 90)) AS filteredRecords,
+  count(*) FILTER (WHERE event_type IN ('click', 'purchase')) AS sentDatabaseRecords,
+  count(*) FILTER (WHERE event_type = 'view') + 3 * count(*) FILTER (WHERE event_type = 'error') AS sentOnOffRecords,
+  2 * count(*) FILTER (WHERE event_type = 'click') + count(*) FILTER (WHERE event_type = 'purchase') AS sentAggregatorRecords FROM ev)
+SELECT unnest(['receivedRecords', 'filteredRecords', 'sentDatabaseRecords', 'sentOnOffRecords', 'sentAggregatorRecords', 'writtenErrors', 'writtenRecords']) AS counter,
+  unnest([receivedRecords, filteredRecords, sentDatabaseRecords, sentOnOffRecords, sentAggregatorRecords, filteredRecords,
+    sentDatabaseRecords + sentOnOffRecords + sentAggregatorRecords]) AS n FROM c""",
+)
+def q_router_counters(spark, sf_dir):
+    """The router over records of which some are malformed: what each micro-batch received,
+    filtered and sent by branch, and the rows in its outputs, all from one scan."""
+    from . import apps
+
+    rules, root = RU.router_rules(configs.ROUTER), scratch_path(spark, "router_counters")
+    dirty = fx.dirty_lines(spark, sf_dir)
+    totals, out = Totals(sender=lambda line: None), LG.Ledger(spark, f"{root}/out")
+    lines = spark.readStream.schema(dirty.schema).parquet(_landed(dirty, "dirty"))
+    counters = {name: F.count_if(F.col("branch") == branch) for branch, name in apps.BRANCH_COUNTERS.items()}
+    send = lambda df, i: out.write(df.select("branch", "key", "value"), i)
+    q = TEE.start_tee(R.parsed(lines), "line", lambda x: R.routed(x, rules, _TOPICS), send, "router_counters", f"{root}/ckpt", f"{root}/errors", totals, counters, {"availableNow": True})
+    q.awaitTermination()
+    counted = spark.createDataFrame([(k, v) for k, v in totals.values.items()], "counter STRING, n BIGINT")  # five counters
+    bad = spark.read.schema(TEE.BAD).json(f"{root}/errors").agg(F.lit("writtenErrors").alias("counter"), F.count("*").alias("n"))
+    written = out.read("branch STRING, key STRING, value STRING").agg(F.lit("writtenRecords").alias("counter"), F.count("*").alias("n"))
+    return counted.unionByName(bad).unionByName(written)
