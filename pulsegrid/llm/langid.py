@@ -14,10 +14,10 @@ Classifying is one pass without a shuffle.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,28 +33,31 @@ SHORT = 128
 #: Rejected below this share of the second-best size.
 MARGIN = 0.002
 UNKNOWN = "und"
-OTHER = re.compile(r"[\W\d_]+")
+LETTER, OTHER = regex.compile(r"\p{L}"), regex.compile(r"[^\p{L}\p{M}]+")
 
 
 def letters(text: str | None) -> bytes:
-    """Lower-case words of letters with one space around each (empty without a letter)."""
-    out = OTHER.sub(" ", (text or "").lower()).strip().encode("utf-8", "replace")
-    return b" " + out + b" " if out else b""
+    """Lower-case words of letters and their marks with one space around each (empty without a letter)."""
+    if not LETTER.search(text or ""):
+        return b""
+    return b" " + OTHER.sub(" ", text.lower()).strip().encode("utf-8", "replace") + b" "
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, bytes]]:
     """(language, dictionary) from the rows with text and language, the most frequent
-    language first (it also wins ties); equal rows count once in the sample. Empty if there
-    are no such rows."""
+    language first (it also wins ties); equal rows count once in the sample, and all sampled
+    texts have the same share of a dictionary. Empty if there are no such rows."""
     t = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).filter("text is not null and lang is not null")
     t = t.withColumn("h", F.xxhash64("text"))
     picked = t.groupBy("lang", F.pmod("h", F.lit(SAMPLE)).alias("bucket")).agg(F.min("h").alias("h"), F.count("*").alias("n"))
-    excerpts = t.join(F.broadcast(picked), ["lang", "h"]).groupBy("lang", "h", "n").agg(F.min(F.substring("text", 1, EXCERPT)).alias("text"))
+    # a stretch from anywhere in the text, as its hash says
+    start = F.pmod("h", F.greatest(F.length("text") - EXCERPT + 1, F.lit(1))).cast("int") + 1
+    excerpts = t.join(F.broadcast(picked), ["lang", "h"]).groupBy("lang", "h", "n").agg(F.min(F.substring("text", start, F.lit(EXCERPT))).alias("text"))
     by: dict[str, list] = {}
     for r in excerpts.orderBy("lang", "h").collect():  # SAMPLE short excerpts a language
         by.setdefault(r.lang, []).append(r)
     order = sorted(by, key=lambda x: (-sum(r.n for r in by[x]), x))
-    return [(x, b"".join(letters(r.text) for r in by[x])[-DICTIONARY:]) for x in order]
+    return [(x, b"".join(letters(r.text)[:DICTIONARY // len(by[x])] for r in by[x])) for x in order]
 
 
 class Classifier:
