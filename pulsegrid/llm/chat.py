@@ -106,9 +106,16 @@ def op9(spark, sf_dir: str) -> DataFrame:
     c = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     c = c.unionByName(spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
                                             F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text")))
-    # every row is a message of its own, created by one delta
+    # every row is a message of its own: a draft that is thrown away, streamed anew, edited and
+    # streamed to its end, so that what the fold leaves is the row's text
     nth = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
-    log = c.withColumn("seq", nth).withColumn("message", F.col("seq")).withColumn("kind", F.lit("delta"))
+    text = F.coalesce("text", F.lit(""))
+    half = F.floor(F.length(text) / 2).cast("int")
+    first, rest = F.substring(text, F.lit(1), half), F.substring(text, half + 1, F.length(text))
+    steps = [("delta", F.concat(F.lit("draft "), rest)), ("regenerate", F.lit("")), ("delta", rest), ("edit", first), ("delta", rest)]
+    events = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(k).alias("kind"), t.alias("said")) for i, (k, t) in enumerate(steps)])
+    log = c.withColumn("message", nth).withColumn("e", F.explode(events))
+    log = log.select("conv_id", "role", "message", (F.col("message") * len(steps) + F.col("e.i")).alias("seq"), F.col("e.kind").alias("kind"), F.col("e.said").alias("text"))
     out = render(reconstruct(log)).withColumn("turns", read_back(F.col("formatted"))).withColumn("loss", under_mask(F.col("formatted"), F.col("loss_mask")))
     whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(whole, 256).alias("turns_sha256"),
