@@ -261,7 +261,7 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     elements end with the page, a tag cut off by the page's end is dropped, unknown closing
     tags are ignored. Each row gives a row, repeated ones too; an empty table none.
     """
-    keep = [c for c in pages.columns if c not in (html_col, "text", "n_chars")]
+    keep = [c for c in pages.columns if c.lower() not in (html_col.lower(), "text", "n_chars")]
     schema = pages.select(*[F.col(f"`{c}`") for c in keep]).schema.add("text", "string").add("n_chars", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -324,11 +324,12 @@ def find(docs: DataFrame, weights: np.ndarray, text_col: str = "text") -> DataFr
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The input with personal data in ``text_col`` masked and ``n_chars``, if there, counted
-    anew. Texts without spans stay as they are."""
+    anew. Texts without spans stay as they are. Other columns may have any name."""
     weights = fit(docs, text_col)
     place = docs.columns.index(text_col)
     count = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
-    hinted = docs.select("*", F.col(f"`{text_col}`").rlike(HINT).alias("\0hinted"))
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    hinted = plain.select("*", F.col(f"c{place}").rlike(HINT).alias("hinted"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in kernels.slices(batches):
@@ -339,7 +340,7 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 cols[count] = pa.array([n if x is y or x == y else len(y) for n, x, y in zip(cols[count].to_pylist(), texts, new)], cols[count].type)
             yield pa.RecordBatch.from_arrays(cols, names=b.schema.names[:-1])
 
-    return hinted.mapInArrow(run, docs.schema)
+    return hinted.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def op10(spark, sf_dir: str) -> DataFrame:

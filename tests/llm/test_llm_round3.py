@@ -13,7 +13,9 @@ import xxhash
 
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import alignment, chat, collocations, kernels, packing, simhash
+import corpus_pipeline
+
+from pulsegrid.llm import alignment, chat, collocations, html_text, kernels, langid, packing, pii, simhash
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -301,3 +303,30 @@ def test_chat_roles_of_any_length(spark):
     df = spark.createDataFrame(rows, "conv_id long, place int, role string, text string")
     out = chat.render(df).withColumn("turns", chat.read_back(F.col("formatted"))).collect()
     assert sorted((r.conv_id, t.role, t.text) for r in out for t in r.turns) == sorted((i, r, t) for i, _, r, t in rows)
+
+
+def test_languages_need_a_letter():
+    assert [langid.letters(t) for t in ("½ ²", "①", "", None, "1_2", "́ ")] == [b""] * 6
+    assert langid.letters("हिन्दी में, Été!") == " हिन्दी में été ".encode()
+
+
+def test_dictionaries_share_all_sampled_texts(spark):
+    rows = [(f"{chr(97 + i % 26)}{'abcdefghij'[i // 26]} " * 3000, "xx") for i in range(200)]
+    (name, content), = langid.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert name == "xx" and langid.DICTIONARY - 2 * langid.SAMPLE <= len(content) <= langid.DICTIONARY
+    picked = len({xx for xx in content.split() if len(xx) == 2})
+    assert 60 < picked <= langid.SAMPLE
+
+
+def test_columns_of_any_name(spark):
+    d = spark.createDataFrame([(1, "write to a.b@example.org now", 5, "x")], "doc_id long, text string, `row.x` int, `hinted` string")
+    got = pii.redact(d)
+    assert got.columns == d.columns and got.first()[2:] == (5, "x")
+    p = spark.createDataFrame([(1, "<p>Some text here</p>", "old")], "page_id long, html string, Text string")
+    out = html_text.extract(p)
+    assert out.columns == ["page_id", "text", "n_chars"] and out.first().text == "Some text here"
+
+
+def test_pipeline_keeps_documents_without_any_label(spark):
+    d = spark.createDataFrame([(1, "some text", None, "s", 9), (2, None, None, None, None)], "doc_id long, text string, lang string, source string, n_chars int")
+    assert corpus_pipeline.language_id(spark, d, SF).count() == 2
