@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet and
 read again as the next stage's ``docs``. All but the last keep the columns of documents.
 
-1. ``language_id``: documents whose language is rejected go.
+1. ``language_id``: documents whose language is rejected go (none, if no row has a language).
 2. ``near_duplicates``: one document of each group stays (five words, similarity 0.8).
 3. ``personal_data``: personal data is masked in the texts.
 4. ``mix``: sources are mixed to their target weights, in training order.
@@ -23,7 +23,10 @@ from pulsegrid.session import scratch_path
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # numbered names: a column of the documents may be called like one that is added
     plain = [f"c{i}" for i in range(len(docs.columns))]
-    found = langid.identify(docs.toDF(*plain), langid.fit(langid.learnable(docs)), text_col=plain[docs.columns.index("text")])
+    model = langid.fit(langid.learnable(docs))
+    if not model:  # nothing to learn from is no reason to reject
+        return docs
+    found = langid.identify(docs.toDF(*plain), model, text_col=plain[docs.columns.index("text")])
     return found.filter("not rejected").select(*plain).toDF(*docs.columns)
 
 
