@@ -119,30 +119,41 @@ def byte_of() -> dict[str, int]:
     return {chr(x): x for x in plain} | {chr(256 + i): x for i, x in enumerate(others)}
 
 
+def token_bytes(tokenizer) -> dict[int, bytes]:
+    """The bytes of each id of a byte-level tokenizer; special tokens are their own text."""
+    of, special = byte_of(), {t.content for t in tokenizer.get_added_tokens_decoder().values()}
+    return {i: t.encode() if t in special else bytes(of[c] for c in t) for t, i in tokenizer.get_vocab().items()}
+
+
+def ranked(path: str, tokenizer, of: dict[int, bytes]):
+    """The encoding of a byte-level tokenizer file by ranks, which is the same and several times
+    faster; None where ids are not in the order of the merges."""
+    import public_tokenizers
+    import tiktoken
+
+    with open(path) as file:
+        merges = json.load(file)["model"]["merges"]
+    parts = [x if isinstance(x, list) else x.split(" ") for x in merges]
+    if not all(tokenizer.token_to_id(x + y) == 256 + i for i, (x, y) in enumerate(parts)):
+        return None
+    ranks = {t: i for i, t in of.items() if i < 256 + len(parts)}
+    return tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class Encoders:
     """Both tokenizers, the bytes of their tokens, and the texts of ids as groups are written:
     in one list, those of A and then of B, each before a comma and before what ends its side."""
 
     def __init__(self, a_path: str, b_path: str):
-        import public_tokenizers
         import sentencepiece
-        import tiktoken
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        of, special = byte_of(), {t.content for t in self.a.get_added_tokens_decoder().values()}
-        self.a_bytes = {i: t.encode() if t in special else bytes(of[c] for c in t) for t, i in self.a.get_vocab().items()}
-        with open(a_path) as file:
-            merges = json.load(file)["model"]["merges"]
-        parts = [x if isinstance(x, list) else x.split(" ") for x in merges]
-        # ids in the order of the merges: the same encoding from ranks, several times faster
-        self.ranked = None
-        if all(self.a.token_to_id(x + y) == 256 + i for i, (x, y) in enumerate(parts)):
-            ranks = {t: i for i, t in self.a_bytes.items() if i < 256 + len(parts)}
-            self.ranked = tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.a_bytes = token_bytes(self.a)
+        self.ranked = ranked(a_path, self.a, self.a_bytes)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         if any(re.search("[^▁]▁", p) for p in pieces):

@@ -106,7 +106,7 @@ def runs(raw, offsets, lower: bool, lead: bool = False):
             ends = np.flatnonzero(stop[1:] & ~space) + 1
         if len(starts):
             if len(up) < len(x):
-                up, down = powers(len(x), BASE), powers(len(x), INVERSE)
+                up, down = powers(len(x) + 8192, BASE), powers(len(x) + 8192, INVERSE)  # pieces differ a little
             sums = np.zeros(len(x) + 1, np.uint64)
             np.cumsum(code[x] * up[:len(x)], out=sums[1:])
             h = (sums[ends] - sums[starts]) * down[starts]

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from ..workers import ship_by_value
-from . import kernels
+from . import alignment, kernels
 from .common import read
 
 WINDOW, END_ID, BLOCK = 2048, 1, 512
@@ -104,6 +104,7 @@ class Ids:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.ranked = alignment.ranked(path, self.tokenizer, alignment.token_bytes(self.tokenizer))
         # a byte-level vocabulary writes each byte as one character
         vocabulary = self.tokenizer.get_vocab()
         self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -111,6 +112,11 @@ class Ids:
         self.forget()
 
     def encode(self, texts: list[str]) -> list[list[int]]:
+        if self.ranked:
+            try:
+                return [self.ranked.encode_ordinary(t) for t in texts]
+            except Exception:  # its pattern gives up on very long runs of white space
+                pass
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def flat(self, texts: list[str]) -> np.ndarray:
