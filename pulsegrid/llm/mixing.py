@@ -135,10 +135,11 @@ def first_words(text: Column, k: Column) -> Column:
     return let(F.split(text, WS, -1), at)
 
 
-def mix(docs: DataFrame, text_col: str = "text", schedules=SCHEDULES, **kw) -> DataFrame:
+def mix(docs: DataFrame, text_col: str = "text", schedules=SCHEDULES, whole: bool = False, **kw) -> DataFrame:
     """The mix as documents in training order: the input's columns, a row for each use of a
     document, range-sorted by position. The use at which a source reaches its target keeps
-    only the words that still fit."""
+    only the words that still fit; with ``whole`` no text is cut: that use is taken if at
+    least half of its words fit and left otherwise, whichever comes nearer to the target."""
     a = assign(docs, text_col=text_col, schedules=schedules, **kw)
     goal = F.floor("target")
     uses = F.when(F.col("taken") > 0, F.sequence(F.lit(0), F.expr("(floor(target) - start - 1) div source_size").cast("int"))).otherwise(
@@ -146,7 +147,10 @@ def mix(docs: DataFrame, text_col: str = "text", schedules=SCHEDULES, **kw) -> D
     u = a.select("*", F.explode(uses).alias("use")).withColumn("at", F.col("start") + F.col("use") * F.col("source_size"))
     u = u.withColumn("position", position(F.col("at"), schedules)).withColumn("fits", goal - F.col("at"))
     text = F.when(F.col("fits") < F.col("size"), first_words(F.col(f"row.`{text_col}`"), F.col("fits"))).otherwise(F.col(f"row.`{text_col}`"))
-    u = u.filter(F.col("size") > 0).withColumn("row", F.col("row").withField(f"`{text_col}`", text))
+    u = u.filter(F.col("size") > 0)
+    if whole:
+        return u.filter(F.col("fits") * 2 >= F.col("size")).orderBy("position", F.xxhash64("row")).select("row.*")
+    u = u.withColumn("row", F.col("row").withField(f"`{text_col}`", text))
     if "n_chars" in docs.columns:
         u = u.withColumn("row", F.col("row").withField("n_chars", F.length(F.col(f"row.`{text_col}`")).cast(docs.schema["n_chars"].dataType)))
     return u.orderBy("position", F.xxhash64("row")).select("row.*")

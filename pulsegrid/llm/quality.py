@@ -1,17 +1,18 @@
 """Quality rules with risk-controlled thresholds (operator 8), DataFrame functions only.
 
-Each rule is a per-mille statistic of a text with a fixed grid of cutoffs, loosest first.
-On the labelled documents a cutoff of a rule is certified for a stratum if the exact
-binomial test rejects "the rule throws away more than ``risk`` of the good documents".
-Cutoffs are tested from the loosest on and testing stops at the first that fails (fixed
-sequence), so the grid costs no correction; strata and rules are corrected by Bonferroni.
-Of the certified cutoffs the one that separates bad from good labels best is used, the
-loosest among equals. With probability 1 - ``error`` every cutoff in use, over all rules
-and strata together, falsely rejects at most ``risk`` of its stratum's good documents.
+Each rule is a per-mille statistic of a text with a fixed grid of cutoffs, loosest first;
+step i of the verdict rejects a text that is beyond the i-th cutoff of any rule. On the
+labelled documents a step is certified for a stratum if the exact binomial test rejects
+"this verdict, all rules together, throws away more than ``risk`` of the good documents".
+Steps are tested from the loosest on and testing stops at the first that fails (fixed
+sequence), so the grid costs no correction; strata are corrected by Bonferroni. Of the
+certified steps the one that separates bad from good labels best is used, the loosest among
+equals. With probability 1 - ``error`` the verdict falsely rejects at most ``risk`` of the
+good documents in every stratum. Copies of a text are one trial, as the exact test needs.
 
 Scale: texts are measured inside their rows and never shuffled; what is cut with a
 checkpoint and joined to the labels is one short row of counts per document. Labels are
-reduced to counts by (stratum, rule, cutoff) with partial sums before any window. The
+reduced to counts by (stratum, step) with partial sums before any window. The
 table of cutoffs has one row per stratum.
 """
 
@@ -108,98 +109,111 @@ def binomial_cdf(k: Column, n: Column, p: float) -> Column:
 
 
 def cutoffs(labelled: DataFrame, risk: float = RISK, error: float = ERROR, rules=RULES) -> DataFrame:
-    """(stratum, good, and a column per rule in ``statistics()``) -> (stratum, rule, cutoff)
-    with one row per certified rule. Documents without a statistic count as not rejected."""
-    each = F.array(*[F.struct(F.lit(r).alias("rule"), sum((F.coalesce((F.col(r) > c).cast("int"), F.lit(0)) for c in grid), F.lit(0))
-                              .alias("beyond")) for r, grid in rules.items()])
-    c = labelled.select("stratum", "good", F.explode(each).alias("e")).groupBy("stratum", "e.rule", "e.beyond").agg(
+    """(stratum, good, and a column per rule in ``statistics()``) -> (stratum, rule, cutoff):
+    the cutoffs of the stratum's certified step, none if no step is certified. Rows are the
+    trials. Documents without a statistic count as not rejected by its rule. Grids have one length."""
+    if len({len(g) for g in rules.values()}) != 1:
+        raise ValueError("the grids of the rules need one length")
+    steps = len(next(iter(rules.values())))
+    # beyond counts the cutoffs below a statistic, and the loosest comes first: step i
+    # rejects what is beyond at least (steps - i) cutoffs of one rule
+    beyond = F.array_max(F.array(*[sum((F.coalesce((F.col(r) > c).cast("int"), F.lit(0)) for c in g), F.lit(0)) for r, g in rules.items()]))
+    c = labelled.select("stratum", "good", beyond.alias("beyond")).groupBy("stratum", "beyond").agg(
         F.sum(F.col("good").cast("long")).alias("good"), F.sum((~F.col("good")).cast("long")).alias("bad"))
-    # beyond counts the grid's cutoffs below the statistic, and the loosest comes first: the
-    # i-th cutoff rejects what is beyond at least (size - i) of them
-    by = Window.partitionBy("stratum", "rule")
-    c = c.withColumn("n_good", F.sum("good").over(by)).withColumn("n_bad", F.sum("bad").over(by))
-    size = {r: len(g) for r, g in rules.items()}
-    grid = F.create_map(*[x for r, g in rules.items() for x in (F.lit(r), F.array(*map(F.lit, g)))])
-    places = F.create_map(*[x for r, g in rules.items() for x in (F.lit(r), F.lit(len(g)))])
-    whole = c.groupBy("stratum", "rule", "n_good", "n_bad").agg(F.collect_list(F.struct("beyond", "good", "bad")).alias("b"))  # at most a grid's size
-    t = whole.select("*", F.posexplode(F.element_at(grid, F.col("rule"))).alias("i", "cutoff"), F.element_at(places, F.col("rule")).alias("size"))
-    hit = F.filter("b", lambda x: x["beyond"] >= F.col("size") - F.col("i"))
+    whole = c.groupBy("stratum").agg(F.sum("good").alias("n_good"), F.sum("bad").alias("n_bad"),
+                                     F.collect_list(F.struct("beyond", "good", "bad")).alias("b"))  # a grid's size and one
+    t = whole.select("*", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("i"))
+    hit = F.filter("b", lambda x: x["beyond"] >= F.lit(steps) - F.col("i"))
     total = lambda f: F.aggregate(hit, F.lit(0).cast("long"), lambda a, x: a + x[f])
     t = t.withColumn("k", total("good")).withColumn("hits", total("bad"))
-    level = F.lit(error) / (whole.select(F.count_distinct("stratum")).scalar() * len(size))
+    level = F.lit(error) / whole.select(F.count("*")).scalar()
     t = t.withColumn("passed", (F.col("k") < F.col("n_good") * risk) & (binomial_cdf(F.col("k"), F.col("n_good"), risk) <= level))
-    in_turn = by.orderBy("i")
-    t = t.withColumn("certified", F.min(F.col("passed").cast("int")).over(in_turn) == 1)
+    by = Window.partitionBy("stratum")
+    t = t.withColumn("certified", F.min(F.col("passed").cast("int")).over(by.orderBy("i")) == 1)
     gain = F.col("hits") / F.col("n_bad") - F.col("k") / F.col("n_good")
     best = t.filter(F.col("certified") & (F.col("n_bad") > 0)).withColumn("gain", F.round(gain, 9)).filter("gain > 0").withColumn(
-        "r", F.row_number().over(by.orderBy(F.col("gain").desc(), "i")))
-    return best.filter("r = 1").select("stratum", "rule", "cutoff")
+        "r", F.row_number().over(by.orderBy(F.col("gain").desc(), "i"))).filter("r = 1")
+    grids = F.array(*[F.struct(F.lit(r).alias("rule"), F.get(F.array(*map(F.lit, g)), F.col("i")).alias("cutoff")) for r, g in rules.items()])
+    return best.select("stratum", F.inline(grids))
 
 
-def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang",
+def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str | None = "lang",
           risk: float = RISK, error: float = ERROR) -> DataFrame:
     """Counts, ``base_failed``, ``failed_rules`` (array) and ``kept`` per document.
 
-    Null texts have no words and fail the base. A null stratum is a stratum of its own.
-    Strata with too few good labels to certify a rule don't apply it. Label rows without an
-    id or a quality are ignored; a document with several is good if one says so. Repeated
-    documents each give a row; an empty table of documents or labels works.
+    Null texts have no words and fail the base. A null stratum is a stratum of its own;
+    without ``stratum_col`` all documents are one. Strata with too few good labels to certify
+    a step apply no rule. Label rows without an id or a quality are ignored; a document with
+    several, or a text with several documents, is good if one says so. Repeated documents
+    each give a row; an empty table of documents or labels works.
     """
-    measured = cut(measure(docs.select(F.col(id_col).alias("id"), F.coalesce(F.concat(F.lit("s"), F.col(stratum_col).cast("string")), F.lit("n"))
-                                       .alias("stratum"), F.col(text_col).alias("text")), "text", ("id", "stratum")))
+    stratum = F.coalesce(F.concat(F.lit("s"), F.col(stratum_col).cast("string")), F.lit("n")) if stratum_col else F.lit("n")
+    measured = cut(measure(docs.select(F.col(id_col).alias("id"), stratum.alias("stratum"), F.md5(text_col).alias("digest"), F.col(text_col).alias("text")),
+                           "text", ("id", "stratum", "digest")))
     stats = statistics()
     marks = labels.filter(F.col(id_col).isNotNull() & F.col("quality").isNotNull()).groupBy(F.col(id_col).alias("id")).agg(
         (F.max("quality") > 0).alias("good"))
     # a base failure never reaches the rules
     able = measured.withColumn("base_failed", base_failed())
-    held = able.filter(~F.col("base_failed")).join(marks, "id").select("stratum", "good", *[v.alias(k) for k, v in stats.items()])
+    held = able.filter(~F.col("base_failed")).join(marks, "id").select("stratum", "digest", "good", *[v.alias(k) for k, v in stats.items()])
+    held = held.groupBy("stratum", "digest").agg(F.max("good").alias("good"), *[F.first(k).alias(k) for k in stats])  # a text is one trial
     found = cutoffs(held, risk, error).groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))
     out = able.join(found, "stratum", "left")
     fails = F.array_compact(F.array(*[F.when(v > F.element_at("cutoffs", F.lit(k)), F.lit(k)) for k, v in stats.items()]))
     out = out.withColumn("failed_rules", F.when(F.col("cutoffs").isNull(), F.array().cast("array<string>")).otherwise(fails))
-    return out.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).withColumnRenamed("id", id_col).drop("cutoffs", "stratum")
+    return out.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).withColumnRenamed("id", id_col).drop("cutoffs", "stratum", "digest")
 
 
 def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
+def digest(judged: DataFrame) -> DataFrame:
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+                         F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
 def op8(spark, sf_dir: str) -> DataFrame:
-    return judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        F.array_join("failed_rules", ",").alias("failed_rules"))
+    return digest(judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")))
+
+
+def pooled(spark, sf_dir: str) -> DataFrame:
+    """The same with one stratum for all languages, whose labels suffice on small tables too."""
+    return digest(judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), stratum_col=None))
 
 
-def _sql() -> str:
+def _sql(stratum: str) -> str:
     stats = {"symbols": "n_symbols / n_words", "dup_lines": "n_dup_lines / n_lines", "repeats": "n_repeat_words / n_words",
              "upper": "n_upper / word_chars", "exclaims": "n_exclaims / n_words"}
     stat = ", ".join(f"CASE WHEN {x.split(' / ')[1]} > 0 THEN (1000 * {x.split(' / ')[0]}) // {x.split(' / ')[1]} END AS {r}" for r, x in stats.items())
-    grid = " UNION ALL ".join(f"SELECT '{r}' AS rule, {i} AS i, {c} AS cutoff" for r, g in RULES.items() for i, c in enumerate(g))
-    hit = " ".join(f"WHEN '{r}' THEN coalesce({r} > cutoff, false)" for r in RULES)
-    fails = ", ".join(f"CASE WHEN {r} > (SELECT cutoff FROM best b WHERE b.rule = '{r}' AND b.stratum = m.stratum) THEN '{r}' END" for r in RULES)
+    grid = " UNION ALL ".join(f"SELECT {i} AS i, " + ", ".join(f"{c} AS c_{r}" for r, c in zip(RULES, cs)) for i, cs in enumerate(zip(*RULES.values())))
+    hit = " OR ".join(f"coalesce({r} > c_{r}, false)" for r in RULES)
+    fails = ", ".join(f"CASE WHEN {r} > c_{r} THEN '{r}' END" for r in RULES)
     return rf"""
-WITH w AS (SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text,
+WITH w AS (SELECT doc_id, {stratum} AS stratum, coalesce(text, '') AS text,
     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
     list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ln FROM documents),
 tri AS (SELECT doc_id, p, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] AS t FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS p FROM w)),
 rep AS (SELECT doc_id, p FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, t) AS n FROM tri) WHERE n > 1),
 cov AS (SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest([p, p + 1, p + 2]) AS q FROM rep) GROUP BY doc_id),
-c AS (SELECT w.doc_id, stratum, len(w) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+c AS (SELECT w.doc_id, stratum, md5(text) AS digest, len(w) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
     length(text) - length(translate(text, '{SYMBOLS}', '')) AS n_symbols, len(ln) - len(list_distinct(ln)) AS n_dup_lines,
     coalesce(cov.n, 0) AS n_repeat_words, len(ln) AS n_lines, length(text) - length(translate(text, '{UPPER}', '')) AS n_upper,
     length(text) - length(translate(text, '!', '')) AS n_exclaims FROM w LEFT JOIN cov USING (doc_id)),
 m AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {stat} FROM c),
-h AS (SELECT m.*, good FROM m JOIN (SELECT doc_id, max(quality) > 0 AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id) USING (doc_id) WHERE NOT base_failed),
+h AS (SELECT stratum, digest, bool_or(good) AS good, {", ".join(f"any_value({r}) AS {r}" for r in RULES)} FROM m JOIN
+    (SELECT doc_id, max(quality) > 0 AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id) USING (doc_id) WHERE NOT base_failed GROUP BY stratum, digest),
 g AS ({grid}),
-k AS (SELECT stratum, rule, i, cutoff, count(*) FILTER (good) AS n, count(*) FILTER (NOT good) AS nb,
-    count(*) FILTER (good AND CASE rule {hit} END) AS k, count(*) FILTER (NOT good AND CASE rule {hit} END) AS hits FROM h, g GROUP BY ALL),
+k AS (SELECT stratum, g.*, count(*) FILTER (good) AS n, count(*) FILTER (NOT good) AS nb,
+    count(*) FILTER (good AND ({hit})) AS k, count(*) FILTER (NOT good AND ({hit})) AS hits FROM h, g GROUP BY ALL),
 t AS (SELECT *, k < n * {RISK} AND list_sum(list_transform(range(0, k + 1), lambda j: exp(lgamma(n + 1.0) - lgamma(j + 1.0) - lgamma(n - j + 1.0)
-    + j * ln({RISK}) + (n - j) * ln(1 - {RISK})))) <= {ERROR} / ((SELECT count(DISTINCT stratum) FROM h) * {len(RULES)}) AS passed FROM k),
-f AS (SELECT *, min(CAST(passed AS INT)) OVER (PARTITION BY stratum, rule ORDER BY i) = 1 AS certified, round(hits / nb - k / n, 9) AS gain FROM t),
-best AS (SELECT * FROM f WHERE certified AND nb > 0 AND gain > 0 QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY gain DESC, i) = 1),
-o AS (SELECT *, array_to_string(list_filter([{fails}], lambda x: x IS NOT NULL), ',') AS failed_rules FROM m)
+    + j * ln({RISK}) + (n - j) * ln(1 - {RISK})))) <= {ERROR} / (SELECT count(DISTINCT stratum) FROM h) AS passed FROM k),
+f AS (SELECT *, min(CAST(passed AS INT)) OVER (PARTITION BY stratum ORDER BY i) = 1 AS certified, round(hits / nb - k / n, 9) AS gain FROM t),
+best AS (SELECT * FROM f WHERE certified AND nb > 0 AND gain > 0 QUALIFY row_number() OVER (PARTITION BY stratum ORDER BY gain DESC, i) = 1),
+o AS (SELECT m.*, array_to_string(list_filter([{fails}], lambda x: x IS NOT NULL), ',') AS failed_rules FROM m LEFT JOIN best USING (stratum))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND failed_rules = '' AS kept, failed_rules FROM o
 """
 
 
-OP8_SQL = _sql()
+OP8_SQL = _sql("coalesce('s' || lang, 'n')")
+POOLED_SQL = _sql("'n'")

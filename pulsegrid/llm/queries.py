@@ -20,12 +20,14 @@ QUERIES = {
     "op11_alignment": alignment.op11,
     "op12_collocations": collocations.op12,
     "op13_simhash": simhash.op13,
+    "quality_pooled": quality.pooled,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE = {
     "op1_mixing": mixing.OP1_SQL,
     "op6_secret_scan": secret_scan.OP6_SQL,
     "op8_quality_rules": quality.OP8_SQL,
+    "quality_pooled": quality.POOLED_SQL,
     "op9_chat_format": chat.OP9_SQL,
     "op12_collocations": collocations.OP12_SQL,
 }

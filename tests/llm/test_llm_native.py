@@ -67,6 +67,30 @@ def test_mix_keeps_columns_and_order(docs):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_mix_of_whole_documents(spark):
+    # sources of one document that is larger or smaller than its target, and one of many
+    rows = [(1, "a " * 300, "a", 600), (2, "b " * 120, "b", 240), (3, "c " * 3000, "c", 6000), (4, None, "c", None)]
+    rows += [(10 + i, f"d{i} " * (i % 7), "d", 0) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int")
+    known = {r.doc_id: (r.text, r.n_chars) for r in docs.collect()}
+    got = mixing.mix(docs, whole=True).collect()
+    assert all((r.text, r.n_chars) == known[r.doc_id] for r in got)  # nothing is cut
+    seen = {}
+    for r in got:
+        seen[r.doc_id] = seen.get(r.doc_id, 0) + 1
+    a = mixing.assign(docs, keep=["doc_id", "source"]).select("row.*", "size", "source_size", "target", "start").collect()
+    for r in a:  # brute force: words from start on, a use at a time, the last one where that is nearer
+        at, uses = r.start, 0
+        while r.size and at < int(r.target):
+            uses += (int(r.target) - at) * 2 >= r.size
+            at += r.source_size
+        assert seen.get(r.doc_id, 0) == uses, r
+    for source in "abcd":
+        mine = [r for r in a if r.source == source]
+        taken = sum(seen.get(r.doc_id, 0) * r.size for r in mine)
+        assert abs(taken - mine[0].target) <= max(r.size for r in mine) / 2 + 1
+
+
 def test_op1_is_in_training_order(spark):
     at = [r.position for r in mixing.op1(spark, "/root/testdata/sf0.001").collect()]
     assert at == sorted(at, key=lambda p: (p is None, p))
@@ -160,6 +184,34 @@ def test_cutoffs_hold_the_risk(spark):
     assert got == {("a", "upper"): 500}
 
 
+def test_verdict_holds_the_joint_risk(spark):
+    # 1.8 % of the good documents are beyond each of five rules: one rule alone would do, all together not
+    names = list(quality.RULES)
+    flat = lambda x=None: tuple(10**6 if r == x else 0 for r in names)
+    rows = [("a", True, *flat())] * (1000 - 5 * 18) + [("a", True, *flat(x)) for x in names for _ in range(18)] + [("a", False, *flat(names[0]))] * 50
+    rows += [("b", True, *flat())] * 995 + [("b", True, *flat(x)) for x in names] + [("b", False, *flat(names[0]))] * 50
+    d = spark.createDataFrame(rows, "stratum string, good boolean, " + ", ".join(f"{r} int" for r in names))
+    got = {(r.stratum, r.rule): r.cutoff for r in quality.cutoffs(d).collect()}
+    assert got == {("b", r): g[0] for r, g in quality.RULES.items()}
+    with pytest.raises(ValueError):
+        quality.cutoffs(d, rules={"upper": (900, 800), "symbols": (5000,)})
+
+
+def test_copies_are_one_trial(spark):
+    words = lambda i, w: " ".join(f"{w}{i}x{j}" for j in range(60))
+    bad = [(9000 + i, words(i, "BAD").upper()) for i in range(20)]
+
+    def rejected(good):
+        docs = spark.createDataFrame([(i, t, "x") for i, t in good + bad], "doc_id long, text string, lang string")
+        labels = spark.createDataFrame([(i, 1) for i, _ in good] + [(i, 0) for i, _ in bad], "doc_id long, quality int")
+        out = quality.judge(docs, labels).cache()
+        assert out.filter("base_failed").count() == 0
+        return out.filter("not kept").count()
+
+    assert rejected([(i, words(i, "good")) for i in range(400)]) == 20
+    assert rejected([(i, words(0, "good")) for i in range(400)]) == 0
+
+
 def test_judge_edges(spark, docs):
     labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (None, 1, 0), (2, None, 0)], "doc_id long, quality int, toxic int")
     out = quality.judge(docs, labels)
