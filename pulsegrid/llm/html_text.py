@@ -1,14 +1,16 @@
 """Main text of web pages by composite text density (operator 3).
 
 A page becomes a tree. Parts that are no article by their element, class or id (menus,
-headers, footers, sidebars, notices, adverts, forms, scripts, comments) are cut off. For
+headers, footers, sidebars, notices, adverts, forms, scripts, comments) are cut off; of the
+header of an article its headings stay. For
 every node left, characters per tag are weighted down by its share of link text (composite
 text density), and a node's density sum is that of its children. The node of the largest
-sum is the core; the least density on its path to the body is the threshold. The article
+sum (in the article element, if there is one) is the core; the least density on its path to the body is the threshold. The article
 (or main element) around the core is content as a whole; without one, so are the core and
-the blocks beside its path that are text rather than links. In the rest of the page every
-node whose density reaches the threshold is content: the whole of it, or if it is mostly
-links, the subtree of the largest sum in it.
+the blocks beside its path that are text rather than links. In the rest of the page (of the
+other articles, where the core is in an article: comments and notices beside it have any
+name) every node whose density reaches the threshold is content: the whole of it, or if it
+is mostly links, the subtree of the largest sum in it.
 
 Scale: one pass over the pages, without a shuffle; a task holds one batch. Trees are kept
 in flat lists in page order and summed from the end, so depth costs no recursion, and
@@ -51,13 +53,18 @@ DROP_WORDS = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "sponsor", "sponsored", "promo", "promotion", "banner", "popup", "modal", "overlay",
     "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "pagination", "pager", "header", "masthead", "footer", "sidebar", "aside", "complementary", "contentinfo",
     "cookie", "cookies", "consent", "gdpr", "notice", "notices", "alert", "disclaimer", "newsletter", "subscribe", "subscription", "signup", "login", "search", "form",
-    "share", "sharing", "social", "related", "recommended", "recommendations", "trending", "comment", "comments", "disqus", "discussion", "replies", "respond", "widget", "toolbar", "skip", "hidden",
+    "share", "sharing", "social", "related", "recommended", "recommendations", "trending", "comment", "comments", "disqus", "discussion", "feedback", "replies", "respond", "widget", "toolbar", "skip", "hidden",
 }
 PLACE_WORDS = {
     "", "site", "global", "main", "primary", "secondary", "top", "bottom", "left", "right", "inner", "outer", "fixed", "sticky", "floating", "mobile", "desktop",
     "block", "box", "bar", "container", "wrapper", "wrap", "area", "section", "panel", "slot", "unit", "zone", "space", "list", "item", "items", "link", "links", "button", "buttons", "icon", "icons",
-    "thread", "policy", "media", "posts", "articles", "stories", "text", "message", "to", "by", "us", "js",
+    "thread", "user", "users", "reader", "readers", "visitor", "visitors", "guest", "policy", "media", "posts", "articles", "stories", "text", "message", "to", "by", "us", "js",
 }
+#: Words that name such a part whatever words stand before them, but for those of a state.
+HEAD_WORDS = {"ads", "advert", "adverts", "advertisement", "comments", "feedback", "replies", "disqus", "newsletter", "sidebar", "navbar", "breadcrumbs", "popup", "cookies", "consent"}
+STATE_WORDS = {"no", "not", "has", "have", "with", "without", "is", "hide", "show"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+VERSION = re.compile(r"v?[0-9]+")
 SPACE = re.compile(r"\s+")
 
 
@@ -72,11 +79,12 @@ class Page:
         self.tag, self.parent, self.cut, self.texts = ["#page"], [-1], [False], []
         self.loose: set[int] = set()  # nodes whose own text is content, but not all that is in them
         self.named: list[int] = []  # nodes that are no article by a word
+        muted: set[int] = set()  # the header of an article, but for its headings
         stack, open_tags, block, at = [0], {}, 0, 0
         n = len(source)
 
         def text(a: int, b: int) -> None:
-            if b > a and not self.cut[stack[-1]]:
+            if b > a and not self.cut[stack[-1]] and stack[-1] not in muted:
                 self.texts.append((stack[-1], block, html.unescape(source[a:b])))
 
         def pop_to(names, scope=()) -> None:
@@ -112,15 +120,18 @@ class Page:
             if t in ENDS:
                 pop_to(*ENDS[t])
             block += t in BLOCK
-            cut = self.cut[stack[-1]] or t in DROP
+            title = t == "header" and bool(open_tags.get("article") or open_tags.get("main"))
+            cut = self.cut[stack[-1]] or t in DROP and not title
             if not cut and t not in ("html", "body") and m[3] and self.unwanted(m[3]):
                 self.named.append(len(self.tag))
+            if title or stack[-1] in muted and t not in HEADINGS:
+                muted.add(len(self.tag))
             self.tag.append(t)
             self.parent.append(stack[-1])
             self.cut.append(cut)
             if t == "br":
                 text_at = stack[-1]
-                if not self.cut[text_at]:
+                if not self.cut[text_at] and text_at not in muted:
                     self.texts.append((text_at, block, " "))
             if t in RAW:
                 end = re.compile(rf"</{re.escape(t)}(?=[\s/>])", re.I).search(source, at)
@@ -138,8 +149,12 @@ class Page:
     def unwanted(attributes: str) -> bool:
         for m in NAMES.finditer(attributes):
             for name in (m[2] or m[3] or m[4] or "").lower().split():
-                words = set(re.split(r"[^a-z]+", name))
-                if words & DROP_WORDS and words <= DROP_WORDS | PLACE_WORDS:
+                words = [w for w in re.split(r"[^a-z0-9]+", name) if not VERSION.fullmatch(w)]
+                known = set(words)
+                if known & DROP_WORDS and known <= DROP_WORDS | PLACE_WORDS:
+                    return True
+                named = [w for w in words if w not in PLACE_WORDS]
+                if named and named[-1] in HEAD_WORDS and not known & STATE_WORDS:
                     return True
         return False
 
@@ -163,8 +178,8 @@ class Page:
         if any(not t.isspace() for _, _, t in left):
             self.cut, self.texts = cut, left
 
-    def content(self) -> list[int]:
-        """The nodes whose subtrees are the main text, in page order."""
+    def densities(self) -> tuple[list[int], list[int], list[float], list[float]]:
+        """Of each node: characters and link characters, composite density, sum of its children's densities."""
         n = len(self.tag)
         chars, link_chars, tags, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
         in_link, drawn = [False] * n, [False] * n
@@ -194,6 +209,12 @@ class Page:
         for i in range(1, n):  # formatting inside a line is no part of the layout
             if self.tag[i] not in INLINE:
                 sums[self.parent[i]] += density[i]
+        return chars, link_chars, density, sums
+
+    def content(self) -> list[int]:
+        """The nodes whose subtrees are the main text, in page order."""
+        n = len(self.tag)
+        chars, link_chars, density, sums = self.densities()
         body = next((i for i in range(n) if self.tag[i] == "body"), 0)
         if not chars[body]:
             body = 0
@@ -201,9 +222,16 @@ class Page:
         inside[body] = True
         for i in range(body + 1, n):
             inside[i] = inside[self.parent[i]] and not self.cut[i]
-        core = max((i for i in range(n) if inside[i]), key=lambda i: (sums[i], -i))
+        in_article, outer = [False] * n, []
+        for i in range(body + 1, n):
+            in_article[i] = in_article[self.parent[i]] or self.tag[i] == "article"
+            if inside[i] and chars[i] and self.tag[i] == "article" and not in_article[self.parent[i]]:
+                outer.append(i)
+        # a page's only article holds the core, however long the comments beside it are
+        only = len(outer) == 1 and outer[0] not in self.named
+        core = max((i for i in range(n) if inside[i] and (in_article[i] or not only)), key=lambda i: (sums[i], -i))
         if not sums[core]:
-            return [body] if chars[body] else []
+            return [outer[0] if only else body] if chars[body] else []
         threshold, i = density[core], core
         while i != body and i > 0:
             threshold = min(threshold, density[i])
@@ -226,7 +254,7 @@ class Page:
         self.loose = {i for i in near if texts[i] >= links[i]}
         path, whole = set(path), {own}
         for i in range(body + 1, n):
-            if inside[i] and i not in path:
+            if inside[i] and (in_article[i] or self.tag[own] != "article") and i not in path:
                 p, text = self.parent[i], 2 * link_chars[i] <= chars[i]
                 if p in self.loose if p in near and self.tag[i] in INLINE else text and (p in near or density[i] >= threshold):
                     whole.add(i)

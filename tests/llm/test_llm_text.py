@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -100,6 +101,62 @@ def test_words_cut_no_article(source, want):
     assert html_text.main_text(f"<body>{source}</body>") == want
 
 
+@pytest.mark.parametrize("source, want", [
+    *[(f"<article><p>{LONG}</p></article><section class='{c}'>{f'<p>{LONG}</p>' * 3}</section>", LONG.strip())
+      for c in ("user-comments", "reader-feedback", "cookie-message-v2", "xyz", "was-sagen-andere")],
+    *[(f"<div><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p><div class='{c}'><p>me too, and at length</p></div></div>", "\n".join([LONG.strip()] * 3))
+      for c in ("user-comments", "reader-feedback", "cookie-message-v2", "fb-comments", "article-comments", "dfp2-ads", "post-newsletter-3")],
+    (f"<article><header class='top'><h1>Own <i>title</i></h1><p>by A. Author<br>now</p><div><h2>Second</h2></div></header><p>{LONG}</p></article>",
+     f"Own title\nSecond\n{LONG.strip()}"),
+    (f"<header><h1>Site</h1></header><main><header><h1>Title</h1><a href=x>share</a></header><p>{LONG}</p><nav><h2>No</h2></nav></main>", f"Title\n{LONG.strip()}"),
+    (f"<article><header><nav><h2>Menu</h2></nav><h1>T</h1></header><p class='cookies-recipe'>{LONG}</p></article>", f"T\n{LONG.strip()}"),
+])
+def test_parts_of_unknown_names_and_titles(source, want):
+    assert html_text.main_text(f"<body><nav><a href=x>home</a></nav>{source}</body>") == want
+
+
+def test_densities_against_brute_force():
+    rng = np.random.default_rng(3)
+
+    def tree(depth):  # (tag, parts): parts are texts and trees
+        tag = rng.choice(["div", "section", "ul", "span", "a", "b"]) if depth else "div"
+        return tag, [tree(depth + 1) if depth < 5 and rng.random() < 0.6 else "x" * int(rng.integers(0, 40)) + " y" for _ in range(rng.integers(0, 5))]
+
+    def source(t):
+        return t if isinstance(t, str) else f"<{t[0]}>{''.join(map(source, t[1]))}</{t[0]}>"
+
+    def count(t, linked):  # characters, link characters, tags and link tags below
+        if isinstance(t, str):
+            c = len(t.replace(" ", ""))
+            return c, c * linked, 0, 0
+        parts = [count(x, linked or t[0] == "a") for x in t[1]]
+        own = [sum(p[i] for p in parts) for i in range(4)]
+        inner = [x[0] for x in t[1] if not isinstance(x, str)]
+        return own[0], own[1], own[2] + len(inner), own[3] + inner.count("a")
+
+    def walk(t, linked, share, out):
+        c, lc, tags, links = count(t, linked)
+        at, d = len(out), 0.0
+        out.append(None)
+        if c:
+            base = math.log(c / max(c - lc, 1) * lc + share * c + math.e)
+            d = c / max(tags, 1) * math.log(max(c / max(lc, 1) * max(tags, 1) / max(links, 1), 1)) / max(math.log(base), 0.1)
+        below = [(x[0], walk(x, linked or t[0] == "a", share, out)) for x in t[1] if not isinstance(x, str)]
+        out[at] = (c, lc, d, sum(v for tag, v in below if tag not in html_text.INLINE))
+        return d
+
+    for _ in range(60):
+        t = tree(0)
+        page = html_text.Page(source(t))
+        c, lc = count(t, False)[:2]
+        want = []
+        walk(t, False, lc / max(c, 1), want)
+        got = list(zip(*page.densities()))[1:]
+        assert len(got) == len(want)
+        for g, w in zip(got, want):
+            assert g[:2] == w[:2] and g[2:] == pytest.approx(w[2:])
+
+
 def test_second_article_is_whole():
     part = lambda c: f"<article><h1>Title {c}</h1>" + "".join("<section>" + "".join(f"<p>{x}</p>" for x in blocks(c + str(i), 3, 200)) + "</section>" for i in range(2)) + "</article>"
     want = [x for c in "xy" for x in (f"Title {c}", *blocks(c + "0", 3, 200), *blocks(c + "1", 3, 200))]
