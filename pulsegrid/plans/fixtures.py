@@ -18,20 +18,25 @@ from pyspark.sql import functions as F
 
 from ..functions.lines import kv
 
+#: Stored bytes of a table behind one input partition.
+PART_BYTES = 2 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """At least one input partition per core: a small table stored as one row group
-    would otherwise run every map-side step in a single task. Large inputs already
-    have more splits than cores and are left alone (no extra shuffle)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df._jdf.queryExecution().toRdd().getNumPartitions() < cores:
+    """At least one input partition per core, and one for every ``PART_BYTES`` that are
+    stored: a row group is read by one task however many splits its file has, so that both a
+    small table and large row groups would leave all rows to a few tasks. A table stored
+    in enough splits is left alone (no extra shuffle)."""
+    stored = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    least = max(df.sparkSession.sparkContext.defaultParallelism, -(-stored // PART_BYTES))
+    if df._jdf.queryExecution().toRdd().getNumPartitions() < least:
         # by one column, so that the scan still reads only what a query needs, and by a
         # hash: deterministic on retry without the local sort of round-robin
-        return df.repartition(cores, "ts" if "ts" in df.columns else df.columns[0])
+        return df.repartition(least, "ts" if "ts" in df.columns else df.columns[0])
     return df
 
 
