@@ -172,16 +172,19 @@ def remove_tags(tags, names) -> Column:
 
 
 # --------------------------------------------------------------------------- P8
-# Spellings Spark's cast accepts but Java's Double.parseDouble does not.
-_SPARK_ONLY_WORDS = r"(?i)^[+-]?(inf|infinity|nan)$"
+# Words that Java's Double.parseDouble takes (Spark's cast knows more spellings),
+# and how any other text ends that it may take: after a digit, in a digit, a point, one of its
+# type letters or white space.
 _JAVA_WORDS = r"^[+-]?(Infinity|NaN)$"
+_MAYBE_DOUBLE = r"(?s)[0-9](.*[0-9.dDfF\x00-\x20])?\z"
 
 
 def java_double(value) -> Column:
-    """Java ``Double.parseDouble`` grammar -> DOUBLE or null (Spark's cast takes more words)."""
+    """Java ``Double.parseDouble`` grammar -> DOUBLE or null. Text that can't be a number is
+    not cast: inside Spark each such cast is an exception, the dearest step of a record."""
     v = _c(value)
     t = F.trim(v)
-    return F.when(~t.rlike(_SPARK_ONLY_WORDS) | t.rlike(_JAVA_WORDS), v.try_cast("double"))
+    return F.when(t.rlike(_MAYBE_DOUBLE) | t.rlike(_JAVA_WORDS), v.try_cast("double"))
 
 
 def to_double(value) -> Column:

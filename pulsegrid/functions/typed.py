@@ -11,6 +11,8 @@ fields render sorted by key, which makes output deterministic.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,12 +35,17 @@ VALUE_DDL = "struct<kind:string,l:bigint,d:double,b:boolean,s:string>"
 UNIT_NS = {"ns": 1, "us": 1_000, "ms": 1_000_000, "s": 1_000_000_000}
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` bound to a lambda variable, so that it is evaluated once
+    per row however often ``body`` names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def last_wins_map(entries: Column, value_type: str) -> Column:
     """ARRAY<STRUCT<k, v>> -> MAP keeping the last entry of every key (Java ``Map.put``).
 
     Entries with different keys, the common case, become a map at once; only a record that
-    repeats a key is folded entry by entry. The entries are bound to a lambda variable, so
-    that they are evaluated once per row.
+    repeats a key is folded entry by entry.
     """
     zero = F.create_map().cast(f"map<string,{value_type}>")
 
@@ -51,7 +58,7 @@ def last_wins_map(entries: Column, value_type: str) -> Column:
         )
         return F.when(F.size(F.array_distinct(keys)) == F.size(keys), F.map_from_entries(e)).otherwise(folded)
 
-    return F.element_at(F.transform(F.array(entries), build), 1)
+    return let(entries, build)
 
 
 def typed_value(text) -> Column:
@@ -89,13 +96,18 @@ def parse_line(value) -> Column:
     Malformed tag or field pieces are skipped (the reference logs and skips them);
     a record with fewer than two tokens gives null.
     """
-    line = F.rtrim(_c(value))
-    toks = F.split(line, " ")
-    n = F.size(toks)
+    return let(F.split(F.rtrim(_c(value)), " "), lambda toks: F.when(F.size(toks) >= 2, _point(toks)))
+
+
+def _point(toks: Column) -> Column:
+    """The typed point of a record's tokens, two at least."""
     last = F.element_at(toks, -1)
-    ts = F.when((n >= 2) & last.rlike(LONG_RE), last.try_cast("bigint"))
-    nb = n - 1 - F.when(ts.isNotNull(), 1).otherwise(0)
-    head = java_split(F.element_at(toks, 1), ",")
+    time = F.when(last.rlike(LONG_RE), last.try_cast("bigint"))
+    return let(time, lambda ts: let(java_split(F.element_at(toks, 1), ","), lambda head: _assembled(toks, head, ts)))
+
+
+def _assembled(toks: Column, head: Column, ts: Column) -> Column:
+    nb = F.size(toks) - 1 - F.when(ts.isNotNull(), 1).otherwise(0)
     tag_pieces = F.transform(F.slice(head, 2, F.greatest(F.size(head) - 1, F.lit(0))), lambda t: java_split(t, "="))
     tag_entries = F.transform(
         F.filter(tag_pieces, lambda p: F.size(p) == 2),
@@ -103,20 +115,20 @@ def parse_line(value) -> Column:
     )
     body = F.array_join(F.slice(toks, 2, F.greatest(nb, F.lit(0))), " ")
     field_pieces = F.transform(java_split(body, ","), lambda f: java_split(f, "="))
-    # two passes: the casts are computed once per field into a struct, then the typed
-    # value is assembled from its fields (a lambda has no common-subexpression reuse)
-    cand = F.transform(
+    # in passes: what one computes is bound by the next and not computed again (a lambda has
+    # no common-subexpression reuse); only what is no long is read as a double
+    longs = F.transform(
         F.filter(field_pieces, lambda p: F.size(p) == 2),
-        lambda p: F.struct(p[0].alias("k"), p[1].alias("v"), _long_candidate(p[1]).alias("l"), java_double(p[1]).alias("d")),
+        lambda p: F.struct(p[0].alias("k"), p[1].alias("v"), _long_candidate(p[1]).alias("l")),
     )
+    cand = F.transform(longs, lambda e: F.struct(e["k"].alias("k"), e["v"].alias("v"), e["l"].alias("l"), F.when(e["l"].isNull(), java_double(e["v"])).alias("d")))
     field_entries = F.transform(cand, lambda e: F.struct(e["k"].alias("k"), _typed_from(e["v"], e["l"], e["d"]).alias("v")))
-    point = F.struct(
+    return F.struct(
         F.element_at(head, 1).alias("measurement"),
         last_wins_map(tag_entries, "string").alias("tags"),
         last_wins_map(field_entries, VALUE_DDL).alias("fields"),
         ts.alias("ts_ns"),
     )
-    return F.when(n >= 2, point)
 
 
 # --------------------------------------------------------------------------- P13

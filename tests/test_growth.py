@@ -34,3 +34,22 @@ def test_one_row_group_is_dealt_out_by_its_size(spark, sf, monkeypatch):
     assert t.count() == 4000 and most < 4000 / n * 3
     for name in ("triples", "typed_render", "edit_point"):
         assert catalog.QUERIES[name](spark, sf).rdd.getNumPartitions() == n
+
+
+def test_a_record_is_split_into_tokens_once(spark):
+    d = spark.createDataFrame([("m,a=1 x=2i,y=3.5,z=true 7",)], "value string")
+    p = d.select(TY.parse_line("value").alias("p"))
+    assert p._jdf.queryExecution().optimizedPlan().toString().count("split(rtrim(value") == 1
+    got = p.first().p
+    assert (got.measurement, got.tags, got.ts_ns) == ("m", {"a": "1"}, 7)
+    assert {k: (v.kind, v.l, v.d, v.b) for k, v in got.fields.items()} == {"x": ("long", 2, None, None), "y": ("double", None, 3.5, None), "z": ("boolean", None, None, True)}
+
+
+def test_java_double_takes_what_the_cast_takes_but_for_words(spark):
+    texts = ["1", "-1.5", "+.5", "5.", "1e3", "1E-3", "2d", "2.5F", "0x1p3", " 7 ", "7\t", "7\n", "\t7", "76i", "5%", "true", "", " ", ".", "-", "e5", "d", "1e", "1 2", "1_0", "١",
+             "NaN", "-NaN", " Infinity ", "+Infinity", "inf", "nan", "INFINITY", "Infinity\n", None]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, v string")
+    words = F.trim("v").rlike(r"(?i)^[+-]?(inf|infinity|nan)$") & ~F.trim("v").rlike(r"^[+-]?(Infinity|NaN)$")
+    got = d.select("v", L.java_double("v").cast("string").alias("a"), F.when(~words, F.col("v").try_cast("double")).cast("string").alias("b"))
+    assert [r for r in got.collect() if r.a != r.b] == []
+    assert [r.v for r in got.collect() if r.a is None][:4] == ["76i", "5%", "true", ""]
