@@ -129,17 +129,16 @@ def start_changes(fields: DataFrame, out: Ledger, state: str, name: str, checkpo
     order, into ``out``. The last values are kept below the folder ``state``.
 
     A micro-batch is compared within itself by ``changes``, one shuffle in offset chunks; only
-    the first row of each series it touches is joined with the last values.
+    the first row of each series it touches is joined with the last values. The batch's own
+    last values are those of its last changes, read from ``out``: a series without a change
+    keeps the value that it had. So no batch is held in memory and its rows are sorted once.
     """
     last = LastValues(fields.sparkSession, state, compact)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        rows = C.with_series(batch).persist()
-        try:
-            out.write(C.changes(rows, chunk_rows, previous=last.before(batch_id)), batch_id)
-            last.put(C.latest(rows).select("series", "measurement", "tags", "field", "value"), batch_id)
-        finally:
-            rows.unpersist()
+        found = C.changes(C.with_series(batch), chunk_rows, previous=last.before(batch_id))
+        out.write(found, batch_id)
+        last.put(C.latest(out.read(found.schema, [batch_id])).select("series", "measurement", "tags", "field", "value"), batch_id)
 
     return _start(fields, each, name, checkpoint, trigger, done)
 

@@ -53,3 +53,20 @@ def test_java_double_takes_what_the_cast_takes_but_for_words(spark):
     got = d.select("v", L.java_double("v").cast("string").alias("a"), F.when(~words, F.col("v").try_cast("double")).cast("string").alias("b"))
     assert [r for r in got.collect() if r.a != r.b] == []
     assert [r.v for r in got.collect() if r.a is None][:4] == ["76i", "5%", "true", ""]
+
+
+def test_change_stream_holds_no_batch_and_goes_on_from_the_last_values(spark, tmpdir_fresh, monkeypatch):
+    def held(self, *a, **k):
+        raise AssertionError("a micro-batch is held")
+
+    schema = "value string, src_partition int, src_offset long"
+    out = LG.Ledger(spark, f"{tmpdir_fresh}/out")
+    for batch in ([("m f=1 1", 0, 0), ("m f=2 2", 0, 1), ("m f=2 3", 0, 2), ("n f=5 3", 0, 3)], [("m f=2 4", 0, 4), ("n f=6 4", 0, 5)], [("m f=2 5", 0, 6), ("m f=1 6", 0, 7), ("n f=6 7", 0, 8)]):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(f"{tmpdir_fresh}/in")
+        lines = spark.readStream.schema(schema).parquet(f"{tmpdir_fresh}/in")
+        with monkeypatch.context() as m:
+            m.setattr(DataFrame, "persist", held)
+            LG.start_changes(L.explode_fields(lines), out, f"{tmpdir_fresh}/state", "held", f"{tmpdir_fresh}/ckpt", compact=2).awaitTermination()
+    got = out.read("series STRING, src_offset BIGINT, value STRING")
+    assert sorted(rows(got, "src_offset", "value")) == [(0, "1"), (1, "2"), (3, "5"), (5, "6"), (7, "1")]
+    assert sorted(rows(LG.LastValues(spark, f"{tmpdir_fresh}/state").before(3), "series", "value")) == [("m#f", "1"), ("n#f", "6")]
