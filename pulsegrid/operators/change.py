@@ -23,6 +23,8 @@ ORDER = ("src_partition", "src_offset")
 CHUNK_ROWS = 1 << 20
 #: Ticks laid out at once for one row of the refresh grid.
 RUN = 10_000
+#: Reduced rows of the grid that one task lays out.
+GRID_ROWS = 1 << 17
 
 
 def with_series(fields: DataFrame) -> DataFrame:
@@ -105,10 +107,9 @@ def refresh(fields: DataFrame, period_s: int, time_col: str = "event_ts", until_
     if until_ns is None:
         checkpoint_root(fields.sparkSession)
         b = b.checkpoint()
-        last_tick = b.select(F.max("tick_ns")).scalar()
-    else:
-        last_tick = F.lit(int(until_ns))
-    return grid(b, p_ns, last_tick)
+        last, rows = b.select(F.max("tick_ns"), F.count(F.lit(1))).first()
+        return grid(b, p_ns, F.lit(last).cast("bigint"), rows)
+    return grid(b, p_ns, F.lit(int(until_ns)))
 
 
 def ticks(fields: DataFrame, p_ns: int, time_col: str = "event_ts") -> DataFrame:
@@ -130,8 +131,11 @@ def last_of_ticks(rows: DataFrame) -> DataFrame:
     return rows.groupBy("series", "tick_ns").agg(F.max_by(F.struct("ord", "r"), order).alias("x")).select("series", "tick_ns", "x.ord", "x.r")
 
 
-def grid(b: DataFrame, p_ns: int, last_tick: Column) -> DataFrame:
-    """Reduced rows (series, tick_ns, r) laid out to the series' next one, up to ``last_tick``."""
+def grid(b: DataFrame, p_ns: int, last_tick: Column, rows: int | None = None) -> DataFrame:
+    """Reduced rows (series, tick_ns, r) laid out to the series' next one, up to ``last_tick``.
+    With their number ``rows`` the series are dealt out so that a task's share does not grow."""
+    if rows is not None:
+        b = b.repartition(max(b.sparkSession.sparkContext.defaultParallelism, -(-rows // GRID_ROWS)), "series")
     w = Window.partitionBy("series").orderBy("tick_ns")
     nxt = F.coalesce(F.lead("tick_ns").over(w), last_tick + F.lit(p_ns))
     g = b.withColumn("_next", nxt).filter(F.col("tick_ns") < F.col("_next"))

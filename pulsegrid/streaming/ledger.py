@@ -187,7 +187,7 @@ def start_refresh(fields: DataFrame, period_s: int, out: Ledger, state: str, nam
             if held is not None:  # the values at the last tick go on, behind any row of the next one
                 ready = ready.unionByName(seeds.read(TICKS, [held]).withColumn("tick_ns", F.lit(closed + p_ns).cast("bigint")).drop("batch"))
             ready = C.last_of_ticks(ready).checkpoint()
-            grid = C.grid(ready, p_ns, limit)
+            grid = C.grid(ready, p_ns, limit, ready.count())
             at_last = ready.groupBy("series").agg(F.max_by("r", "tick_ns").alias("r"))
             none = F.lit(None).cast("struct<src_partition: int, src_offset: bigint, field_pos: int>")
             seeds.write(at_last.select("series", limit.alias("tick_ns"), none.alias("ord"), "r"), batch_id)

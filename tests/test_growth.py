@@ -9,6 +9,7 @@ from pyspark.sql.classic.dataframe import DataFrame
 
 from pulsegrid.functions import lines as L
 from pulsegrid.functions import typed as TY
+from pulsegrid.operators import change as C
 from pulsegrid.plans import catalog
 from pulsegrid.plans import fixtures as fx
 from pulsegrid.session import checkpoint_root, use_rocksdb
@@ -70,3 +71,12 @@ def test_change_stream_holds_no_batch_and_goes_on_from_the_last_values(spark, tm
     got = out.read("series STRING, src_offset BIGINT, value STRING")
     assert sorted(rows(got, "src_offset", "value")) == [(0, "1"), (1, "2"), (3, "5"), (5, "6"), (7, "1")]
     assert sorted(rows(LG.LastValues(spark, f"{tmpdir_fresh}/state").before(3), "series", "value")) == [("m#f", "1"), ("n#f", "6")]
+
+
+def test_grid_deals_series_out_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(C, "GRID_ROWS", 10)
+    d = spark.range(300).select(F.concat(F.lit("m,h="), F.col("id").cast("string"), F.lit(" f=1")).alias("value"), F.timestamp_seconds(F.col("id") % 3 * 60).alias("event_ts"),
+                                F.lit(0).alias("src_partition"), F.col("id").alias("src_offset"))
+    grid = C.refresh(L.explode_fields(d), 60)
+    assert grid.rdd.getNumPartitions() == 30
+    assert grid.count() == 100 * (3 + 2 + 1)
