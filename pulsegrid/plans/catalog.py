@@ -1155,7 +1155,9 @@ def q_router_counters(spark, sf_dir):
     rules, root = RU.router_rules(configs.ROUTER), scratch_path(spark, "router_counters")
     dirty = fx.dirty_lines(spark, sf_dir)
     totals, out = Totals(sender=lambda line: None), LG.Ledger(spark, f"{root}/out")
-    lines = spark.readStream.schema(dirty.schema).parquet(_landed(dirty, "dirty"))
+    # a file for each core in a micro-batch: what a task keeps does not grow with the table
+    files = spark.readStream.schema(dirty.schema).option("maxFilesPerTrigger", spark.sparkContext.defaultParallelism)
+    lines = files.parquet(_landed(dirty, "dirty"))
     counters = {name: F.count_if(F.col("branch") == branch) for branch, name in apps.BRANCH_COUNTERS.items()}
     send = lambda df, i: out.write(df.select("branch", "key", "value"), i)
     q = TEE.start_tee(R.parsed(lines), "line", lambda x: R.routed(x, rules, _TOPICS), send, "router_counters", f"{root}/ckpt", f"{root}/errors", totals, counters, {"availableNow": True})

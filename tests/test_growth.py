@@ -56,6 +56,16 @@ def test_java_double_takes_what_the_cast_takes_but_for_words(spark):
     assert [r.v for r in got.collect() if r.a is None][:4] == ["76i", "5%", "true", ""]
 
 
+def test_router_counters_keep_a_file_per_core_at_once(spark, sf, monkeypatch):
+    monkeypatch.setattr(fx, "PART_BYTES", 4096)
+    before = set(glob.glob(f"{checkpoint_root(spark)}/router_counters-*"))
+    got = dict(rows(catalog.QUERIES["router_counters"](spark, sf), "counter", "n"))
+    (root,) = set(glob.glob(f"{checkpoint_root(spark)}/router_counters-*")) - before
+    assert len(glob.glob(f"{root}/out/batch=*")) > 1
+    assert got["receivedRecords"] == 4000 and got["writtenErrors"] == got["filteredRecords"]
+    assert got["writtenRecords"] == sum(got[f"sent{x}Records"] for x in ("Database", "OnOff", "Aggregator"))
+
+
 def test_change_stream_holds_no_batch_and_goes_on_from_the_last_values(spark, tmpdir_fresh, monkeypatch):
     def held(self, *a, **k):
         raise AssertionError("a micro-batch is held")
