@@ -889,7 +889,8 @@ def _in_slices(spark, sf_dir, name: str, by: str, start, slices: int = 3) -> Non
     ev = fx.table(spark, sf_dir, "events")
     path, checkpoint = scratch_path(spark, f"{name}-in"), scratch_path(spark, f"{name}-ckpt")
     x = fx.ntz_micros(by) if by == "ts" else F.col(by)
-    lo, hi = (ev.select(f(x).cast("double")).scalar() for f in (F.min, F.max))
+    # once for all slices: as subqueries they would read the table twice for each of them
+    lo, hi = (F.lit(v).cast("double") for v in ev.select(F.min(x).cast("double"), F.max(x).cast("double")).first())
     place = F.floor((x.cast("double") - lo) / F.greatest(hi - lo, F.lit(1.0)) * slices)
     cut = ev.withColumn("slice", F.least(place, F.lit(slices - 1)))
 

@@ -12,7 +12,7 @@ from pulsegrid.functions import typed as TY
 from pulsegrid.operators import change as C
 from pulsegrid.plans import catalog
 from pulsegrid.plans import fixtures as fx
-from pulsegrid.session import checkpoint_root, use_rocksdb
+from pulsegrid.session import COUNT_ROWS, checkpoint_root, use_rocksdb
 from pulsegrid.streaming import ledger as LG
 
 
@@ -83,6 +83,28 @@ def test_change_stream_holds_no_batch_and_goes_on_from_the_last_values(spark, tm
     assert sorted(rows(LG.LastValues(spark, f"{tmpdir_fresh}/state").before(3), "series", "value")) == [("m#f", "1"), ("n#f", "6")]
 
 
+def test_slices_read_the_bounds_of_the_table_once(spark, sf, monkeypatch):
+    reads = []
+    table = fx.table
+    monkeypatch.setattr(fx, "table", lambda *a: reads.append(table(*a)) or reads[-1])
+    plans = []
+    write = DataFrame.filter
+    monkeypatch.setattr(DataFrame, "filter", lambda self, c: plans.append(write(self, c)) or plans[-1])
+
+    class Ended:
+        def awaitTermination(self):
+            pass
+
+    catalog._in_slices(spark, sf, "bounds", "ts", lambda s, ckpt, done: Ended())
+    assert len(plans) == 3 and sum(p.count() for p in plans) == 4000
+    assert all("scalar-subquery" not in p._jdf.queryExecution().optimizedPlan().toString() for p in plans)
+
+
+def test_state_rows_are_not_counted(spark):
+    use_rocksdb(spark)
+    assert spark.conf.get(COUNT_ROWS) == "false"
+
+
 def test_grid_deals_series_out_by_rows(spark, monkeypatch):
     monkeypatch.setattr(C, "GRID_ROWS", 10)
     d = spark.range(300).select(F.concat(F.lit("m,h="), F.col("id").cast("string"), F.lit(" f=1")).alias("value"), F.timestamp_seconds(F.col("id") % 3 * 60).alias("event_ts"),
