@@ -20,6 +20,8 @@ from ..functions.lines import kv
 
 #: Stored bytes of a table behind one input partition.
 PART_BYTES = 2 << 20
+#: Most partitions that are made; a table that needs more has as many splits of its own.
+MOST_PARTS = 10_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,7 +34,7 @@ def spread(df: DataFrame) -> DataFrame:
     small table and large row groups would leave all rows to a few tasks. A table stored
     in enough splits is left alone (no extra shuffle)."""
     stored = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    least = max(df.sparkSession.sparkContext.defaultParallelism, -(-stored // PART_BYTES))
+    least = max(df.sparkSession.sparkContext.defaultParallelism, min(MOST_PARTS, -(-stored // PART_BYTES)))
     if df._jdf.queryExecution().toRdd().getNumPartitions() < least:
         # by one column, so that the scan still reads only what a query needs, and by a
         # hash: deterministic on retry without the local sort of round-robin

@@ -35,6 +35,9 @@ def test_one_row_group_is_dealt_out_by_its_size(spark, sf, monkeypatch):
     assert t.count() == 4000 and most < 4000 / n * 3
     for name in ("triples", "typed_render", "edit_point"):
         assert catalog.QUERIES[name](spark, sf).rdd.getNumPartitions() == n
+    monkeypatch.setattr(fx, "MOST_PARTS", 7)
+    t = fx.table(spark, sf, "events")
+    assert t.rdd.getNumPartitions() == 7 and t.count() == 4000
 
 
 def test_a_record_is_split_into_tokens_once(spark):
