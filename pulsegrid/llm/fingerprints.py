@@ -9,7 +9,8 @@ joined in Spark and candidate pairs verified by the Jaccard similarity of their
 Scale: fingerprints are made in a pass without a shuffle; only they and ids are moved.
 ``near_duplicates`` folds equal sets into one class; a band key shared by a third of all
 rows makes a pair per class and not all pairs, and sets are moved only for the classes
-that stand in a candidate pair.
+that stand in a candidate pair or in such a key of several components. The latter are mostly
+texts that share passages but don't link: their further links are sought by rare n-grams.
 """
 
 from __future__ import annotations
@@ -118,8 +119,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     document, as the n-gram join returns them, candidates being the texts that share a band.
 
     Texts of equal sets are one class. Of a band key shared by many classes only pairs with
-    one of them are made first; pairs left between different components follow, so that no
-    candidate that links is lost and no key gives all its pairs. A candidate links if the
+    one of them are made; if it then holds different components, its classes are joined by
+    their rare n-grams, so that no link is lost and no key gives all its pairs. A candidate links if the
     Jaccard similarity of the whole sets reaches ``percent``. Texts without a word are linked
     with nothing; repeated rows, equal and null ids are handled as there. With 32 bands of 4,
     texts of similarity 0.8 miss every band with probability 5e-8. Without ``count`` the
@@ -161,7 +162,21 @@ def grouped(d: DataFrame, rows: DataFrame, n: int, percent: int, bands: int, cou
         side = lambda c, fp: classes.select(F.col("cid").alias(c), F.col("fp").alias(fp))
         return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(alike, "a long, b long")
 
-    return ngram_join.closed(d, rows.select("id", "n", "name"), classes.select("name", "n", "cid"), entries, bound, n, percent, count)
+    return ngram_join.closed(d, rows.select("id", "n", "name"), classes.select("name", "n", "cid"), entries, bound, n, percent, count, rare=True)
+
+
+def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, tie, size, packed) of (id, text, tie): each text as zstd, and its bytes before."""
+    codec = pa.Codec("zstd", 1)
+    for b in kernels.slices(batches):
+        raw = [t.encode() for t in b.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(map(len, raw), pa.int32()), pa.array([codec.compress(x, asbytes=True) for x in raw], pa.binary())],
+                                         names=["id", "tie", "size", "packed"])
+
+
+def unpacked(size: pa.Array, column: pa.Array) -> list[str]:
+    codec = pa.Codec("zstd", 1)
+    return [codec.decompress(x, k, asbytes=True).decode() if k else "" for k, x in zip(size.to_pylist(), column.to_pylist())]
 
 
 def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS) -> DataFrame:
@@ -173,13 +188,15 @@ def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
     single document is its own next. An empty table gives an empty result. ``set_name`` tells
     the text's set of shingles as ``name`` does in ``near_duplicates``.
 
-    Documents are range-partitioned and sorted once. A task works through its range with one
+    Documents are range-partitioned and sorted once, their texts compressed one by one (a shuffle's
+    own blocks are packed by a third less). A task works through its range with one
     row in hand; the last row of each range waits for the first of the next; these two meet in a second,
     small step, a row for each range.
     """
     d = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
     order = [F.col("id").desc_nulls_last(), F.col("tie")]
-    d = d.repartitionByRange(*order).sortWithinPartitions(*order, "text").select("id", "text")
+    d = d.mapInArrow(packed, StructType([*d.select("id", "tie").schema.fields, *StructType.fromDDL("size int, packed binary").fields]))
+    d = d.repartitionByRange(*order).sortWithinPartitions(*order, "packed").select("id", "size", "packed")
     id_type = d.schema.fields[0]
     result = "n_chars long, edited_sha256 string, fp binary, edited_fp binary, near_edited double, near_next double, set_name binary, n_shingles long"
     waiting = StructType([id_type, *StructType.fromDDL(result + ", part int, edge int, text string").fields])
@@ -206,7 +223,8 @@ def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
             return pa.RecordBatch.from_arrays([i, *nothing, pa.array([part], pa.int32()), pa.array([which], pa.int32()), pa.array([t])], names=waiting.names)
 
         for b in kernels.slices(batches):
-            ids, texts, sigs = b.column(0), b.column(1).to_pylist(), signatures(b.column(1), n)
+            ids, texts = b.column(0), unpacked(b.column(1), b.column(2))
+            sigs = signatures(pa.array(texts, pa.large_string()), n)
             if first is None:
                 first = (ids.slice(0, 1), texts[0], sigs[0])
             if held:

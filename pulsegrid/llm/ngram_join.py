@@ -135,6 +135,15 @@ def named(docs: DataFrame, n: int, count: bool) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, schema)
 
 
+def first_of(s: np.ndarray, level: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """A set's first n-grams in the order of the sketch, and the place of the last of them."""
+    rank = (level[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(58)) | (s >> np.uint64(6))
+    size = len(s) + percent * len(s) // -100 + 1
+    first = np.argpartition(rank, size - 1)[:size] if size < len(s) else np.arange(len(s))
+    first = first[np.argsort(rank[first])]
+    return s[first].view(np.int64), int(rank[first[-1]] >> np.uint64(1))
+
+
 def prefixes(docs: DataFrame, levels: np.ndarray, n: int, percent: int) -> DataFrame:
     """(name, n, prefix, last) per document with words: its first n-grams in the order of the
     sketch, and the place of the last of them in that order."""
@@ -146,19 +155,41 @@ def prefixes(docs: DataFrame, levels: np.ndarray, n: int, percent: int) -> DataF
             out = []
             for s in sets_of(b, 0, n):
                 if len(s):
-                    rank = (level[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(58)) | (s >> np.uint64(6))
-                    size = len(s) + percent * len(s) // -100 + 1
-                    first = np.argpartition(rank, size - 1)[:size] if size < len(s) else np.arange(len(s))
-                    first = first[np.argsort(rank[first])]
-                    out.append((name_of(s), len(s), s[first].view(np.int64), int(rank[first[-1]] >> np.uint64(1))))
+                    out.append((name_of(s), len(s), *first_of(s, level, percent)))
             if out:
-                flat, offsets = np.concatenate([x[2] for x in out]), np.concatenate([[0], np.cumsum([len(x[2]) for x in out])]).astype(np.int32)
-                yield pa.record_batch([pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.int32()),
-                                       pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array([x[3] for x in out], pa.int64())], ["name", "n", "prefix", "last"])
+                yield prefix_rows("name", pa.binary(), out)
 
     return docs.select("text").mapInArrow(run, "name binary, n int, prefix array<long>, last long")
 
 
+def prefix_rows(key: str, kind: pa.DataType, out: list[tuple]) -> pa.RecordBatch:
+    flat, offsets = np.concatenate([x[2] for x in out]), np.concatenate([[0], np.cumsum([len(x[2]) for x in out])]).astype(np.int32)
+    return pa.record_batch([pa.array([x[0] for x in out], kind), pa.array([x[1] for x in out], pa.int32()),
+                            pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array([x[3] for x in out], pa.int64())], [key, "n", "prefix", "last"])
+
+
+def rare_first(sets: DataFrame, percent: int) -> DataFrame:
+    """(cid, n, prefix, last) as ``prefixes`` makes them, of (cid, shingles): the order is that
+    of a sketch of these sets alone, so that what many of them share comes last."""
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << SKETCH_BITS, np.uint32)
+        for b in batches:
+            np.add.at(counts, place_of(b.column(0).flatten().to_numpy(zero_copy_only=False), SKETCH_BITS), 1)
+        found = list(chunks(counts))
+        if found:
+            yield pa.record_batch([pa.array([c for c, _ in found], pa.int32()), pa.array([x for _, x in found], pa.binary())], ["chunk", "counts"])
+
+    shared = sets.sparkSession.sparkContext.broadcast(gathered(sets.select("shingles").mapInArrow(counted, "chunk int, counts binary")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in kernels.slices(batches):
+            cid, flat, at = b.column(0).to_pylist(), b.column(1).values.to_numpy(zero_copy_only=False).view(np.uint64), b.column(1).offsets.to_numpy()
+            own = [flat[x:y] for x, y in zip(at[:-1], at[1:])]
+            yield prefix_rows("cid", pa.int64(), [(c, len(s), *first_of(s, shared.value, percent)) for c, s in zip(cid, own)])
+
+    return sets.select("cid", "shingles").mapInArrow(run, "cid long, n int, prefix array<long>, last long")
+
+
 def whole_sets(docs: DataFrame, wanted: np.ndarray, n: int) -> DataFrame:
     """(name, shingles) of the documents whose id may be wanted."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
@@ -266,6 +297,20 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return y.filter(both * (100 + percent) >= sizes * percent).select("a", "b")
 
 
+def across(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+    """The pairs (a, b) of different components."""
+    side = lambda c: comp.select(F.col("node").alias(c), F.col("comp").alias(f"{c}_comp"))
+    j = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    return j.filter(F.coalesce("a_comp", "a") != F.coalesce("b_comp", "b")).select("a", "b")
+
+
+def unsettled(entries: DataFrame, comp: DataFrame) -> DataFrame:
+    """(cid) of the classes that stand in a long column of more than one component."""
+    e = entries.join(comp, F.col("a") == F.col("node"), "left").select("token", F.col("a").alias("cid"), F.coalesce("comp", "a").alias("comp"))
+    open_ = e.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("token")
+    return e.join(open_, "token").select("cid").distinct()
+
+
 def left_over(entries: DataFrame, comp: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that meet in a long column, can still link and
     were not tried. In each column only classes outside its largest component are joined."""
@@ -394,25 +439,48 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     return closed(d, rows, p, entries, lambda pairs: bounded(pairs, p, percent), n, percent, count).withColumnRenamed("id", id_col)
 
 
-def closed(d: DataFrame, rows: DataFrame, classes: DataFrame, entries: DataFrame, bound, n: int, percent: int, count: bool = True) -> DataFrame:
+def closed(d: DataFrame, rows: DataFrame, classes: DataFrame, entries: DataFrame, bound, n: int, percent: int, count: bool = True, rare: bool = False) -> DataFrame:
     """Steps 3 to 6 for the entries (token, cid, n, pos) of any candidate scheme: pairs from
     the columns, verified on the sets of ``d`` (id, text), closed to components over
-    ``rows`` (id, n, name). ``classes``: (cid, name, n); ``bound`` may discard pairs ahead."""
+    ``rows`` (id, n, name). ``classes``: (cid, name, n); ``bound`` may discard pairs ahead.
+
+    ``rare`` is for schemes whose columns also hold many classes that don't link: the classes
+    of unsettled long columns then go through steps 2 to 5 as an n-gram join of their own,
+    which finds all their links, instead of being paired within the columns."""
     made = cut(multiply(entries, percent))
     pairs = cut(made.filter("b is not null").select("a", "b").distinct())
     ids = rows.filter("name is not null").groupBy("name").agg(F.min("id").alias("id"), F.xxhash64(F.min("id")).alias("h"))
 
+    def sets_for(cids: DataFrame) -> DataFrame:
+        wanted = classes.select("name", "cid").join(cids, "cid")
+        hits = bit_filter(wanted.join(ids, "name"))
+        return cut(whole_sets(d, hits, n).join(wanted, "name").select("cid", "shingles").dropDuplicates(["cid"]))
+
     def linked(some: DataFrame) -> tuple[DataFrame, DataFrame]:
         able = cut(bound(some))
-        wanted = classes.select("name", "cid").join(able.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), "cid")
-        hits = bit_filter(wanted.join(ids, "name"))
-        sets = cut(whole_sets(d, hits, n).join(wanted, "name").select("cid", "shingles").dropDuplicates(["cid"]))
+        sets = sets_for(able.select(F.explode(F.array("a", "b")).alias("cid")).distinct())
         return cut(verified(able, sets, percent)), sets
 
+    def settled(links: DataFrame, sets: DataFrame, comp: DataFrame, dense: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        sets = sets.unionByName(sets_for(dense.join(sets.select("cid"), "cid", "left_anti")))
+        p = cut(rare_first(sets.join(dense, "cid"), percent))
+        made = cut(multiply(p.select("cid", "n", F.posexplode("prefix").alias("pos", "token")), percent))
+        pairs = cut(across(made.filter("b is not null").select("a", "b").distinct(), comp))
+        links = links.unionByName(cut(verified(bounded(pairs, p, percent), sets, percent)))
+        comp = components(links)
+        more = cut(left_over(made.filter("b is null").select("a", "token", "n", "pos"), comp, pairs, percent))
+        if not more.isEmpty():
+            links = links.unionByName(cut(verified(bounded(more, p, percent), sets, percent)))
+            comp = components(links)
+        return links, sets, comp
+
     links, sets = linked(pairs)
     comp = components(links)
-    more = cut(left_over(made.filter("b is null").select("a", "token", "n", "pos"), comp, pairs, percent))
-    if not more.isEmpty():
+    long = made.filter("b is null").select("a", "token", "n", "pos")
+    more = cut(unsettled(long, comp) if rare else left_over(long, comp, pairs, percent))
+    if rare and not more.isEmpty():
+        links, sets, comp = settled(links, sets, comp, more)
+    elif not more.isEmpty():
         new, new_sets = linked(more)
         links = links.unionByName(new)
         sets = sets.unionByName(new_sets.join(sets.select("cid"), "cid", "left_anti"))

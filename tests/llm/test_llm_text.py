@@ -229,6 +229,14 @@ def test_near_duplicates_by_bands(spark):
     assert fingerprints.near_duplicates(e.limit(0)).count() == 0
 
 
+def test_texts_are_packed_and_unpacked():
+    texts = ["", "a", "Çé 😀 \x00 x", "\n", "word " * 70000]
+    b = pa.record_batch([pa.array(range(5)), pa.array(texts), pa.array(range(5))], ["id", "text", "tie"])
+    out = list(fingerprints.packed([b]))[0]
+    assert fingerprints.unpacked(out.column(2), out.column(3)) == texts
+    assert len(out.column(3)[4].as_py()) < 2000
+
+
 def test_pairs_just_above_the_threshold_are_found(spark):
     rng, rows = random.Random(12), []
     for i in range(200):
@@ -239,6 +247,28 @@ def test_pairs_just_above_the_threshold_are_found(spark):
     assert {r.doc_id: r.component_id for r in got} == {i: i // 2 * 2 for i, _ in rows}
 
 
+def test_bands_of_texts_that_share_passages_make_few_pairs(spark, monkeypatch):
+    rng, rows, made = random.Random(14), [], []
+    for g in range(6):  # edits of one passage: most share bands, few link
+        for _ in range(40):
+            w = [f"g{g}w{i}" for i in range(300)]
+            for i in rng.sample(range(300), rng.choice([4, 9, 14, 20, 26])):
+                w[i] = f"x{rng.randrange(1 << 40)}"
+            rows.append((len(rows), " ".join(w)))
+
+    def counted(*args, f=ngram_join.left_over):
+        out = ngram_join.cut(f(*args))
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "left_over", counted)
+    got = fingerprints.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = brute_components(rows, 5, 80)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    assert len({c for _, c in want.values()}) > 60
+    assert sum(made) < len(rows)
+
+
 def test_op4_has_components(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     want = brute_components(rows, 5, 80)
