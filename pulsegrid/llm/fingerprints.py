@@ -148,7 +148,8 @@ def grouped(d: DataFrame, rows: DataFrame, n: int, percent: int, bands: int, cou
     ``LEAST`` are left out before sets are moved: at a similarity of 0.8 that is less likely,
     with 128 places, than 2e-9 (Chernoff's bound).
     """
-    classes = cut(rows.filter("name is not null").select("name", "n", "fp").dropDuplicates(["name"])).withColumn("cid", F.monotonically_increasing_id())
+    classes = rows.filter("name is not null").groupBy("name").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.min("id").alias("id"))
+    classes = cut(classes).withColumn("cid", F.monotonically_increasing_id())
     size = PERMUTATIONS // bands
     keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.substring(F.col("fp"), i * size + 1, F.lit(size))))
     entries = classes.select("cid", F.col("n").cast("int").alias("n"), F.explode(keys).alias("token"), F.lit(0).alias("pos"))
@@ -162,7 +163,7 @@ def grouped(d: DataFrame, rows: DataFrame, n: int, percent: int, bands: int, cou
         side = lambda c, fp: classes.select(F.col("cid").alias(c), F.col("fp").alias(fp))
         return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(alike, "a long, b long")
 
-    return ngram_join.closed(d, rows.select("id", "n", "name"), classes.select("name", "n", "cid"), entries, bound, n, percent, count, rare=True)
+    return ngram_join.closed(d, rows.select("id", "n", "name"), classes.select("name", "n", "cid", "id"), entries, bound, n, percent, count, rare=True)
 
 
 def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +251,7 @@ def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
     ranges = Window.orderBy("part")  # of numbers, as many as there are ranges
     then = F.coalesce(F.lead("part").over(ranges), F.min("part").over(ranges.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     joined = lasts.select("id", "text", "fp", "part").join(lasts.select("part", then.alias("then")), "part").join(firsts, "then")
-    rest = joined.select("id", "text", "fp", "next_text", "next_fp").mapInArrow(close, final)
+    rest = cut(joined.select("id", "text", "fp", "next_text", "next_fp").mapInArrow(close, final))
     return made.filter("edge is null").select(*final.names).unionByName(rest).withColumnRenamed("id", id_col)
 
 

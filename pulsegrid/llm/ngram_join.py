@@ -328,20 +328,18 @@ def left_over(entries: DataFrame, comp: DataFrame, tried: DataFrame, percent: in
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp) of the nodes in ``edges`` (a, b), comp the least node reachable: large and
-    small stars in turn until nothing changes."""
+    small stars in turn until every node has one edge to a node that has none."""
     e = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
-    state = None
     while True:
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = e.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        e = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        low = e.groupBy("u").agg(F.min("v").alias("m"))
-        star = e.join(low, "u")
-        e = cut(star.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
+        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        star = large.join(low, "u")
+        e = cut(star.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).distinct())
+        ends = e.select(F.inline(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up")), F.struct(F.col("v").alias("node"), F.lit(0).alias("up")))))
+        if ends.groupBy("node").agg(F.sum("up").alias("up"), F.min("up").alias("low")).filter("up > 1 or up = 1 and low = 0").isEmpty():
             return e.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
-        state = now
 
 
 def overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
@@ -442,19 +440,21 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
 def closed(d: DataFrame, rows: DataFrame, classes: DataFrame, entries: DataFrame, bound, n: int, percent: int, count: bool = True, rare: bool = False) -> DataFrame:
     """Steps 3 to 6 for the entries (token, cid, n, pos) of any candidate scheme: pairs from
     the columns, verified on the sets of ``d`` (id, text), closed to components over
-    ``rows`` (id, n, name). ``classes``: (cid, name, n); ``bound`` may discard pairs ahead.
+    ``rows`` (id, n, name). ``classes``: (cid, name, n), with their least id if it is known;
+    ``bound`` may discard pairs ahead.
 
     ``rare`` is for schemes whose columns also hold many classes that don't link: the classes
     of unsettled long columns then go through steps 2 to 5 as an n-gram join of their own,
     which finds all their links, instead of being paired within the columns."""
     made = cut(multiply(entries, percent))
     pairs = cut(made.filter("b is not null").select("a", "b").distinct())
-    ids = rows.filter("name is not null").groupBy("name").agg(F.min("id").alias("id"), F.xxhash64(F.min("id")).alias("h"))
+    classes = classes.select("name", "n", "cid", *["id"] * ("id" in classes.columns))
+    if "id" not in classes.columns:
+        classes = classes.join(rows.filter("name is not null").groupBy("name").agg(F.min("id").alias("id")), "name")
 
     def sets_for(cids: DataFrame) -> DataFrame:
-        wanted = classes.select("name", "cid").join(cids, "cid")
-        hits = bit_filter(wanted.join(ids, "name"))
-        return cut(whole_sets(d, hits, n).join(wanted, "name").select("cid", "shingles").dropDuplicates(["cid"]))
+        wanted = classes.select("name", "cid", F.xxhash64("id").alias("h")).join(cids, "cid")
+        return cut(whole_sets(d, bit_filter(wanted), n).dropDuplicates(["name"]).join(wanted, "name").select("cid", "shingles"))
 
     def linked(some: DataFrame) -> tuple[DataFrame, DataFrame]:
         able = cut(bound(some))
@@ -485,7 +485,7 @@ def closed(d: DataFrame, rows: DataFrame, classes: DataFrame, entries: DataFrame
         links = links.unionByName(new)
         sets = sets.unionByName(new_sets.join(sets.select("cid"), "cid", "left_anti"))
         comp = components(links)
-    c = classes.select("name", "cid").join(ids.select("name", "id"), "name").join(comp.withColumnRenamed("node", "cid"), "cid", "left")
+    c = classes.select("name", "cid", "id").join(comp.withColumnRenamed("node", "cid"), "cid", "left")
     c = c.withColumn("comp", F.coalesce("comp", "cid"))
     c = c.join(c.groupBy("comp").agg(F.min("id").alias("component_id")), "comp")
     if count:

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -13,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pulsegrid.llm import fingerprints, html_text, kernels, langid, ngram_join, packing, pii
+from pulsegrid.llm import common, fingerprints, html_text, kernels, langid, ngram_join, packing, pii
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -545,3 +546,40 @@ def test_pipeline_keeps_columns_with_clashing_names(spark):
         assert d.columns == docs.columns and d.count() > 0
         assert d.select(*own).distinct().collect() == [tuple(own.values())]
     assert corpus_pipeline.STAGES[-1][1](spark, d, SF).count() > 0
+
+
+def test_cut_leaves_no_shuffle_files(spark):
+    """What a cut shuffled goes with it (op4's disk); what other queries shuffled, and the setting, stay."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+    counted = spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count()
+    assert counted.agg(F.sum("count")).first()[0] == 10_000
+    before, setting = shuffled(), spark.conf.get(common.CLEANUP)
+    made = common.cut(counted.repartition("count"))
+    end = time.time() + 10  # executors are told, not waited for
+    while shuffled() - before and time.time() < end:
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert spark.conf.get(common.CLEANUP) == setting
+    assert sorted(map(tuple, made.collect())) == sorted(map(tuple, counted.collect())) == [(k, 100) for k in range(100)]
+
+
+def test_components_stop_at_stars(spark):
+    """Stars are recognised without another round, and rings, chains and repeats still close."""
+    def rounds(edges):
+        made, before = [], ngram_join.cut
+        ngram_join.cut = lambda df: made.append(1) or before(df)
+        try:
+            comp = {r.node: r.comp for r in ngram_join.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+        finally:
+            ngram_join.cut = before
+        return comp, len(made)
+
+    star = [(1, k) for k in range(2, 40)]
+    assert rounds(star + star[:5]) == ({k: 1 for k in range(1, 40)}, 2)
+    ring = [(k, k + 1) for k in range(50, 69)] + [(69, 50), (70, 70)]
+    assert rounds(ring + star)[0] == {k: 1 for k in range(1, 40)} | {k: 50 for k in range(50, 70)}
