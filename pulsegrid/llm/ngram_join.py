@@ -331,15 +331,21 @@ def components(edges: DataFrame) -> DataFrame:
     small stars in turn until every node has one edge to a node that has none."""
     e = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
     while True:
-        both = e.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
+        both = e.filter("u <> v").select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.join(low.hint("merge"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        star = large.join(low, "u")
-        e = cut(star.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).distinct())
-        ends = e.select(F.inline(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up")), F.struct(F.col("v").alias("node"), F.lit(0).alias("up")))))
+        star = large.join(low.hint("merge"), "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), "m")
+        # a star's centre has an edge to itself, which is left out of the next round
+        e = cut(star.select(F.inline(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("m").alias("u"), F.col("m").alias("v"))))).distinct())
+        ends = e.filter("u <> v").select(F.inline(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up")), F.struct(F.col("v").alias("node"), F.lit(0).alias("up")))))
         if ends.groupBy("node").agg(F.sum("up").alias("up"), F.min("up").alias("low")).filter("up > 1 or up = 1 and low = 0").isEmpty():
-            return e.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
+            return e.select(F.col("u").alias("node"), F.col("v").alias("comp"))
+
+
+def merged(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """``components`` of all links so far, from those before and the new links (a, b)."""
+    return comp if links.isEmpty() else components(comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(links))
 
 
 def overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
@@ -461,30 +467,27 @@ def closed(d: DataFrame, rows: DataFrame, classes: DataFrame, entries: DataFrame
         sets = sets_for(able.select(F.explode(F.array("a", "b")).alias("cid")).distinct())
         return cut(verified(able, sets, percent)), sets
 
-    def settled(links: DataFrame, sets: DataFrame, comp: DataFrame, dense: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    def settled(sets: DataFrame, comp: DataFrame, dense: DataFrame) -> tuple[DataFrame, DataFrame]:
         sets = sets.unionByName(sets_for(dense.join(sets.select("cid"), "cid", "left_anti")))
         p = cut(rare_first(sets.join(dense, "cid"), percent))
         made = cut(multiply(p.select("cid", "n", F.posexplode("prefix").alias("pos", "token")), percent))
         pairs = cut(across(made.filter("b is not null").select("a", "b").distinct(), comp))
-        links = links.unionByName(cut(verified(bounded(pairs, p, percent), sets, percent)))
-        comp = components(links)
+        comp = merged(comp, cut(verified(bounded(pairs, p, percent), sets, percent)))
         more = cut(left_over(made.filter("b is null").select("a", "token", "n", "pos"), comp, pairs, percent))
         if not more.isEmpty():
-            links = links.unionByName(cut(verified(bounded(more, p, percent), sets, percent)))
-            comp = components(links)
-        return links, sets, comp
+            comp = merged(comp, cut(verified(bounded(more, p, percent), sets, percent)))
+        return sets, comp
 
     links, sets = linked(pairs)
     comp = components(links)
     long = made.filter("b is null").select("a", "token", "n", "pos")
     more = cut(unsettled(long, comp) if rare else left_over(long, comp, pairs, percent))
     if rare and not more.isEmpty():
-        links, sets, comp = settled(links, sets, comp, more)
+        sets, comp = settled(sets, comp, more)
     elif not more.isEmpty():
         new, new_sets = linked(more)
-        links = links.unionByName(new)
         sets = sets.unionByName(new_sets.join(sets.select("cid"), "cid", "left_anti"))
-        comp = components(links)
+        comp = merged(comp, new)
     c = classes.select("name", "cid", "id").join(comp.withColumnRenamed("node", "cid"), "cid", "left")
     c = c.withColumn("comp", F.coalesce("comp", "cid"))
     c = c.join(c.groupBy("comp").agg(F.min("id").alias("component_id")), "comp")
