@@ -9,17 +9,21 @@ words in it, so that every length is counted in the same way:
    A pair's ids name a tile and a place in it. Tiles that get many of a block's pairs (those
    of frequent ids, near the corner) are counted by ``bincount`` into a dense table, the
    others as sorted coordinates with counts.
-3. Spark adds up the tasks' counts; pairs that are frequent are the phrases of m words, are
+3. The tasks' counts are added up; pairs that are frequent are the phrases of m words, are
    ranked anew, and the next length follows.
 
 No phrase is lost by ranking: what has an infrequent part is infrequent itself. Tables of ids
 that are sent to tasks have a fixed size (``WORD_IDS`` and ``PHRASE_IDS`` entries of bounded
-length). Frequent phrases beyond them have no id; tasks know them by a bit filter of fixed
-size and count phrases with such a part as texts, exactly, and only those cost more.
+length). Frequent phrases beyond them have no id; tasks know them by a bit filter of bounded
+size and count phrases with such a part as texts, exactly.
+
+A block of texts is handled as arrays: no Python object is made per word or place, with or
+without an id. Places are looked up, and equal texts of a task are put together, by 64-bit hashes.
 
 Scale: one pass over the texts for each length, and a shuffle of each task's distinct pairs,
-summed up before it. Scores and the drop rule are joins of frequent phrases only; the best of
-a language are found by a window whose rows Spark limits before they are moved.
+summed up before it. The sums are moved in buckets, a row for each bucket and task, and added
+up a bucket at a time. Scores and the drop rule are joins of frequent phrases only; the best of
+a language are found among the best of ``SHARES`` shares of its phrases.
 """
 
 from __future__ import annotations
@@ -27,7 +31,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -39,94 +42,287 @@ from xxhash import xxh64_intdigest
 from ..workers import ship_by_value
 from .common import cut, read
 from . import kernels
-from .ngram_join import SKETCH_BITS, bit_filter
 
-LONGEST, LEAST, COVER, TOP = 4, 30, 80, 2000
+LONGEST, LEAST, COVER, TOP, SHARES = 4, 30, 80, 2000, 64
 #: Entries of the tables of ids that tasks get, and the bytes that a word of an entry may have on average.
 WORD_IDS, PHRASE_IDS, WORD_BYTES = 1 << 18, 1 << 20, 32
 #: Ids have so many bits, a tile's sides so many, and a dense tile is made for so many pairs of a block.
 ID_BITS, TILE_BITS, DENSE_PAIRS, DENSE_TILES = 20, 10, 1 << 14, 8
-#: Bytes of text and places worked on at once, and distinct entries that a task holds.
-STRETCH, BLOCK, KEEP = 1 << 20, 1 << 18, 3 << 19
+#: Bytes of a stretch of text and of a block of them, and distinct entries and bytes of texts that a task holds.
+STRETCH, BLOCK, KEEP, KEEP_BYTES = 1 << 20, 1 << 22, 3 << 19, 1 << 25
 #: A-Z become a-z, a tab a space, and all that parts pieces a full stop.
 PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\n\v\f\r", b"abcdefghijklmnopqrstuvwxyz ..........")
 BREAK = re.compile(rb"[ .]")
 #: Places without an id: what can't be part of a frequent phrase, and what is frequent beyond the table.
 NONE, BEYOND = -1, -2
-COUNTED = "code long, lang string, phrase binary, f long"
-
-
-def stretches(batches: Iterator[pa.RecordBatch], overlap: int) -> Iterator[tuple[str, list[bytes]]]:
-    """(lang, tokens) of all texts of (lang, text), a long text in stretches that repeat the last
-    ``overlap`` tokens. A token is a word, or a full stop for what parts pieces."""
+#: A bit filter has 2^20 to 2^27 bits, which are gathered in chunks of 2^16.
+LEAST_BITS, MOST_BITS, CHUNK_BITS = 20, 27, 16
+#: Buckets are 2^8 to 2^12 (what a bucket leaves of a pair's code has 32 bits); an odd factor deals out the codes.
+LEAST_BUCKETS, MOST_BUCKETS = 8, 12
+CODES = (1 << 2 * ID_BITS) - 1
+DEAL = 0x9E3779B97F4A7C15 & CODES
+UNDEAL = pow(DEAL, -1, CODES + 1)
+#: Of a bucket, the counts of pairs (codes) or of texts (bytes of each, and all in a row).
+COUNTED = "bucket int, codes binary, sizes binary, texts binary, f binary"
+FOUND = "lang string, phrase binary, f long, h long"
+U = np.uint64
+#: Of eight bytes, those of a word of so many.
+FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], U)
+
+
+def cuts(batches: Iterator[pa.RecordBatch], overlap: int) -> Iterator[tuple[str, bytes]]:
+    """(lang, plain text) of all texts of (lang, text), a long text in stretches that repeat the
+    last ``overlap`` words of the piece that is cut."""
     for b in kernels.slices(batches):
         for lang, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.large_binary()).to_pylist()):
             text = (text or b"").translate(PLAIN)
-            a, held = 0, []
+            a, held = 0, b""
             while a < len(text):
                 m = BREAK.search(text, a + STRETCH) if len(text) - a > STRETCH else None
                 end = m.start() if m else len(text)
-                tokens = held + text[a:end].replace(b".", b" . ").split()
-                yield "und" if lang is None else lang, tokens
-                a, held = end, tokens[len(tokens) - overlap:] if overlap and len(tokens) >= overlap else tokens if overlap else []
+                part, last = held + text[a:end], []
+                yield "und" if lang is None else lang, part
+                while len(last) < overlap and end < len(text):
+                    part = part.rstrip(b" ")
+                    if not part or part.endswith(b"."):
+                        break
+                    i = max(part.rfind(b" "), part.rfind(b".")) + 1
+                    last.insert(0, part[i:] + b" ")
+                    part = part[:i]
+                a, held = end, b"".join(last)
+
+
+def stretches(batches: Iterator[pa.RecordBatch], overlap: int) -> Iterator[tuple[str, list[bytes]]]:
+    """(lang, tokens) of what ``cuts`` gives. A token is a word, or a full stop for what parts pieces."""
+    for lang, text in cuts(batches, overlap):
+        yield lang, text.replace(b".", b" . ").split()
 
 
 def is_word(token: bytes) -> bool:
     return token != b"."
 
 
+def blocks(batches: Iterator[pa.RecordBatch], overlap: int) -> Iterator["Words"]:
+    langs, texts, held = [], [], 0
+    for lang, text in cuts(batches, overlap):
+        langs.append(lang)
+        texts.append(text)
+        held += len(text)
+        if held >= BLOCK:
+            yield Words(langs, texts)
+            langs, texts, held = [], [], 0
+    if texts:
+        yield Words(langs, texts)
+
+
+class Words:
+    """The words of some plain texts, as arrays."""
+
+    def __init__(self, langs: list[str], texts: list[bytes]):
+        raw = b".".join(texts) + b"."
+        x = np.frombuffer(raw, np.uint8)
+        stop = x == 46
+        edges = np.flatnonzero(np.diff(stop | (x == 32), prepend=True, append=True))
+        self.raw, self.starts, self.ends = raw, edges[::2], edges[1::2]
+        self.piece = np.cumsum(stop, dtype=np.int32)[self.starts]
+        names = {lang: i for i, lang in enumerate(dict.fromkeys(langs))}
+        bounds = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        self.lang = np.repeat(np.array([names[lang] for lang in langs], np.int32), np.diff(np.searchsorted(self.starts, bounds)))
+        self.names = pa.array([lang.encode() for lang in names], pa.large_binary())
+        self.seeds = np.array([xxh64_intdigest(lang.encode(), 42) for lang in names], U)
+        self.hashes = self.hashed()
+
+    def hashed(self) -> np.ndarray:
+        size = self.ends - self.starts
+        eight = np.ndarray((len(self.raw),), "<u8", self.raw + bytes(8), strides=(1,))
+        h = kernels.mix((eight[self.starts] & FIRST[np.minimum(size, 8)]) + size.astype(U) * U(kernels.BASE))
+        for i in np.flatnonzero(size > 64):
+            h[i] = xxh64_intdigest(self.raw[self.starts[i]:self.ends[i]], 42)
+        more, k = np.flatnonzero((size > 8) & (size <= 64)), 8
+        while len(more):
+            h[more] = kernels.mix(h[more] * U(kernels.BASE) + (eight[self.starts[more] + k] & FIRST[np.minimum(size[more] - k, 8)]))
+            k += 8
+            more = more[size[more] > k]
+        return h
+
+    def phrases(self, m: int, at: np.ndarray | None = None) -> np.ndarray:
+        """Hashes of the phrases of m words and their language, from the places ``at`` or every place on."""
+        n = max(len(self.hashes) - m + 1, 0)
+        word = (lambda j: self.hashes[j:n + j]) if at is None else (lambda j: self.hashes[at + j])
+        h = self.seeds[self.lang[:n] if at is None else self.lang[at]] + U(m)
+        for j in range(m):
+            h += word(j) * kernels.SHINGLE[j]
+        return kernels.mix(h)
+
+    def whole(self, m: int) -> np.ndarray:
+        """Whether the m words from each place on are of one piece."""
+        n = max(len(self.piece) - m + 1, 0)
+        return self.piece[:n] == self.piece[len(self.piece) - n:]
+
+    def texts(self, at: np.ndarray, m: int) -> pa.Array:
+        """Of the phrases of m words from ``at`` on: language, a full stop, words with a space between them."""
+        sizes = self.ends - self.starts
+        if not hasattr(self, "plain"):
+            keep = np.frombuffer(self.raw, np.uint8).copy()
+            keep[self.ends] = 32  # a word and one space are kept, nothing else
+            mark = np.zeros(len(keep) + 1, np.int8)
+            mark[self.starts] = 1
+            mark[self.ends + 1] -= 1
+            self.plain = keep[np.cumsum(mark[:-1], dtype=np.int8).astype(bool)]
+            self.places = np.cumsum(sizes + 1) - sizes - 1
+        a = self.places[at]
+        n = self.places[at + m - 1] + sizes[at + m - 1] - a
+        offsets = np.concatenate([[0], np.cumsum(n)])
+        if offsets[-1] > 256 * len(at):
+            data = b"".join(self.plain[i:i + k] for i, k in zip(a.tolist(), n.tolist()))
+        else:
+            data = self.plain[np.arange(offsets[-1]) + np.repeat(a - offsets[:-1], n)]
+        found = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        return pc.binary_join_element_wise(self.names.take(pa.array(self.lang[at])), found, pa.scalar(b".", pa.large_binary()))
+
+
 def table(code=None, lang=None, phrase=None, f=()) -> pa.RecordBatch:
     n = len(f)
     return pa.record_batch([pa.nulls(n, pa.int64()) if code is None else pa.array(code, pa.int64()), pa.nulls(n, pa.string()) if lang is None else pa.array(lang, pa.string()),
                             pa.nulls(n, pa.binary()) if phrase is None else pa.array(phrase, pa.binary()), pa.array(f, pa.int64())], ["code", "lang", "phrase", "f"])
 
 
-def texts_table(texts: dict[str, Counter]) -> pa.RecordBatch:
-    rows = [(lang, p, n) for lang, found in texts.items() for p, n in found.items()]
-    texts.clear()
-    return table(None, [r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows])
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, with their sums, and a place of each."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(counts[order], first) if len(first) else counts, order[first]
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(lang, phrase, f) of all words of (lang, text)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, Counter] = {}
-        for lang, tokens in stretches(batches, 0):
-            found.setdefault(lang, Counter()).update(tokens)
-            if sum(map(len, found.values())) > KEEP // 8:
-                yield texts_table(found)
-        yield texts_table(found)
+def bucket_bits(df: DataFrame) -> int:
+    """Some buckets for each partition of a shuffle."""
+    return min(max((4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))).bit_length(), LEAST_BUCKETS), MOST_BUCKETS)
+
 
-    return docs.mapInArrow(run, COUNTED).filter(F.col("phrase") != F.lit(bytearray(b"."))).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+def rows(buckets: np.ndarray, **columns) -> pa.RecordBatch:
+    """A row for each of the sorted buckets; a column is an array of numbers, or of binaries."""
+    n = len(buckets)
+    bounds = np.flatnonzero(np.diff(buckets, prepend=-1, append=-1))
+    out = [pa.array(buckets[bounds[:-1]], pa.int32())]
+    for name in ("codes", "sizes", "texts", "f"):
+        x = columns.get(name)
+        if x is None:
+            out.append(pa.nulls(len(bounds) - 1, pa.binary()))
+            continue
+        at, data = bounds * getattr(x, "itemsize", 0), x
+        if isinstance(x, pa.Array):
+            _, offsets, data = x.buffers()
+            at = np.frombuffer(offsets, np.int64)[x.offset:x.offset + n + 1][bounds]
+            data, at = (data or pa.py_buffer(b""))[at[0]:at[-1]], at - at[0]
+        out.append(pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data)]))
+    return pa.record_batch(out, ["bucket", "codes", "sizes", "texts", "f"])
 
 
-def filter_key(lang: str, phrase: bytes) -> int:
-    """What Spark's xxhash64 makes of both."""
-    return xxh64_intdigest(phrase, xxh64_intdigest(lang.encode(), 42))
+def dealt_pairs(b: pa.RecordBatch, bits: int) -> Iterator[pa.RecordBatch]:
+    code, f = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 3))
+    code = (code.astype(U) * U(DEAL)) & U(CODES)
+    order = np.argsort(code)
+    code, rest = code[order], 2 * ID_BITS - bits
+    if len(code):
+        yield rows((code >> U(rest)).astype(np.int64), codes=(code & U((1 << rest) - 1)).astype(np.uint32), f=f[order].astype(np.int64))
+
+
+class Texts:
+    """Counts of phrases known by their text."""
+
+    def __init__(self) -> None:
+        self.parts: list[tuple[np.ndarray, np.ndarray, pa.Array]] = []
+
+    def add(self, words: Words, at: np.ndarray, m: int) -> None:
+        h, f, first = summed(words.phrases(m, at), np.ones(len(at), np.int64))
+        self.parts.append((h, f, words.texts(at[first], m)))
+
+    def full(self) -> bool:
+        over = lambda x: sum(len(p[0]) for p in self.parts) > KEEP // x or sum(p[2].nbytes for p in self.parts) > KEEP_BYTES // x
+        return over(1) and (self.merge() or over(2))
+
+    def merge(self) -> None:
+        h, f, first = summed(*(np.concatenate(x) for x in list(zip(*self.parts))[:2]))
+        self.parts = [(h, f, pa.concat_arrays([p[2] for p in self.parts]).take(pa.array(first)))]
+
+    def dealt(self, bits: int) -> Iterator[pa.RecordBatch]:
+        if self.parts:
+            self.merge()
+            h, f, texts = self.parts.pop()
+            if len(h):
+                yield rows((h >> U(64 - bits)).astype(np.int64), sizes=pc.binary_length(texts).to_numpy().astype(np.int64), texts=texts, f=f)
+
+
+def added_up(counted: DataFrame, m: int, least: int, bits: int, names=None) -> DataFrame:
+    """(lang, phrase, f, h) of the phrases of m words that occur ``least`` times, from COUNTED, h being their hashes;
+    ``names`` has the names of the ids. For m = 1 also the number of words of a language, with phrase and h null."""
+    def run(t: pa.Table) -> pa.Table:
+        langs, phrases, counts, totals = [], [], [], Counter()
+        joined = lambda t, name, kind: np.frombuffer(b"".join(t[name].to_pylist()), kind)
+        pairs, texts = t.filter(pc.is_valid(t["codes"])), t.filter(pc.is_valid(t["texts"]))
+        if pairs.num_rows:
+            code, f, _ = summed(joined(pairs, "codes", np.uint32), joined(pairs, "f", np.int64))
+            code, f = code[f >= least].astype(U), f[f >= least]
+            code = ((U(t["bucket"][0].as_py() << 2 * ID_BITS - bits) | code) * U(UNDEAL)) & U(CODES)
+            known = names.value
+            x, y = pa.array((code >> U(ID_BITS)).astype(np.int64)), pa.array((code & U((1 << ID_BITS) - 1)).astype(np.int64))
+            langs += known["langs"].take(x).to_pylist()
+            phrases += pc.binary_join_element_wise(known["phrases"].take(x), known["last"].take(y), pa.scalar(b" ", pa.binary())).to_pylist()
+            counts.append(f)
+        if texts.num_rows:
+            offsets = np.concatenate([[0], np.cumsum(joined(texts, "sizes", np.int64))])
+            keys = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(b"".join(texts["texts"].to_pylist()))])
+            found = pa.table({"key": keys, "f": joined(texts, "f", np.int64)}).group_by("key").aggregate([("f", "sum")])
+            if m == 1:
+                for key, n in zip(found["key"].to_pylist(), found["f_sum"].to_pylist()):
+                    totals[key[:key.rfind(b".")]] += n
+            found = found.filter(pc.greater_equal(found["f_sum"], least))
+            for key in found["key"].to_pylist():
+                lang, _, phrase = key.rpartition(b".")
+                langs.append(lang.decode())
+                phrases.append(phrase)
+            counts.append(found["f_sum"].to_numpy())
+        h = Words(langs, phrases).phrases(m, np.arange(len(phrases)) * m).view(np.int64)
+        nothing = [None] * len(totals)
+        return pa.table({"lang": pa.array(langs + [x.decode() for x in totals], pa.string()), "phrase": pa.array(phrases + nothing, pa.binary()),
+                         "f": pa.array(np.concatenate([*counts, list(totals.values())]).astype(np.int64)), "h": pa.array(h.tolist() + nothing, pa.int64())})
+
+    return counted.groupBy("bucket").applyInArrow(run, FOUND)
+
+
+def word_counts(docs: DataFrame, least: int) -> DataFrame:
+    """(lang, phrase, f, h) of the frequent words of (lang, text), and the number of all words of each language."""
+    bits = bucket_bits(docs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = Texts()
+        for words in blocks(batches, 0):
+            texts.add(words, np.arange(len(words.hashes)), 1)
+            if texts.full():
+                yield from texts.dealt(bits)
+        yield from texts.dealt(bits)
+
+    return added_up(docs.mapInArrow(run, COUNTED), 1, least, bits)
 
 
 class Ids:
     """The frequent phrases of one length: ids by frequency for those of the table, and a bit
     filter of those beyond it (None if there are none)."""
 
-    def __init__(self, langs: list[str], phrases: list[bytes], parts: "Ids | None", beyond: np.ndarray | None):
-        self.beyond = beyond
-        self.langs = pa.array(langs, pa.string()).dictionary_encode()
-        self.phrases = pa.array(phrases, pa.binary())
-        self.last = pa.array([p[p.rfind(b" ") + 1:] for p in phrases], pa.binary())
-        if parts is None:
-            self.words: dict[str, dict[bytes, int]] = {}
-            for i, (lang, p) in enumerate(zip(langs, phrases)):
-                self.words.setdefault(lang, {})[p] = i
-        else:
-            own = {(lang, p): i for i, (lang, p) in enumerate(zip(parts.langs.to_pylist(), parts.phrases.to_pylist()))}
-            codes = [(own.get((lang, p[:p.rfind(b" ")]), -1), own.get((lang, p[p.find(b" ") + 1:]), -1)) for lang, p in zip(langs, phrases)]
-            known = np.array([i for i, (x, y) in enumerate(codes) if x >= 0 and y >= 0], np.int64)
-            code = np.array([codes[i][0] << ID_BITS | codes[i][1] for i in known], np.int64)
-            order = np.argsort(code)
-            self.codes, self.ranks = code[order], known[order]
-            #: with a part beyond the table of parts, known by their text
-            self.others = {(langs[i], phrases[i]): i for i, (x, y) in enumerate(codes) if x < 0 or y < 0}
+    def __init__(self, langs: pa.Array, phrases: pa.Array, hashes: np.ndarray, beyond: np.ndarray | None):
+        self.langs, self.phrases = langs.dictionary_encode(), phrases
+        self.last = pa.array([p[p.rfind(b" ") + 1:] for p in phrases.to_pylist()], pa.binary())
+        #: the hashes by id, and a hash table of the ids: the first free place of those from a hash's first bits on
+        self.keys, self.beyond = hashes, beyond
+        self.bits = max(len(hashes).bit_length() + 2, 4)
+        self.slots = np.full(1 << self.bits, NONE, np.int32)
+        left, slot = np.arange(len(hashes)), (hashes >> U(64 - self.bits)).astype(np.int64)
+        while len(left):
+            free = np.flatnonzero(self.slots[slot] == NONE)
+            self.slots[slot[free]] = left[free]
+            stay = self.slots[slot] != left
+            left, slot = left[stay], slot[stay] + 1 & (1 << self.bits) - 1
 
     def names(self) -> dict:
         return {k: v for k, v in vars(self).items() if k in ("langs", "phrases", "last")}
@@ -140,34 +336,20 @@ class Ids:
         out.__dict__ = values
         return out
 
-    def hit(self, lang: str, phrase: bytes) -> bool:
-        return self.beyond is not None and bool(self.beyond[filter_key(lang, phrase) >> (64 - SKETCH_BITS)])
-
-    def first(self, lang: str, tokens: list[bytes]) -> np.ndarray:
-        """The ids of single words."""
-        ids = np.fromiter(map(self.words.get(lang, {}).get, tokens, repeat(NONE)), np.int64, len(tokens))
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The ids of the phrases of these hashes."""
+        out = np.full(len(h), NONE, np.int64)
+        left, slot = np.arange(len(h)), (h >> U(64 - self.bits)).astype(np.int64)
+        while len(left) and len(self.keys):
+            found = self.slots[slot]
+            same = (found >= 0) & (self.keys[found] == h[left])
+            out[left[same]] = found[same]
+            go = (found >= 0) & ~same
+            left, slot = left[go], slot[go] + 1 & (1 << self.bits) - 1
         if self.beyond is not None:
-            for i in np.flatnonzero(ids == NONE):
-                if is_word(tokens[i]) and self.hit(lang, tokens[i]):
-                    ids[i] = BEYOND
-        return ids
-
-    def next(self, ids: np.ndarray, tokens: list[bytes], langs: list[str], at: np.ndarray, m: int) -> np.ndarray:
-        """The ids of the phrases of m words from those of their parts; ``langs`` and ``at`` tell
-        the languages of the tokens from each place on."""
-        x, y = ids[:-1], ids[1:]
-        out = np.full(len(x), NONE, np.int64)
-        if len(self.codes):
-            p = np.flatnonzero((x >= 0) & (y >= 0))
-            code = x[p] << ID_BITS | y[p]
-            place = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-            same = self.codes[place] == code
-            out[p[same]] = self.ranks[place[same]]
-        if self.beyond is not None or self.others:
-            maybe = (out == NONE) & (x != NONE) & (y != NONE)
-            for i in np.flatnonzero(maybe if self.beyond is not None else maybe & ((x == BEYOND) | (y == BEYOND))):
-                lang, phrase = langs[np.searchsorted(at, i, "right") - 1], b" ".join(tokens[i:i + m])
-                out[i] = self.others.get((lang, phrase), BEYOND if self.hit(lang, phrase) else NONE)
+            left = np.flatnonzero(out == NONE)
+            place = (h[left] >> U(64 - (len(self.beyond) * 8).bit_length() + 1)).astype(np.int64)
+            out[left[(self.beyond[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)]] = BEYOND
         return out
 
 
@@ -195,12 +377,8 @@ class Pairs:
 
     def merged(self) -> int:
         """Make one list of all; its length."""
-        codes, counts = (np.concatenate(x) for x in zip(*self.lists))
-        order = np.argsort(codes)
-        codes = codes[order]
-        first = np.flatnonzero(np.diff(codes, prepend=codes[:1] - 1))
-        self.lists = [(codes[first], np.add.reduceat(counts[order], first) if len(first) else counts)]
-        return len(first)
+        self.lists = [summed(*(np.concatenate(x) for x in zip(*self.lists)))[:2]]
+        return len(self.lists[0][0])
 
     def sparse(self) -> Iterator[pa.RecordBatch]:
         if self.lists:
@@ -217,77 +395,71 @@ class Pairs:
         self.dense.clear()
 
 
-def phrase_counts(docs: DataFrame, levels: list[Ids], least: int) -> DataFrame:
-    """(lang, phrase, f) of the phrases of ``len(levels) + 1`` words that are frequent."""
-    m = len(levels) + 1
+def phrase_counts(docs: DataFrame, parts: Ids, m: int, least: int) -> DataFrame:
+    """(lang, phrase, f, h) of the phrases of m words that are frequent; ``parts`` has those of m - 1 words."""
     send = docs.sparkSession.sparkContext.broadcast  # plain values, which need no class of this package
-    tables, names = send([x.tables() for x in levels]), send(levels[-1].names())
+    tables, names, bits = send(parts.tables()), send(parts.names()), bucket_bits(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, pairs, texts = [Ids.of(x) for x in tables.value], Pairs(), {}
-        langs, tokens, parts, at, held = [], [], [], [], 0
-
-        def count() -> None:
-            flat = list(chain.from_iterable(tokens))
-            x = np.concatenate(parts)
-            for k in range(1, m - 1):
-                x = ids[k].next(x, flat, langs, np.array(at), k + 1)
+        ids, pairs, texts = Ids.of(tables.value), Pairs(), Texts()
+        for words in blocks(batches, m - 1):
+            x = ids.find(words.phrases(m - 1))
             x, y = x[:-1], x[1:]
-            known = (x >= 0) & (y >= 0)
+            whole = words.whole(m)
+            known = whole & (x >= 0) & (y >= 0)
             pairs.add(x[known], y[known])
-            for i in np.flatnonzero(~known & (x != NONE) & (y != NONE)):
-                texts.setdefault(langs[np.searchsorted(at, i, "right") - 1], Counter())[b" ".join(flat[i:i + m])] += 1
-            for kept in (langs, tokens, parts, at):
-                kept.clear()
-
-        for lang, found in stretches(batches, m - 1):
-            langs.append(lang)
-            at.append(held)
-            tokens.extend((found, [b"."]))  # a break between texts
-            parts.extend((ids[0].first(lang, found), np.array([NONE])))
-            held += len(found) + 1
-            if held >= BLOCK:
-                count()
-                held = 0
-                if sum(len(c) for c, _ in pairs.lists) > KEEP and pairs.merged() > KEEP // 2:
-                    yield from pairs.sparse()
-                if sum(map(len, texts.values())) > KEEP // 8:
-                    yield texts_table(texts)
-        if held:
-            count()
-        yield from pairs.sparse()
-        yield from pairs.tiles()
-        yield texts_table(texts)
-
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Ids.of(names.value)
+            others = np.flatnonzero(whole & ~known & (x != NONE) & (y != NONE))
+            if len(others):
+                texts.add(words, others, m)
+            if sum(len(c) for c, _ in pairs.lists) > KEEP and pairs.merged() > KEEP // 2:
+                for b in pairs.sparse():
+                    yield from dealt_pairs(b, bits)
+            if texts.full():
+                yield from texts.dealt(bits)
+        for found in (pairs.sparse(), pairs.tiles()):
+            for b in found:
+                yield from dealt_pairs(b, bits)
+        yield from texts.dealt(bits)
+
+    return added_up(docs.mapInArrow(run, COUNTED), m, least, bits, names)
+
+
+def hits(hashes: DataFrame, n: int) -> np.ndarray:
+    """Packed bits, of which the n numbers of the column h set those named by their first bits."""
+    bits = min(max((8 * n).bit_length(), LEAST_BITS), MOST_BITS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
         for b in batches:
-            coded = b.filter(pc.is_valid(b.column(0)))
-            code = coded.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            x, y = pa.array(code >> ID_BITS), pa.array(code & (1 << ID_BITS) - 1)
-            phrase = pc.binary_join_element_wise(known.phrases.take(x), known.last.take(y), pa.scalar(b" ", pa.binary()))
-            lang = known.langs.take(x).cast(pa.string())
-            rest = b.filter(pc.is_null(b.column(0)))
-            yield pa.record_batch([pa.concat_arrays([lang, rest.column(1)]), pa.concat_arrays([phrase, rest.column(2)]), pa.concat_arrays([coded.column(3), rest.column(3)])],
-                                  ["lang", "phrase", "f"])
-
-    total = docs.mapInArrow(run, COUNTED).groupBy("code", "lang", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
-    return total.mapInArrow(named, "lang string, phrase binary, f long")
-
-
-def ranked(found: DataFrame, parts: Ids | None, m: int, size: int) -> Ids:
-    """Ids of the most frequent phrases of m words in (lang, phrase, f), up to ``size`` of them."""
-    order = (F.desc("f"), F.asc("lang"), F.asc("phrase"))
+            place = np.unique(b.column(0).to_numpy(zero_copy_only=False).view(U) >> U(64 - bits)).astype(np.int64)
+            for c in np.unique(place >> CHUNK_BITS).tolist():
+                a, z = np.searchsorted(place, [c << CHUNK_BITS, c + 1 << CHUNK_BITS])
+                found.setdefault(c, np.zeros(1 << CHUNK_BITS, bool))[place[a:z] & (1 << CHUNK_BITS) - 1] = True
+        yield pa.record_batch([pa.array(list(found), pa.int32()), pa.array([np.packbits(x, bitorder="little").tobytes() for x in found.values()], pa.binary())], ["chunk", "bits"])
+
+    out = np.zeros((1 << bits - CHUNK_BITS, 1 << CHUNK_BITS - 3), np.uint8)
+    chunk = F.shiftrightunsigned("h", 64 - bits + CHUNK_BITS)
+    for b in hashes.repartition(chunk).mapInArrow(run, "chunk int, bits binary").toArrow().to_batches():
+        for c, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            out[c] |= np.frombuffer(x, np.uint8)
+    return out.reshape(-1)
+
+
+def ranked(found: DataFrame, m: int, size: int) -> Ids:
+    """Ids of the most frequent phrases of m words in (lang, phrase, f, h): up to ``size`` of them, of
+    equally frequent ones all or none."""
     short = F.length("phrase") + F.length(F.encode("lang", "utf-8")) <= m * WORD_BYTES
-    t = found.filter(short).select("lang", "phrase", "f").orderBy(*order).limit(size).toArrow()
-    langs, phrases = t["lang"].to_pylist(), [bytes(x) for x in t["phrase"].to_pylist()]
-    rest = ~short
-    if t.num_rows == size:  # what comes after the last entry
-        f, lang, phrase = t["f"][-1].as_py(), F.lit(langs[-1]), F.lit(bytearray(phrases[-1]))
-        rest = rest | (F.col("f") < f) | ((F.col("f") == f) & ((F.col("lang") > lang) | ((F.col("lang") == lang) & (F.col("phrase") > phrase))))
-
-    hits = bit_filter(found.filter(rest).select(F.xxhash64("lang", "phrase").alias("h")))
-    return Ids(langs, phrases, parts, hits if hits.any() else None)
+    have = {r["f"]: r["n"] for r in found.groupBy(F.when(short, F.col("f")).alias("f")).agg(F.count("*").alias("n")).collect()}
+    rest, lowest, n = sum(have.values()), None, 0
+    for f in sorted((f for f in have if f is not None), reverse=True):
+        if n + have[f] > size:
+            break
+        lowest, n = f, n + have[f]
+    own = short & (F.col("f") >= lowest) if n else F.lit(False)
+    t = found.filter(own).select("lang", "phrase", "f", "h").toArrow().combine_chunks() if n else pa.table({"lang": pa.array([], pa.string()), "phrase": pa.array([], pa.binary()), "f": pa.array([], pa.int64()), "h": pa.array([], pa.int64())})
+    t = t.take(pa.array(np.argsort(-t["f"].to_numpy(), kind="stable")))
+    column = lambda name, kind: pa.concat_arrays([c.cast(kind) for c in t[name].chunks] or [pa.array([], kind)])
+    return Ids(column("lang", pa.string()), column("phrase", pa.binary()), t["h"].to_numpy().view(U), hits(found.filter(~own).select("h"), rest - n) if rest > n else None)
 
 
 def frequent_phrases(docs: DataFrame, lang_col: str, text_col: str, longest: int, least: int, word_ids: int, phrase_ids: int) -> tuple[DataFrame, DataFrame]:
@@ -296,17 +468,16 @@ def frequent_phrases(docs: DataFrame, lang_col: str, text_col: str, longest: int
     if max(word_ids, phrase_ids) > 1 << ID_BITS:
         raise ValueError(f"ids have {ID_BITS} bits")
     d = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    words = cut(word_counts(d))
-    found = words.filter(F.col("f") >= least)
-    tables, levels = [found.withColumn("m", F.lit(1))], []
+    words = cut(word_counts(d, least))
+    found = words.filter(F.col("phrase").isNotNull())
+    tables = [found.withColumn("m", F.lit(1))]
     for m in range(2, longest + 1):
-        levels.append(ranked(found, levels[-1] if levels else None, m - 1, word_ids if m == 2 else phrase_ids))
-        found = cut(phrase_counts(d, levels, least))
+        found = cut(phrase_counts(d, ranked(found, m - 1, word_ids if m == 2 else phrase_ids), m, least))
         tables.append(found.withColumn("m", F.lit(m)))
     every = tables[0].select("lang", "phrase", "m", "f")
     for t in tables[1:]:
         every = every.unionByName(t.select("lang", "phrase", "m", "f"))
-    return words.groupBy("lang").agg(F.sum("f").alias("n")), every
+    return words.filter(F.col("phrase").isNull()).groupBy("lang").agg(F.sum("f").alias("n")), every
 
 
 def exact(c: Column) -> Column:
@@ -342,8 +513,10 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     spans = F.expr("flatten(transform(sequence(2, m - 1), x -> transform(sequence(1, m - x + 1), i -> array_join(slice(w, i, x), ' '))))")
     inner = c.filter("m > 2").select("lang", F.explode(spans).alias("phrase"), F.col("a").alias("f")).groupBy("lang", "phrase").agg(F.max("f").alias("f"))
     kept = best.join(inner, ["lang", "phrase"], "left").filter(F.col("f").isNull() | (exact(F.col("f")) * 100 < exact(F.col("a")) * cover))
-    order = Window.partitionBy("lang").orderBy(F.desc("b.score"), F.desc("a"), F.asc("phrase"))
-    kept = kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    kept = kept.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(SHARES)))
+    for own in (["lang", "share"], ["lang"]):
+        order = Window.partitionBy(*own).orderBy(F.desc("b.score"), F.desc("a"), F.asc("phrase"))
+        kept = kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
     return kept.join(n, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "b.l", "b.r", "n", "b.score")
 
 

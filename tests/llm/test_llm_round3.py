@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import os
 import random
 import re
 
@@ -166,6 +167,46 @@ def test_collocation_stretches_and_tiles(monkeypatch):
     assert found == total
 
 
+def test_collocations_beyond_the_tables_cost_no_call_per_place(spark, monkeypatch, tmp_path):
+    rng, calls, digest = random.Random(5), str(tmp_path / "calls"), collocations.xxh64_intdigest
+    docs = [("en", " ".join(f"w{int(300 * rng.random() ** 2)}" for _ in range(2000))) for _ in range(20)]
+
+    def counted(*args):
+        with open(calls, "ab") as f:  # workers share the folder here
+            f.write(b".")
+        return digest(*args)
+
+    monkeypatch.setattr(collocations, "xxh64_intdigest", counted)
+    df = spark.createDataFrame(docs, "lang string, text string").repartition(3)
+    got = list(map(tuple, collocations.collocations(df, least=5, word_ids=4, phrase_ids=4).collect()))
+    assert len(got) > 100 and set(got) == plain_collocations(docs, 5, 80, 2000)
+    assert 0 < os.path.getsize(calls) < 10_000  # of 40,000 words, for each length
+
+
+def test_collocations_small_blocks(spark, monkeypatch):
+    for name, n in (("STRETCH", 60), ("BLOCK", 300), ("KEEP", 60), ("DENSE_PAIRS", 2)):
+        monkeypatch.setattr(collocations, name, n)
+    docs = collocation_docs()
+    docs += [("a.b", "x\0 x " * 9), ("a.b", "wörter " * 20 + " " * 500 + "und . mehr " * 30), ("", ("y" * 9 + " " + "z" * 70 + "\t ") * 12), ("", ("z" * 71 + " " + "z" * 70 + ",") * 9)]
+    df = spark.createDataFrame(docs, "lang string, text string").repartition(2)
+    for sizes in ((40, 60), (1 << 18, 1 << 20)):
+        got = list(map(tuple, collocations.collocations(df, least=8, word_ids=sizes[0], phrase_ids=sizes[1]).collect()))
+        assert len(got) == len(set(got)) and set(got) == plain_collocations(docs, 8, 80, 2000)
+
+
+def test_collocation_ids():
+    rng = np.random.default_rng(4)
+    h = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
+    h[:50] = (np.uint64(7) << np.uint64(58)) + np.arange(50, dtype=np.uint64)  # of one place
+    bits = np.zeros(1 << 20, bool)
+    bits[(h[2000:2500] >> np.uint64(44)).astype(int)] = True
+    ids = collocations.Ids(pa.array(["en"] * 2000), pa.array([b"a"] * 2000, pa.binary()), h[:2000], np.packbits(bits, bitorder="little"))
+    got = collocations.Ids.of(ids.tables()).find(np.concatenate([h, h[:50] + np.uint64(50)]))
+    assert got[:2000].tolist() == list(range(2000)) and (got[2000:2500] == collocations.BEYOND).all()
+    assert (got[2500:] == collocations.NONE).mean() > 0.9
+    assert collocations.Ids(pa.array([], pa.string()), pa.array([], pa.binary()), h[:0], None).find(h).tolist() == [collocations.NONE] * 3000
+
+
 def test_collocations_empty(spark):
     df = spark.createDataFrame([], "lang string, text string")
     assert collocations.collocations(df).collect() == []
